@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
-from turnwarden.functions.links import untrusted_links
+from turnwarden.functions.links import LINK, STRICT_LINK, untrusted_links
 from turnwarden.functions.patterns import all_labels, any_of, count_matches, first_label, java_pattern, literal
 from turnwarden.functions.text import percent, rewrite_matches, stars
 from turnwarden.operators.decisions import alive, record, start
@@ -166,7 +166,7 @@ def secrets_screen(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fi
 # A run of letters of at least four that has no vowel, five consonants in a row, or one letter four times in a row.
 ASCII_WORD = "[A-Za-z]+"
 GIBBERISH_WORD = (r"(?i)(?<![a-z])(?=[a-z]{4})"
-                  r"(?:(?=[^aeiouy\W\d_]++(?![a-z]))|(?=[a-z]*?[b-df-hj-np-tv-xz]{5})|(?=[a-z]*?([a-z])\1{3}))"
+                  r"(?:(?=[b-df-hj-np-tv-xz]++(?![a-z]))|(?=[a-z]*?[b-df-hj-np-tv-xz]{5})|(?=[a-z]*?([a-z])\1{3}))"
                   r"[a-z]+")
 
 
@@ -197,5 +197,6 @@ def url_screen(df: DataFrame, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAI
                text: str = "text") -> DataFrame:
     """Block texts with a link outside the allow-list; every such link is listed in order."""
     bad = F.array_join(untrusted_links(F.col(text), domains, strict), ", ")
-    detail = F.when(bad != "", F.concat(F.lit("blocked: "), bad))
-    return record(df, 23, "URL allowlist (input)", "blocked", detail)
+    df = start(df).withColumn("_bad", F.when(alive() & F.col(text).rlike(STRICT_LINK if strict else LINK), bad))
+    detail = F.when(F.col("_bad") != "", F.concat(F.lit("blocked: "), F.col("_bad")))
+    return record(df, 23, "URL allowlist (input)", "blocked", detail).drop("_bad")
