@@ -19,5 +19,6 @@ def local_session(cores: int | str | None = None, app: str = "turnwarden") -> Sp
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("TURNWARDEN_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
