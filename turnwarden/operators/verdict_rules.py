@@ -34,7 +34,7 @@ def verdicts_per_turn(verdicts: DataFrame, key: str = "turn_id") -> DataFrame:
     scores = F.map_from_entries(F.array_compact(F.collect_list(F.when(F.col("rule") == 18, score))))
     return verdicts.groupBy(key).agg(
         *[c.alias(n) for n, c in one.items()], flagged.alias("_flagged"), scores.alias("_scores"),
-        F.bool_or(F.col("rule") == 7).alias("_moderated"))
+        F.max(F.when(F.col("rule") == 7, F.lit(True))).alias("_moderated"))
 
 
 VERDICT_COLUMNS = [f"_label_{r}" for r in ONE_LABEL_RULES] + ["_flagged", "_scores", "_moderated"]

@@ -1 +1,118 @@
-"""Placeholder."""
+"""Lookups, history and question-answer pairs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from turnwarden import fixed_values as fixed
+from turnwarden.operators import lookups as look
+from turnwarden.operators.conversations import conversation_pairs, history_context
+from turnwarden.queries.common import lit, query, sql_joined, sql_values, turns, with_turns
+from turnwarden.queries.tool_stage import CALLS_SQL, calls
+from turnwarden.sources import dimensions as dim
+from turnwarden.sources.turns import read_table
+
+
+def kb_sql(source: str, key: str, kb: list[tuple[str, str]]) -> str:
+    hits = [f"CASE WHEN contains(lower(text), {lit(t)}) THEN {lit(f'[{t}] {x}')} END" for t, x in kb]
+    joined = sql_joined(hits, "\n")
+    return f"SELECT {key}, CASE WHEN {joined} <> '' THEN {joined} ELSE {lit(fixed.KB_MISS)} END AS kb_result FROM {source}"
+
+
+@query("kb_match", with_turns(kb_sql("turns", "turn_id", fixed.KNOWLEDGE_BASE)))
+def _(spark, folder):
+    return look.kb_match(turns(spark, folder), dim.knowledge_base(spark)).select("turn_id", "kb_result")
+
+
+WIDE_KB = fixed.KNOWLEDGE_BASE + [("worthless", "Value."), ("token", "Access."), ("er", "Suffix."), ("über", "Prefix."),
+                                  ("license", "Terms."), ("ing", "Form.")]
+
+
+@query("kb_match_documents", kb_sql("documents", "doc_id", WIDE_KB))
+def _(spark, folder):
+    kb = dim.table(spark, [(i, t, x) for i, (t, x) in enumerate(WIDE_KB)], "ord int, topic string, text string")
+    # The join form, as used for knowledge bases too large to be written into the plan.
+    docs = read_table(spark, folder, "documents")
+    return look.kb_match(docs, kb, key="doc_id", inline_rows=0).select("doc_id", "kb_result")
+
+
+MEDICATIONS = ["Ibuprofen", " paracetamol ", "aspirin", "SLEEP", "cold\t"]
+MEDICATION_SQL = f"[{', '.join(lit(m) for m in MEDICATIONS)}][CAST(k % {len(MEDICATIONS)} + 1 AS INTEGER)]"
+
+
+@query("medication_lookup", f"""WITH {CALLS_SQL}, asked AS (SELECT call_id, {MEDICATION_SQL} AS medication FROM calls
+        WHERE tool_name = 'get_medication_info'), kb AS (SELECT * FROM (VALUES {sql_values(fixed.KNOWLEDGE_BASE)}) v(topic, text))
+    SELECT call_id, medication, coalesce(text, 'No AcmeHealth monograph for ''' || medication
+           || '''. Always follow your prescriber''s instructions.') AS medication_info
+    FROM asked LEFT JOIN kb ON regexp_replace(lower(medication), '^\\s+|\\s+$', '', 'g') = topic""")
+def _(spark, folder):
+    asked = calls(spark, folder).filter("tool_name = 'get_medication_info'").select("call_id", F.element_at(
+        F.array(*[F.lit(m) for m in MEDICATIONS]), F.expr(f"cast(k % {len(MEDICATIONS)} + 1 as int)")).alias("medication"))
+    return look.medication_lookup(asked, dim.knowledge_base(spark))
+
+
+@query("record_lookup", f"""WITH {CALLS_SQL}, asked AS (SELECT call_id, ' p-100' || (k % 4) AS patient_id FROM calls
+        WHERE tool_name = 'view_patient_record'), records AS (SELECT * FROM (VALUES {sql_values(fixed.PATIENT_RECORDS)}) v(id, text))
+    SELECT call_id, patient_id, coalesce(text, 'No record for ' || patient_id || '.') AS record
+    FROM asked LEFT JOIN records ON upper(trim(patient_id)) = id""")
+def _(spark, folder):
+    asked = calls(spark, folder).filter("tool_name = 'view_patient_record'").select(
+        "call_id", F.concat(F.lit(" p-100"), (F.col("k") % 4).cast("string")).alias("patient_id"))
+    return look.record_lookup(asked, dim.patient_records(spark))
+
+
+DOMAINS = fixed.TRUSTED_DOMAINS + ["example.com", "m.thther.example.org", "net"]
+SITE_ARTICLES = fixed.ARTICLES + [("/en/", "English."), ("example.com", "Com."), ("example.net", "Net.")]
+HOST_SQL = r"lower(regexp_extract(url, '(?i)^https?://([^/?#@:\[]+)', 1))"
+TRUSTED_SQL = " OR ".join(f"{HOST_SQL} = '{d}' OR ends_with({HOST_SQL}, '.{d}')" for d in DOMAINS)
+FIRST_ARTICLE = "CASE " + " ".join(f"WHEN contains(url, {lit(d)}) THEN {lit(t)}" for d, t in SITE_ARTICLES) + " END"
+ARTICLE_SQL = f"""
+    SELECT page_id, url, {TRUSTED_SQL} AS trusted, CASE WHEN NOT ({TRUSTED_SQL})
+           THEN 'Refused: ' || url || ' is not on the trusted-domain list.'
+           ELSE coalesce({FIRST_ARTICLE}, {lit(fixed.ARTICLE_MISS)}) END AS article FROM pages"""
+
+
+def _articles(spark, folder, inline_rows):
+    domains = dim.table(spark, [(d,) for d in DOMAINS], "domain string")
+    articles = dim.table(spark, [(i, d, t) for i, (d, t) in enumerate(SITE_ARTICLES)], "ord int, domain string, text string")
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+    return look.article_lookup(pages, domains, articles, inline_rows=inline_rows)
+
+
+@query("article_lookup", ARTICLE_SQL)
+def _(spark, folder):
+    return _articles(spark, folder, look.INLINE_ROWS)
+
+
+@query("article_lookup_joined", ARTICLE_SQL)
+def _(spark, folder):
+    return _articles(spark, folder, 0)
+
+
+@query("history_context", with_turns("""
+    SELECT turn_id, session_id, array_to_string(coalesce(list(text) OVER (PARTITION BY session_id ORDER BY turn_id
+           ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), []), ' | ') AS history FROM turns"""))
+def _(spark, folder):
+    return history_context(turns(spark, folder)).select("turn_id", "session_id",
+                                                        F.array_join("history", " | ").alias("history"))
+
+
+PAIRS_SQL = """
+    SELECT conv_id, turn, text AS question, answer FROM (
+      SELECT conv_id, turn, role, text, lead(role) OVER w AS next_role, lead(text) OVER w AS answer
+      FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    WHERE role = 'user' AND next_role = 'assistant'"""
+
+
+@query("conversation_pairs", PAIRS_SQL)
+def _(spark, folder):
+    return conversation_pairs(read_table(spark, folder, "conversations"))
+
+
+@query("requests_per_user_history", """
+    SELECT user_id, event_id, array_to_string(coalesce(list(event_type) OVER (PARTITION BY user_id ORDER BY event_id
+           ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), []), ' | ') AS history FROM events""")
+def _(spark, folder):
+    events = read_table(spark, folder, "events").select("user_id", "event_id", "event_type")
+    done = history_context(events, session="user_id", order="event_id", content="event_type")
+    return done.select("user_id", "event_id", F.array_join("history", " | ").alias("history"))

@@ -1 +1,332 @@
-"""Placeholder."""
+"""Judgements: verdict tables joined in, and scorers trained on the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from turnwarden import fixed_values as fixed
+from turnwarden.operators import grounding as gr
+from turnwarden.operators import input_rules as inp
+from turnwarden.operators import language as lang
+from turnwarden.operators import output_rules as out
+from turnwarden.operators import scorers
+from turnwarden.operators import verdict_rules as ver
+from turnwarden.plans import evaluation as ev
+from turnwarden.queries.common import answers, detail_of, lit, query, turns, with_turns
+from turnwarden.queries.input_stage import INJECTION_SQL, CRISIS_SQL
+from turnwarden.queries.lookups import PAIRS_SQL
+from turnwarden.queries.output_stage import PROFANITY_SQL
+from turnwarden.operators.conversations import conversation_pairs
+from turnwarden.sources.turns import read_table
+
+# ---------------------------------------------------------------------------------------------- verdict tables
+
+
+def verdicts(df):
+    """A judge's answers to the laid-over turns; some turns have no answer to some question."""
+    none, text = F.lit(None), F.lit(None).cast("string")
+
+    def row(rule, label=text, confidence=none.cast("double"), attack=none.cast("boolean"),
+            categories=none.cast("map<string,boolean>"), chunk=0):
+        return F.struct(F.lit(rule).alias("rule"), F.lit(chunk).alias("chunk_no"), label.alias("label"),
+                        confidence.cast("double").alias("confidence"), attack.cast("boolean").alias("attack"),
+                        categories.alias("categories"))
+    k = F.col("k")
+    flags = F.create_map(F.lit("violence"), k.isin(17, 10), F.lit("harassment"), (k == 17) & (F.col("conv_id") % 2 == 1))
+    rows = [
+        F.when(k != 39, row(3, F.when(k == 2, F.lit("OFF_TOPIC")).otherwise(F.lit("ON_TOPIC")))),
+        F.when(k != 38, row(16, F.when(k == 7, F.lit("YES, RISK")).otherwise(F.lit("NO")))),
+        F.when(k != 37, row(7, categories=flags)),
+        F.when(k != 36, row(18, F.when(k.isin(8, 20, 21), F.lit("jailbreak")).otherwise(F.lit("none")),
+                            F.when(k == 8, F.lit(0.92)).when(k == 20, F.lit(0.4)), k.isin(8, 20, 21))),
+        F.when(k == 3, row(18, F.lit("none"), F.lit(0.1), F.lit(False), chunk=1)),
+        F.when(k != 35, row(2, F.when(k == 18, F.lit("YES")).otherwise(F.lit("NO")))),
+        F.when(k != 34, row(12, F.when(k == 11, F.lit("UNSAFE")).otherwise(F.lit("SAFE")))),
+        F.when(k != 33, row(30, F.when(k == 12, F.lit("IRRELEVANT")).otherwise(F.lit("RELEVANT")))),
+    ]
+    return df.select("turn_id", F.explode(F.array_compact(F.array(*rows))).alias("v")).select("turn_id", "v.*")
+
+
+def one_detail(df, *keys):
+    return df.select(*keys, "blocked_by", detail_of().alias("detail"))
+
+
+@query("topical_screen", with_turns("""
+    SELECT turn_id, CASE WHEN k = 2 THEN 3 END AS blocked_by, CASE k WHEN 39 THEN 'check unavailable (no verdict), failing open'
+           WHEN 2 THEN 'judge: OFF_TOPIC' END AS detail FROM turns"""))
+def _(spark, folder):
+    t = turns(spark, folder)
+    return one_detail(ver.topical_screen(t, verdicts(t)), "turn_id")
+
+
+@query("topical_screen_closed", with_turns("""
+    SELECT turn_id, CASE WHEN k IN (2, 39) THEN 3 END AS blocked_by,
+           CASE k WHEN 39 THEN 'check unavailable (no verdict), failing closed' WHEN 2 THEN 'judge: OFF_TOPIC' END AS detail FROM turns"""))
+def _(spark, folder):
+    t = turns(spark, folder)
+    return one_detail(ver.topical_screen(t, verdicts(t), fail_closed=True), "turn_id")
+
+
+MODERATION_SQL = ("CASE WHEN k = 37 THEN 'moderation unavailable (no verdict), failing closed' "
+                  "WHEN k = 17 AND conv_id % 2 = 1 THEN 'flagged: violence, harassment' "
+                  "WHEN k IN (17, 10) THEN 'flagged: violence' END")
+
+
+@query("moderation_screen", with_turns(
+    f"SELECT turn_id, CASE WHEN d IS NOT NULL THEN 7 END AS blocked_by, d AS detail FROM (SELECT turn_id, {MODERATION_SQL} AS d FROM turns)"))
+def _(spark, folder):
+    t = turns(spark, folder)
+    return one_detail(ver.moderation_screen(t, verdicts(t)), "turn_id")
+
+
+@query("moderation_screen_categories", with_turns(
+    f"SELECT turn_id, CASE WHEN d IS NOT NULL THEN 7 END AS blocked_by, d AS detail FROM (SELECT turn_id, "
+    f"CASE WHEN k = 37 OR (k = 17 AND conv_id % 2 = 1) THEN {MODERATION_SQL} END AS d FROM turns)"))
+def _(spark, folder):
+    t = turns(spark, folder)
+    return one_detail(ver.moderation_screen(t, verdicts(t), ["harassment"]), "turn_id")
+
+
+@query("crisis_screen", with_turns(f"""
+    SELECT turn_id, CASE WHEN s IS NOT NULL OR k = 7 THEN 16 END AS blocked_by,
+           CASE WHEN s IS NOT NULL THEN s WHEN k = 38 THEN 'check unavailable (no verdict), failing open'
+                WHEN k = 7 THEN 'judge: risk detected' END AS detail FROM (SELECT *, {CRISIS_SQL} AS s FROM turns)"""))
+def _(spark, folder):
+    t = turns(spark, folder)
+    return one_detail(ver.crisis_judge_screen(inp.crisis_signal_screen(t), verdicts(t)), "turn_id")
+
+
+@query("injection_with_judge", with_turns(f"""
+    SELECT turn_id, CASE WHEN p IS NOT NULL OR k = 18 THEN 2 END AS blocked_by,
+           CASE WHEN p IS NOT NULL THEN p WHEN k = 18 THEN 'judge: injection' END AS detail
+    FROM (SELECT *, {INJECTION_SQL} AS p FROM turns)"""))
+def _(spark, folder):
+    t = turns(spark, folder)
+    return one_detail(ver.injection_judge_screen(inp.injection_screen(t), verdicts(t)), "turn_id")
+
+
+@query("prompt_attack_screen", with_turns("""
+    SELECT turn_id, CASE WHEN k IN (8, 21) THEN 18 END AS blocked_by,
+           CASE k WHEN 36 THEN 'check unavailable (no verdict), failing open' WHEN 8 THEN 'jailbreak (confidence 0.92)'
+                  WHEN 21 THEN CASE WHEN length(text) <= 1500 THEN 'jailbreak (confidence 1.00)' END END AS detail
+    FROM (SELECT * FROM turns) WHERE NOT (length(text) > 1500 AND k <> 3)
+    UNION ALL
+    SELECT turn_id, CASE WHEN k IN (8, 21) THEN 18 END,
+           CASE WHEN k IN (8, 21) THEN CASE k WHEN 8 THEN 'jailbreak (confidence 0.92)' ELSE 'jailbreak (confidence 1.00)' END
+                ELSE 'check unavailable (no verdict), failing open' END
+    FROM turns WHERE length(text) > 1500 AND k <> 3"""))
+def _(spark, folder):
+    t = turns(spark, folder)
+    return one_detail(ver.prompt_attack_screen(t, verdicts(t)), "turn_id")
+
+
+@query("text_chunks", """
+    SELECT doc_id, CAST(chunk_no AS INTEGER) AS chunk_no, substr(text, CAST(chunk_no * 1500 + 1 AS BIGINT), 1500) AS chunk
+    FROM (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil(length(text) / 1500.0) AS BIGINT), 1))) AS chunk_no FROM documents)""")
+def _(spark, folder):
+    return ver.text_chunks(read_table(spark, folder, "documents"), "doc_id")
+
+
+def replaced(df, *keys):
+    return df.select(*keys, detail_of().alias("detail"), "text")
+
+
+@query("moderation_replace", with_turns(f"""
+    SELECT turn_id, CASE WHEN k = 37 THEN 'moderation unavailable (no verdict), withheld'
+           WHEN k = 17 AND conv_id % 2 = 1 THEN 'flagged: violence, harassment' WHEN k IN (17, 10) THEN 'flagged: violence' END AS detail,
+           CASE WHEN k IN (37, 17, 10) THEN {lit(fixed.SAFE_REPLACEMENT)} ELSE text END AS text FROM answers"""))
+def _(spark, folder):
+    a = answers(spark, folder)
+    return replaced(ver.moderation_replace(a, verdicts(a)), "turn_id")
+
+
+@query("policy_judge", with_turns(f"""
+    SELECT turn_id, CASE k WHEN 34 THEN 'judge unavailable (no verdict), failing open'
+           WHEN 11 THEN 'judge: UNSAFE, response replaced' END AS detail,
+           CASE WHEN k = 11 THEN {lit(fixed.SAFE_REPLACEMENT)} ELSE text END AS text FROM answers"""))
+def _(spark, folder):
+    a = answers(spark, folder)
+    return replaced(ver.policy_judge(a, verdicts(a)), "turn_id")
+
+
+@query("relevance_check", with_turns(f"""
+    SELECT a.turn_id, CASE WHEN t.text IS NULL THEN NULL WHEN a.k = 33 THEN 'judge unavailable (no verdict), failing open'
+           WHEN a.k = 12 THEN 'judge: IRRELEVANT, answer replaced' END AS detail,
+           CASE WHEN t.text IS NOT NULL AND a.k = 12 THEN {lit(fixed.IRRELEVANT_REPLACEMENT)} ELSE a.text END AS text
+    FROM answers a LEFT JOIN turns t ON t.turn_id = a.turn_id - 1"""))
+def _(spark, folder):
+    a = answers(spark, folder)
+    asked = turns(spark, folder).select((F.col("turn_id") + 1).alias("turn_id"), F.col("text").alias("question"))
+    return replaced(ver.relevance_check(a.join(asked, "turn_id", "left"), verdicts(a)), "turn_id")
+
+
+# ---------------------------------------------------------------------------------------------- moderation of documents
+
+@query("moderation_labels", """
+    SELECT d.doc_id, CASE WHEN l.toxic IS NULL OR l.toxic = 1 THEN 7 END AS blocked_by,
+           CASE WHEN l.toxic IS NULL THEN 'moderation unavailable (no verdict), failing closed'
+                WHEN l.toxic = 1 THEN 'flagged: toxic' END AS detail
+    FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def _(spark, folder):
+    docs, labels = read_table(spark, folder, "documents").select("doc_id"), read_table(spark, folder, "labels")
+    judged = scorers.moderation_verdicts(labels.withColumn("score", F.col("toxic").cast("double")), "doc_id", "toxic")
+    return one_detail(ver.moderation_screen(docs, judged, key="doc_id"), "doc_id")
+
+
+# ---------------------------------------------------------------------------------------------- grounding, relevance
+
+TOKENS_SQL = "list_distinct(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}]+'))"
+GROUND_SQL = with_turns(f"""
+    SELECT a.turn_id, CASE WHEN bad IS NOT NULL THEN left('unsupported: ' || bad, 300) END AS detail,
+           CASE WHEN bad IS NOT NULL THEN {lit(fixed.UNGROUNDED_REPLACEMENT)} ELSE text END AS text
+    FROM answers a LEFT JOIN (SELECT turn_id, string_agg(left(claim, 120), ' | ' ORDER BY claim_no) AS bad
+                              FROM judged WHERE NOT supported GROUP BY turn_id) b USING (turn_id)""",
+    "context AS (SELECT turn_id + 1 AS turn_id, text AS result FROM turns)",
+    "split AS (SELECT turn_id, list_transform(regexp_extract_all(text, '[^.!?\\n]+[.!?]*'), "
+    "lambda c: regexp_replace(c, '^\\s+|\\s+$', '', 'g')) AS cs FROM answers WHERE text <> '')",
+    "claims AS (SELECT turn_id, unnest(cs) AS claim, generate_subscripts(cs, 1) - 1 AS claim_no FROM split)",
+    "words AS (SELECT turn_id, claim_no, unnest(" + TOKENS_SQL.format("claim") + ") AS word FROM claims)",
+    "known AS (SELECT DISTINCT turn_id, unnest(" + TOKENS_SQL.format("result") + ") AS word FROM context)",
+    "judged AS (SELECT c.turn_id, c.claim_no, any_value(c.claim) AS claim, "
+    "count(k.word) >= 0.1 * count(*) AS supported FROM claims c JOIN words w USING (turn_id, claim_no) "
+    "LEFT JOIN known k ON k.turn_id = w.turn_id AND k.word = w.word "
+    "WHERE c.turn_id IN (SELECT turn_id FROM context WHERE result <> '') GROUP BY c.turn_id, c.claim_no)")
+
+
+@query("grounding_check", GROUND_SQL)
+def _(spark, folder):
+    a = answers(spark, folder)
+    context = turns(spark, folder).select((F.col("turn_id") + 1).alias("turn_id"), F.col("text").alias("result"))
+    return replaced(gr.grounding_check(a, context, threshold=0.1), "turn_id")
+
+
+@query("grounding_judged", with_turns(f"""
+    SELECT a.turn_id, CASE WHEN t.text IS NULL THEN NULL WHEN a.k = 13 THEN 'unsupported: ibuprofen permanently cures migraines in one dose.'
+           WHEN a.k <> 14 THEN 'judge unavailable (no verdict), failing open' END AS detail,
+           CASE WHEN t.text IS NOT NULL AND a.k = 13 THEN {lit(fixed.UNGROUNDED_REPLACEMENT)} ELSE a.text END AS text
+    FROM answers a LEFT JOIN turns t ON t.turn_id = a.turn_id - 1 AND t.text <> ''"""))
+def _(spark, folder):
+    a = answers(spark, folder)
+    context = turns(spark, folder).select((F.col("turn_id") + 1).alias("turn_id"), F.col("text").alias("result"))
+    judged = (gr.claims(a.filter("k in (13, 14)"), "turn_id")
+              .withColumn("supported", ~F.col("claim").contains("cures")))
+    return replaced(gr.grounding_check(a, context, judged), "turn_id")
+
+
+LONG_SQL = "list_filter(" + TOKENS_SQL + ", lambda w: length(w) >= 4)"
+OVERLAP_SQL = (f"coalesce(len(list_intersect({LONG_SQL.format('question')}, {LONG_SQL.format('answer')})) / "
+               f"nullif(least(len({LONG_SQL.format('question')}), len({LONG_SQL.format('answer')})), 0), 0.0)")
+
+
+@query("relevance_labels", f"SELECT conv_id, turn, round(o, 6) AS overlap, CASE WHEN o >= 0.02 THEN 'RELEVANT' ELSE 'IRRELEVANT' END AS label "
+                           f"FROM (SELECT *, {OVERLAP_SQL} AS o FROM ({PAIRS_SQL}))")
+def _(spark, folder):
+    pairs = conversation_pairs(read_table(spark, folder, "conversations"))
+    return gr.relevance_labels(pairs, 0.02).select("conv_id", "turn", F.round("overlap", 6).alias("overlap"), "label")
+
+
+LEXICON = ["headache", "fever", "cold", "ibuprofen", "paracetamol", "sleep", "hydration", "health", "doctor", "dehydration",
+           "painkillers", "flu", "dormir", "appointment"]
+
+
+@query("topic_labels", with_turns(f"""
+    SELECT turn_id, CASE WHEN len(list_intersect({TOKENS_SQL.format('text')}, [{', '.join(lit(w) for w in LEXICON)}])) > 0
+           THEN 'ON_TOPIC' ELSE 'OFF_TOPIC' END AS label FROM turns"""))
+def _(spark, folder):
+    return gr.topic_labels(turns(spark, folder), LEXICON).select("turn_id", "label")
+
+
+# ---------------------------------------------------------------------------------------------- language
+
+GRAMS_SQL = "list_transform(range(1, len({0}) - 1), lambda i: {0}[i] || {0}[i + 1] || {0}[i + 2])"
+LETTERS_SQL = "regexp_extract_all(' ' || regexp_replace(lower({0}), '[^\\p{{L}}]+', ' ', 'g') || ' ', '(?s).')"
+
+
+def language_ctes(source: str, key: str) -> list[str]:
+    """``best(key, language, p)`` over ``source(key, text)`` with a model fitted on the documents."""
+    k = lang.PROFILE_GRAMS
+    return [
+        f"docgrams AS (SELECT lang, unnest({GRAMS_SQL.format('l')}) AS gram FROM (SELECT lang, {LETTERS_SQL.format('text')} AS l FROM documents))",
+        "gramcounts AS (SELECT lang, gram, count(*) AS n FROM docgrams GROUP BY lang, gram)",
+        f"profile AS (SELECT lang, gram, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r FROM gramcounts) WHERE r <= {k})",
+        "totals AS (SELECT lang, sum(n) AS total FROM profile GROUP BY lang)",
+        f"""model AS (SELECT g.gram, t.lang, CAST(round(ln((coalesce(p.n, 0) + 0.5) /
+                (t.total + 0.5 * {k} * (SELECT count(*) FROM totals))) * {lang.SCALE}) AS BIGINT) AS w
+            FROM (SELECT DISTINCT gram FROM profile) g CROSS JOIN totals t LEFT JOIN profile p ON p.lang = t.lang AND p.gram = g.gram)""",
+        f"asked AS (SELECT {key}, unnest({GRAMS_SQL.format('l')}) AS gram FROM (SELECT {key}, {LETTERS_SQL.format('text')} AS l FROM {source}))",
+        f"sums AS (SELECT {key}, lang, sum(w) AS s FROM asked JOIN model USING (gram) GROUP BY {key}, lang)",
+        f"""best AS (SELECT {key}, min(lang) FILTER (WHERE s = top) AS language, 1.0 / sum(exp((s - top) / {lang.SCALE}.0)) AS p
+            FROM (SELECT *, max(s) OVER (PARTITION BY {key}) AS top FROM sums) GROUP BY {key})""",
+    ]
+
+
+@query("language_scores", "WITH " + ", ".join(language_ctes("documents", "doc_id")) +
+       " SELECT doc_id, language, round(p, 4) AS probability FROM best")
+def _(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    model = lang.fit(docs)
+    return lang.score(docs, model, "doc_id", F.col("text")).withColumn("probability", F.round("probability", 4))
+
+
+@query("language_accuracy", "WITH " + ", ".join(language_ctes("documents", "doc_id")) +
+       " SELECT d.lang, count(*) AS scored, count(*) FILTER (WHERE d.lang = language) AS correct FROM best "
+       "JOIN documents d USING (doc_id) GROUP BY d.lang")
+def _(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    scored = lang.score(docs, lang.fit(docs), "doc_id", F.col("text"))
+    return (scored.join(docs.select("doc_id", "lang"), "doc_id").groupBy("lang")
+            .agg(F.count("*").alias("scored"), F.count_if(F.col("lang") == F.col("language")).alias("correct")))
+
+
+@query("language_screen", with_turns("""
+    SELECT turn_id, CASE WHEN length(text) >= 40 AND language <> 'en' AND p >= 0.9 THEN 21 END AS blocked_by,
+           CASE WHEN length(text) >= 40 AND language <> 'en' AND p >= 0.9 THEN language END AS language
+    FROM turns LEFT JOIN best USING (turn_id)""", *language_ctes("turns", "turn_id")))
+def _(spark, folder):
+    t = turns(spark, folder)
+    model = lang.fit(read_table(spark, folder, "documents"))
+    done = lang.language_screen(t, lang.score(t, model, "turn_id", F.col("text")))
+    return done.select("turn_id", "blocked_by", F.nullif(F.regexp_extract(detail_of(), "detected '(.*)' ", 1), F.lit(""))
+                       .alias("language"))
+
+
+# ---------------------------------------------------------------------------------------------- evaluation
+
+PROFANE_N = f"len(regexp_extract_all(text, {lit('(?i:' + PROFANITY_SQL + ')')}))"
+RATES = ("round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall")
+
+
+def eval_sql(predicted: str, label: str) -> str:
+    return (f"SELECT *, {RATES} FROM (SELECT count(*) FILTER (WHERE p AND y) AS tp, count(*) FILTER (WHERE p AND NOT y) AS fp, "
+            f"count(*) FILTER (WHERE NOT p AND y) AS fn, count(*) FILTER (WHERE NOT p AND NOT y) AS tn FROM "
+            f"(SELECT {predicted} AS p, {label} = 1 AS y FROM documents JOIN labels USING (doc_id)))")
+
+
+@query("toxicity_eval", eval_sql(f"{PROFANE_N} > 0", "toxic"))
+def _(spark, folder):
+    masked = out.profanity_mask(read_table(spark, folder, "documents").select("doc_id", "text"), counts=True)
+    return ev.labelled_eval(masked.withColumn("hit", F.col("masked_words") > 0), read_table(spark, folder, "labels"), "hit", "toxic")
+
+
+THRESHOLDS = [1, 2, 3, 5, 8]
+
+
+@query("toxicity_threshold_sweep", " UNION ALL ".join(
+    f"SELECT CAST({t} AS DOUBLE) AS threshold, * FROM ({eval_sql(f'{PROFANE_N} >= {t}', 'toxic')})" for t in THRESHOLDS))
+def _(spark, folder):
+    masked = out.profanity_mask(read_table(spark, folder, "documents").select("doc_id", "text"), counts=True)
+    return ev.threshold_sweep(masked, read_table(spark, folder, "labels"), "masked_words", "toxic", THRESHOLDS)
+
+
+@query("toxicity_model_scores")
+def _(spark, folder):
+    docs, labels = read_table(spark, folder, "documents").select("doc_id", "text"), read_table(spark, folder, "labels")
+    model = scorers.train(docs.join(labels.select("doc_id", "toxic"), "doc_id"), "toxic")
+    return scorers.score(docs, model).select("doc_id", F.round("score", 3).alias("score"))
+
+
+@query("quality_model_eval")
+def _(spark, folder):
+    docs, labels = read_table(spark, folder, "documents").select("doc_id", "text"), read_table(spark, folder, "labels")
+    model = scorers.train(docs.join(labels.select("doc_id", "quality"), "doc_id"), "quality")
+    return ev.threshold_sweep(scorers.score(docs, model), labels, "score", "quality", [0.3, 0.5, 0.7])
