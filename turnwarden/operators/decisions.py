@@ -39,10 +39,25 @@ def alive() -> Column:
     return F.col("blocked_by").isNull()
 
 
+def pinned() -> Column:
+    """Always true, but not a function of the row.
+
+    Each rule reads what the one before wrote more than once. The optimizer moves a later filter below projections by
+    copying their expressions into it, which over a stack of rules would multiply without end; it leaves projections
+    that hold such a term where they are.
+    """
+    return F.spark_partition_id() >= 0
+
+
+def rewrite(df: DataFrame, text: str, condition: Column, new: Column) -> DataFrame:
+    """Replace ``text`` where ``condition`` holds."""
+    return df.withColumn(text, F.when(condition & pinned(), new).otherwise(F.col(text)))
+
+
 def record(df: DataFrame, number: int, name: str, action: str, detail: Column) -> DataFrame:
     """Append an event to the rows that are alive and have a ``detail``; ``blocked`` also stops them."""
     df = start(df).withColumn("_detail", F.when(alive(), detail))
-    fired = F.col("_detail").isNotNull()
+    fired = F.col("_detail").isNotNull() & pinned()
     changes = {
         "decisions": F.when(fired, F.concat("decisions", F.array(event(number, name, action, F.col("_detail")))))
         .otherwise(F.col("decisions")),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
 from turnwarden.functions.text import tokens, trim_space
-from turnwarden.operators.decisions import record, start
+from turnwarden.operators.decisions import record, rewrite, start
 from turnwarden.operators.verdict_rules import NO_ANSWER
 
 CLAIM = r"[^.!?\n]+[.!?]*"
@@ -65,8 +65,7 @@ def grounding_check(answers: DataFrame, contexts: DataFrame, judged: DataFrame |
             checked & F.col("_judged").isNull(), F.lit(f"judge unavailable ({NO_ANSWER}), failing open"))).drop("_judged")
     bad = checked & F.col("_bad").isNotNull()
     df = record(df, 14, "RAG grounding", "modified", F.when(bad, F.concat(F.lit("unsupported: "), F.col("_bad"))))
-    return df.withColumn(text, F.when(F.coalesce(bad, F.lit(False)), F.lit(fixed.UNGROUNDED_REPLACEMENT))
-                         .otherwise(F.col(text))).drop("_context", "_bad")
+    return rewrite(df, text, bad, F.lit(fixed.UNGROUNDED_REPLACEMENT)).drop("_context", "_bad")
 
 
 def word_overlap(question: Column, answer: Column, min_length: int = 4) -> Column:

@@ -11,7 +11,7 @@ from turnwarden import fixed_values as fixed
 from turnwarden.functions.links import LINK, STRICT_LINK, untrusted_links
 from turnwarden.functions.patterns import all_labels, any_of, count_matches, first_label, java_pattern, literal
 from turnwarden.functions.text import percent, rewrite_matches, stars
-from turnwarden.operators.decisions import alive, record, start
+from turnwarden.operators.decisions import alive, record, rewrite, start
 
 # ---------------------------------------------------------------------------------------------- 1 keywords
 
@@ -96,9 +96,7 @@ def pii_screen(df: DataFrame, builtin: Sequence[str] | None = None,
     })
     for name, pattern in own + extra:
         found = F.array_contains(F.col("_own" if (name, pattern) in own else "_extra"), name)
-        df = df.withColumn("_masked", F.when(F.col("_pii") & found,
-                                             rewrite_matches(F.col("_masked"), pattern, stars))
-                           .otherwise(F.col("_masked")))
+        df = rewrite(df, "_masked", F.col("_pii") & found, rewrite_matches(F.col("_masked"), pattern, stars))
     for column, number, rule in (("_own", 5, "PII masking"), ("_extra", 6, "Custom PII patterns")):
         detail = F.when(F.size(column) > 0, F.concat(F.lit("masked: "), F.array_join(column, ", ")))
         df = record(df, number, rule, "modified", detail)
@@ -145,8 +143,7 @@ def invisible_text_screen(df: DataFrame, strip: bool = True, text: str = "text")
         detail = F.when(F.col("_hidden").isNotNull(),
                         F.concat(F.lit("stripped "), kinds.cast("string"), F.lit(" invisible character type(s)")))
         df = record(df, 19, "Invisible text", "modified", detail)
-        df = df.withColumn(text, F.when(alive() & F.col("_hidden").isNotNull(),
-                                        F.regexp_replace(F.col(text), HIDDEN, "")).otherwise(F.col(text)))
+        df = rewrite(df, text, alive() & F.col("_hidden").isNotNull(), F.regexp_replace(F.col(text), HIDDEN, ""))
     return df.drop("_hidden")
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
-from turnwarden.functions.links import redact_untrusted, untrusted_links
+from turnwarden.functions.links import LINK, STRICT_LINK, redact_untrusted, untrusted_links
 from turnwarden.functions.patterns import any_of, count_matches, java_pattern, literal
 from turnwarden.functions.text import keep_first_char, lines, rewrite_matches
-from turnwarden.operators.decisions import record, start
+from turnwarden.operators.decisions import record, rewrite, start
 
 
 def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, str]], merged: str) -> DataFrame:
@@ -22,8 +22,7 @@ def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, s
     df = start(df).withColumn("_hit", F.coalesce(F.col(text).rlike(merged), F.lit(False)))
     for i, (_, pattern, replacement) in enumerate(steps):
         df = df.withColumn(f"_n{i}", F.when(F.col("_hit"), count_matches(F.col(text), pattern)).otherwise(0))
-        df = df.withColumn(text, F.when(F.col(f"_n{i}") > 0, F.regexp_replace(F.col(text), pattern, replacement))
-                           .otherwise(F.col(text)))
+        df = rewrite(df, text, F.col(f"_n{i}") > 0, F.regexp_replace(F.col(text), pattern, replacement))
     return df
 
 
@@ -63,11 +62,10 @@ def url_redact(df: DataFrame, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAI
                text: str = "text") -> DataFrame:
     """Replace each link outside the allow-list where it stands; the distinct ones are listed, leftmost first."""
     bad = F.array_join(F.array_distinct(untrusted_links(F.col(text), domains, strict)), ", ")
-    df = start(df).withColumn("_bad", bad)
+    df = start(df).withColumn("_bad", F.when(F.col(text).rlike(STRICT_LINK if strict else LINK), bad))
     df = record(df, 23, "URL allowlist (output)", "modified",
                 F.when(F.col("_bad") != "", F.concat(F.lit("removed: "), F.col("_bad"))))
-    return df.withColumn(text, F.when(F.col("_bad") != "", redact_untrusted(F.col(text), domains, strict))
-                         .otherwise(F.col(text))).drop("_bad")
+    return rewrite(df, text, F.col("_bad") != "", redact_untrusted(F.col(text), domains, strict)).drop("_bad")
 
 
 def dangerous_code_filter(df: DataFrame, patterns: Sequence[str] = tuple(fixed.DANGEROUS_CODE_PATTERNS),
@@ -85,7 +83,7 @@ def dangerous_code_filter(df: DataFrame, patterns: Sequence[str] = tuple(fixed.D
     df = record(df, 28, "Dangerous code filter", "modified",
                 F.when(F.col("_n") > 0, F.concat(F.lit("removed "), F.col("_n").cast("string"), F.lit(" line(s)"))))
     rewritten = F.concat(F.array_join("_kept", "\n"), F.lit(fixed.COMMAND_WARNING))
-    return df.withColumn(text, F.when(F.col("_n") > 0, rewritten).otherwise(F.col(text))).drop("_lines", "_kept", "_n")
+    return rewrite(df, text, F.col("_n") > 0, rewritten).drop("_lines", "_kept", "_n")
 
 
 def profanity_mask(df: DataFrame, stems: Sequence[str] = tuple(fixed.PROFANITY_STEMS), text: str = "text",
@@ -95,8 +93,7 @@ def profanity_mask(df: DataFrame, stems: Sequence[str] = tuple(fixed.PROFANITY_S
     df = start(df).withColumn("_n", count_matches(F.col(text), pattern))
     df = record(df, 29, "Toxicity filter", "modified",
                 F.when(F.col("_n") > 0, F.concat(F.lit("masked "), F.col("_n").cast("string"), F.lit(" word(s)"))))
-    df = df.withColumn(text, F.when(F.col("_n") > 0, rewrite_matches(F.col(text), pattern, keep_first_char))
-                       .otherwise(F.col(text)))
+    df = rewrite(df, text, F.col("_n") > 0, rewrite_matches(F.col(text), pattern, keep_first_char))
     return df.withColumnRenamed("_n", "masked_words") if counts else df.drop("_n")
 
 
@@ -111,7 +108,7 @@ def marker_leak_redact(df: DataFrame, markers: Sequence[str] = tuple(fixed.LEAK_
     df = record(df, 9, "System-prompt leak guard", "modified",
                 F.when(F.col("_n") > 0, F.concat(F.lit("redacted "), F.col("_n").cast("string"),
                                                  F.lit(" internal marker(s)"))))
-    return df.withColumn(text, F.when(F.col("_n") > 0, cleaned).otherwise(F.col(text))).drop("_n")
+    return rewrite(df, text, F.col("_n") > 0, cleaned).drop("_n")
 
 
 def brand_scrub(df: DataFrame, terms: Sequence[str] = tuple(fixed.COMPETITORS),
@@ -129,7 +126,7 @@ def append_disclaimer(df: DataFrame, needle: str = fixed.DISCLAIMER_NEEDLE, suff
                       text: str = "text") -> DataFrame:
     """End every non-empty answer that lacks it with the disclaimer."""
     t = F.col(text)
-    return df.withColumn(text, F.when((t != "") & ~F.lower(t).contains(needle), F.concat(t, F.lit(suffix))).otherwise(t))
+    return rewrite(df, text, (t != "") & ~F.lower(t).contains(needle), F.concat(t, F.lit(suffix)))
 
 
 def token_budget(df: DataFrame, max_tokens: int = fixed.TOKEN_BUDGET, text: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from turnwarden import fixed_values as fixed
 from turnwarden.functions.patterns import any_of
 from turnwarden.functions.text import lines, mapping_text, trim_space
-from turnwarden.operators.decisions import record, start
+from turnwarden.operators.decisions import record, rewrite, start
 from turnwarden.sources.shared import broadcast_if_small
 
 # ---------------------------------------------------------------------------------------------- 24 permissions
@@ -117,8 +117,7 @@ def indirect_injection_scan(results: DataFrame, patterns: Sequence[str] = tuple(
         F.concat(F.lit("removed "), n, F.lit(" line(s) from "), F.col(source).cast("string"), F.lit(" output"))))
     clean = F.concat(F.lit("[Sanitized: "), n, F.lit(" line(s) with embedded instructions removed]\n"),
                      F.array_join("_clean", "\n"))
-    return df.withColumn(text, F.when(F.col("removed_lines") > 0, clean).otherwise(F.col(text))) \
-        .drop("_lines", "_clean")
+    return rewrite(df, text, F.col("removed_lines") > 0, clean).drop("_lines", "_clean")
 
 
 # ---------------------------------------------------------------------------------------------- 8 call cap

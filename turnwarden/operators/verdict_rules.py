@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
 from turnwarden.functions.text import chunk_count, chunks
-from turnwarden.operators.decisions import alive, record, start
+from turnwarden.operators.decisions import alive, record, rewrite, start
 
 VERDICT_SCHEMA = ("turn_id long, rule int, chunk_no int, label string, confidence double, attack boolean, "
                   "categories map<string,boolean>")
@@ -165,7 +165,7 @@ def moderation_replace(df: DataFrame, verdicts: DataFrame | None = None, text: s
     flagged = has_text & (F.col("_flagged") != "")
     df = record(df, 7, name, "modified", F.when(withheld, F.lit(f"moderation unavailable ({NO_ANSWER}), withheld"))
                 .when(flagged, F.concat(F.lit("flagged: "), F.col("_flagged"))))
-    return df.withColumn(text, F.when(withheld | flagged, F.lit(fixed.SAFE_REPLACEMENT)).otherwise(F.col(text)))
+    return rewrite(df, text, withheld | flagged, F.lit(fixed.SAFE_REPLACEMENT))
 
 
 def _judge_replace(df: DataFrame, number: int, name: str, needle: str, detail: str, replacement: str, text: str,
@@ -176,7 +176,7 @@ def _judge_replace(df: DataFrame, number: int, name: str, needle: str, detail: s
     df = record(df, number, name, "skipped",
                 F.when(asked & label.isNull(), F.lit(f"judge unavailable ({NO_ANSWER}), failing open")))
     df = record(df, number, name, "modified", F.when(bad, F.lit(detail)))
-    return df.withColumn(text, F.when(F.coalesce(bad, F.lit(False)), F.lit(replacement)).otherwise(F.col(text)))
+    return rewrite(df, text, bad, F.lit(replacement))
 
 
 def policy_judge(df: DataFrame, verdicts: DataFrame | None = None, text: str = "text",

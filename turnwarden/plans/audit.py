@@ -41,12 +41,13 @@ def events_table(df: DataFrame) -> DataFrame:
 
 def integrity_report(turns: DataFrame, events: DataFrame) -> DataFrame:
     """(check, violations): required columns that are NULL, and events whose turn is not logged."""
-    checks = [turns.agg(*[F.count_if(F.col(c).isNull()).alias(f"turns.{c}") for c in TURN_REQUIRED]),
-              events.agg(*[F.count_if(F.col(c).isNull()).alias(f"events.{c}") for c in EVENT_REQUIRED]),
+    checks = [turns.agg(*[F.count_if(F.col(c).isNull()).alias(f"turns_{c}") for c in TURN_REQUIRED]),
+              events.agg(*[F.count_if(F.col(c).isNull()).alias(f"events_{c}") for c in EVENT_REQUIRED]),
               events.filter("turn_id is not null").join(turns.select("turn_id"), "turn_id", "left_anti")
-              .agg(F.count("*").alias("events.orphans"))]
+              .agg(F.count("*").alias("events_orphans"))]
     tall = [c.unpivot([], c.columns, "check", "violations") for c in checks]
-    return tall[0].unionByName(tall[1]).unionByName(tall[2])
+    return (tall[0].unionByName(tall[1]).unionByName(tall[2])
+            .withColumn("check", F.regexp_replace("check", "^(turns|events)_", "$1.")))
 
 
 def stage_log(turns: DataFrame, answers: DataFrame) -> DataFrame:
