@@ -1 +1,83 @@
-"""Placeholder."""
+"""The same operators over streams of the given files, drained to tables in the shared folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from turnwarden import fixed_values as fixed
+from turnwarden.queries.common import lit, query, sql_values
+from turnwarden.queries.input_stage import (CRISIS_SQL, HIDDEN_SQL, INJECTION_SQL, PAYLOAD_SQL, SECRETS_SQL, TAG_SQL,
+                                            gibberish_detail_sql, keyword_sql, length_sql, mask_steps_sql, rate_limit_sql,
+                                            url_detail_sql)
+from turnwarden.sources.shared import new_folder
+from turnwarden.sources.turns import EVENT_SCHEMA, stream_table
+from turnwarden.streaming.rate_limit import rate_limit_stream
+from turnwarden.streaming.run import drain, drain_batches
+from turnwarden.streaming.screening import approvals_stream, audit_batch, firing_counts_stream, read_audit, screen_stream
+
+DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+STACK = [(4, length_sql(2000), "text"), (19, f"CASE WHEN regexp_matches(text, {lit(TAG_SQL)}) THEN {PAYLOAD_SQL} END", "text"),
+         (22, gibberish_detail_sql(), "visible"), (16, CRISIS_SQL, "visible"), (2, INJECTION_SQL, "visible"),
+         (20, SECRETS_SQL, "visible"), (1, keyword_sql(fixed.BANNED_KEYWORDS), "masked"), (23, url_detail_sql(), "masked")]
+VISIBLE = f"SELECT doc_id, regexp_replace(text, {lit(HIDDEN_SQL)}, '', 'g') AS text FROM documents"
+STACK_SQL = f"""WITH visible AS ({VISIBLE}),
+    masked AS ({mask_steps_sql('visible', 'doc_id', fixed.INPUT_PII_PATTERNS + fixed.CUSTOM_PII_PATTERNS)}),
+    """ + ", ".join(f"s{n} AS (SELECT doc_id FROM {'documents' if src == 'text' else src} WHERE ({d}) IS NOT NULL)" for n, d, src in STACK) + """,
+    decided AS (SELECT doc_id, CASE """ + " ".join(f"WHEN doc_id IN (SELECT doc_id FROM s{n}) THEN {n}" for n, _, _ in STACK) + """ END AS blocked_by
+                FROM documents)
+    """
+
+
+@query("screen_stream", STACK_SQL + "SELECT doc_id, blocked_by, CASE WHEN blocked_by IS NULL THEN 'ALLOWED' ELSE 'BLOCKED' END AS verdict FROM decided")
+def _(spark, folder):
+    docs = stream_table(spark, folder, "documents", DOCUMENT_SCHEMA)
+    return drain(screen_stream(docs).select("doc_id", "blocked_by", "verdict"), "screen-stream")
+
+
+@query("audit_stream", STACK_SQL + "SELECT CASE WHEN blocked_by IS NULL THEN 'ALLOWED' ELSE 'BLOCKED' END AS verdict, count(*) AS turns FROM decided GROUP BY 1")
+def _(spark, folder):
+    docs = stream_table(spark, folder, "documents", DOCUMENT_SCHEMA)
+    screened = screen_stream(docs.withColumn("turn_id", F.col("doc_id")).withColumn("ts", F.current_timestamp()))
+    out = new_folder(spark, "audit")
+    drain_batches(screened, audit_batch(out), "audit-stream")
+    return read_audit(spark, out, "turns").groupBy("verdict").agg(F.count("*").alias("turns"))
+
+
+@query("rate_limit_stream", f"WITH RECURSIVE {rate_limit_sql('events', 'event_id', 'user_id', 'ts', 3, 86400)} "
+                            "SELECT id, u AS user, admitted FROM fold")
+def _(spark, folder):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    events = stream_table(spark, folder, "events", EVENT_SCHEMA)
+    return drain(rate_limit_stream(events, "event_id", "user_id", "ts", 3, 86400), "rate-limit-stream")
+
+
+ACTION_RULES = [("error", 2, "blocked"), ("view", 5, "modified"), ("click", 24, "denied"), ("signup", 10, "paused"),
+                ("purchase", 13, "validated")]
+
+
+@query("firing_counts_stream", f"""
+    SELECT strftime(time_bucket(INTERVAL 1 hour, ts), '%Y-%m-%d %H:%M:%S') AS window_start, number, action, count(*) AS n
+    FROM events JOIN (VALUES {sql_values(ACTION_RULES)}) r(event_type, number, action) USING (event_type)
+    WHERE time_bucket(INTERVAL 1 hour, ts) + INTERVAL 1 hour <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 minute FROM events)
+    GROUP BY 1, 2, 3""")
+def _(spark, folder):
+    rules = F.broadcast(spark.createDataFrame(ACTION_RULES, "event_type string, number int, action string"))
+    events = stream_table(spark, folder, "events", EVENT_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = drain(firing_counts_stream(events.join(rules, "event_type")), "firing-counts")
+    return counts.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("approvals_stream", """
+    SELECT call_id, CASE WHEN approved THEN 'approved' ELSE 'rejected' END AS status
+    FROM (SELECT event_id AS call_id, user_id % 2 = 0 AS approved FROM events WHERE event_type = 'signup' AND event_id % 3 <> 2)""")
+def _(spark, folder):
+    events = stream_table(spark, folder, "events", EVENT_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp")) \
+        .filter("event_type = 'signup'")
+    pending = events.select(F.col("event_id").alias("call_id"), F.col("ts").alias("asked_at"))
+    decisions = events.filter("event_id % 3 <> 2").select(
+        F.col("event_id").alias("decided_call_id"), (F.col("ts") + F.expr("interval 5 minutes")).alias("decided_at"),
+        (F.col("user_id") % 2 == 0).alias("approved"), F.lit(None).cast("string").alias("note"))
+    # Calls nobody decided stay in the join's state until the watermark passes them; they are not compared here.
+    done = drain(approvals_stream(pending, decisions), "approvals")
+    return done.filter("status <> 'paused'").select("call_id", "status")

@@ -19,7 +19,8 @@ def stream_table(spark: SparkSession, folder: str, name: str, schema: str, files
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.option("pathGlobFilter", "*.parquet").parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    # A glob path, because a stream over a plain path must be a folder.
+    return reader.option("pathGlobFilter", "*.parquet").parquet(f"{folder.rstrip('/')}/{name}.parquet*")
 
 
 def session_name(value: Column) -> Column:
