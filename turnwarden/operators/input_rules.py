@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
+from turnwarden.functions.gates import any_may_match, holds_any
 from turnwarden.functions.links import LINK, STRICT_LINK, untrusted_links
-from turnwarden.functions.patterns import all_labels, any_of, count_matches, first_label, java_pattern, literal
+from turnwarden.functions.patterns import all_labels, count_matches, first_label, java_pattern, literal
 from turnwarden.functions.text import percent, rewrite_matches, stars
 from turnwarden.operators.decisions import alive, record, rewrite, start
 
@@ -24,8 +25,8 @@ def keyword_screen(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYW
                    text: str = "text") -> DataFrame:
     """Block texts holding a banned term. A term must start at a word start and may run on ("weapon" in "weapons");
     ``boundary=False`` is the plain substring test. The first term of the list is reported."""
-    patterns = _keyword_patterns(terms, boundary)
-    term = first_label(F.lower(F.col(text)), patterns, "|".join(p for _, p in patterns))
+    lowered = F.lower(F.col(text))
+    term = first_label(lowered, _keyword_patterns(terms, boundary), holds_any(lowered, [t.lower() for t in terms]))
     return record(df, 1, "Keyword filter", "blocked", F.concat(F.lit("banned keyword: '"), term, F.lit("'")))
 
 
@@ -33,11 +34,10 @@ def keyword_hits(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYWOR
                  text: str = "text") -> DataFrame:
     """Texts and occurrences per term; aggregated before the shuffle, one row per term leaves each task."""
     patterns = _keyword_patterns(terms, boundary)
-    lowered = F.lower(F.col(text))
-    merged = "|".join(p for _, p in patterns)
-    hits = F.array(*[F.struct(F.lit(t).alias("term"), count_matches(F.col("_lower"), p).alias("n"))
-                     for t, p in patterns])
-    return (df.select(lowered.alias("_lower")).filter(F.col("_lower").rlike(merged))
+    lowered = F.col("_lower")
+    hits = F.array(*[F.when(lowered.contains(t.lower()), F.struct(
+        F.lit(t).alias("term"), count_matches(lowered, p).alias("n"))) for t, p in patterns])
+    return (df.select(F.lower(F.col(text)).alias("_lower")).filter(holds_any(lowered, [t.lower() for t in terms]))
             .select(F.explode(hits).alias("h")).filter("h.n > 0")
             .groupBy(F.col("h.term").alias("term"))
             .agg(F.count("*").alias("texts"), F.sum("h.n").alias("hits")))
@@ -49,7 +49,7 @@ def injection_screen(df: DataFrame, patterns: Sequence[str] = tuple(fixed.INJECT
                      text: str = "text") -> DataFrame:
     """Block well-known attempts to override the instructions; the first matching pattern is reported."""
     labelled = [(p, java_pattern(p, ignore_case=True)) for p in patterns]
-    hit = first_label(F.col(text), labelled, any_of(patterns, ignore_case=True))
+    hit = first_label(F.col(text), labelled, any_may_match(F.col(text), patterns, ignore_case=True))
     return record(df, 2, "Prompt injection (regex)", "blocked", F.concat(F.lit("pattern: "), hit))
 
 
@@ -81,14 +81,16 @@ def pii_screen(df: DataFrame, builtin: Sequence[str] | None = None,
     """
     own = [(n, java_pattern(p)) for n, p in fixed.INPUT_PII_PATTERNS if builtin is None or n in builtin]
     extra = [(n, java_pattern(p)) for n, p in custom]
+    raw = [p for n, p in fixed.INPUT_PII_PATTERNS if builtin is None or n in builtin] + [p for _, p in custom]
+    possible = any_may_match(F.col(text), raw)
     if mode == "block":
-        found = all_labels(F.col(text), own + extra)
-        detail = F.when(F.size(found) > 0, F.concat(F.lit("detected: "), F.array_join(found, ", ")))
-        return record(df, 5, "PII masking", "blocked", detail)
+        found = F.array_join(all_labels(F.col(text), own + extra), ", ")
+        df = start(df).withColumn("_found", F.when(alive() & possible, found))
+        detail = F.when(F.col("_found") != "", F.concat(F.lit("detected: "), F.col("_found")))
+        return record(df, 5, "PII masking", "blocked", detail).drop("_found")
     df = start(df)
-    merged = "|".join(f"(?:{p})" for _, p in own + extra)
     none = F.array().cast("array<string>")
-    hit = alive() & F.col(text).rlike(merged)
+    hit = alive() & possible
     df = df.withColumn("_pii", hit).withColumns({
         "_own": F.when(F.col("_pii"), all_labels(F.col(text), own)) if own else none,
         "_extra": F.when(F.col("_pii"), all_labels(F.col(text), extra)) if extra else none,
@@ -153,39 +155,46 @@ def secrets_screen(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fi
                    text: str = "text") -> DataFrame:
     """Block texts holding a credential; all kinds found are listed."""
     labelled = [(n, java_pattern(p)) for n, p in patterns]
-    merged = any_of([p for _, p in patterns])
-    found = F.when(F.col(text).rlike(merged), F.array_join(all_labels(F.col(text), labelled), ", "))
-    return record(df, 20, "Secrets detection", "blocked", F.concat(F.lit("found: "), found))
+    possible = any_may_match(F.col(text), [p for _, p in patterns])
+    df = start(df).withColumn("_found", F.when(alive() & possible, F.array_join(all_labels(F.col(text), labelled), ", ")))
+    detail = F.when(F.col("_found") != "", F.concat(F.lit("found: "), F.col("_found")))
+    return record(df, 20, "Secrets detection", "blocked", detail).drop("_found")
 
 
 # ---------------------------------------------------------------------------------------------- 22 gibberish
 
-# A run of letters of at least four that has no vowel, five consonants in a row, or one letter four times in a row.
 ASCII_WORD = "[A-Za-z]+"
+# A run of letters of at least four that has no vowel, five consonants in a row, or one letter four times in a row.
 GIBBERISH_WORD = (r"(?i)(?<![a-z])(?=[a-z]{4})"
                   r"(?:(?=[b-df-hj-np-tv-xz]++(?![a-z]))|(?=[a-z]*?[b-df-hj-np-tv-xz]{5})|(?=[a-z]*?([a-z])\1{3}))"
                   r"[a-z]+")
-
-
-def gibberish_measures(text: Column) -> dict[str, Column]:
-    return {
-        "_chars": F.length(text),
-        "_symbols": F.length(F.regexp_replace(text, r"(?U)[\p{L}\p{N}\s\x1c-\x1f]+", "")),
-        "_words": count_matches(text, ASCII_WORD),
-        "_mash": count_matches(text, GIBBERISH_WORD),
-    }
+# Every such word holds one of these, so counting them bounds the number of such words from above.
+GIBBERISH_SIGN = "[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]{4}|[Aa]{4}|[Ee]{4}|[Ii]{4}|[Oo]{4}|[Uu]{4}|[Yy]{4}"
+FLOOD_CHARS, FLOOD_SHARE = 20, 0.4
 
 
 def gibberish_screen(df: DataFrame, max_ratio: float = 0.5, min_words: int = 3, text: str = "text") -> DataFrame:
-    """Block symbol floods and keyboard mash."""
-    measures = gibberish_measures(F.col(text))
-    df = start(df).withColumns({k: F.when(alive(), v) for k, v in measures.items()})
-    flood = (F.col("_chars") >= 20) & (F.col("_symbols") / F.nullif(F.col("_chars"), F.lit(0)) > 0.4)
-    ratio = F.col("_mash") / F.nullif(F.col("_words"), F.lit(0))
-    mash = (F.col("_words") >= min_words) & (ratio > max_ratio)
-    detail = (F.when(flood, F.lit("mostly symbols"))
-              .when(mash, F.concat(percent(ratio).cast("string"), F.lit("% gibberish words"))))
-    return record(df, 22, "Gibberish detection", "blocked", detail).drop(*measures)
+    """Block symbol floods and keyboard mash.
+
+    Both measures are first bounded by a cheaper one (characters outside plain letters and digits; signs of a mashed
+    word), and measured exactly only where the bound leaves the outcome open.
+    """
+    t = F.col(text)
+    chars = F.length(t)
+    odd = F.length(F.regexp_replace(t, "[A-Za-z0-9 ]+", ""))
+    symbols = F.length(F.regexp_replace(t, r"(?U)[\p{L}\p{N}\s\x1c-\x1f]+", ""))
+    df = start(df).withColumn("_odd", F.when(alive() & (chars >= FLOOD_CHARS), odd))
+    df = df.withColumns({
+        "_flood": (F.col("_odd") > FLOOD_SHARE * chars) & (symbols / F.nullif(chars, F.lit(0)) > FLOOD_SHARE),
+        "_words": F.when(alive(), count_matches(t, ASCII_WORD)),
+        "_signs": F.when(alive(), count_matches(t, GIBBERISH_SIGN)),
+    })
+    open_case = (F.col("_words") >= min_words) & (F.col("_signs") > max_ratio * F.col("_words"))
+    df = df.withColumn("_ratio", F.when(open_case, count_matches(t, GIBBERISH_WORD) / F.nullif(F.col("_words"), F.lit(0))))
+    detail = (F.when(F.col("_flood"), F.lit("mostly symbols"))
+              .when(F.col("_ratio") > max_ratio, F.concat(percent(F.col("_ratio")).cast("string"),
+                                                          F.lit("% gibberish words"))))
+    return record(df, 22, "Gibberish detection", "blocked", detail).drop("_odd", "_flood", "_words", "_signs", "_ratio")
 
 
 # ---------------------------------------------------------------------------------------------- 23 links

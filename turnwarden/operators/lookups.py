@@ -27,8 +27,9 @@ def _inline(dimension: DataFrame, rows: int):
 
 def _contained(df: DataFrame, key: str, text: Column, dimension: DataFrame, term: str) -> DataFrame:
     """(key, ord, term, text) for every dimension row whose term is a substring of ``text``."""
-    probes = F.array_distinct(F.flatten(F.array(
-        *[F.regexp_extract_all(F.col("_q"), F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in range(1, PROBE + 1)])))
+    sizes = [r[0] for r in dimension.select(F.least(F.length(term), F.lit(PROBE)).alias("n")).distinct().collect()]
+    probes = F.array_distinct(F.concat(
+        *[F.regexp_extract_all(F.col("_q"), F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in sizes if n]))
     dim = dimension.select("ord", F.col(term).alias("_term"), F.col("text").alias("_text"),
                            F.substring(F.col(term), 1, PROBE).alias("_probe"))
     asked = df.select(key, text.alias("_q")).withColumn("_probe", F.explode(probes))

@@ -8,18 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
+from turnwarden.functions.gates import any_may_match, holds_any
 from turnwarden.functions.links import LINK, STRICT_LINK, redact_untrusted, untrusted_links
 from turnwarden.functions.patterns import any_of, count_matches, java_pattern, literal
 from turnwarden.functions.text import keep_first_char, lines, rewrite_matches
 from turnwarden.operators.decisions import record, rewrite, start
 
 
-def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, str]], merged: str) -> DataFrame:
+def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, str]], possible: Column) -> DataFrame:
     """Replace pattern after pattern, each on the text the one before left, keeping a count per pattern in ``_n<i>``.
 
-    Texts that hold none of the patterns are scanned once.
+    ``possible`` is false only for texts without any match; those are left alone.
     """
-    df = start(df).withColumn("_hit", F.coalesce(F.col(text).rlike(merged), F.lit(False)))
+    df = start(df).withColumn("_hit", F.coalesce(possible, F.lit(False)))
     for i, (_, pattern, replacement) in enumerate(steps):
         df = df.withColumn(f"_n{i}", F.when(F.col("_hit"), count_matches(F.col(text), pattern)).otherwise(0))
         df = rewrite(df, text, F.col(f"_n{i}") > 0, F.regexp_replace(F.col(text), pattern, replacement))
@@ -39,7 +40,7 @@ def pii_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fixed.
                text: str = "text", counts: bool = False) -> DataFrame:
     """Replace personal data by its label, most specific kind first. ``counts=True`` keeps one count column per kind."""
     steps = [(label, java_pattern(p), f"[REDACTED_{label}]") for label, p in patterns]
-    df = _replace_in_turn(df, text, steps, any_of([p for _, p in patterns]))
+    df = _replace_in_turn(df, text, steps, any_may_match(F.col(text), [p for _, p in patterns]))
     parts = [F.when(F.col(f"_n{i}") > 0, F.concat(F.col(f"_n{i}").cast("string"), F.lit(f" {label}")))
              for i, (label, _, _) in enumerate(steps)]
     df = record(df, 27, "Output PII redaction", "modified", _listed(parts, "redacted: "))
@@ -52,7 +53,7 @@ def secrets_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fi
                    text: str = "text") -> DataFrame:
     """Replace credentials by their kind, list order; an earlier label can hide a later match."""
     steps = [(n, java_pattern(p), f"[REDACTED_{n.upper().replace(' ', '_')}]") for n, p in patterns]
-    df = _replace_in_turn(df, text, steps, any_of([p for _, p in patterns]))
+    df = _replace_in_turn(df, text, steps, any_may_match(F.col(text), [p for _, p in patterns]))
     parts = [F.when(F.col(f"_n{i}") > 0, F.lit(n)) for i, (n, _, _) in enumerate(steps)]
     df = record(df, 20, "Secrets detection", "modified", _listed(parts, "redacted: "))
     return _drop_counts(df, len(steps))
@@ -75,7 +76,8 @@ def dangerous_code_filter(df: DataFrame, patterns: Sequence[str] = tuple(fixed.D
     A line can only match if the text does, so other texts are never cut into lines.
     """
     merged = any_of(patterns, ignore_case=True)
-    df = start(df).withColumn("_lines", F.when(F.col(text).rlike(merged), lines(F.col(text))))
+    possible = any_may_match(F.col(text), patterns, ignore_case=True) & F.col(text).rlike(merged)
+    df = start(df).withColumn("_lines", F.when(possible, lines(F.col(text))))
     df = df.withColumn("_kept", F.transform(
         "_lines", lambda ln: F.when(ln.rlike(merged), F.lit(fixed.COMMAND_MASK)).otherwise(ln)))
     changed = F.zip_with("_kept", "_lines", lambda a, b: a != b)
@@ -90,7 +92,8 @@ def profanity_mask(df: DataFrame, stems: Sequence[str] = tuple(fixed.PROFANITY_S
                    counts: bool = False) -> DataFrame:
     """Mask words that start with a listed stem: the first character stays, the rest become asterisks."""
     pattern = java_pattern(r"\b(?:" + "|".join(literal(s) for s in stems) + r")\w*", ignore_case=True)
-    df = start(df).withColumn("_n", count_matches(F.col(text), pattern))
+    possible = holds_any(F.col(text), [s.lower() for s in stems], ignore_case=True)
+    df = start(df).withColumn("_n", F.when(possible, count_matches(F.col(text), pattern)).otherwise(0))
     df = record(df, 29, "Toxicity filter", "modified",
                 F.when(F.col("_n") > 0, F.concat(F.lit("masked "), F.col("_n").cast("string"), F.lit(" word(s)"))))
     df = rewrite(df, text, F.col("_n") > 0, rewrite_matches(F.col(text), pattern, keep_first_char))
@@ -116,7 +119,7 @@ def brand_scrub(df: DataFrame, terms: Sequence[str] = tuple(fixed.COMPETITORS),
     """Replace competitor names, whole words in any case, in list order."""
     steps = [(t, java_pattern(r"\b" + literal(t) + r"\b", ignore_case=True), replacement.replace("$", r"\$"))
              for t in terms]
-    df = _replace_in_turn(df, text, steps, "|".join(p for _, p, _ in steps))
+    df = _replace_in_turn(df, text, steps, holds_any(F.col(text), [t.lower() for t in terms], ignore_case=True))
     parts = [F.when(F.col(f"_n{i}") > 0, F.lit(t)) for i, (t, _, _) in enumerate(steps)]
     df = record(df, 15, "Brand safety", "modified", _listed(parts, "scrubbed: "))
     return _drop_counts(df, len(steps))

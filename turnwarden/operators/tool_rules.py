@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
+from turnwarden.functions.gates import any_may_match
 from turnwarden.functions.patterns import any_of
 from turnwarden.functions.text import lines, mapping_text, trim_space
 from turnwarden.operators.decisions import record, rewrite, start
@@ -108,7 +109,8 @@ def indirect_injection_scan(results: DataFrame, patterns: Sequence[str] = tuple(
     A line can only match if the text does, so clean results are scanned once and never cut into lines.
     """
     merged = any_of(patterns, ignore_case=True)
-    df = start(results).withColumn("_lines", F.when(F.col(text).rlike(merged), lines(F.col(text))))
+    possible = any_may_match(F.col(text), patterns, ignore_case=True) & F.col(text).rlike(merged)
+    df = start(results).withColumn("_lines", F.when(possible, lines(F.col(text))))
     df = df.withColumn("_clean", F.filter("_lines", lambda ln: ~ln.rlike(merged)))
     df = df.withColumn("removed_lines", F.coalesce(F.size("_lines") - F.size("_clean"), F.lit(0)))
     n = F.col("removed_lines").cast("string")

@@ -28,12 +28,21 @@ WIDE_KB = fixed.KNOWLEDGE_BASE + [("worthless", "Value."), ("token", "Access."),
                                   ("license", "Terms."), ("ing", "Form.")]
 
 
+def _wide_kb(spark, folder, inline_rows):
+    kb = dim.table(spark, [(i, t, x) for i, (t, x) in enumerate(WIDE_KB)], "ord int, topic string, text string")
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return look.kb_match(docs, kb, key="doc_id", inline_rows=inline_rows).select("doc_id", "kb_result")
+
+
 @query("kb_match_documents", kb_sql("documents", "doc_id", WIDE_KB))
 def _(spark, folder):
-    kb = dim.table(spark, [(i, t, x) for i, (t, x) in enumerate(WIDE_KB)], "ord int, topic string, text string")
-    # The join form, as used for knowledge bases too large to be written into the plan.
-    docs = read_table(spark, folder, "documents")
-    return look.kb_match(docs, kb, key="doc_id", inline_rows=0).select("doc_id", "kb_result")
+    return _wide_kb(spark, folder, look.INLINE_ROWS)
+
+
+# The join form, as used for knowledge bases too large to be written into the plan.
+@query("kb_match_joined", kb_sql("documents", "doc_id", WIDE_KB))
+def _(spark, folder):
+    return _wide_kb(spark, folder, 0)
 
 
 MEDICATIONS = ["Ibuprofen", " paracetamol ", "aspirin", "SLEEP", "cold\t"]

@@ -10,8 +10,21 @@ EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string
 TURN_SCHEMA = "turn_id long, ts timestamp, session_id string, user_id string, run_id string, text string"
 
 
+TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spread(df, *TEXT_KEYS[name]) if name in TEXT_KEYS else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out a table of texts that is read in fewer pieces than there are cores; a larger table stays as read.
+
+    Patterns cost far more than moving a small table. Dealing by key also serves a later join on it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
