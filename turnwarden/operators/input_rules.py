@@ -125,7 +125,7 @@ TAG_BASE = 0xE0000
 def _quoted_payload(text: Column) -> Column:
     """The ASCII spelled by the tag characters of ``text``, quoted and escaped as a string literal."""
     tags = F.regexp_extract_all(text, F.lit(TAG), F.lit(0))
-    shown = F.array(*[F.lit(repr(chr(i) + '"')[1:-2]) for i in range(128)])
+    shown = F.array(*[F.lit("'" if chr(i) == "'" else repr(chr(i))[1:-1]) for i in range(128)])
     body = F.array_join(F.transform(tags, lambda c: F.element_at(shown, F.ascii(c) - F.lit(TAG_BASE - 1))), "")
     single, double = body.contains("'"), body.contains('"')
     return (F.when(single & ~double, F.concat(F.lit('"'), body, F.lit('"')))

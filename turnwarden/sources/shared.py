@@ -14,14 +14,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     It is set here only where it is unset and the session is a local one, as in tests; a cluster without it is an
     error, because a folder on one machine would be lost with that machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    named = tempfile.mkdtemp(prefix="turnwarden-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="turnwarden-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
