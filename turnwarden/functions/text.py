@@ -39,6 +39,11 @@ def rewrite_matches(text: Column, pattern: str, rewrite: Callable[[Column], Colu
     return F.when(text.rlike(pattern), joined).otherwise(text)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def stars(match: Column) -> Column:
     """As many asterisks as the match has characters."""
     return F.repeat(F.lit("*"), F.length(match))

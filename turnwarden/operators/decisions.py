@@ -7,6 +7,10 @@ one after the other is the ordered stack with first-block semantics, evaluated i
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,17 +58,44 @@ def rewrite(df: DataFrame, text: str, condition: Column, new: Column) -> DataFra
     return df.withColumn(text, F.when(condition & pinned(), new).otherwise(F.col(text)))
 
 
-def record(df: DataFrame, number: int, name: str, action: str, detail: Column) -> DataFrame:
-    """Append an event to the rows that are alive and have a ``detail``; ``blocked`` also stops them."""
-    df = start(df).withColumn("_detail", F.when(alive(), detail))
-    fired = F.col("_detail").isNotNull() & pinned()
-    changes = {
-        "decisions": F.when(fired, F.concat("decisions", F.array(event(number, name, action, F.col("_detail")))))
+class Step(NamedTuple):
+    """What a rule may record: ``detail`` is NULL where it does not fire; the action ``blocked`` stops the row."""
+    number: int
+    name: str
+    action: str
+    detail: Column
+
+
+def record_all(df: DataFrame, steps: Sequence[Step], helpers: dict[str, Column] | None = None) -> DataFrame:
+    """Record several steps that read the same text, in order, up to the first that blocks.
+
+    ``helpers`` are columns that the details read more than once; they are computed first, for live rows only.
+    """
+    df = start(df)
+    kept = df.columns
+    if helpers:
+        df = df.withColumns({n: F.when(alive(), c) for n, c in helpers.items()})
+    df = df.withColumns({f"_d{i}": F.when(alive(), s.detail) for i, s in enumerate(steps)})
+    fired = [F.col(f"_d{i}").isNotNull() for i in range(len(steps))]
+    entries, stops, stopped = [], [], None
+    for step, hit, i in zip(steps, fired, range(len(steps))):
+        entry = event(step.number, step.name, step.action, F.col(f"_d{i}"))
+        entries.append(F.when(hit if stopped is None else hit & ~stopped, entry))
+        if step.action == "blocked":
+            stops.append(F.when(hit & pinned(), F.lit(step.number)))
+            stopped = hit if stopped is None else stopped | hit
+    any_fired = reduce(lambda x, y: x | y, fired) & pinned()
+    changed = {
+        "decisions": F.when(any_fired, F.concat("decisions", F.array_compact(F.array(*entries))))
         .otherwise(F.col("decisions")),
+        "blocked_by": F.coalesce("blocked_by", *stops) if stops else F.col("blocked_by"),
     }
-    if action == "blocked":
-        changes["blocked_by"] = F.when(fired, F.lit(number)).otherwise(F.col("blocked_by"))
-    return df.withColumns(changes).drop("_detail")
+    return df.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in kept])
+
+
+def record(df: DataFrame, number: int, name: str, action: str, detail: Column) -> DataFrame:
+    """Append an event to the rows that are alive and have a ``detail``; ``blocked`` also stops them."""
+    return record_all(df, [Step(number, name, action, detail)])
 
 
 def events_long(df: DataFrame, *keys: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from turnwarden import fixed_values as fixed
 from turnwarden.functions.gates import any_may_match, holds_any
 from turnwarden.functions.links import LINK, STRICT_LINK, untrusted_links
 from turnwarden.functions.patterns import all_labels, count_matches, first_label, java_pattern, literal
-from turnwarden.functions.text import percent, rewrite_matches, stars
-from turnwarden.operators.decisions import alive, record, rewrite, start
+from turnwarden.functions.text import let, percent, rewrite_matches, stars
+from turnwarden.operators.decisions import Step, alive, record, record_all, rewrite
 
 # ---------------------------------------------------------------------------------------------- 1 keywords
 
@@ -21,13 +22,17 @@ def _keyword_patterns(terms: Sequence[str], boundary: bool) -> list[tuple[str, s
     return [(t, java_pattern((r"\b" if boundary else "") + literal(t.lower()))) for t in terms]
 
 
+def keyword_steps(text: Column, terms: Sequence[str] = tuple(fixed.BANNED_KEYWORDS), boundary: bool = True) -> list[Step]:
+    lowered = F.lower(text)
+    term = first_label(lowered, _keyword_patterns(terms, boundary), holds_any(lowered, [t.lower() for t in terms]))
+    return [Step(1, "Keyword filter", "blocked", F.concat(F.lit("banned keyword: '"), term, F.lit("'")))]
+
+
 def keyword_screen(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYWORDS), boundary: bool = True,
                    text: str = "text") -> DataFrame:
     """Block texts holding a banned term. A term must start at a word start and may run on ("weapon" in "weapons");
     ``boundary=False`` is the plain substring test. The first term of the list is reported."""
-    lowered = F.lower(F.col(text))
-    term = first_label(lowered, _keyword_patterns(terms, boundary), holds_any(lowered, [t.lower() for t in terms]))
-    return record(df, 1, "Keyword filter", "blocked", F.concat(F.lit("banned keyword: '"), term, F.lit("'")))
+    return record_all(df, keyword_steps(F.col(text), terms, boundary))
 
 
 def keyword_hits(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYWORDS), boundary: bool = True,
@@ -45,12 +50,16 @@ def keyword_hits(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYWOR
 
 # ---------------------------------------------------------------------------------------------- 2 injection
 
+def injection_steps(text: Column, patterns: Sequence[str] = tuple(fixed.INJECTION_PATTERNS)) -> list[Step]:
+    labelled = [(p, java_pattern(p, ignore_case=True)) for p in patterns]
+    hit = first_label(text, labelled, any_may_match(text, patterns, ignore_case=True))
+    return [Step(2, "Prompt injection (regex)", "blocked", F.concat(F.lit("pattern: "), hit))]
+
+
 def injection_screen(df: DataFrame, patterns: Sequence[str] = tuple(fixed.INJECTION_PATTERNS),
                      text: str = "text") -> DataFrame:
     """Block well-known attempts to override the instructions; the first matching pattern is reported."""
-    labelled = [(p, java_pattern(p, ignore_case=True)) for p in patterns]
-    hit = first_label(F.col(text), labelled, any_may_match(F.col(text), patterns, ignore_case=True))
-    return record(df, 2, "Prompt injection (regex)", "blocked", F.concat(F.lit("pattern: "), hit))
+    return record_all(df, injection_steps(F.col(text), patterns))
 
 
 def injection_phrase_screen(df: DataFrame, phrases: Sequence[str] = tuple(fixed.INJECTION_PHRASES),
@@ -63,14 +72,50 @@ def injection_phrase_screen(df: DataFrame, phrases: Sequence[str] = tuple(fixed.
 
 # ---------------------------------------------------------------------------------------------- 4 length
 
-def length_screen(df: DataFrame, max_chars: int = fixed.MAX_INPUT_CHARS, text: str = "text") -> DataFrame:
-    n = F.length(F.col(text))
+def length_steps(text: Column, max_chars: int = fixed.MAX_INPUT_CHARS) -> list[Step]:
+    n = F.length(text)
     detail = F.when(n > max_chars, F.concat(n.cast("string"), F.lit(f" chars > {max_chars}")))
-    return record(df, 4, "Input length limit", "blocked", detail)
+    return [Step(4, "Input length limit", "blocked", detail)]
+
+
+def length_screen(df: DataFrame, max_chars: int = fixed.MAX_INPUT_CHARS, text: str = "text") -> DataFrame:
+    """Block texts longer than ``max_chars`` characters."""
+    return record_all(df, length_steps(F.col(text), max_chars))
 
 
 # ---------------------------------------------------------------------------------------------- 5, 6 PII
 
+def _pii_patterns(builtin: Sequence[str] | None, custom: Sequence[tuple[str, str]]):
+    return [(n, p) for n, p in fixed.INPUT_PII_PATTERNS if builtin is None or n in builtin], list(custom)
+
+
+def _pii_found(text: Column, patterns: Sequence[tuple[str, str]], prefix: str) -> Column:
+    if not patterns:
+        return F.lit(None).cast("string")
+    labels = all_labels(text, [(n, java_pattern(p)) for n, p in patterns])
+    found = F.when(any_may_match(text, [p for _, p in patterns]), F.array_join(labels, ", "))
+    return F.concat(F.lit(prefix), F.nullif(found, F.lit("")))
+
+
+def pii_steps(text: Column, builtin: Sequence[str] | None = None,
+              custom: Sequence[tuple[str, str]] = ()) -> list[Step]:
+    own, extra = _pii_patterns(builtin, custom)
+    return [Step(5, "PII masking", "modified", _pii_found(text, own, "masked: ")),
+            Step(6, "Custom PII patterns", "modified", _pii_found(text, extra, "masked: "))]
+
+
+def pii_masked(text: Column, builtin: Sequence[str] | None = None, custom: Sequence[tuple[str, str]] = ()) -> Column:
+    """``text`` with the matches of every kind found in it starred out, kind after kind."""
+    def starred(so_far: Column, pattern: str) -> Column:
+        return let(so_far, lambda t: F.when(text.rlike(pattern), rewrite_matches(t, pattern, stars)).otherwise(t))
+
+    return reduce(starred, [java_pattern(p) for _, p in sum(_pii_patterns(builtin, custom), [])], text)
+
+
+def pii_possible(text: Column, builtin: Sequence[str] | None = None, custom: Sequence[tuple[str, str]] = ()) -> Column:
+    return any_may_match(text, [p for _, p in sum(_pii_patterns(builtin, custom), [])])
+
+
 def pii_screen(df: DataFrame, builtin: Sequence[str] | None = None,
                custom: Sequence[tuple[str, str]] = (), mode: str = "mask", text: str = "text") -> DataFrame:
     """Mask personal data with as many asterisks as it has characters, or block the text (``mode="block"``).
@@ -79,40 +124,26 @@ def pii_screen(df: DataFrame, builtin: Sequence[str] | None = None,
     is found is decided on the text as it came; masking then runs detector by detector. Built-in and custom finds are
     two decisions.
     """
-    own = [(n, java_pattern(p)) for n, p in fixed.INPUT_PII_PATTERNS if builtin is None or n in builtin]
-    extra = [(n, java_pattern(p)) for n, p in custom]
-    raw = [p for n, p in fixed.INPUT_PII_PATTERNS if builtin is None or n in builtin] + [p for _, p in custom]
-    possible = any_may_match(F.col(text), raw)
+    t = F.col(text)
     if mode == "block":
-        found = F.array_join(all_labels(F.col(text), own + extra), ", ")
-        df = start(df).withColumn("_found", F.when(alive() & possible, found))
-        detail = F.when(F.col("_found") != "", F.concat(F.lit("detected: "), F.col("_found")))
-        return record(df, 5, "PII masking", "blocked", detail).drop("_found")
-    df = start(df)
-    none = F.array().cast("array<string>")
-    hit = alive() & possible
-    df = df.withColumn("_pii", hit).withColumns({
-        "_own": F.when(F.col("_pii"), all_labels(F.col(text), own)) if own else none,
-        "_extra": F.when(F.col("_pii"), all_labels(F.col(text), extra)) if extra else none,
-        "_masked": F.col(text),
-    })
-    for name, pattern in own + extra:
-        found = F.array_contains(F.col("_own" if (name, pattern) in own else "_extra"), name)
-        df = rewrite(df, "_masked", F.col("_pii") & found, rewrite_matches(F.col("_masked"), pattern, stars))
-    for column, number, rule in (("_own", 5, "PII masking"), ("_extra", 6, "Custom PII patterns")):
-        detail = F.when(F.size(column) > 0, F.concat(F.lit("masked: "), F.array_join(column, ", ")))
-        df = record(df, number, rule, "modified", detail)
-    return df.withColumn(text, F.col("_masked")).drop("_pii", "_own", "_extra", "_masked")
+        found = _pii_found(t, sum(_pii_patterns(builtin, custom), []), "detected: ")
+        return record_all(df, [Step(5, "PII masking", "blocked", found)])
+    df = record_all(df, pii_steps(t, builtin, custom))
+    return rewrite(df, text, alive() & pii_possible(t, builtin, custom), pii_masked(t, builtin, custom))
 
 
 # ---------------------------------------------------------------------------------------------- 16 crisis
 
+def crisis_signal_steps(text: Column, signals: Sequence[str] = tuple(fixed.CRISIS_SIGNALS)) -> list[Step]:
+    lowered = F.lower(text)
+    hit = F.coalesce(*[F.when(lowered.contains(s), F.lit(s)) for s in signals])
+    return [Step(16, "Crisis safe completion", "blocked", F.concat(F.lit("signal: '"), hit, F.lit("'")))]
+
+
 def crisis_signal_screen(df: DataFrame, signals: Sequence[str] = tuple(fixed.CRISIS_SIGNALS),
                          text: str = "text") -> DataFrame:
     """Block texts holding a self-harm phrase, as a plain substring of the lower-cased text."""
-    lowered = F.lower(F.col(text))
-    hit = F.coalesce(*[F.when(lowered.contains(s), F.lit(s)) for s in signals])
-    return record(df, 16, "Crisis safe completion", "blocked", F.concat(F.lit("signal: '"), hit, F.lit("'")))
+    return record_all(df, crisis_signal_steps(F.col(text), signals))
 
 
 # ---------------------------------------------------------------------------------------------- 19 invisible text
@@ -132,33 +163,44 @@ def _quoted_payload(text: Column) -> Column:
             .otherwise(F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))))
 
 
+def may_hide(text: Column) -> Column:
+    """Only texts beyond ASCII can hold invisible characters."""
+    return F.octet_length(text) != F.length(text)
+
+
+def invisible_text_steps(text: Column, strip: bool = True) -> list[Step]:
+    hidden = may_hide(text) & text.rlike(HIDDEN)
+    payload = F.when(hidden & text.rlike(TAG), F.concat(F.lit("hidden payload: "), _quoted_payload(text)))
+    if not strip:
+        return [Step(19, "Invisible text", "blocked", F.coalesce(payload, F.when(hidden, F.lit("hidden characters"))))]
+    kinds = F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(HIDDEN), F.lit(0))))
+    note = F.when(hidden, F.concat(F.lit("stripped "), kinds.cast("string"), F.lit(" invisible character type(s)")))
+    return [Step(19, "Invisible text", "blocked", payload), Step(19, "Invisible text", "modified", note)]
+
+
+def visible(text: Column) -> Column:
+    return F.regexp_replace(text, HIDDEN, "")
+
+
 def invisible_text_screen(df: DataFrame, strip: bool = True, text: str = "text") -> DataFrame:
     """Block texts that carry a payload in tag characters; strip other invisible characters (or block them)."""
-    df = start(df).withColumn("_hidden", F.when(alive() & F.col(text).rlike(HIDDEN), F.col(text)))
-    payload = F.when(F.col("_hidden").rlike(TAG),
-                     F.concat(F.lit("hidden payload: "), _quoted_payload(F.col("_hidden"))))
-    if not strip:
-        payload = F.coalesce(payload, F.when(F.col("_hidden").isNotNull(), F.lit("hidden characters")))
-    df = record(df, 19, "Invisible text", "blocked", payload)
-    if strip:
-        kinds = F.size(F.array_distinct(F.regexp_extract_all(F.col("_hidden"), F.lit(HIDDEN), F.lit(0))))
-        detail = F.when(F.col("_hidden").isNotNull(),
-                        F.concat(F.lit("stripped "), kinds.cast("string"), F.lit(" invisible character type(s)")))
-        df = record(df, 19, "Invisible text", "modified", detail)
-        df = rewrite(df, text, alive() & F.col("_hidden").isNotNull(), F.regexp_replace(F.col(text), HIDDEN, ""))
-    return df.drop("_hidden")
+    t = F.col(text)
+    df = record_all(df, invisible_text_steps(t, strip))
+    return rewrite(df, text, alive() & may_hide(t), visible(t)) if strip else df
 
 
 # ---------------------------------------------------------------------------------------------- 20 secrets
 
+def secrets_steps(text: Column, patterns: Sequence[tuple[str, str]] = tuple(fixed.SECRET_PATTERNS)) -> list[Step]:
+    labels = all_labels(text, [(n, java_pattern(p)) for n, p in patterns])
+    found = F.when(any_may_match(text, [p for _, p in patterns]), F.array_join(labels, ", "))
+    return [Step(20, "Secrets detection", "blocked", F.concat(F.lit("found: "), F.nullif(found, F.lit(""))))]
+
+
 def secrets_screen(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fixed.SECRET_PATTERNS),
                    text: str = "text") -> DataFrame:
     """Block texts holding a credential; all kinds found are listed."""
-    labelled = [(n, java_pattern(p)) for n, p in patterns]
-    possible = any_may_match(F.col(text), [p for _, p in patterns])
-    df = start(df).withColumn("_found", F.when(alive() & possible, F.array_join(all_labels(F.col(text), labelled), ", ")))
-    detail = F.when(F.col("_found") != "", F.concat(F.lit("found: "), F.col("_found")))
-    return record(df, 20, "Secrets detection", "blocked", detail).drop("_found")
+    return record_all(df, secrets_steps(F.col(text), patterns))
 
 
 # ---------------------------------------------------------------------------------------------- 22 gibberish
@@ -173,6 +215,23 @@ GIBBERISH_SIGN = "[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]{4}|[Aa]{4}|[Ee]{4}|[Ii]{4}|
 FLOOD_CHARS, FLOOD_SHARE = 20, 0.4
 
 
+def gibberish_helpers(text: Column) -> dict[str, Column]:
+    """Bounds and counts the rule reads more than once."""
+    return {"_odd": F.when(F.length(text) >= FLOOD_CHARS, F.length(F.regexp_replace(text, "[A-Za-z0-9 ]+", ""))),
+            "_words": count_matches(text, ASCII_WORD), "_signs": count_matches(text, GIBBERISH_SIGN)}
+
+
+def gibberish_steps(text: Column, max_ratio: float = 0.5, min_words: int = 3) -> list[Step]:
+    chars = F.length(text)
+    symbols = F.length(F.regexp_replace(text, r"(?U)[\p{L}\p{N}\s\x1c-\x1f]+", ""))
+    flood = (F.col("_odd") > FLOOD_SHARE * chars) & (symbols / F.nullif(chars, F.lit(0)) > FLOOD_SHARE)
+    open_case = (F.col("_words") >= min_words) & (F.col("_signs") > max_ratio * F.col("_words"))
+    ratio = count_matches(text, GIBBERISH_WORD) / F.nullif(F.col("_words"), F.lit(0))
+    detail = (F.when(flood, F.lit("mostly symbols"))
+              .when(open_case & (ratio > max_ratio), F.concat(percent(ratio).cast("string"), F.lit("% gibberish words"))))
+    return [Step(22, "Gibberish detection", "blocked", detail)]
+
+
 def gibberish_screen(df: DataFrame, max_ratio: float = 0.5, min_words: int = 3, text: str = "text") -> DataFrame:
     """Block symbol floods and keyboard mash.
 
@@ -180,29 +239,17 @@ def gibberish_screen(df: DataFrame, max_ratio: float = 0.5, min_words: int = 3,
     word), and measured exactly only where the bound leaves the outcome open.
     """
     t = F.col(text)
-    chars = F.length(t)
-    odd = F.length(F.regexp_replace(t, "[A-Za-z0-9 ]+", ""))
-    symbols = F.length(F.regexp_replace(t, r"(?U)[\p{L}\p{N}\s\x1c-\x1f]+", ""))
-    df = start(df).withColumn("_odd", F.when(alive() & (chars >= FLOOD_CHARS), odd))
-    df = df.withColumns({
-        "_flood": (F.col("_odd") > FLOOD_SHARE * chars) & (symbols / F.nullif(chars, F.lit(0)) > FLOOD_SHARE),
-        "_words": F.when(alive(), count_matches(t, ASCII_WORD)),
-        "_signs": F.when(alive(), count_matches(t, GIBBERISH_SIGN)),
-    })
-    open_case = (F.col("_words") >= min_words) & (F.col("_signs") > max_ratio * F.col("_words"))
-    df = df.withColumn("_ratio", F.when(open_case, count_matches(t, GIBBERISH_WORD) / F.nullif(F.col("_words"), F.lit(0))))
-    detail = (F.when(F.col("_flood"), F.lit("mostly symbols"))
-              .when(F.col("_ratio") > max_ratio, F.concat(percent(F.col("_ratio")).cast("string"),
-                                                          F.lit("% gibberish words"))))
-    return record(df, 22, "Gibberish detection", "blocked", detail).drop("_odd", "_flood", "_words", "_signs", "_ratio")
+    return record_all(df, gibberish_steps(t, max_ratio, min_words), gibberish_helpers(t))
 
 
 # ---------------------------------------------------------------------------------------------- 23 links
 
+def url_steps(text: Column, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAINS), strict: bool = False) -> list[Step]:
+    bad = F.when(text.rlike(STRICT_LINK if strict else LINK), F.array_join(untrusted_links(text, domains, strict), ", "))
+    return [Step(23, "URL allowlist (input)", "blocked", F.concat(F.lit("blocked: "), F.nullif(bad, F.lit(""))))]
+
+
 def url_screen(df: DataFrame, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAINS), strict: bool = False,
                text: str = "text") -> DataFrame:
     """Block texts with a link outside the allow-list; every such link is listed in order."""
-    bad = F.array_join(untrusted_links(F.col(text), domains, strict), ", ")
-    df = start(df).withColumn("_bad", F.when(alive() & F.col(text).rlike(STRICT_LINK if strict else LINK), bad))
-    detail = F.when(F.col("_bad") != "", F.concat(F.lit("blocked: "), F.col("_bad")))
-    return record(df, 23, "URL allowlist (input)", "blocked", detail).drop("_bad")
+    return record_all(df, url_steps(F.col(text), domains, strict))

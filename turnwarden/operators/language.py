@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
-from turnwarden.operators.decisions import record, start
+from turnwarden.operators.decisions import Step, record_all, start
 from turnwarden.sources.shared import settle
 
 PROFILE_GRAMS = 400
@@ -66,13 +66,24 @@ def score(df: DataFrame, model: LanguageModel, key: str, text: Column) -> DataFr
     return sums.select(key, language.alias("language"), (F.lit(1.0) / odds).alias("probability"))
 
 
+def join_scores(df: DataFrame, scores: DataFrame, key: str) -> DataFrame:
+    found = scores.select(key, F.col("language").alias("_language"), F.col("probability").alias("_p"))
+    return df.join(found, key, "left")
+
+
+def language_steps(text: Column, allowed: Sequence[str] = tuple(fixed.ALLOWED_LANGUAGES),
+                   min_chars: int = fixed.LANGUAGE_MIN_CHARS,
+                   min_confidence: float = fixed.LANGUAGE_MIN_CONFIDENCE) -> list[Step]:
+    """Reads the joined ``_language`` and ``_p``."""
+    foreign = (F.length(text) >= min_chars) & ~F.col("_language").isin(list(allowed)) & (F.col("_p") >= min_confidence)
+    detail = F.concat(F.lit("detected '"), F.col("_language"), F.lit("' ("), F.format_string("%.2f", "_p"), F.lit(")"))
+    return [Step(21, "Language restriction", "blocked", F.when(foreign, detail))]
+
+
 def language_screen(df: DataFrame, scores: DataFrame, allowed: Sequence[str] = tuple(fixed.ALLOWED_LANGUAGES),
                     min_chars: int = fixed.LANGUAGE_MIN_CHARS,
                     min_confidence: float = fixed.LANGUAGE_MIN_CONFIDENCE,
                     key: str = "turn_id", text: str = "text") -> DataFrame:
     """Block texts that are long enough and confidently in another language. Without a score the text passes."""
-    found = scores.select(key, F.col("language").alias("_language"), F.col("probability").alias("_p"))
-    df = start(df).join(found, key, "left")
-    foreign = (F.length(text) >= min_chars) & ~F.col("_language").isin(list(allowed)) & (F.col("_p") >= min_confidence)
-    detail = F.concat(F.lit("detected '"), F.col("_language"), F.lit("' ("), F.format_string("%.2f", "_p"), F.lit(")"))
-    return record(df, 21, "Language restriction", "blocked", F.when(foreign, detail)).drop("_language", "_p")
+    df = join_scores(start(df), scores, key)
+    return record_all(df, language_steps(F.col(text), allowed, min_chars, min_confidence)).drop("_language", "_p")

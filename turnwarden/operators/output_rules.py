@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,29 +12,35 @@ from turnwarden import fixed_values as fixed
 from turnwarden.functions.gates import any_may_match, holds_any
 from turnwarden.functions.links import LINK, STRICT_LINK, redact_untrusted, untrusted_links
 from turnwarden.functions.patterns import any_of, count_matches, java_pattern, literal
-from turnwarden.functions.text import keep_first_char, lines, rewrite_matches
+from turnwarden.functions.text import keep_first_char, let, lines, rewrite_matches
 from turnwarden.operators.decisions import record, rewrite, start
 
 
 def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, str]], possible: Column) -> DataFrame:
-    """Replace pattern after pattern, each on the text the one before left, keeping a count per pattern in ``_n<i>``.
-
-    ``possible`` is false only for texts without any match; those are left alone.
+    """Replace pattern after pattern, each on the text the one before left: ``_done`` holds the text and a count per
+    pattern. ``possible`` is false only for texts without any match; those have no ``_done``.
     """
-    df = start(df).withColumn("_hit", F.coalesce(possible, F.lit(False)))
-    for i, (_, pattern, replacement) in enumerate(steps):
-        df = df.withColumn(f"_n{i}", F.when(F.col("_hit"), count_matches(F.col(text), pattern)).otherwise(0))
-        df = rewrite(df, text, F.col(f"_n{i}") > 0, F.regexp_replace(F.col(text), pattern, replacement))
-    return df
+    def replaced(so_far: Column, step: tuple[str, str, str]) -> Column:
+        _, pattern, replacement = step
+        return let(so_far, lambda s: F.struct(
+            F.regexp_replace(s["text"], pattern, replacement).alias("text"),
+            F.concat(s["n"], F.array(count_matches(s["text"], pattern))).alias("n")))
+
+    untouched = F.struct(F.col(text).alias("text"), F.array().cast("array<int>").alias("n"))
+    return start(df).withColumn("_done", F.when(possible, reduce(replaced, steps, untouched)))
+
+
+def _finish(df: DataFrame, text: str, number: int, name: str, detail: Column) -> DataFrame:
+    df = record(df, number, name, "modified", detail)
+    return rewrite(df, text, F.col("_done").isNotNull(), F.col("_done")["text"]).drop("_done")
 
 
-def _drop_counts(df: DataFrame, n: int) -> DataFrame:
-    return df.drop("_hit", *[f"_n{i}" for i in range(n)])
+def _n(i: int) -> Column:
+    return F.col("_done")["n"][i]
 
 
 def _listed(parts: list[Column], prefix: str) -> Column:
-    found = F.array_join(F.array(*parts), ", ")
-    return F.when(found != "", F.concat(F.lit(prefix), found))
+    return F.concat(F.lit(prefix), F.nullif(F.array_join(F.array(*parts), ", "), F.lit("")))
 
 
 def pii_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fixed.OUTPUT_PII_PATTERNS),
@@ -41,12 +48,10 @@ def pii_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fixed.
     """Replace personal data by its label, most specific kind first. ``counts=True`` keeps one count column per kind."""
     steps = [(label, java_pattern(p), f"[REDACTED_{label}]") for label, p in patterns]
     df = _replace_in_turn(df, text, steps, any_may_match(F.col(text), [p for _, p in patterns]))
-    parts = [F.when(F.col(f"_n{i}") > 0, F.concat(F.col(f"_n{i}").cast("string"), F.lit(f" {label}")))
-             for i, (label, _, _) in enumerate(steps)]
-    df = record(df, 27, "Output PII redaction", "modified", _listed(parts, "redacted: "))
+    parts = [F.when(_n(i) > 0, F.concat(_n(i).cast("string"), F.lit(f" {label}"))) for i, (label, _, _) in enumerate(steps)]
     if counts:
-        df = df.withColumns({f"n_{label.lower()}": F.col(f"_n{i}") for i, (label, _, _) in enumerate(steps)})
-    return _drop_counts(df, len(steps))
+        df = df.withColumns({f"n_{label.lower()}": F.coalesce(_n(i), F.lit(0)) for i, (label, _, _) in enumerate(steps)})
+    return _finish(df, text, 27, "Output PII redaction", _listed(parts, "redacted: "))
 
 
 def secrets_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fixed.SECRET_PATTERNS),
@@ -54,9 +59,8 @@ def secrets_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fi
     """Replace credentials by their kind, list order; an earlier label can hide a later match."""
     steps = [(n, java_pattern(p), f"[REDACTED_{n.upper().replace(' ', '_')}]") for n, p in patterns]
     df = _replace_in_turn(df, text, steps, any_may_match(F.col(text), [p for _, p in patterns]))
-    parts = [F.when(F.col(f"_n{i}") > 0, F.lit(n)) for i, (n, _, _) in enumerate(steps)]
-    df = record(df, 20, "Secrets detection", "modified", _listed(parts, "redacted: "))
-    return _drop_counts(df, len(steps))
+    parts = [F.when(_n(i) > 0, F.lit(n)) for i, (n, _, _) in enumerate(steps)]
+    return _finish(df, text, 20, "Secrets detection", _listed(parts, "redacted: "))
 
 
 def url_redact(df: DataFrame, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAINS), strict: bool = False,
@@ -120,9 +124,8 @@ def brand_scrub(df: DataFrame, terms: Sequence[str] = tuple(fixed.COMPETITORS),
     steps = [(t, java_pattern(r"\b" + literal(t) + r"\b", ignore_case=True), replacement.replace("$", r"\$"))
              for t in terms]
     df = _replace_in_turn(df, text, steps, holds_any(F.col(text), [t.lower() for t in terms], ignore_case=True))
-    parts = [F.when(F.col(f"_n{i}") > 0, F.lit(t)) for i, (t, _, _) in enumerate(steps)]
-    df = record(df, 15, "Brand safety", "modified", _listed(parts, "scrubbed: "))
-    return _drop_counts(df, len(steps))
+    parts = [F.when(_n(i) > 0, F.lit(t)) for i, (t, _, _) in enumerate(steps)]
+    return _finish(df, text, 15, "Brand safety", _listed(parts, "scrubbed: "))
 
 
 def append_disclaimer(df: DataFrame, needle: str = fixed.DISCLAIMER_NEEDLE, suffix: str = fixed.DISCLAIMER,

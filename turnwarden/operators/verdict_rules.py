@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
 from turnwarden.functions.text import chunk_count, chunks
-from turnwarden.operators.decisions import alive, record, rewrite, start
+from turnwarden.operators.decisions import Step, record, record_all, rewrite, start
 
 VERDICT_SCHEMA = ("turn_id long, rule int, chunk_no int, label string, confidence double, attack boolean, "
                   "categories map<string,boolean>")
@@ -59,45 +59,52 @@ def unavailable(cause: str = NO_ANSWER, closed: bool = False) -> str:
     return f"check unavailable ({cause}), failing {'closed' if closed else 'open'}"
 
 
-def fail_policy(df: DataFrame, number: int, name: str, answer: Column, closed: bool = False) -> DataFrame:
+def fail_policy(number: int, name: str, answer: Column, closed: bool = False) -> Step:
     """What a model-backed input check does without an answer: block the text or note that it was skipped."""
-    return record(df, number, name, "blocked" if closed else "skipped",
-                  F.when(answer.isNull(), F.lit(unavailable(closed=closed))))
+    return Step(number, name, "blocked" if closed else "skipped",
+                F.when(answer.isNull(), F.lit(unavailable(closed=closed))))
 
 
 # ---------------------------------------------------------------------------------------------- input rules
 
+def topical_steps(fail_closed: bool = False) -> list[Step]:
+    label, name = F.col("_label_3"), "Topical restriction"
+    return [fail_policy(3, name, label, fail_closed),
+            Step(3, name, "blocked", F.when(label.contains("OFF_TOPIC"), F.lit("judge: OFF_TOPIC")))]
+
+
 def topical_screen(df: DataFrame, verdicts: DataFrame | None = None, fail_closed: bool = False,
                    key: str = "turn_id") -> DataFrame:
     """Block turns the judge calls OFF_TOPIC."""
-    df = join_verdicts(start(df), verdicts, key)
-    label = F.col("_label_3")
-    df = fail_policy(df, 3, "Topical restriction", label, fail_closed)
-    return record(df, 3, "Topical restriction", "blocked",
-                  F.when(label.contains("OFF_TOPIC"), F.lit("judge: OFF_TOPIC")))
+    return record_all(join_verdicts(start(df), verdicts, key), topical_steps(fail_closed))
+
+
+def moderation_steps(categories: list[str] | None = None) -> list[Step]:
+    name = "OpenAI moderation (input)"
+    flagged = F.nullif(F.col("_flagged"), F.lit(""))
+    if categories is not None:  # all flagged categories are reported once one of the chosen ones is flagged
+        counts = F.exists(F.split("_flagged", ", "), lambda c: c.isin(categories))
+        flagged = F.when(counts, flagged)
+    return [Step(7, name, "blocked", F.when(F.col("_moderated").isNull(),
+                                            F.lit(f"moderation unavailable ({NO_ANSWER}), failing closed"))),
+            Step(7, name, "blocked", F.concat(F.lit("flagged: "), flagged))]
 
 
 def moderation_screen(df: DataFrame, verdicts: DataFrame | None = None, categories: list[str] | None = None,
                       key: str = "turn_id") -> DataFrame:
     """Block turns with a flagged category (of ``categories`` if given); an unmoderated turn is blocked too."""
-    df = join_verdicts(start(df), verdicts, key)
-    name = "OpenAI moderation (input)"
-    flagged = F.filter(F.split("_flagged", ", "), lambda c: (c != "") & (
-        F.lit(True) if categories is None else c.isin(categories)))
-    # When only some categories count, all flagged ones are still reported once one of them counts.
-    detail = F.when(F.size(flagged) > 0, F.concat(F.lit("flagged: "), F.col("_flagged")))
-    df = record(df, 7, name, "blocked", F.when(
-        F.col("_moderated").isNull(), F.lit(f"moderation unavailable ({NO_ANSWER}), failing closed")))
-    return record(df, 7, name, "blocked", detail)
+    return record_all(join_verdicts(start(df), verdicts, key), moderation_steps(categories))
+
+
+def crisis_judge_steps() -> list[Step]:
+    label, name = F.col("_label_16"), "Crisis safe completion"
+    return [fail_policy(16, name, label),
+            Step(16, name, "blocked", F.when(label.startswith("YES"), F.lit("judge: risk detected")))]
 
 
 def crisis_judge_screen(df: DataFrame, verdicts: DataFrame | None = None, key: str = "turn_id") -> DataFrame:
     """The judge's half of the crisis rule: answers that start with YES block, no answer is skipped."""
-    df = join_verdicts(start(df), verdicts, key)
-    label = F.col("_label_16")
-    df = fail_policy(df, 16, "Crisis safe completion", label)
-    return record(df, 16, "Crisis safe completion", "blocked",
-                  F.when(label.startswith("YES"), F.lit("judge: risk detected")))
+    return record_all(join_verdicts(start(df), verdicts, key), crisis_judge_steps())
 
 
 def injection_judge_screen(df: DataFrame, verdicts: DataFrame | None = None, key: str = "turn_id") -> DataFrame:
@@ -113,44 +120,50 @@ def text_chunks(df: DataFrame, key: str = "turn_id", size: int = fixed.ATTACK_CH
     return df.select(key, F.posexplode(chunks(F.col(text), size)).alias("chunk_no", "chunk"))
 
 
-def prompt_attack_screen(df: DataFrame, verdicts: DataFrame | None = None, threshold: float = fixed.ATTACK_THRESHOLD,
-                         size: int = fixed.ATTACK_CHUNK_CHARS, fail_closed: bool = False, any_chunk: bool = False,
-                         key: str = "turn_id", text: str = "text") -> DataFrame:
-    """Block texts of which a chunk is an attack with at least the threshold confidence (missing counts as 1).
+def _confidence(score: Column) -> Column:
+    return F.coalesce(score["confidence"], F.lit(1.0))
 
-    Chunks are read in order: the first attack blocks, but an unscored chunk before it makes the check unavailable.
-    ``any_chunk=True`` is the variant that takes the highest score of all chunks.
-    """
-    df = join_verdicts(start(df), verdicts, key)
-    name = "Prompt-attack classifier"
-    each = F.transform(F.sequence(F.lit(0), chunk_count(F.col(text), size) - 1),
-                       lambda i: F.try_element_at(F.col("_scores"), i))
 
-    def confident(s: Column) -> Column:
-        return F.coalesce(s["confidence"], F.lit(1.0))
+def prompt_attack_helpers(text: Column, threshold: float = fixed.ATTACK_THRESHOLD, size: int = fixed.ATTACK_CHUNK_CHARS,
+                          any_chunk: bool = False) -> dict[str, Column]:
+    """``_first``: the score that decides, or that a chunk without a score comes first."""
+    each = F.transform(F.sequence(F.lit(0), chunk_count(text, size) - 1),
+                       lambda i: F.try_element_at(F.col("_scores"), i))
 
     def hit(s: Column) -> Column:
-        return s["attack"] & (confident(s) >= threshold)
+        return F.coalesce(s["attack"] & (_confidence(s) >= threshold), F.lit(False))
 
     if any_chunk:
-        # The highest score decides; if any chunk has no score the check is unavailable.
+        best = F.array_sort(F.filter(each, hit), lambda a, b: F.when(_confidence(a) > _confidence(b), -1)
+                            .when(_confidence(a) < _confidence(b), 1).otherwise(0))
         missing = F.exists(each, lambda s: s.isNull())
-        attacks = F.filter(each, lambda s: F.coalesce(hit(s), F.lit(False)))
-        best = F.array_sort(attacks, lambda a, b: F.when(confident(a) > confident(b), -1)
-                            .when(confident(a) < confident(b), 1).otherwise(0))
         found = F.when(~missing, F.try_element_at(best, F.lit(1)))
-        first = F.struct(missing.alias("missing"), found.alias("s"))
     else:
-        telling = F.filter(each, lambda s: s.isNull() | F.coalesce(hit(s), F.lit(False)))
-        first = F.struct(((F.size(telling) > 0) & F.try_element_at(telling, F.lit(1)).isNull()).alias("missing"),
-                         F.try_element_at(telling, F.lit(1)).alias("s"))
-    df = df.withColumn("_first", F.when(alive(), first))
-    df = record(df, 18, name, "blocked" if fail_closed else "skipped",
-                F.when(F.col("_first.missing"), F.lit(unavailable(closed=fail_closed))))
-    score = F.col("_first.s")
+        telling = F.filter(each, lambda s: s.isNull() | hit(s))
+        found = F.try_element_at(telling, F.lit(1))
+        missing = (F.size(telling) > 0) & found.isNull()
+    return {"_first": F.struct(missing.alias("missing"), found.alias("s"))}
+
+
+def prompt_attack_steps(fail_closed: bool = False) -> list[Step]:
+    name, score = "Prompt-attack classifier", F.col("_first.s")
     detail = F.concat(F.coalesce(score["label"], F.lit("None")), F.lit(" (confidence "),
-                      F.format_string("%.2f", confident(score)), F.lit(")"))
-    return record(df, 18, name, "blocked", F.when(score.isNotNull(), detail)).drop("_first")
+                      F.format_string("%.2f", _confidence(score)), F.lit(")"))
+    return [Step(18, name, "blocked" if fail_closed else "skipped",
+                 F.when(F.col("_first.missing"), F.lit(unavailable(closed=fail_closed)))),
+            Step(18, name, "blocked", F.when(score.isNotNull(), detail))]
+
+
+def prompt_attack_screen(df: DataFrame, verdicts: DataFrame | None = None, threshold: float = fixed.ATTACK_THRESHOLD,
+                         size: int = fixed.ATTACK_CHUNK_CHARS, fail_closed: bool = False, any_chunk: bool = False,
+                         key: str = "turn_id", text: str = "text") -> DataFrame:
+    """Block texts of which a chunk is an attack with at least the threshold confidence (missing counts as 1).
+
+    Chunks are read in order: the first attack blocks, but an unscored chunk before it makes the check unavailable.
+    ``any_chunk=True`` is the variant that takes the highest score of all chunks.
+    """
+    return record_all(join_verdicts(start(df), verdicts, key), prompt_attack_steps(fail_closed),
+                      prompt_attack_helpers(F.col(text), threshold, size, any_chunk))
 
 
 # ---------------------------------------------------------------------------------------------- output rules

@@ -8,8 +8,8 @@ text is shuffled once however many judgements are joined.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,9 @@ from turnwarden import fixed_values as fixed
 from turnwarden.operators import input_rules as inp
 from turnwarden.operators import output_rules as out
 from turnwarden.operators import verdict_rules as ver
-from turnwarden.operators.decisions import start
+from turnwarden.operators.decisions import Step, alive, record_all, rewrite, start
 from turnwarden.operators.grounding import grounding_check
-from turnwarden.operators.language import LanguageModel, language_screen, score
+from turnwarden.operators.language import LanguageModel, join_scores, language_steps, score
 from turnwarden.operators.ordered import GROUP_ROWS
 from turnwarden.operators.rate_limit import rate_limit_screen
 
@@ -39,7 +39,7 @@ class InputSettings:
     domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAINS)
     attack_threshold: float = fixed.ATTACK_THRESHOLD
     group_rows: int = GROUP_ROWS
-    skip: Sequence[int] = field(default_factory=tuple)
+    skip: Sequence[int] = ()
 
 
 def screen_input(turns: DataFrame, verdicts: DataFrame | None = None, language: LanguageModel | None = None,
@@ -51,7 +51,10 @@ def screen_input(turns: DataFrame, verdicts: DataFrame | None = None, language:
     5/6 personal data, 1 keywords, 23 links, 18 prompt attack, 3 topic, 7 moderation.
     """
     s = settings
-    on = lambda n: n not in s.skip
+
+    def on(number: int) -> bool:
+        return number not in s.skip
+
     df = start(turns)
     if on(26):
         df = rate_limit_screen(df, key, user, ts, s.max_requests, s.window_seconds, s.group_rows)
@@ -60,43 +63,46 @@ def screen_input(turns: DataFrame, verdicts: DataFrame | None = None, language:
         df = ver.join_verdicts(df, verdicts, key)
     languages = None
     if on(21) and language is not None:
-        visible = F.regexp_replace(F.col(text), inp.HIDDEN, "")
-        long_enough = turns.select(key, visible.alias("_visible")).filter(F.length("_visible") >= s.language_min_chars)
+        long_enough = turns.select(key, inp.visible(F.col(text)).alias("_visible")) \
+            .filter(F.length("_visible") >= s.language_min_chars)
         languages = score(long_enough, language, key, F.col("_visible"))
-    steps: list[tuple[int, Callable[[DataFrame], DataFrame]]] = [
-        (4, lambda d: inp.length_screen(d, s.max_chars, text)),
-        (19, lambda d: inp.invisible_text_screen(d, True, text)),
-        (22, lambda d: inp.gibberish_screen(d, text=text)),
-        (21, lambda d: d if languages is None else language_screen(
-            d, languages, s.languages, s.language_min_chars, s.language_min_confidence, key, text)),
-        (16, lambda d: ver.crisis_judge_screen(inp.crisis_signal_screen(d, text=text), key=key)),
-        (2, lambda d: inp.injection_screen(d, text=text)),
-        (20, lambda d: inp.secrets_screen(d, text=text)),
-        (5, lambda d: inp.pii_screen(d, custom=s.custom_pii, text=text)),
-        (1, lambda d: inp.keyword_screen(d, s.keywords, text=text)),
-        (23, lambda d: inp.url_screen(d, s.domains, text=text)),
-        (18, lambda d: ver.prompt_attack_screen(d, threshold=s.attack_threshold, key=key, text=text)),
-        (3, lambda d: ver.topical_screen(d, key=key)),
-        (7, lambda d: ver.moderation_screen(d, key=key)),
-    ]
-    for number, step in steps:
-        if on(number):
-            df = step(df)
-    return ver.drop_verdicts(df)
+        df = join_scores(df, languages, key)
+    t = F.col(text)
+    confident = [] if languages is None else language_steps(t, s.languages, s.language_min_chars, s.language_min_confidence)
+    judge = ver.crisis_judge_steps() if on(16) else []
+    last = (ver.prompt_attack_steps() if on(18) else []) + (ver.topical_steps() if on(3) else []) \
+        + (ver.moderation_steps() if on(7) else [])
+    helpers = ver.prompt_attack_helpers(t, s.attack_threshold) if on(18) else {}
+    df = _text_rules(df, s, text, confident, judge, last, helpers)
+    return ver.drop_verdicts(df).drop("_language", "_p")
+
+
+def _text_rules(df: DataFrame, s: InputSettings, text: str, after_gibberish: list[Step], after_signals: list[Step],
+                after_links: list[Step], last_helpers: dict[str, Column]) -> DataFrame:
+    """The row-local stack: three rounds of steps, because the text changes twice (stripped, then masked)."""
+    t = F.col(text)
+
+    def chosen(*groups: list[Step]) -> list[Step]:
+        return [step for group in groups for step in group if step.number not in s.skip]
+
+    raw = chosen(inp.length_steps(t, s.max_chars), inp.invisible_text_steps(t))
+    if raw:
+        df = record_all(df, raw)
+    if 19 not in s.skip:
+        df = rewrite(df, text, alive() & inp.may_hide(t), inp.visible(t))
+    seen = chosen(inp.gibberish_steps(t), after_gibberish, inp.crisis_signal_steps(t), after_signals, inp.injection_steps(t),
+                  inp.secrets_steps(t), inp.pii_steps(t, custom=s.custom_pii))
+    if seen:
+        df = record_all(df, seen, {} if 22 in s.skip else inp.gibberish_helpers(t))
+    if 5 not in s.skip:
+        df = rewrite(df, text, alive() & inp.pii_possible(t, custom=s.custom_pii), inp.pii_masked(t, custom=s.custom_pii))
+    masked = chosen(inp.keyword_steps(t, s.keywords), inp.url_steps(t, s.domains), after_links)
+    return record_all(df, masked, last_helpers) if masked else df
 
 
 def deterministic_input(df: DataFrame, settings: InputSettings = InputSettings(), text: str = "text") -> DataFrame:
     """The rules of the input stack that need only the row: also the form that runs unchanged on a stream."""
-    s = settings
-    df = inp.length_screen(start(df), s.max_chars, text)
-    df = inp.invisible_text_screen(df, True, text)
-    df = inp.gibberish_screen(df, text=text)
-    df = inp.crisis_signal_screen(df, text=text)
-    df = inp.injection_screen(df, text=text)
-    df = inp.secrets_screen(df, text=text)
-    df = inp.pii_screen(df, custom=s.custom_pii, text=text)
-    df = inp.keyword_screen(df, s.keywords, text=text)
-    return inp.url_screen(df, s.domains, text=text)
+    return _text_rules(start(df), settings, text, [], [], [], {})
 
 
 def screen_output(answers: DataFrame, verdicts: DataFrame | None = None, contexts: DataFrame | None = None,
