@@ -114,10 +114,7 @@ def screen_output(answers: DataFrame, verdicts: DataFrame | None = None, context
     Order: 27 personal data, 20 secrets, 23 links, 28 commands, 29 profanity, 9 markers, 15 brands, then the judged
     rules 7, 12, 14, 30 and the disclaimer.
     """
-    df = start(answers)
-    if judged:
-        df = ver.join_verdicts(df, verdicts, key)
-    df = out.pii_redact(df, text=text)
+    df = out.pii_redact(start(answers), text=text)
     df = out.secrets_redact(df, text=text)
     df = out.url_redact(df, domains, text=text)
     df = out.dangerous_code_filter(df, text=text)
@@ -125,6 +122,7 @@ def screen_output(answers: DataFrame, verdicts: DataFrame | None = None, context
     df = out.marker_leak_redact(df, text=text)
     df = out.brand_scrub(df, text=text)
     if judged:
+        df = ver.join_verdicts(df, verdicts, key)
         df = ver.moderation_replace(df, text=text, key=key)
         df = ver.policy_judge(df, text=text, key=key)
     if contexts is not None:

@@ -12,6 +12,7 @@ from turnwarden.queries.common import ANSWERS_SQL, TURNS_SQL, answers, query, sq
 from turnwarden.queries.composed import screened, screened_ctes
 from turnwarden.queries.tool_stage import BOOKING_REASON, SETTLED_SQL, settled
 from turnwarden.sources import dimensions as dim
+from turnwarden.sources.shared import settle
 from turnwarden.sources.sinks import read_only_query
 
 
@@ -25,13 +26,17 @@ TOOLS_SQL = ("CASE WHEN k % 5 = 0 THEN '[\"search_medical_kb\",\"book_appointmen
 
 
 def logged(spark, folder):
-    """(turns, events) of the audit log: verdicts, a latency, the answer that followed, the tools used."""
+    """(turns, events) of the audit log: verdicts, a latency, the answer that followed, the tools used.
+
+    The stack runs once; both tables are read from what it wrote.
+    """
     df = screened(spark, folder)
     replies = answers(spark, folder).select((F.col("turn_id") - 1).alias("turn_id"), F.col("text").alias("_answer"))
     df = df.withColumns({
         "verdict": screened_verdict(paused=F.col("k") == 30, failed=F.col("k") == 31),
         "latency_ms": (F.col("turn_id") * 37 % 5000).cast("long"), "tools": tools_of(F.col("k"))})
     df = df.join(replies, "turn_id", "left").withColumn("output", F.when(F.col("verdict") == "ALLOWED", F.col("_answer")))
+    df = settle(df.drop("_answer", "admitted"), "screened")
     return au.turns_table(df), au.events_table(df)
 
 

@@ -13,6 +13,8 @@ def local_session(cores: int | str | None = None, app: str = "turnwarden") -> Sp
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # Patterns are costly per byte, so small shuffles are not folded into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
@@ -20,5 +22,6 @@ def local_session(cores: int | str | None = None, app: str = "turnwarden") -> Sp
         .config("spark.driver.memory", os.environ.get("TURNWARDEN_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
