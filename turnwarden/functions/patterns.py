@@ -60,17 +60,3 @@ def literal(term: str) -> str:
 
 def count_matches(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
-
-
-def first_label(text: Column, labelled: Sequence[tuple[str, str]], possible: Column) -> Column:
-    """Label of the first pattern (list order) found in ``text``, NULL if none.
-
-    ``possible`` is a cheap test that is false only for texts without a hit; those are not scanned at all.
-    """
-    ladder = F.coalesce(*[F.when(text.rlike(p), F.lit(label)) for label, p in labelled])
-    return F.when(possible, ladder)
-
-
-def all_labels(text: Column, labelled: Sequence[tuple[str, str]]) -> Column:
-    """Labels of every pattern found in ``text``, list order."""
-    return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(label)) for label, p in labelled]))

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
-from turnwarden.functions.gates import any_may_match, holds_any
-from turnwarden.functions.links import LINK, STRICT_LINK, untrusted_links
-from turnwarden.functions.patterns import all_labels, count_matches, first_label, java_pattern, literal
+from turnwarden.functions.gates import all_labels, any_may_match, first_label, holds_any, may_link
+from turnwarden.functions.links import untrusted_links
+from turnwarden.functions.patterns import count_matches, java_pattern, literal
 from turnwarden.functions.text import let, percent, rewrite_matches, stars
-from turnwarden.operators.decisions import Step, alive, record, record_all, rewrite
+from turnwarden.operators.decisions import Step, alive, record_all, rewrite
 
 # ---------------------------------------------------------------------------------------------- 1 keywords
 
@@ -22,9 +22,19 @@ def _keyword_patterns(terms: Sequence[str], boundary: bool) -> list[tuple[str, s
     return [(t, java_pattern((r"\b" if boundary else "") + literal(t.lower()))) for t in terms]
 
 
-def keyword_steps(text: Column, terms: Sequence[str] = tuple(fixed.BANNED_KEYWORDS), boundary: bool = True) -> list[Step]:
-    lowered = F.lower(text)
-    term = first_label(lowered, _keyword_patterns(terms, boundary), holds_any(lowered, [t.lower() for t in terms]))
+def lowered() -> Column:
+    return F.col("_lower")
+
+
+def lower_helper(text: Column) -> dict[str, Column]:
+    """The lower-cased text, which most rules read many times."""
+    return {"_lower": F.lower(text)}
+
+
+def keyword_steps(terms: Sequence[str] = tuple(fixed.BANNED_KEYWORDS), boundary: bool = True) -> list[Step]:
+    """Reads ``_lower``."""
+    term = F.coalesce(*[F.when(lowered().contains(t.lower()) & lowered().rlike(p), F.lit(t))
+                        for t, p in _keyword_patterns(terms, boundary)])
     return [Step(1, "Keyword filter", "blocked", F.concat(F.lit("banned keyword: '"), term, F.lit("'")))]
 
 
@@ -32,17 +42,16 @@ def keyword_screen(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYW
                    text: str = "text") -> DataFrame:
     """Block texts holding a banned term. A term must start at a word start and may run on ("weapon" in "weapons");
     ``boundary=False`` is the plain substring test. The first term of the list is reported."""
-    return record_all(df, keyword_steps(F.col(text), terms, boundary))
+    return record_all(df, keyword_steps(terms, boundary), lower_helper(F.col(text)))
 
 
 def keyword_hits(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYWORDS), boundary: bool = True,
                  text: str = "text") -> DataFrame:
     """Texts and occurrences per term; aggregated before the shuffle, one row per term leaves each task."""
     patterns = _keyword_patterns(terms, boundary)
-    lowered = F.col("_lower")
-    hits = F.array(*[F.when(lowered.contains(t.lower()), F.struct(
-        F.lit(t).alias("term"), count_matches(lowered, p).alias("n"))) for t, p in patterns])
-    return (df.select(F.lower(F.col(text)).alias("_lower")).filter(holds_any(lowered, [t.lower() for t in terms]))
+    hits = F.array(*[F.when(lowered().contains(t.lower()), F.struct(
+        F.lit(t).alias("term"), count_matches(lowered(), p).alias("n"))) for t, p in patterns])
+    return (df.select(F.lower(F.col(text)).alias("_lower")).filter(holds_any(lowered(), [t.lower() for t in terms]))
             .select(F.explode(hits).alias("h")).filter("h.n > 0")
             .groupBy(F.col("h.term").alias("term"))
             .agg(F.count("*").alias("texts"), F.sum("h.n").alias("hits")))
@@ -51,23 +60,23 @@ def keyword_hits(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYWOR
 # ---------------------------------------------------------------------------------------------- 2 injection
 
 def injection_steps(text: Column, patterns: Sequence[str] = tuple(fixed.INJECTION_PATTERNS)) -> list[Step]:
-    labelled = [(p, java_pattern(p, ignore_case=True)) for p in patterns]
-    hit = first_label(text, labelled, any_may_match(text, patterns, ignore_case=True))
+    """Reads ``_lower``."""
+    hit = first_label(text, [(p, p) for p in patterns], True, lowered())
     return [Step(2, "Prompt injection (regex)", "blocked", F.concat(F.lit("pattern: "), hit))]
 
 
 def injection_screen(df: DataFrame, patterns: Sequence[str] = tuple(fixed.INJECTION_PATTERNS),
                      text: str = "text") -> DataFrame:
     """Block well-known attempts to override the instructions; the first matching pattern is reported."""
-    return record_all(df, injection_steps(F.col(text), patterns))
+    return record_all(df, injection_steps(F.col(text), patterns), lower_helper(F.col(text)))
 
 
 def injection_phrase_screen(df: DataFrame, phrases: Sequence[str] = tuple(fixed.INJECTION_PHRASES),
                             text: str = "text") -> DataFrame:
     """The phrase-list baseline: plain substrings of the lower-cased text."""
-    lowered = F.lower(F.col(text))
-    hit = F.coalesce(*[F.when(lowered.contains(p), F.lit(p)) for p in phrases])
-    return record(df, 2, "Prompt injection (phrases)", "blocked", F.concat(F.lit("phrase: "), hit))
+    hit = F.coalesce(*[F.when(lowered().contains(p), F.lit(p)) for p in phrases])
+    return record_all(df, [Step(2, "Prompt injection (phrases)", "blocked", F.concat(F.lit("phrase: "), hit))],
+                      lower_helper(F.col(text)))
 
 
 # ---------------------------------------------------------------------------------------------- 4 length
@@ -92,13 +101,13 @@ def _pii_patterns(builtin: Sequence[str] | None, custom: Sequence[tuple[str, str
 def _pii_found(text: Column, patterns: Sequence[tuple[str, str]], prefix: str) -> Column:
     if not patterns:
         return F.lit(None).cast("string")
-    labels = all_labels(text, [(n, java_pattern(p)) for n, p in patterns])
-    found = F.when(any_may_match(text, [p for _, p in patterns]), F.array_join(labels, ", "))
-    return F.concat(F.lit(prefix), F.nullif(found, F.lit("")))
+    labels = F.array(*[F.when(text.rlike(java_pattern(p)), F.lit(n)) for n, p in patterns])
+    return F.when(F.col("_pii"), F.concat(F.lit(prefix), F.nullif(F.array_join(labels, ", "), F.lit(""))))
 
 
 def pii_steps(text: Column, builtin: Sequence[str] | None = None,
               custom: Sequence[tuple[str, str]] = ()) -> list[Step]:
+    """Reads ``_pii``."""
     own, extra = _pii_patterns(builtin, custom)
     return [Step(5, "PII masking", "modified", _pii_found(text, own, "masked: ")),
             Step(6, "Custom PII patterns", "modified", _pii_found(text, extra, "masked: "))]
@@ -112,8 +121,14 @@ def pii_masked(text: Column, builtin: Sequence[str] | None = None, custom: Seque
     return reduce(starred, [java_pattern(p) for _, p in sum(_pii_patterns(builtin, custom), [])], text)
 
 
-def pii_possible(text: Column, builtin: Sequence[str] | None = None, custom: Sequence[tuple[str, str]] = ()) -> Column:
-    return any_may_match(text, [p for _, p in sum(_pii_patterns(builtin, custom), [])])
+def pii_helper(text: Column, builtin: Sequence[str] | None = None,
+               custom: Sequence[tuple[str, str]] = ()) -> dict[str, Column]:
+    """Whether the text may hold personal data at all."""
+    return {"_pii": any_may_match(text, [p for _, p in sum(_pii_patterns(builtin, custom), [])])}
+
+
+def pii_recorded() -> Column:
+    return F.exists("decisions", lambda e: e["number"].isin(5, 6))
 
 
 def pii_screen(df: DataFrame, builtin: Sequence[str] | None = None,
@@ -127,23 +142,23 @@ def pii_screen(df: DataFrame, builtin: Sequence[str] | None = None,
     t = F.col(text)
     if mode == "block":
         found = _pii_found(t, sum(_pii_patterns(builtin, custom), []), "detected: ")
-        return record_all(df, [Step(5, "PII masking", "blocked", found)])
-    df = record_all(df, pii_steps(t, builtin, custom))
-    return rewrite(df, text, alive() & pii_possible(t, builtin, custom), pii_masked(t, builtin, custom))
+        return record_all(df, [Step(5, "PII masking", "blocked", found)], pii_helper(t, builtin, custom))
+    df = record_all(df, pii_steps(t, builtin, custom), pii_helper(t, builtin, custom))
+    return rewrite(df, text, alive() & pii_recorded(), pii_masked(t, builtin, custom))
 
 
 # ---------------------------------------------------------------------------------------------- 16 crisis
 
-def crisis_signal_steps(text: Column, signals: Sequence[str] = tuple(fixed.CRISIS_SIGNALS)) -> list[Step]:
-    lowered = F.lower(text)
-    hit = F.coalesce(*[F.when(lowered.contains(s), F.lit(s)) for s in signals])
+def crisis_signal_steps(signals: Sequence[str] = tuple(fixed.CRISIS_SIGNALS)) -> list[Step]:
+    """Reads ``_lower``."""
+    hit = F.coalesce(*[F.when(lowered().contains(s), F.lit(s)) for s in signals])
     return [Step(16, "Crisis safe completion", "blocked", F.concat(F.lit("signal: '"), hit, F.lit("'")))]
 
 
 def crisis_signal_screen(df: DataFrame, signals: Sequence[str] = tuple(fixed.CRISIS_SIGNALS),
                          text: str = "text") -> DataFrame:
     """Block texts holding a self-harm phrase, as a plain substring of the lower-cased text."""
-    return record_all(df, crisis_signal_steps(F.col(text), signals))
+    return record_all(df, crisis_signal_steps(signals), lower_helper(F.col(text)))
 
 
 # ---------------------------------------------------------------------------------------------- 19 invisible text
@@ -192,15 +207,15 @@ def invisible_text_screen(df: DataFrame, strip: bool = True, text: str = "text")
 # ---------------------------------------------------------------------------------------------- 20 secrets
 
 def secrets_steps(text: Column, patterns: Sequence[tuple[str, str]] = tuple(fixed.SECRET_PATTERNS)) -> list[Step]:
-    labels = all_labels(text, [(n, java_pattern(p)) for n, p in patterns])
-    found = F.when(any_may_match(text, [p for _, p in patterns]), F.array_join(labels, ", "))
+    """Reads ``_lower``."""
+    found = F.array_join(all_labels(text, patterns, lowered()), ", ")
     return [Step(20, "Secrets detection", "blocked", F.concat(F.lit("found: "), F.nullif(found, F.lit(""))))]
 
 
 def secrets_screen(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fixed.SECRET_PATTERNS),
                    text: str = "text") -> DataFrame:
     """Block texts holding a credential; all kinds found are listed."""
-    return record_all(df, secrets_steps(F.col(text), patterns))
+    return record_all(df, secrets_steps(F.col(text), patterns), lower_helper(F.col(text)))
 
 
 # ---------------------------------------------------------------------------------------------- 22 gibberish
@@ -211,21 +226,24 @@ GIBBERISH_WORD = (r"(?i)(?<![a-z])(?=[a-z]{4})"
                   r"(?:(?=[b-df-hj-np-tv-xz]++(?![a-z]))|(?=[a-z]*?[b-df-hj-np-tv-xz]{5})|(?=[a-z]*?([a-z])\1{3}))"
                   r"[a-z]+")
 # Every such word holds one of these, so counting them bounds the number of such words from above.
-GIBBERISH_SIGN = "[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]{4}|[Aa]{4}|[Ee]{4}|[Ii]{4}|[Oo]{4}|[Uu]{4}|[Yy]{4}"
+CONSONANT_RUN = "[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]{4}"
+VOWEL_RUN = "[Aa]{4}|[Ee]{4}|[Ii]{4}|[Oo]{4}|[Uu]{4}|[Yy]{4}"
 FLOOD_CHARS, FLOOD_SHARE = 20, 0.4
 
 
 def gibberish_helpers(text: Column) -> dict[str, Column]:
     """Bounds and counts the rule reads more than once."""
     return {"_odd": F.when(F.length(text) >= FLOOD_CHARS, F.length(F.regexp_replace(text, "[A-Za-z0-9 ]+", ""))),
-            "_words": count_matches(text, ASCII_WORD), "_signs": count_matches(text, GIBBERISH_SIGN)}
+            "_words": count_matches(text, ASCII_WORD), "_signs": count_matches(text, CONSONANT_RUN)}
 
 
 def gibberish_steps(text: Column, max_ratio: float = 0.5, min_words: int = 3) -> list[Step]:
+    """Reads ``_lower`` and the helpers."""
     chars = F.length(text)
     symbols = F.length(F.regexp_replace(text, r"(?U)[\p{L}\p{N}\s\x1c-\x1f]+", ""))
     flood = (F.col("_odd") > FLOOD_SHARE * chars) & (symbols / F.nullif(chars, F.lit(0)) > FLOOD_SHARE)
-    open_case = (F.col("_words") >= min_words) & (F.col("_signs") > max_ratio * F.col("_words"))
+    vowels = F.when(holds_any(lowered(), [v * 4 for v in "aeiouy"]), count_matches(text, VOWEL_RUN)).otherwise(0)
+    open_case = (F.col("_words") >= min_words) & (F.col("_signs") + vowels > max_ratio * F.col("_words"))
     ratio = count_matches(text, GIBBERISH_WORD) / F.nullif(F.col("_words"), F.lit(0))
     detail = (F.when(flood, F.lit("mostly symbols"))
               .when(open_case & (ratio > max_ratio), F.concat(percent(ratio).cast("string"), F.lit("% gibberish words"))))
@@ -239,17 +257,18 @@ def gibberish_screen(df: DataFrame, max_ratio: float = 0.5, min_words: int = 3,
     word), and measured exactly only where the bound leaves the outcome open.
     """
     t = F.col(text)
-    return record_all(df, gibberish_steps(t, max_ratio, min_words), gibberish_helpers(t))
+    return record_all(df, gibberish_steps(t, max_ratio, min_words), lower_helper(t) | gibberish_helpers(t))
 
 
 # ---------------------------------------------------------------------------------------------- 23 links
 
 def url_steps(text: Column, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAINS), strict: bool = False) -> list[Step]:
-    bad = F.when(text.rlike(STRICT_LINK if strict else LINK), F.array_join(untrusted_links(text, domains, strict), ", "))
+    """Reads ``_lower``."""
+    bad = F.when(may_link(text, lowered()), F.array_join(untrusted_links(text, domains, strict), ", "))
     return [Step(23, "URL allowlist (input)", "blocked", F.concat(F.lit("blocked: "), F.nullif(bad, F.lit(""))))]
 
 
 def url_screen(df: DataFrame, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAINS), strict: bool = False,
                text: str = "text") -> DataFrame:
     """Block texts with a link outside the allow-list; every such link is listed in order."""
-    return record_all(df, url_steps(F.col(text), domains, strict))
+    return record_all(df, url_steps(F.col(text), domains, strict), lower_helper(F.col(text)))

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
-from turnwarden.functions.gates import any_may_match, holds_any
-from turnwarden.functions.links import LINK, STRICT_LINK, redact_untrusted, untrusted_links
+from turnwarden.functions.gates import any_match, any_may_match, holds_any, may_link
+from turnwarden.functions.links import redact_untrusted, untrusted_links
 from turnwarden.functions.patterns import any_of, count_matches, java_pattern, literal
 from turnwarden.functions.text import keep_first_char, let, lines, rewrite_matches
 from turnwarden.operators.decisions import record, rewrite, start
 
 
-def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, str]], possible: Column) -> DataFrame:
+def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, str]],
+                     possible: Callable[[Column, Column], Column]) -> DataFrame:
     """Replace pattern after pattern, each on the text the one before left: ``_done`` holds the text and a count per
-    pattern. ``possible`` is false only for texts without any match; those have no ``_done``.
+    pattern. ``possible`` (of the text and its lower case) is false only for texts without any match; those have no
+    ``_done``.
     """
     def replaced(so_far: Column, step: tuple[str, str, str]) -> Column:
         _, pattern, replacement = step
@@ -27,7 +29,9 @@ def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, s
             F.concat(s["n"], F.array(count_matches(s["text"], pattern))).alias("n")))
 
     untouched = F.struct(F.col(text).alias("text"), F.array().cast("array<int>").alias("n"))
-    return start(df).withColumn("_done", F.when(possible, reduce(replaced, steps, untouched)))
+    df = start(df).withColumn("_lower", F.lower(F.col(text)))
+    may = possible(F.col(text), F.col("_lower"))
+    return df.withColumn("_done", F.when(may, reduce(replaced, steps, untouched))).drop("_lower")
 
 
 def _finish(df: DataFrame, text: str, number: int, name: str, detail: Column) -> DataFrame:
@@ -47,7 +51,7 @@ def pii_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fixed.
                text: str = "text", counts: bool = False) -> DataFrame:
     """Replace personal data by its label, most specific kind first. ``counts=True`` keeps one count column per kind."""
     steps = [(label, java_pattern(p), f"[REDACTED_{label}]") for label, p in patterns]
-    df = _replace_in_turn(df, text, steps, any_may_match(F.col(text), [p for _, p in patterns]))
+    df = _replace_in_turn(df, text, steps, lambda t, low: any_match(t, [p for _, p in patterns], low))
     parts = [F.when(_n(i) > 0, F.concat(_n(i).cast("string"), F.lit(f" {label}"))) for i, (label, _, _) in enumerate(steps)]
     if counts:
         df = df.withColumns({f"n_{label.lower()}": F.coalesce(_n(i), F.lit(0)) for i, (label, _, _) in enumerate(steps)})
@@ -58,7 +62,7 @@ def secrets_redact(df: DataFrame, patterns: Sequence[tuple[str, str]] = tuple(fi
                    text: str = "text") -> DataFrame:
     """Replace credentials by their kind, list order; an earlier label can hide a later match."""
     steps = [(n, java_pattern(p), f"[REDACTED_{n.upper().replace(' ', '_')}]") for n, p in patterns]
-    df = _replace_in_turn(df, text, steps, any_may_match(F.col(text), [p for _, p in patterns]))
+    df = _replace_in_turn(df, text, steps, lambda t, low: any_match(t, [p for _, p in patterns], low))
     parts = [F.when(_n(i) > 0, F.lit(n)) for i, (n, _, _) in enumerate(steps)]
     return _finish(df, text, 20, "Secrets detection", _listed(parts, "redacted: "))
 
@@ -67,7 +71,8 @@ def url_redact(df: DataFrame, domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAI
                text: str = "text") -> DataFrame:
     """Replace each link outside the allow-list where it stands; the distinct ones are listed, leftmost first."""
     bad = F.array_join(F.array_distinct(untrusted_links(F.col(text), domains, strict)), ", ")
-    df = start(df).withColumn("_bad", F.when(F.col(text).rlike(STRICT_LINK if strict else LINK), bad))
+    df = start(df).withColumn("_lower", F.lower(F.col(text)))
+    df = df.withColumn("_bad", F.when(may_link(F.col(text), F.col("_lower")), bad)).drop("_lower")
     df = record(df, 23, "URL allowlist (output)", "modified",
                 F.when(F.col("_bad") != "", F.concat(F.lit("removed: "), F.col("_bad"))))
     return rewrite(df, text, F.col("_bad") != "", redact_untrusted(F.col(text), domains, strict)).drop("_bad")
@@ -80,8 +85,9 @@ def dangerous_code_filter(df: DataFrame, patterns: Sequence[str] = tuple(fixed.D
     A line can only match if the text does, so other texts are never cut into lines.
     """
     merged = any_of(patterns, ignore_case=True)
-    possible = any_may_match(F.col(text), patterns, ignore_case=True) & F.col(text).rlike(merged)
-    df = start(df).withColumn("_lines", F.when(possible, lines(F.col(text))))
+    df = start(df).withColumn("_lower", F.lower(F.col(text)))
+    possible = any_may_match(F.col(text), patterns, True, F.col("_lower")) & F.col(text).rlike(merged)
+    df = df.withColumn("_lines", F.when(possible, lines(F.col(text))))
     df = df.withColumn("_kept", F.transform(
         "_lines", lambda ln: F.when(ln.rlike(merged), F.lit(fixed.COMMAND_MASK)).otherwise(ln)))
     changed = F.zip_with("_kept", "_lines", lambda a, b: a != b)
@@ -89,15 +95,16 @@ def dangerous_code_filter(df: DataFrame, patterns: Sequence[str] = tuple(fixed.D
     df = record(df, 28, "Dangerous code filter", "modified",
                 F.when(F.col("_n") > 0, F.concat(F.lit("removed "), F.col("_n").cast("string"), F.lit(" line(s)"))))
     rewritten = F.concat(F.array_join("_kept", "\n"), F.lit(fixed.COMMAND_WARNING))
-    return rewrite(df, text, F.col("_n") > 0, rewritten).drop("_lines", "_kept", "_n")
+    return rewrite(df, text, F.col("_n") > 0, rewritten).drop("_lines", "_kept", "_n", "_lower")
 
 
 def profanity_mask(df: DataFrame, stems: Sequence[str] = tuple(fixed.PROFANITY_STEMS), text: str = "text",
                    counts: bool = False) -> DataFrame:
     """Mask words that start with a listed stem: the first character stays, the rest become asterisks."""
     pattern = java_pattern(r"\b(?:" + "|".join(literal(s) for s in stems) + r")\w*", ignore_case=True)
-    possible = holds_any(F.col(text), [s.lower() for s in stems], ignore_case=True)
-    df = start(df).withColumn("_n", F.when(possible, count_matches(F.col(text), pattern)).otherwise(0))
+    df = start(df).withColumn("_lower", F.lower(F.col(text)))
+    possible = holds_any(F.col(text), [s.lower() for s in stems], True, F.col("_lower"))
+    df = df.withColumn("_n", F.when(possible, count_matches(F.col(text), pattern)).otherwise(0)).drop("_lower")
     df = record(df, 29, "Toxicity filter", "modified",
                 F.when(F.col("_n") > 0, F.concat(F.lit("masked "), F.col("_n").cast("string"), F.lit(" word(s)"))))
     df = rewrite(df, text, F.col("_n") > 0, rewrite_matches(F.col(text), pattern, keep_first_char))
@@ -123,7 +130,7 @@ def brand_scrub(df: DataFrame, terms: Sequence[str] = tuple(fixed.COMPETITORS),
     """Replace competitor names, whole words in any case, in list order."""
     steps = [(t, java_pattern(r"\b" + literal(t) + r"\b", ignore_case=True), replacement.replace("$", r"\$"))
              for t in terms]
-    df = _replace_in_turn(df, text, steps, holds_any(F.col(text), [t.lower() for t in terms], ignore_case=True))
+    df = _replace_in_turn(df, text, steps, lambda t, low: holds_any(t, [x.lower() for x in terms], True, low))
     parts = [F.when(_n(i) > 0, F.lit(t)) for i, (t, _, _) in enumerate(steps)]
     return _finish(df, text, 15, "Brand safety", _listed(parts, "scrubbed: "))
 

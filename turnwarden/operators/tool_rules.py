@@ -109,8 +109,9 @@ def indirect_injection_scan(results: DataFrame, patterns: Sequence[str] = tuple(
     A line can only match if the text does, so clean results are scanned once and never cut into lines.
     """
     merged = any_of(patterns, ignore_case=True)
-    possible = any_may_match(F.col(text), patterns, ignore_case=True) & F.col(text).rlike(merged)
-    df = start(results).withColumn("_lines", F.when(possible, lines(F.col(text))))
+    df = start(results).withColumn("_lower", F.lower(F.col(text)))
+    possible = any_may_match(F.col(text), patterns, True, F.col("_lower")) & F.col(text).rlike(merged)
+    df = df.withColumn("_lines", F.when(possible, lines(F.col(text))))
     df = df.withColumn("_clean", F.filter("_lines", lambda ln: ~ln.rlike(merged)))
     df = df.withColumn("removed_lines", F.coalesce(F.size("_lines") - F.size("_clean"), F.lit(0)))
     n = F.col("removed_lines").cast("string")
@@ -119,7 +120,7 @@ def indirect_injection_scan(results: DataFrame, patterns: Sequence[str] = tuple(
         F.concat(F.lit("removed "), n, F.lit(" line(s) from "), F.col(source).cast("string"), F.lit(" output"))))
     clean = F.concat(F.lit("[Sanitized: "), n, F.lit(" line(s) with embedded instructions removed]\n"),
                      F.array_join("_clean", "\n"))
-    return rewrite(df, text, F.col("removed_lines") > 0, clean).drop("_lines", "_clean")
+    return rewrite(df, text, F.col("removed_lines") > 0, clean).drop("_lines", "_clean", "_lower")
 
 
 # ---------------------------------------------------------------------------------------------- 8 call cap

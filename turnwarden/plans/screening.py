@@ -27,7 +27,7 @@ from turnwarden.operators.rate_limit import rate_limit_screen
 
 @dataclass(frozen=True)
 class InputSettings:
-    """Parameters of the input stack; the defaults are the reference settings."""
+    """Parameters of the input stack; the defaults are the documented ones."""
     max_requests: int = fixed.RATE_MAX_REQUESTS
     window_seconds: float = fixed.RATE_WINDOW_SECONDS
     max_chars: int = fixed.MAX_INPUT_CHARS
@@ -90,14 +90,15 @@ def _text_rules(df: DataFrame, s: InputSettings, text: str, after_gibberish: lis
         df = record_all(df, raw)
     if 19 not in s.skip:
         df = rewrite(df, text, alive() & inp.may_hide(t), inp.visible(t))
-    seen = chosen(inp.gibberish_steps(t), after_gibberish, inp.crisis_signal_steps(t), after_signals, inp.injection_steps(t),
+    seen = chosen(inp.gibberish_steps(t), after_gibberish, inp.crisis_signal_steps(), after_signals, inp.injection_steps(t),
                   inp.secrets_steps(t), inp.pii_steps(t, custom=s.custom_pii))
     if seen:
-        df = record_all(df, seen, {} if 22 in s.skip else inp.gibberish_helpers(t))
-    if 5 not in s.skip:
-        df = rewrite(df, text, alive() & inp.pii_possible(t, custom=s.custom_pii), inp.pii_masked(t, custom=s.custom_pii))
-    masked = chosen(inp.keyword_steps(t, s.keywords), inp.url_steps(t, s.domains), after_links)
-    return record_all(df, masked, last_helpers) if masked else df
+        helpers = inp.lower_helper(t) | inp.pii_helper(t, custom=s.custom_pii)
+        df = record_all(df, seen, helpers if 22 in s.skip else helpers | inp.gibberish_helpers(t))
+    if 5 not in s.skip or 6 not in s.skip:
+        df = rewrite(df, text, alive() & inp.pii_recorded(), inp.pii_masked(t, custom=s.custom_pii))
+    masked = chosen(inp.keyword_steps(s.keywords), inp.url_steps(t, s.domains), after_links)
+    return record_all(df, masked, inp.lower_helper(t) | last_helpers) if masked else df
 
 
 def deterministic_input(df: DataFrame, settings: InputSettings = InputSettings(), text: str = "text") -> DataFrame:
