@@ -74,14 +74,6 @@ def _(spark, folder):
     return decided(inp.length_screen(read_table(spark, folder, "documents"), 4000), "doc_id")
 
 
-def masked_sql(column: str, labelled) -> str:
-    """Each kind that is in the raw text is masked on the text the kinds before it left."""
-    for name, p in labelled:
-        column = (f"CASE WHEN regexp_matches(raw, {lit(p)}) THEN "
-                  + sql_rewrite(f"({column})", p, "repeat('*', length(m))") + f" ELSE ({column}) END")
-    return column
-
-
 def mask_steps_sql(source: str, key: str, labelled) -> str:
     """The masking as a chain of sub-queries, one per kind."""
     q = f"SELECT {key}, text AS raw, text FROM {source}"

@@ -8,7 +8,6 @@ requests one user makes within one micro-batch are sorted together.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
 from turnwarden.operators.rate_limit import requests
