@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnwarden.llm import quality
+from turnwarden.llm import licenses, mixing, quality
 from turnwarden.llm.text import read
 
 QUERIES: dict = {}
@@ -47,3 +47,14 @@ WITH d AS (
 )
 SELECT *, ({_BASE}) AS base_failed, {_FAILED} AS failed, {_FAILED} = '' AS kept FROM m
 """
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return licenses.digest(licenses.scan(docs)).drop("text")
+
+
+@query
+def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents").select("doc_id", "source", "text"))

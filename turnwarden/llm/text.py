@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from turnwarden.sources.shared import settle
+
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -25,3 +27,22 @@ def computed_once(df: DataFrame, keep, columns) -> DataFrame:
     generates the column, so a filter on ``columns`` never computes them again, while one on ``keep`` still reaches the scan.
     """
     return df.select(*keep, F.explode(F.array(F.struct(*columns))).alias("_once")).select(*keep, "_once.*")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str, purpose: str) -> DataFrame:
+    """``df`` with ``name``: 0, 1, 2, ... in the given order, without gathering the rows in one task.
+
+    Rows are dealt out by ranges of ``order`` and written; each range counts its rows, and only these counts (one per range)
+    pass through the driver.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), purpose)
+    offsets, total = [], 0
+    for row in ranged.groupBy("_range").count().orderBy("_range").collect():
+        offsets.append((row["_range"], total))
+        total += row["count"]
+    starts = spark.createDataFrame(offsets, "_range int, _start long")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return ranged.withColumn("_place", place).join(F.broadcast(starts), "_range").withColumn(
+        name, F.col("_start") + F.col("_place")).drop("_range", "_start", "_place")
