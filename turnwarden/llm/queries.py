@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from turnwarden.llm import licenses, mixing, quality
+from turnwarden.llm import licenses, mixing, pieces, quality, warc
 from turnwarden.llm.text import read
+from turnwarden.sources.shared import new_folder
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -58,3 +62,43 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents").select("doc_id", "source", "text"))
+
+
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write(read(spark, folder, "pages").select("page_id", "url", "html"), path)
+    back = warc.read_warc(spark, path, ["response", "revisit"])
+    return back.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        F.coalesce(F.length("payload").cast("long"), F.col("payload_length")).alias("payload_bytes"),
+        F.coalesce(warc.base32(F.sha1("payload")), F.substring("payload_digest", 6, 32)).alias("payload_digest"),
+        "record_type", warc.page_number(F.col("refers_to")).alias("refers_to"))
+
+
+ORACLE["op8_warc"] = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+), d AS (
+  SELECT *, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('{warc.BASE32}', CAST(1 +
+         ((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public vocabulary file; ``LLM_TOKENIZERS`` names another folder."""
+    return os.path.join(os.environ.get("LLM_TOKENIZERS", "/opt/tokenizers"), name)
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    shared = pieces.share(spark, tokenizer("piece_bpe_32k.model"))
+    docs = pieces.encode(read(spark, folder, "documents").select("doc_id", "text"), shared)
+    back = pieces.decoder(shared)(F.col("ids"))
+    return docs.withColumn("round_trip", back == pieces.plain(F.col("text"))).drop("text")
