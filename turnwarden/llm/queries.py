@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwarden.llm import licenses, mixing, pieces, quality, warc
+from turnwarden.llm import fingerprints, licenses, mixing, pieces, quality, warc
 from turnwarden.llm.text import read
 from turnwarden.sources.shared import new_folder
 
@@ -102,3 +102,8 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = pieces.encode(read(spark, folder, "documents").select("doc_id", "text"), shared)
     back = pieces.decoder(shared)(F.col("ids"))
     return docs.withColumn("round_trip", back == pieces.plain(F.col("text"))).drop("text")
+
+
+@query
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, folder, "documents").select("doc_id", "text"))
