@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwarden.llm import fingerprints, licenses, mixing, packing, pieces, quality, warc
+from turnwarden.llm import fingerprints, licenses, minhash, mixing, packing, pieces, quality, warc
 from turnwarden.llm.text import read
 from turnwarden.sources.shared import new_folder
 
@@ -114,3 +114,8 @@ def op5_token_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "packed")
     packing.write(read(spark, folder, "documents"), path, packing.share(spark, tokenizer("byte_bpe_50k.tiktoken")))
     return spark.read.schema(packing.SCHEMA).parquet(path)
+
+
+@query
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.groups(read(spark, folder, "documents").select("doc_id", "text"))
