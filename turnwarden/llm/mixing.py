@@ -2,7 +2,7 @@
 
 1. Every document gets its size in words. Sources in code point order (null last) weigh 1, 2, 3, 1, 2, 3, ... and share the
    total of all sizes by weight; a target stops at three times its source, and what is over is shared again among the rest.
-2. The documents of a source are dealt by hash into shards of about ``SHARD`` words. In a shard they follow one another in
+2. The documents of a source are dealt by hash into shards of about equal words. In a shard they follow one another in
    seeded order, and the row of their words is cut into blocks of (nearly) equal size.
 3. Seats, a seat being one use of a block, go to sources and then to the shards of each source by highest quotients
    ``w / (2 s + 1)``, so every shard gets an integer quota, at most three times its blocks.
@@ -28,8 +28,9 @@ MOST = 3
 #: Words in a block, at most; small corpora are cut into ``BLOCKS`` blocks, so that targets can be met closely.
 BLOCK = 2048
 BLOCKS = 20_000
-#: Words in a shard.
-SHARD = 4_000_000
+#: Words in a shard, unless that makes more than ``SHARDS`` of them; their number bounds what is ranked per source.
+SHARD = 250_000
+SHARDS = 1_000_000
 WEIGHTS = (1, 2, 3)
 
 
@@ -83,7 +84,7 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: st
     of = settle(targets(sized), "mix-targets")
     total = of.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, min(BLOCK, total // BLOCKS))
-    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / max(SHARD, total / SHARDS)))
     known = sized.join(of, sized["source"].eqNullSafe(of["source"])).select(sized["*"], "_sid", "source_size", "target")
     # The shard is the high part of one number and the order within it another, so that neither tells the other.
     known = known.withColumns({"_shard": F.pmod("_key", shards), "_order": F.xxhash64(F.col("_key"), F.lit(seed + 1))})
@@ -92,8 +93,9 @@ def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: st
     sizes = placed.groupBy("_sid", "_shard").agg(F.sum("size").alias("_words")).filter("_words > 0").withColumn(
         "_blocks", F.greatest(F.lit(1), F.round(F.col("_words") / block)).cast("long"))
     sizes = settle(sizes, "mix-shards")
-    parties = sizes.groupBy("_sid").agg(F.sum("_blocks").alias("_blocks")).join(of, "_sid").select(
-        "_sid", F.lit(0).alias("_all"), (F.col("target") / F.col("source_size") * F.col("_blocks")).alias("_weight"), (F.col("_blocks") * MOST).alias("_cap"))
+    # Written, so that the one group is a column to join on.
+    parties = settle(sizes.groupBy("_sid").agg(F.sum("_blocks").alias("_blocks")).join(of, "_sid").select(
+        "_sid", F.lit(0).alias("_all"), (F.col("target") / F.col("source_size") * F.col("_blocks")).alias("_weight"), (F.col("_blocks") * MOST).alias("_cap")), "mix-parties")
     seats = parties.groupBy("_all").agg(F.round(F.sum("_weight")).cast("long").alias("_n"))
     per_source = highest_quotients(parties, "_all", "_sid", "_weight", "_cap", seats).select("_sid", F.col("quota").alias("_n"))
     quotas = highest_quotients(sizes.withColumns({"_weight": F.col("_blocks").cast("double"), "_cap": F.col("_blocks") * MOST}),
