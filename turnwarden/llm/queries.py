@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwarden.llm import fingerprints, licenses, minhash, mixing, packing, pieces, quality, suffixes, warc
+from turnwarden.llm import fingerprints, licenses, minhash, mixing, packing, passages, pieces, quality, suffixes, warc
 from turnwarden.llm.text import read
 from turnwarden.sources.shared import new_folder
 
@@ -125,3 +125,8 @@ def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op7_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.removed(read(spark, folder, "documents").select("doc_id", "text"))
     return found.select("_doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.near_passages(read(spark, folder, "documents").select("doc_id", "text"))
