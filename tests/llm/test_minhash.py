@@ -47,7 +47,7 @@ def test_groups_equal_brute_force(spark, tiny):
     assert any(not r.kept for r in check(spark, rows))
 
 
-@pytest.mark.parametrize("pivots", [0, 6])
+@pytest.mark.parametrize("pivots", [0, 1])
 def test_chains_and_large_groups(spark, monkeypatch, pivots):
     """Chains of edits reach far below the similarity; components must not depend on the pivot."""
     monkeypatch.setattr(minhash, "PIVOTS", pivots)

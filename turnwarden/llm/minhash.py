@@ -9,8 +9,8 @@
 2. Texts of equal sets form a class, of which the smallest id takes part. Every ``ROWS`` places are a band; equal bands make a
    bucket. A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^31 < 1e-7.
 3. In a bucket, every class is first compared with one pivot, so a bucket of any size makes a linear number of pairs. Pairs are
-   confirmed on their full sets. Then only classes that are not yet connected need comparing: with further pivots while such
-   pairs are many, and in the end all of them, so that no link between unconnected classes is left out.
+   confirmed on their full sets. Then only classes that are not yet connected need comparing: with further pivots, and in the
+   end all of them with each other, so that no link between unconnected classes is left out.
 4. Links are contracted to stars (large star, small star) until nothing changes; rounds are written to the shared folder.
 
 Defined results: a text without words has an empty set and is linked with nothing; one word is a set of one; a null id takes
@@ -36,8 +36,8 @@ SLOTS, ROWS = 127, 4
 BANDS = SLOTS // ROWS
 #: Least similarity in per cent.
 SIMILAR = 80
-#: Rounds with a further pivot per bucket, before all pairs that are left are compared.
-PIVOTS = 6
+#: Rounds with a further pivot per bucket, before all pairs that are left and can be alike are compared.
+PIVOTS = 1
 
 _FREE = np.uint64(2**64 - 1)
 
@@ -122,25 +122,26 @@ def sketch(docs: DataFrame, doc_id: str, text: str, size: int, with_sets: bool)
         run, "doc_id long, n long, digest binary, list array<long>")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, doc_id: str, text: str, size: int, similar: int) -> DataFrame:
-    """Of ``pairs`` of (struct of rep, digest, n) a and b, those alike enough: the ids ``u`` and ``v``. Only texts in a pair
-    are read again; what is shuffled is the set of a text once per pair."""
-    pairs = settle(pairs, "minhash-pairs")
-    ends = pairs.select("a.rep", "a.digest").union(pairs.select("b.rep", "b.digest")).distinct()
+def sets_of(docs: DataFrame, ends: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """``rep, digest, list``: the full sets of the classes in ``ends`` (rep, digest), from their representatives' texts."""
+    ends = settle(ends.distinct(), "minhash-ends")
     rows = docs.join(ends.select(F.col("rep").alias(doc_id)).distinct(), doc_id, "left_semi")
-    sets = sketch(rows, doc_id, text, size, True).join(ends.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
-    sets = settle(sets.select("doc_id", "digest", "list"), "minhash-sets")
+    sets = sketch(rows, doc_id, text, size, True).select(F.col("doc_id").alias("rep"), "digest", "list")
+    return settle(sets.join(ends, ["rep", "digest"], "left_semi"), "minhash-sets")
 
-    def side(name: str) -> DataFrame:
-        return sets.select(F.struct(F.col("doc_id").alias("rep"), "digest").alias(f"_{name}"), F.col("list").alias(f"set_{name}"))
 
-    def end(name: str) -> Column:
-        return F.struct(F.col(f"{name}.rep").alias("rep"), F.col(f"{name}.digest").alias("digest")).alias(f"_{name}")
+def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Of ``pairs`` of (struct of rep, digest, n) a and b, those alike enough: the ids ``u`` and ``v``."""
+    def side(x: str) -> DataFrame:
+        return sets.select(F.struct("rep", "digest").alias(f"_{x}"), F.col("list").alias(f"set_{x}"))
+
+    def end(x: str) -> Column:
+        return F.struct(F.col(f"{x}.rep").alias("rep"), F.col(f"{x}.digest").alias("digest")).alias(f"_{x}")
 
     both = pairs.select("a", "b", end("a"), end("b")).join(side("a"), "_a").join(side("b"), "_b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    return both.filter(shared * 100 >= (F.col("a.n") + F.col("b.n") - shared) * similar).select(
-        F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct()
+    return settle(both.filter(shared * 100 >= (F.col("a.n") + F.col("b.n") - shared) * similar).select(
+        F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct(), "minhash-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -170,6 +171,14 @@ def close_pairs(df: DataFrame, similar: int) -> DataFrame:
     return df.filter(low * 100 >= high * similar)
 
 
+def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component, with the component as ``label``."""
+    label = F.coalesce("component", F.col("a.rep")).alias("label")
+    labelled = members.join(labels, F.col("a.rep") == F.col("node"), "left").select("key", "a", label)
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
+    return settle(labelled.join(mixed, "key"), "minhash-open")
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, similar: int = SIMILAR) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     rows = settle(sketch(docs, doc_id, text, size, False), "minhash-sketch")
@@ -177,33 +186,30 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("list").alias("keys"))
     entries = classes.select(F.explode("keys").alias("key"), F.struct("rep", "digest", "n").alias("a"))
     pivots = entries.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("c")).filter("c > 1")
-    members = settle(entries.join(pivots.drop("c"), "key"), "minhash-buckets")
-    first = close_pairs(members.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), similar)
-    links = settle(verified(docs, first, doc_id, text, size, similar), "minhash-links")
+    members = settle(entries.join(pivots, "key"), "minhash-buckets")
+    pairs = settle(close_pairs(members.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), similar), "minhash-pairs")
+    ends = pairs.select("a.rep", "a.digest").union(pairs.select("b.rep", "b.digest"))
+    links = verified(pairs, sets_of(docs, ends, doc_id, text, size), similar)
     labels = components(links)
+    # A bucket of two has no pair that its pivot has not seen.
+    left, sets = still_open(members.filter("c > 2"), labels), None
     for turn in range(PIVOTS + 1):
-        label = F.coalesce("component", F.col("a.rep")).alias("label")
-        labelled = members.join(labels, F.col("a.rep") == F.col("node"), "left").select("key", "a", "b", label)
-        parts = labelled.groupBy("key", "label").agg(F.count("*").alias("c"))
-        open_ = parts.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("s"), F.count("*").alias("k")).filter("k > 1")
-        left = settle(labelled.join(open_.select("key", ((F.col("n") * F.col("n") - F.col("s")) / 2).alias("pairs")), "key"), "minhash-open")
-        # A bucket of two classes has no pair that the pivot has not seen.
-        size_left = left.groupBy("key").agg(F.first("pairs").alias("p"), F.count("*").alias("n")).agg(F.sum("p"), F.sum("n")).first()
-        if not size_left[0]:
+        if left.isEmpty():
             break
-        if size_left[0] <= 4 * size_left[1] or turn == PIVOTS:
-            x = left.filter(F.col("a") != F.col("b")).select("key", F.col("a"), F.col("label").alias("la"))
-            y = x.select("key", F.col("a").alias("b"), F.col("la").alias("lb"))
-            more = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b"))).select("a", "b")
+        if sets is None:
+            sets = sets_of(docs, left.select("a.rep", "a.digest"), doc_id, text, size)
+        if turn < PIVOTS:
+            # Another pivot in every bucket, so a class meets as many of a group as it has buckets with it.
+            order = F.struct(F.xxhash64(F.lit(turn), "key", F.col("a.digest")).alias("o"), "a", "label")
+            turned = left.groupBy("key").agg(F.min(order).alias("p")).select("key", F.col("p.a").alias("b"), F.col("p.label").alias("other"))
+            more = left.join(turned, "key").filter("label <> other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         else:
-            order = F.struct(F.xxhash64(F.lit(turn), F.col("a.digest")), "a", "label")
-            turned = left.groupBy("key").agg(F.min(order).alias("p")).select("key", F.col("p.a").alias("p"), F.col("p.label").alias("lp"))
-            more = left.join(turned, "key").filter("label <> lp").select("a", F.col("p").alias("b"))
-        found = settle(verified(docs, close_pairs(more.distinct(), similar), doc_id, text, size, similar), "minhash-links")
-        labels = components(links.unionByName(found))
-        links = links.unionByName(found)
-        if size_left[0] <= 4 * size_left[1]:
-            break
+            more = unconnected(left, sets, similar)
+        new = verified(close_pairs(more.distinct(), similar), sets, similar)
+        if not new.isEmpty():
+            labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(new))
+        if turn < PIVOTS:
+            left = still_open(left.select("key", "a"), labels)
     of = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
     own = F.col("doc_id")
@@ -212,6 +218,33 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def unconnected(left: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Every pair of open classes of different components that can be alike, exactly.
+
+    Two sets of n and m elements that are alike enough share one of the n - ceil(similar n) + 1 elements of the first and of as
+    many of the second, if both list their elements in the same order (prefix filter). Rare elements come first, so texts that
+    have a common passage but else go their own ways do not meet. A pair comes once, under the first element that both list, and
+    only if what both list from there on can be enough.
+    """
+    of = left.select("a", "label").distinct().withColumns({"rep": F.col("a.rep"), "digest": F.col("a.digest")})
+    texts = of.join(sets, ["rep", "digest"]).select("a", "label", F.explode("list").alias("token"))
+    counts = settle(texts.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1"), "minhash-tokens")
+    listed = texts.join(counts, "token").groupBy("a", "label").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
+    # Elements that no other set has are at the head of the list; they use up places of the prefix.
+    alone = F.col("a.n") - F.size("t")
+    room = F.col("a.n") - F.ceil(F.col("a.n") * similar / 100) + 1 - alone
+    prefix = settle(listed.filter(room > 0).select(
+        "a", "label", alone.alias("alone"), F.transform(F.slice("t", F.lit(1), room.cast("int")), lambda x: x["token"]).alias("ts")), "minhash-prefixes")
+    rows = prefix.select("a", "label", "ts", "alone", F.posexplode("ts").alias("at", "token"))
+    # What a set lists from this element on.
+    rows = rows.select("token", "a", "label", "ts", (F.col("a.n") - F.col("alone") - F.col("at")).alias("rest"))
+    x, y = rows.alias("x"), rows.select("token", F.col("a").alias("b"), "label", "ts", "rest").alias("y")
+    low, high, both = F.least("a.n", "b.n"), F.greatest("a.n", "b.n"), F.col("a.n") + F.col("b.n")
+    can_be = (low * 100 >= high * similar) & (F.least("x.rest", "y.rest") * (100 + similar) >= both * similar)
+    first = F.get(F.array_intersect("x.ts", "y.ts"), F.lit(0)) == F.col("x.token")
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("a") < F.col("b")) & (F.col("x.label") != F.col("y.label")) & can_be & first).select("a", "b")
+
+
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **named) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id. Only the ids of what goes are joined."""
     gone = groups(docs, doc_id, text, **named).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
