@@ -43,19 +43,22 @@ def alive() -> Column:
     return F.col("blocked_by").isNull()
 
 
-def pinned() -> Column:
-    """Always true, but not a function of the row.
+def computed_once(df: DataFrame, changed: dict[str, Column]) -> DataFrame:
+    """``df`` with columns replaced, computed in a one-row generator.
 
-    Each rule reads what the one before wrote more than once. The optimizer moves a later filter below projections by
-    copying their expressions into it, which over a stack of rules would multiply without end; it leaves projections
-    that hold such a term where they are.
+    A round reads what the one before wrote more than once. The optimizer moves a later filter below projections by
+    copying the expressions it names, which over a stack would multiply without end. It does not move a filter below
+    the generator of the column it names, while a filter on any other column still reaches the scan.
     """
-    return F.spark_partition_id() >= 0
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in changed.items()]))).alias("_round")
+    others = [F.col(f"`{c}`") for c in df.columns if c not in changed]
+    return df.select(*others, made).select(
+        *[F.col(f"_round.`{c}`").alias(c) if c in changed else F.col(f"`{c}`") for c in df.columns])
 
 
 def rewrite(df: DataFrame, text: str, condition: Column, new: Column) -> DataFrame:
     """Replace ``text`` where ``condition`` holds."""
-    return df.withColumn(text, F.when(condition & pinned(), new).otherwise(F.col(text)))
+    return computed_once(df, {text: F.when(condition, new).otherwise(F.col(f"`{text}`"))})
 
 
 class Step(NamedTuple):
@@ -82,15 +85,15 @@ def record_all(df: DataFrame, steps: Sequence[Step], helpers: dict[str, Column]
         entry = event(step.number, step.name, step.action, F.col(f"_d{i}"))
         entries.append(F.when(hit if stopped is None else hit & ~stopped, entry))
         if step.action == "blocked":
-            stops.append(F.when(hit & pinned(), F.lit(step.number)))
+            stops.append(F.when(hit, F.lit(step.number)))
             stopped = hit if stopped is None else stopped | hit
-    any_fired = reduce(lambda x, y: x | y, fired) & pinned()
+    any_fired = reduce(lambda x, y: x | y, fired)
     changed = {
         "decisions": F.when(any_fired, F.concat("decisions", F.array_compact(F.array(*entries))))
         .otherwise(F.col("decisions")),
         "blocked_by": F.coalesce("blocked_by", *stops) if stops else F.col("blocked_by"),
     }
-    return df.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in kept])
+    return computed_once(df, changed).select(*[F.col(f"`{c}`") for c in kept])
 
 
 def record(df: DataFrame, number: int, name: str, action: str, detail: Column) -> DataFrame:

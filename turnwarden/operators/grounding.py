@@ -68,11 +68,9 @@ def grounding_check(answers: DataFrame, contexts: DataFrame, judged: DataFrame |
     return rewrite(df, text, bad, F.lit(fixed.UNGROUNDED_REPLACEMENT)).drop("_context", "_bad")
 
 
-def word_overlap(question: Column, answer: Column, min_length: int = 4) -> Column:
-    """Shared longer words as a share of the shorter side's, 0 without any."""
-    def longer(text: Column) -> Column:
-        return F.filter(tokens(text), lambda w: F.length(w) >= min_length)
-    q, a = longer(question), longer(answer)
+def word_overlap(question: Column, answer: Column) -> Column:
+    """Shared words as a share of the shorter side's, 0 without any."""
+    q, a = tokens(question), tokens(answer)
     return F.coalesce(F.size(F.array_intersect(q, a)) / F.nullif(F.least(F.size(q), F.size(a)), F.lit(0)), F.lit(0.0))
 
 

@@ -163,7 +163,8 @@ def crisis_signal_screen(df: DataFrame, signals: Sequence[str] = tuple(fixed.CRI
 
 # ---------------------------------------------------------------------------------------------- 19 invisible text
 
-HIDDEN = r"[\p{Cf}\p{Co}\p{Cn}\x{E0000}-\x{E007F}]"
+_LATER = "".join("-".join(rf"\x{{{end}}}" for end in r.split("-")) for r in fixed.ASSIGNED_LATER)
+HIDDEN = rf"[\p{{Cf}}\p{{Co}}\x{{E0000}}-\x{{E007F}}[\p{{Cn}}&&[^{_LATER}]]]"
 TAG = r"[\x{E0000}-\x{E007F}]"
 TAG_BASE = 0xE0000
 

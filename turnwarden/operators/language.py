@@ -12,14 +12,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
 from turnwarden.operators.decisions import Step, record_all, start
 from turnwarden.sources.shared import settle
 
-PROFILE_GRAMS = 400
 SCALE = 10_000  # log-probabilities are kept as whole ten-thousandths, so sums do not depend on their order
 
 
@@ -35,20 +33,19 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(letters, F.lit("(?s)(?=(.{3}))"), F.lit(1))
 
 
-def fit(labelled: DataFrame, text: str = "text", language: str = "lang",
-        profile_grams: int = PROFILE_GRAMS) -> LanguageModel:
-    counts = (labelled.select(F.col(language).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+def fit(labelled: DataFrame, text: str = "text", language: str = "lang") -> LanguageModel:
+    """Counts of all trigrams seen, smoothed over the trigrams seen in any language."""
+    profile = (labelled.select(F.col(language).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
               .groupBy("lang", "gram").agg(F.count("*").alias("n")))
-    most = W.partitionBy("lang").orderBy(F.col("n").desc(), F.col("gram"))
-    profile = settle(counts.withColumn("_r", F.row_number().over(most)).filter(F.col("_r") <= profile_grams)
-                     .drop("_r"), "language-profile")
+    profile = settle(profile, "language-profile")
+    different = profile.select("gram").distinct().count()
     totals = profile.groupBy("lang").agg(F.sum("n").alias("total"))
     known = {r["lang"]: r["total"] for r in totals.collect()}
     languages = tuple(sorted(known))
     weights = {}
     for i, lang in enumerate(languages):
         n = F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0))
-        share = (n + 0.5) / F.lit(known[lang] + 0.5 * profile_grams * len(languages))
+        share = (n + 0.5) / F.lit(known[lang] + 0.5 * different)
         weights[f"w{i}"] = F.round(F.log(share) * SCALE).cast("long")
     grams = profile.groupBy("gram").agg(*[w.alias(name) for name, w in weights.items()])
     return LanguageModel(languages, settle(grams, "language-model"))
@@ -58,7 +55,7 @@ def score(df: DataFrame, model: LanguageModel, key: str, text: Column) -> DataFr
     """(key, language, probability) of the most likely language; texts without a known trigram have no row."""
     names = [f"w{i}" for i in range(len(model.languages))]
     sums = (df.select(key, F.explode(trigrams(text)).alias("gram"))
-            .join(F.broadcast(model.grams), "gram")
+            .join(model.grams, "gram")
             .groupBy(key).agg(*[F.sum(n).alias(n) for n in names]))
     best = F.array_max(F.array(*names))
     odds = sum((F.exp((F.col(n) - best) / SCALE) for n in names), F.lit(0.0))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from turnwarden import fixed_values as fixed
 from turnwarden.functions.links import host, host_suffixes
 from turnwarden.functions.text import trim_space
-from turnwarden.sources.shared import broadcast_if_small
 
 INLINE_ROWS = 256
 PROBE = 3
@@ -25,20 +24,20 @@ def _inline(dimension: DataFrame, rows: int):
     return sorted(found, key=lambda r: r["ord"]) if len(found) <= rows else None
 
 
-def _contained(df: DataFrame, key: str, text: Column, dimension: DataFrame, term: str) -> DataFrame:
-    """(key, ord, term, text) for every dimension row whose term is a substring of ``text``."""
+def _contained(df: DataFrame, text: Column, dimension: DataFrame, term: str) -> DataFrame:
+    """(_q, ord, term, text) for every text ``_q`` and dimension row whose term is a substring of it. Equal texts are
+    looked up once, so the result does not depend on keys; an empty term is in every text."""
     sizes = [r[0] for r in dimension.select(F.least(F.length(term), F.lit(PROBE)).alias("n")).distinct().collect()]
     probes = F.array_distinct(F.concat(
-        *[F.regexp_extract_all(F.col("_q"), F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in sizes if n]))
+        F.array(F.lit("")), *[F.regexp_extract_all(F.col("_q"), F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in sizes if n]))
     dim = dimension.select("ord", F.col(term).alias("_term"), F.col("text").alias("_text"),
                            F.substring(F.col(term), 1, PROBE).alias("_probe"))
-    asked = df.select(key, text.alias("_q")).withColumn("_probe", F.explode(probes))
-    return (asked.join(broadcast_if_small(dim), "_probe").filter(F.col("_q").contains(F.col("_term")))
-            .select(key, "ord", "_term", "_text"))
+    asked = df.select(text.alias("_q")).distinct().withColumn("_probe", F.explode(probes))
+    return (asked.join(dim, "_probe").filter(F.col("_q").contains(F.col("_term")))
+            .select("_q", "ord", "_term", "_text"))
 
 
-def kb_match(queries: DataFrame, kb: DataFrame, query: str = "text", key: str = "turn_id",
-             inline_rows: int = INLINE_ROWS) -> DataFrame:
+def kb_match(queries: DataFrame, kb: DataFrame, query: str = "text", inline_rows: int = INLINE_ROWS) -> DataFrame:
     """Add ``kb_result``: every topic that is a substring of the lower-cased query, in knowledge-base order."""
     lowered = F.lower(F.col(query))
     rows = _inline(kb, inline_rows)
@@ -47,15 +46,15 @@ def kb_match(queries: DataFrame, kb: DataFrame, query: str = "text", key: str =
         return queries.withColumn("_hits", F.array_join(hits, "\n")).withColumn(
             "kb_result", F.when(F.col("_hits") != "", F.col("_hits")).otherwise(F.lit(fixed.KB_MISS))).drop("_hits")
     entry = F.struct("ord", F.concat(F.lit("["), F.col("_term"), F.lit("] "), F.col("_text")).alias("t"))
-    found = _contained(queries, key, lowered, kb, "topic").groupBy(key).agg(
+    found = _contained(queries, lowered, kb, "topic").groupBy("_q").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"]), "\n").alias("_hits"))
-    return queries.join(found, key, "left").withColumn(
-        "kb_result", F.coalesce("_hits", F.lit(fixed.KB_MISS))).drop("_hits")
+    return queries.join(found, lowered == F.col("_q"), "left").withColumn(
+        "kb_result", F.coalesce("_hits", F.lit(fixed.KB_MISS))).drop("_hits", "_q")
 
 
 def medication_lookup(requests: DataFrame, kb: DataFrame, medication: str = "medication") -> DataFrame:
     """Add ``medication_info``: the entry of exactly this topic, trimmed and in any case."""
-    dim = broadcast_if_small(kb.select(F.col("topic").alias("_key"), F.col("text").alias("_text")))
+    dim = kb.select(F.col("topic").alias("_key"), F.col("text").alias("_text"))
     joined = requests.join(dim, trim_space(F.lower(F.col(medication))) == F.col("_key"), "left")
     miss = F.concat(F.lit("No AcmeHealth monograph for '"), F.col(medication),
                     F.lit("'. Always follow your prescriber's instructions."))
@@ -64,32 +63,34 @@ def medication_lookup(requests: DataFrame, kb: DataFrame, medication: str = "med
 
 def record_lookup(requests: DataFrame, records: DataFrame, patient_id: str = "patient_id") -> DataFrame:
     """Add ``record``: the record with this id, trimmed and in any case."""
-    dim = broadcast_if_small(records.select(F.col("patient_id").alias("_key"), F.col("text").alias("_text")))
+    dim = records.select(F.col("patient_id").alias("_key"), F.col("text").alias("_text"))
     joined = requests.join(dim, F.upper(trim_space(F.col(patient_id))) == F.col("_key"), "left")
     miss = F.concat(F.lit("No record for "), F.col(patient_id), F.lit("."))
     return joined.withColumn("record", F.coalesce("_text", miss)).drop("_key", "_text")
 
 
-def with_trust(df: DataFrame, domains: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
-    """Add ``trusted`` by a join of every suffix of the link's host with an allow-list table of any size."""
-    suffixes = (df.select(key, F.explode(host_suffixes(host(F.col(url)))).alias("_domain"))
-                .join(broadcast_if_small(domains.select(F.col("domain").alias("_domain")).distinct()), "_domain",
-                      "left_semi").select(key).distinct().withColumn("_trusted", F.lit(True)))
-    return df.join(suffixes, key, "left").withColumn("trusted", F.col("_trusted").isNotNull()).drop("_trusted")
+def with_trust(df: DataFrame, domains: DataFrame, url: str = "url") -> DataFrame:
+    """Add ``trusted`` by a join of every suffix of the link's host with an allow-list table of any size. Trust belongs to
+    the host, so rows that share a key are judged by their own links."""
+    asked = host(F.col(url))
+    suffixes = (df.select(asked.alias("_host")).distinct().select("_host", F.explode(host_suffixes(F.col("_host"))).alias("_domain"))
+                .join(domains.select(F.col("domain").alias("_domain")).distinct(), "_domain", "left_semi")
+                .select("_host").distinct())
+    return df.join(suffixes, asked == F.col("_host"), "left").withColumn("trusted", F.col("_host").isNotNull()).drop("_host")
 
 
 def article_lookup(requests: DataFrame, domains: DataFrame, articles: DataFrame, url: str = "url",
-                   key: str = "page_id", inline_rows: int = INLINE_ROWS) -> DataFrame:
+                   inline_rows: int = INLINE_ROWS) -> DataFrame:
     """Add ``article``: refused for untrusted links, else the first article whose domain is a substring of the link."""
-    df = with_trust(requests, domains, url, key)
+    df = with_trust(requests, domains, url)
     rows = _inline(articles, inline_rows)
     if rows is not None:
         df = df.withColumn("_text", F.coalesce(F.lit(None).cast("string"), *[
             F.when(F.col(url).contains(r["domain"]), F.lit(r["text"])) for r in rows]))
     else:
-        first = (_contained(df.filter("trusted"), key, F.col(url), articles, "domain")
-                 .groupBy(key).agg(F.min_by("_text", "ord").alias("_text")))
-        df = df.join(first, key, "left")
+        first = (_contained(df.filter("trusted"), F.col(url), articles, "domain")
+                 .groupBy("_q").agg(F.min_by("_text", "ord").alias("_text")))
+        df = df.join(first, F.col(url) == F.col("_q"), "left").drop("_q")
     refused = F.concat(F.lit("Refused: "), F.col(url), F.lit(" is not on the trusted-domain list."))
     return df.withColumn("article", F.when(~F.col("trusted"), refused)
                          .otherwise(F.coalesce("_text", F.lit(fixed.ARTICLE_MISS)))).drop("_text")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from turnwarden.sources.shared import broadcast_if_small, settle
+from turnwarden.sources.shared import settle
 
 GROUP_ROWS = 5_000_000
 
@@ -30,13 +30,13 @@ def cut_hot_keys(df: DataFrame, key: str, order: str, group_rows: int = GROUP_RO
         return df, None
     pieces = -(-largest // group_rows) + 1
     hot_keys = settle(sizes.select(F.col(key).alias("_hot")), "hot-keys")
-    hot = df.join(broadcast_if_small(hot_keys), F.col(key).eqNullSafe(F.col("_hot")), "left_semi")
-    cold = df.join(broadcast_if_small(hot_keys), F.col(key).eqNullSafe(F.col("_hot")), "left_anti")
+    hot = df.join(hot_keys, F.col(key).eqNullSafe(F.col("_hot")), "left_semi")
+    cold = df.join(hot_keys, F.col(key).eqNullSafe(F.col("_hot")), "left_anti")
     fractions = [i / pieces for i in range(1, pieces)]
     cuts = settle(hot.groupBy(F.col(key).alias("_hot")).agg(
         F.array_sort(F.array_distinct(F.percentile_approx(order, fractions, 10 * pieces + 10_000))).alias("_cuts")),
         "cut-points")
-    hot = (hot.join(broadcast_if_small(cuts), F.col(key).eqNullSafe(F.col("_hot")))
+    hot = (hot.join(cuts, F.col(key).eqNullSafe(F.col("_hot")))
            .withColumn("stretch", F.size(F.filter("_cuts", lambda c: c < F.col(order))))
            .drop("_hot", "_cuts"))
     return cold, hot

@@ -28,7 +28,11 @@ from turnwarden.operators.ordered import GROUP_ROWS, cut_hot_keys
 from turnwarden.sources.shared import new_folder, settle
 
 ANONYMOUS = "anonymous"
-FOLD_SCHEMA = "user string, stretch int, at long, id long, carried boolean, admitted boolean"
+
+
+def fold_schema(rows: DataFrame) -> str:
+    """The columns of a fold; ids keep the kind that they have in ``rows``."""
+    return f"user string, stretch int, at long, id {rows.schema['id'].dataType.simpleString()}, carried boolean, admitted boolean"
 
 
 def micros(ts: Column) -> Column:
@@ -40,7 +44,7 @@ def requests(df: DataFrame, id_column: str, user: str, ts: str) -> DataFrame:
     """The three narrow columns admission needs; requests without a user share one history."""
     key = F.col(user).cast("string")
     return df.select(F.when(key.isNull() | (key == ""), F.lit(ANONYMOUS)).otherwise(key).alias("user"),
-                     micros(F.col(ts)).alias("at"), F.col(id_column).cast("long").alias("id"))
+                     micros(F.col(ts)).alias("at"), F.col(id_column).alias("id"))
 
 
 def folder(max_requests: int, window: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -70,7 +74,7 @@ def _fold(rows: DataFrame, max_requests: int, window: int) -> DataFrame:
     ordered = (rows.select("user", "stretch", "at", "id", "carried")
                .repartition("user", "stretch")
                .sortWithinPartitions("user", "stretch", "at", F.col("carried").desc(), "id"))
-    return ordered.mapInPandas(folder(max_requests, window), FOLD_SCHEMA)
+    return ordered.mapInPandas(folder(max_requests, window), fold_schema(rows))
 
 
 def _exits(folded: DataFrame, max_requests: int) -> DataFrame:
@@ -92,16 +96,18 @@ def _settle_hot(hot: DataFrame, max_requests: int, window: int) -> DataFrame:
     """Fold the stretches of hot users until every stretch has received what its predecessor really ended with."""
     spark = hot.sparkSession
     stored = new_folder(spark, "hot-requests")
+    id_type = hot.schema["id"].dataType
+    schema = fold_schema(hot)
     hot.withColumn("carried", F.lit(False)).select("user", "stretch", "at", "id", "carried") \
         .write.partitionBy("stretch").parquet(stored)
-    rows = spark.read.schema("user string, at long, id long, carried boolean, stretch int").parquet(stored)
+    rows = spark.read.schema(f"user string, at long, id {id_type.simpleString()}, carried boolean, stretch int").parquet(stored)
     starts = settle(rows.groupBy("user", "stretch").agg(F.min("at").alias("first_at")), "stretch-starts")
 
     rounds = new_folder(spark, "admission")
 
     def fold_round(n: int, chosen: DataFrame) -> DataFrame:
         _fold(chosen, max_requests, window).write.parquet(f"{rounds}/round={n}")
-        return spark.read.schema(FOLD_SCHEMA).parquet(f"{rounds}/round={n}")
+        return spark.read.schema(schema).parquet(f"{rounds}/round={n}")
 
     exits = settle(_exits(fold_round(0, rows), max_requests), "stretch-exits")
     latest = settle(starts.select("user", "stretch", F.lit(0).alias("round")), "latest-round")
@@ -114,7 +120,7 @@ def _settle_hot(hot: DataFrame, max_requests: int, window: int) -> DataFrame:
         if not numbers:
             break
         carried = (changed.select("user", "stretch", F.explode("times").alias("at"))
-                   .withColumns({"id": F.lit(-1).cast("long"), "carried": F.lit(True)}))
+                   .withColumns({"id": F.lit(None).cast(id_type), "carried": F.lit(True)}))
         again = rows.filter(F.col("stretch").isin(numbers)).join(changed, ["user", "stretch"], "left_semi")
         folded = fold_round(n, again.unionByName(carried))
         exits = settle(exits.join(changed, ["user", "stretch"], "left_anti")
@@ -122,7 +128,7 @@ def _settle_hot(hot: DataFrame, max_requests: int, window: int) -> DataFrame:
         latest = settle(latest.join(changed, ["user", "stretch"], "left_anti")
                         .unionByName(changed.select("user", "stretch", F.lit(n).alias("round"))), "latest-round")
         received = due
-    folded = spark.read.schema(FOLD_SCHEMA + ", round int").parquet(rounds)
+    folded = spark.read.schema(schema + ", round int").parquet(rounds)
     return (folded.filter("not carried").join(latest, ["user", "stretch", "round"], "left_semi")
             .select("id", "user", "admitted"))
 

@@ -16,14 +16,13 @@ from turnwarden.functions.gates import any_may_match
 from turnwarden.functions.patterns import any_of
 from turnwarden.functions.text import lines, mapping_text, trim_space
 from turnwarden.operators.decisions import record, rewrite, start
-from turnwarden.sources.shared import broadcast_if_small
 
 # ---------------------------------------------------------------------------------------------- 24 permissions
 
 
 def with_role(calls: DataFrame, users: DataFrame, default_role: str = fixed.DEFAULT_ROLE) -> DataFrame:
-    """Add ``role``; users without one have the default role."""
-    roles = broadcast_if_small(users.select(F.col("user_id").alias("_u"), F.col("role").alias("_role")))
+    """Add ``role``; users without one have the default role, of several the first in order of name counts."""
+    roles = users.groupBy(F.col("user_id").alias("_u")).agg(F.min("role").alias("_role"))
     joined = calls.join(roles, F.col("user_id") == F.col("_u"), "left")
     return joined.withColumn("role", F.coalesce("_role", F.lit(default_role))).drop("_u", "_role")
 
@@ -31,8 +30,8 @@ def with_role(calls: DataFrame, users: DataFrame, default_role: str = fixed.DEFA
 def with_permission(calls: DataFrame, users: DataFrame, permissions: DataFrame,
                     default_role: str = fixed.DEFAULT_ROLE) -> DataFrame:
     """Add ``role`` and ``allowed``: whether the role is entitled to the tool."""
-    granted = broadcast_if_small(permissions.select(
-        F.col("role").alias("_r"), F.col("tool_name").alias("_t"), F.lit(True).alias("_granted")).distinct())
+    granted = permissions.select(
+        F.col("role").alias("_r"), F.col("tool_name").alias("_t"), F.lit(True).alias("_granted")).distinct()
     calls = with_role(calls, users, default_role)
     joined = calls.join(granted, (F.col("role") == F.col("_r")) & (F.col("tool_name") == F.col("_t")), "left")
     return joined.withColumn("allowed", F.col("_granted").isNotNull()).drop("_r", "_t", "_granted")
@@ -125,18 +124,19 @@ def indirect_injection_scan(results: DataFrame, patterns: Sequence[str] = tuple(
 
 # ---------------------------------------------------------------------------------------------- 8 call cap
 
-def tool_call_cap(calls: DataFrame, limit: int = fixed.TOOL_CALL_LIMIT) -> DataFrame:
-    """Mark calls beyond the first ``limit`` of their run (``skipped``).
+def tool_call_cap(calls: DataFrame, limit: int = fixed.TOOL_CALL_LIMIT, call_id: str = "call_id") -> DataFrame:
+    """Mark calls beyond the first ``limit`` of their run (``skipped``), in order of ``seq`` and, where it is equal, ``call_id``.
 
     Only the ``limit``-th call of each run is looked up, by a rank with an upper bound that is cut before the shuffle;
     the calls then join that one row per run, so a run with very many calls is never sorted in one task.
     """
-    nth = W.partitionBy("run_id").orderBy("seq")
-    last_kept = (calls.select("run_id", "seq").withColumn("_n", F.row_number().over(nth))
+    place = F.struct("seq", F.col(call_id).alias("id"))
+    nth = W.partitionBy("run_id").orderBy("place")
+    last_kept = (calls.select("run_id", place.alias("place")).withColumn("_n", F.row_number().over(nth))
                  .filter(F.col("_n") <= limit).filter(F.col("_n") == limit)
-                 .select("run_id", F.col("seq").alias("_last")))
+                 .select("run_id", F.col("place").alias("_last")))
     return (calls.join(last_kept, "run_id", "left")
-            .withColumn("skipped", F.coalesce(F.col("seq") > F.col("_last"), F.lit(False))).drop("_last"))
+            .withColumn("skipped", F.coalesce(place > F.col("_last"), F.lit(False))).drop("_last"))
 
 
 def tool_call_cap_events(calls: DataFrame, limit: int = fixed.TOOL_CALL_LIMIT) -> DataFrame:
@@ -157,7 +157,10 @@ def approval_reconcile(pending: DataFrame, decisions: DataFrame, users: DataFram
     ``pending`` has ``call_id`` next to the call columns; ``decisions`` has ``call_id, approved, note``. A call the
     role is not entitled to is rejected without asking; of the others, those without a decision stay paused.
     """
-    answers = decisions.select("call_id", "approved", F.col("note").alias("_note"), F.lit(True).alias("_seen"))
+    # One decision per call, or an approved call would run twice. Of several, a rejection counts.
+    first = F.min(F.struct("approved", "note")).alias("_d")
+    answers = decisions.groupBy("call_id").agg(first).select(
+        "call_id", F.col("_d.approved").alias("approved"), F.col("_d.note").alias("_note"), F.lit(True).alias("_seen"))
     df = start(with_permission(pending, users, permissions)).join(answers, "call_id", "left")
     status = (F.when(~F.col("allowed"), F.lit("auto-rejected"))
               .when(F.col("_seen").isNull(), F.lit("paused"))
@@ -209,23 +212,38 @@ TRIAGE_SCHEMA = "urgency string, red_flags array<string>, recommended_action str
 TICKET_SCHEMA = "category string, urgency string, summary string"
 
 
+def value_names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
 def schema_validate(df: DataFrame, schema: str = TRIAGE_SCHEMA,
                     enums: dict[str, Sequence[str]] | None = None, required: Sequence[str] = ("recommended_action",),
                     defaults_to_empty: Sequence[str] = ("red_flags",), report: str = "urgency",
                     fallback: str = fixed.TRIAGE_FALLBACK, text: str = "text") -> DataFrame:
     """Accept JSON answers that have the typed shape; others are replaced by ``fallback``.
 
+    Kinds are those of the JSON values: a number is no string, and a list may be absent but not null or of anything else.
     ``parsed`` holds the typed value of accepted answers (missing lists are empty), NULL for others.
     """
     enums = {"urgency": fixed.TRIAGE_URGENCY} if enums is None else enums
-    parsed = F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"})
-    df = start(df).withColumn("parsed", parsed)
+    df = start(df).withColumn("_json", F.try_parse_json(F.col(text)))
+    df = df.withColumn("parsed", F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"}))
     value = F.col("parsed")
-    valid = value.isNotNull()
+
+    def kind(name: str) -> Column:  # of the JSON value itself; NULL where the key is absent
+        return F.schema_of_variant(F.try_variant_get("_json", f"$.{name}", "variant"))
+
+    valid = value.isNotNull() & (F.schema_of_variant("_json").startswith("OBJECT"))
     for name, allowed in enums.items():
-        valid = valid & value[name].isNotNull() & value[name].isin(list(allowed))
+        valid = valid & (kind(name) == "STRING") & value[name].isin(list(allowed))
     for name in required:
-        valid = valid & value[name].isNotNull()
+        valid = valid & (kind(name) == "STRING")
+    for name in defaults_to_empty:
+        held = F.size(F.try_variant_get("_json", f"$.{name}", "array<variant>"))
+        valid = valid & (kind(name).isNull() | (kind(name) == "ARRAY<STRING>") | ((kind(name) == "ARRAY<VOID>") & (held == 0)))
+    for name in value_names(schema):  # other fields may be absent, but not of another kind
+        if name not in enums and name not in required and name not in defaults_to_empty:
+            valid = valid & (kind(name).isNull() | (kind(name) == "STRING"))
     df = df.withColumn("valid", F.coalesce(valid, F.lit(False)))
     for name in defaults_to_empty:
         df = df.withColumn("parsed", value.withField(name, F.coalesce(value[name], F.array().cast("array<string>"))))
@@ -234,7 +252,7 @@ def schema_validate(df: DataFrame, schema: str = TRIAGE_SCHEMA,
     df = record(df, 13, "Structured output", "blocked",
                 F.when(~F.col("valid"), F.lit("triage response failed schema validation")))
     answer = F.when(F.col("valid"), F.to_json("parsed", {"ignoreNullFields": "false"})).otherwise(F.lit(fallback))
-    return df.withColumns({"answer": answer, "parsed": F.when(F.col("valid"), F.col("parsed"))})
+    return df.withColumns({"answer": answer, "parsed": F.when(F.col("valid"), F.col("parsed"))}).drop("_json")
 
 
 def ticket_validate(df: DataFrame, text: str = "text") -> DataFrame:

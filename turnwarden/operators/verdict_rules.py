@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
-from turnwarden.functions.text import chunk_count, chunks
+from turnwarden.functions.text import chunk_count, chunks, trim_space
 from turnwarden.operators.decisions import Step, record, record_all, rewrite, start
 
 VERDICT_SCHEMA = ("turn_id long, rule int, chunk_no int, label string, confidence double, attack boolean, "
@@ -27,14 +27,46 @@ def verdicts_per_turn(verdicts: DataFrame, key: str = "turn_id") -> DataFrame:
     A turn has one row per rule and, for scores, one per chunk of its own text, so the gathered map is bounded by the
     length of one text.
     """
+    # A judge may answer again, so repeated answers become one before anything is gathered. Of scores the attack with the
+    # highest confidence counts.
+    score = F.struct(F.coalesce("attack", F.lit(False)).alias("attack"), F.coalesce("confidence", F.lit(1.0)).alias("c"), "confidence", "label")
+    names = F.array_join(F.map_keys(F.map_filter("categories", lambda _, v: v)), ", ")
+    answers = verdicts.groupBy(key, "rule", "chunk_no").agg(
+        F.max("label").alias("label"), F.max(names).alias("names"), F.max(score).alias("score"))
     one = {f"_label_{r}": F.max(F.when(F.col("rule") == r, F.col("label"))) for r in ONE_LABEL_RULES}
-    flagged = F.max(F.when(F.col("rule") == 7, F.array_join(
-        F.map_keys(F.map_filter("categories", lambda _, v: v)), ", ")))
-    score = F.struct(F.col("chunk_no").alias("key"), F.struct("attack", "confidence", "label").alias("value"))
-    scores = F.map_from_entries(F.array_compact(F.collect_list(F.when(F.col("rule") == 18, score))))
-    return verdicts.groupBy(key).agg(
-        *[c.alias(n) for n, c in one.items()], flagged.alias("_flagged"), scores.alias("_scores"),
-        F.max(F.when(F.col("rule") == 7, F.lit(True))).alias("_moderated"))
+    flagged = F.max(F.when(F.col("rule") == 7, F.col("names")))
+    value = F.struct(F.col("score.attack").alias("attack"), F.col("score.confidence").alias("confidence"), F.col("score.label").alias("label"))
+    entry = F.when((F.col("rule") == 18) & F.col("chunk_no").isNotNull(), F.struct(F.col("chunk_no").alias("key"), value.alias("value")))
+    # Moderation without categories is no answer.
+    return answers.groupBy(key).agg(
+        *[c.alias(n) for n, c in one.items()], flagged.alias("_flagged"),
+        F.map_from_entries(F.array_compact(F.collect_list(entry))).alias("_scores"),
+        F.max(F.when((F.col("rule") == 7) & F.col("names").isNotNull(), F.lit(True))).alias("_moderated"))
+
+
+def parse_judgements(replies: DataFrame, key: str = "turn_id") -> DataFrame:
+    """Verdict rows from what a judge replied (``turn_id, rule, chunk_no, reply``). An empty reply gives no row: the check was
+    unavailable.
+
+    Rules with one label take the upper-cased reply. Scores of rule 18 are the JSON object from the first brace to the last,
+    whatever the letter case; a reply without one, or with an empty one, counts as an attack only if it says so in words.
+    """
+    said = F.upper(trim_space(F.col("reply")))
+    rows = replies.filter(said != "").select(key, "rule", "chunk_no", said.alias("_said"))
+    rows = rows.withColumn("_json", F.try_parse_json(F.lower(F.nullif(F.regexp_extract("_said", r"(?s)\{.*\}", 0), F.lit("")))))
+    score = F.col("rule") == 18
+    found = score & F.coalesce(F.schema_of_variant("_json") != "OBJECT<>", F.lit(False))
+
+    def value(name: str, kind: str) -> Column:
+        return F.try_variant_get("_json", f"$.{name}", kind)
+
+    return rows.select(
+        key, "rule", "chunk_no",
+        F.when(found, value("type", "string")).when(score, F.lit("unknown")).otherwise(F.col("_said")).alias("label"),
+        F.when(found, value("confidence", "double")).when(score, F.lit(1.0)).alias("confidence"),
+        F.when(found, F.coalesce(value("attack", "boolean"), F.lit(False))).when(
+            score, F.contains(F.col("_said"), F.lit('"ATTACK": TRUE'))).alias("attack"),
+        F.lit(None).cast("map<string,boolean>").alias("categories"))
 
 
 VERDICT_COLUMNS = [f"_label_{r}" for r in ONE_LABEL_RULES] + ["_flagged", "_scores", "_moderated"]

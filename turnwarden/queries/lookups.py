@@ -31,7 +31,7 @@ WIDE_KB = fixed.KNOWLEDGE_BASE + [("worthless", "Value."), ("token", "Access."),
 def _wide_kb(spark, folder, inline_rows):
     kb = dim.table(spark, [(i, t, x) for i, (t, x) in enumerate(WIDE_KB)], "ord int, topic string, text string")
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    return look.kb_match(docs, kb, key="doc_id", inline_rows=inline_rows).select("doc_id", "kb_result")
+    return look.kb_match(docs, kb, inline_rows=inline_rows).select("doc_id", "kb_result")
 
 
 @query("kb_match_documents", kb_sql("documents", "doc_id", WIDE_KB))

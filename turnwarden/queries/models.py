@@ -12,7 +12,7 @@ from turnwarden.operators import output_rules as out
 from turnwarden.operators import scorers
 from turnwarden.operators import verdict_rules as ver
 from turnwarden.plans import evaluation as ev
-from turnwarden.queries.common import answers, detail_of, lit, query, turns, with_turns
+from turnwarden.queries.common import answers, detail_of, lit, query, sql_values, turns, with_turns
 from turnwarden.queries.input_stage import INJECTION_SQL, CRISIS_SQL
 from turnwarden.queries.lookups import PAIRS_SQL
 from turnwarden.queries.output_stage import PROFANITY_SQL
@@ -213,7 +213,7 @@ def _(spark, folder):
     return replaced(gr.grounding_check(a, context, judged), "turn_id")
 
 
-LONG_SQL = "list_filter(" + TOKENS_SQL + ", lambda w: length(w) >= 4)"
+LONG_SQL = TOKENS_SQL
 OVERLAP_SQL = (f"coalesce(len(list_intersect({LONG_SQL.format('question')}, {LONG_SQL.format('answer')})) / "
                f"nullif(least(len({LONG_SQL.format('question')}), len({LONG_SQL.format('answer')})), 0), 0.0)")
 
@@ -236,6 +236,43 @@ def _(spark, folder):
     return gr.topic_labels(turns(spark, folder), LEXICON).select("turn_id", "label")
 
 
+# ---------------------------------------------------------------------------------------------- replies of a judge
+
+REPLIES = [
+    (18, '{"attack": true, "type": "jailbreak", "confidence": 0.92}'),
+    (18, '```json\n{"Attack": false, "Type": "none", "Confidence": 0.1}\n```'),
+    (18, 'I think {"attack": true, "type": "injection"} fits.'),
+    (18, 'broken {"attack": true, "type": '),
+    (18, '"attack": true, I am sure'),
+    (18, "{}"),
+    (18, ""),
+    (3, " off_topic\n"),
+    (3, "On_Topic, a health question"),
+    (16, "yes, there is a risk"),
+    (16, None),
+    (12, "Unsafe"),
+]
+REPLIES_SQL = (f"SELECT doc_id AS turn_id, r.rule, CAST(0 AS INTEGER) AS chunk_no, r.reply FROM documents "
+               f"JOIN (VALUES {sql_values([(i, *r) for i, r in enumerate(REPLIES)])}) r(i, rule, reply) ON r.i = doc_id % {len(REPLIES)}")
+
+
+@query("parse_judgements", f"""
+    WITH said AS (SELECT turn_id, rule, chunk_no, upper(regexp_replace(reply, '^\\s+|\\s+$', '', 'g')) AS s FROM ({REPLIES_SQL})
+                  WHERE regexp_replace(coalesce(reply, ''), '^\\s+|\\s+$', '', 'g') <> ''),
+    parsed AS (SELECT *, TRY_CAST(nullif(lower(regexp_extract(s, '(?s)\\{{.*\\}}', 0)), '') AS JSON) AS j FROM said),
+    kinds AS (SELECT *, rule = 18 AND coalesce(len(json_keys(j)) > 0, false) AS found FROM parsed)
+    SELECT turn_id, rule, chunk_no,
+           CASE WHEN found THEN json_extract_string(j, '$.type') WHEN rule = 18 THEN 'unknown' ELSE s END AS label,
+           CASE WHEN found THEN CAST(json_extract_string(j, '$.confidence') AS DOUBLE) WHEN rule = 18 THEN 1.0 END AS confidence,
+           CASE WHEN found THEN coalesce(CAST(json_extract_string(j, '$.attack') AS BOOLEAN), false)
+                WHEN rule = 18 THEN contains(s, '"ATTACK": TRUE') END AS attack FROM kinds""")
+def _(spark, folder):
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(REPLIES)], "i int, rule int, reply string")
+    docs = read_table(spark, folder, "documents").select(F.col("doc_id").alias("turn_id"), (F.col("doc_id") % len(REPLIES)).cast("int").alias("i"))
+    replies = docs.join(table, "i").withColumn("chunk_no", F.lit(0)).drop("i")
+    return ver.parse_judgements(replies).drop("categories")
+
+
 # ---------------------------------------------------------------------------------------------- language
 
 GRAMS_SQL = "list_transform(range(1, len({0}) - 1), lambda i: {0}[i] || {0}[i + 1] || {0}[i + 2])"
@@ -244,15 +281,13 @@ LETTERS_SQL = "regexp_extract_all(' ' || regexp_replace(lower({0}), '[^\\p{{L}}]
 
 def language_ctes(source: str, key: str) -> list[str]:
     """``best(key, language, p)`` over ``source(key, text)`` with a model fitted on the documents."""
-    k = lang.PROFILE_GRAMS
     return [
         f"docgrams AS (SELECT lang, unnest({GRAMS_SQL.format('l')}) AS gram FROM (SELECT lang, {LETTERS_SQL.format('text')} AS l FROM documents))",
         "gramcounts AS (SELECT lang, gram, count(*) AS n FROM docgrams GROUP BY lang, gram)",
-        f"profile AS (SELECT lang, gram, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r FROM gramcounts) WHERE r <= {k})",
-        "totals AS (SELECT lang, sum(n) AS total FROM profile GROUP BY lang)",
+        "totals AS (SELECT lang, sum(n) AS total FROM gramcounts GROUP BY lang)",
         f"""model AS (SELECT g.gram, t.lang, CAST(round(ln((coalesce(p.n, 0) + 0.5) /
-                (t.total + 0.5 * {k} * (SELECT count(*) FROM totals))) * {lang.SCALE}) AS BIGINT) AS w
-            FROM (SELECT DISTINCT gram FROM profile) g CROSS JOIN totals t LEFT JOIN profile p ON p.lang = t.lang AND p.gram = g.gram)""",
+                (t.total + 0.5 * (SELECT count(DISTINCT gram) FROM gramcounts))) * {lang.SCALE}) AS BIGINT) AS w
+            FROM (SELECT DISTINCT gram FROM gramcounts) g CROSS JOIN totals t LEFT JOIN gramcounts p ON p.lang = t.lang AND p.gram = g.gram)""",
         f"asked AS (SELECT {key}, unnest({GRAMS_SQL.format('l')}) AS gram FROM (SELECT {key}, {LETTERS_SQL.format('text')} AS l FROM {source}))",
         f"sums AS (SELECT {key}, lang, sum(w) AS s FROM asked JOIN model USING (gram) GROUP BY {key}, lang)",
         f"""best AS (SELECT {key}, min(lang) FILTER (WHERE s = top) AS language, 1.0 / sum(exp((s - top) / {lang.SCALE}.0)) AS p

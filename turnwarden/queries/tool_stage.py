@@ -256,10 +256,36 @@ JSON_ROWS = [
     '{"urgency":"urgent_care","red_flags":[]}',
     '{"urgency":"routine_appointment","red_flags":["rash","fever"],"recommended_action":"See a doctor."}',
     '{"red_flags":[],"recommended_action":"Rest."}',
+    '{"urgency":"emergency","red_flags":"rash","recommended_action":"Rest."}',
+    '{"urgency":"emergency","red_flags":null,"recommended_action":"Rest."}',
+    '{"urgency":"emergency","red_flags":[1],"recommended_action":"Rest."}',
+    '{"urgency":"emergency","red_flags":[null],"recommended_action":"Rest."}',
+    '{"urgency":"emergency","red_flags":{"a":1},"recommended_action":"Rest."}',
+    '{"urgency":"emergency","recommended_action":5}',
+    '["urgency"]',
 ]
-JSON_SQL = f"SELECT event_id, {_sql_pick(JSON_ROWS, 'event_id')} AS text FROM events"
-VALID_SQL = (f"coalesce(json_extract_string(j, '$.urgency') IN ({', '.join(lit(u) for u in fixed.TRIAGE_URGENCY)}) "
-             "AND json_extract_string(j, '$.recommended_action') IS NOT NULL, false)")
+#: Answers beside the given JSON are numbered from here.
+ADDED_EVENTS = 1_000_000_000
+
+
+def json_texts(spark, folder, rows: list[str]) -> DataFrame:
+    """The JSON that every event holds, and for every event an answer from the list."""
+    events = read_table(spark, folder, "events")
+    return events.select("event_id", F.col("props").alias("text")).unionByName(
+        events.select((F.col("event_id") + ADDED_EVENTS).alias("event_id"), _pick(rows, "event_id").alias("text")))
+
+
+def json_texts_sql(rows: list[str]) -> str:
+    return (f"SELECT event_id, props AS text FROM events UNION ALL "
+            f"SELECT event_id + {ADDED_EVENTS}, {_sql_pick(rows, 'event_id')} FROM events")
+
+
+JSON_SQL = json_texts_sql(JSON_ROWS)
+FLAGS_SQL = ("(json_type(j, '$.red_flags') IS NULL OR (json_type(j, '$.red_flags') = 'ARRAY' "
+             "AND len(list_filter(json_extract(j, '$.red_flags[*]'), lambda x: json_type(x) <> 'VARCHAR')) = 0))")
+VALID_SQL = (f"coalesce(json_type(j, '$.urgency') = 'VARCHAR' AND json_extract_string(j, '$.urgency') IN "
+             f"({', '.join(lit(u) for u in fixed.TRIAGE_URGENCY)}) "
+             f"AND json_type(j, '$.recommended_action') = 'VARCHAR' AND {FLAGS_SQL}, false)")
 
 
 @query("schema_validate", f"""
@@ -269,8 +295,7 @@ VALID_SQL = (f"coalesce(json_extract_string(j, '$.urgency') IN ({', '.join(lit(u
            CASE WHEN valid THEN json_extract_string(j, '$.recommended_action') ELSE {lit(fixed.TRIAGE_FALLBACK)} END AS told
     FROM (SELECT *, {VALID_SQL} AS valid FROM (SELECT event_id, TRY_CAST(text AS JSON) AS j FROM ({JSON_SQL})))""")
 def _(spark, folder):
-    texts = read_table(spark, folder, "events").select("event_id", _pick(JSON_ROWS, "event_id").alias("text"))
-    done = tool.schema_validate(texts)
+    done = tool.schema_validate(json_texts(spark, folder, JSON_ROWS))
     return done.select("event_id", "valid", detail_of().alias("detail"),
                        F.size("parsed.red_flags").cast("long").alias("red_flags"),
                        F.when(F.col("valid"), F.col("parsed.recommended_action")).otherwise(F.col("answer")).alias("told"))
@@ -287,10 +312,9 @@ TICKETS = [
 @query("ticket_validate", f"""
     SELECT category, urgency, count(*) AS tickets FROM (
       SELECT json_extract_string(j, '$.category') AS category, json_extract_string(j, '$.urgency') AS urgency,
-             json_extract_string(j, '$.summary') AS summary FROM (SELECT CAST({_sql_pick(TICKETS, 'event_id')} AS JSON) AS j FROM events))
+             json_extract_string(j, '$.summary') AS summary FROM (SELECT CAST(text AS JSON) AS j FROM ({json_texts_sql(TICKETS)})))
     WHERE category IN ({', '.join(lit(c) for c in fixed.TICKET_CATEGORY)})
       AND urgency IN ({', '.join(lit(c) for c in fixed.TICKET_URGENCY)}) AND summary IS NOT NULL GROUP BY category, urgency""")
 def _(spark, folder):
-    texts = read_table(spark, folder, "events").select(_pick(TICKETS, "event_id").alias("text"))
-    return (tool.ticket_validate(texts).filter("valid").groupBy("parsed.category", "parsed.urgency")
+    return (tool.ticket_validate(json_texts(spark, folder, TICKETS)).filter("valid").groupBy("parsed.category", "parsed.urgency")
             .agg(F.count("*").alias("tickets")))

@@ -15,6 +15,8 @@ def local_session(cores: int | str | None = None, app: str = "turnwarden") -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         # Patterns are costly per byte, so small shuffles are not folded into one task.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Patterns cost far more per byte than reading, so even small tables are read in several pieces.
+        .config("spark.sql.files.maxPartitionBytes", "1m").config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass",

@@ -34,12 +34,3 @@ def settle(df, purpose: str):
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df, max_rows: int = 200_000):
-    """A broadcast hint for a dimension table of at most ``max_rows`` rows, else the table as it is.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond it the join shuffles and adaptive execution handles skew.
-    """
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,10 @@ from turnwarden import fixed_values as fixed
 from turnwarden.operators.tool_rules import sql_is_read_only
 
 
+#: Functions that call into the runtime, read elsewhere or end a job.
+REACHING = re.compile(r"(?i)\b(?:java_method|reflect|try_reflect|input_file_\w+|current_(?:user|catalog|database|schema)|raise_error|read_files)\s*\(")
+
+
 def append_audit(turns: DataFrame, events: DataFrame, folder: str) -> None:
     """Append both audit tables; turns are partitioned by day, events follow their turn's day."""
     dated = turns.withColumn("dt", F.to_date("ts"))
@@ -29,10 +36,25 @@ def append_appointments(booked: DataFrame, folder: str) -> None:
 
 def read_only_query(spark: SparkSession, statement: str, views: dict[str, DataFrame],
                     limit: int = fixed.QUERY_ROW_LIMIT) -> DataFrame:
-    """Run a statement that passes the read-only check over the given views; at most ``limit`` rows come back."""
+    """Run a statement that passes the read-only check over the given views; at most ``limit`` rows come back.
+
+    The parsed statement may name the given views and nothing else: no tables or views of the session, no files, no table
+    functions, and no functions that reach into the runtime. The views are seen by this statement alone.
+    """
     allowed = spark.range(1).select(sql_is_read_only(F.lit(statement)).alias("ok")).first()["ok"]
     if not allowed:
         raise PermissionError(fixed.READ_ONLY_REFUSAL)
+    text = statement.strip().rstrip(";")
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    named = {name.lower() for name in re.findall(r"'UnresolvedRelation \[([^\]]*)\]", plan)}
+    if not named <= {name.lower() for name in views} or "UnresolvedTableValuedFunction" in plan or REACHING.search(text):
+        raise PermissionError(fixed.READ_ONLY_REFUSAL)
+    private = {name: f"only_{uuid.uuid4().hex}" for name in views}
     for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(statement.strip().rstrip(";")).limit(limit)
+        df.createOrReplaceTempView(private[name])
+    try:
+        shown = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in private.items())
+        return spark.sql(f"WITH {shown} {text}" if views else text).limit(limit)
+    finally:
+        for view in private.values():
+            spark.catalog.dropTempView(view)

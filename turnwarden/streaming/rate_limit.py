@@ -12,9 +12,6 @@ from pyspark.sql import DataFrame
 from turnwarden import fixed_values as fixed
 from turnwarden.operators.rate_limit import requests
 
-DECISION_SCHEMA = "id long, user string, admitted boolean"
-
-
 def _processor(max_requests: int, window: int, idle_ms: int | None):
     from pyspark.sql.streaming import StatefulProcessor
 
@@ -56,6 +53,7 @@ def rate_limit_stream(stream: DataFrame, id_column: str, user: str, ts: str,
     """
     window = int(round(window_seconds * 1_000_000))
     idle_ms = int(idle_seconds * 1000) if idle_seconds else None
-    return requests(stream, id_column, user, ts).groupBy("user").transformWithStateInPandas(
-        statefulProcessor=_processor(max_requests, window, idle_ms), outputStructType=DECISION_SCHEMA,
+    asked = requests(stream, id_column, user, ts)
+    return asked.groupBy("user").transformWithStateInPandas(
+        statefulProcessor=_processor(max_requests, window, idle_ms), outputStructType=f"id {asked.schema['id'].dataType.simpleString()}, user string, admitted boolean",
         outputMode="Append", timeMode="ProcessingTime" if idle_ms else "None")
