@@ -17,11 +17,16 @@ REACHING = re.compile(r"(?i)\b(?:java_method|reflect|try_reflect|input_file_\w+|
 
 
 def append_audit(turns: DataFrame, events: DataFrame, folder: str) -> None:
-    """Append both audit tables; turns are partitioned by day, events follow their turn's day."""
+    """Write both audit tables by day; events follow their turn's day. The days that are written are replaced and all others
+    stay, so the append of a day can be repeated."""
     dated = turns.withColumn("dt", F.to_date("ts"))
-    dated.write.mode("append").partitionBy("dt").parquet(f"{folder}/turns")
-    (events.join(dated.select("turn_id", "dt"), "turn_id")
-     .write.mode("append").partitionBy("dt").parquet(f"{folder}/events"))
+    for name, df in (("turns", dated), ("events", events.join(dated.select("turn_id", "dt"), "turn_id"))):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{folder}/{name}")
+
+
+def read_audit_log(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both audit tables; filters on ``dt`` choose the days that are read."""
+    return spark.read.parquet(f"{folder}/turns"), spark.read.parquet(f"{folder}/events")
 
 
 def write_audit_batch(turns: DataFrame, events: DataFrame, folder: str, batch_id: int) -> None:
