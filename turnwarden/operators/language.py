@@ -1,9 +1,8 @@
 """Language of a text from character trigrams, learned from a labelled table.
 
-``fit`` counts trigrams per language in one aggregation and keeps the most frequent of each language: the model is a
-table of at most ``profile_grams`` rows per language, so broadcasting it is safe whatever the corpus. ``score``
-explodes a text's trigrams, joins the model, and sums per text: the sums are partial before the shuffle, so one narrow
-row per text is exchanged and never the trigrams.
+``fit`` counts all trigrams per language in one aggregation; the model has a row per trigram seen, of which an alphabet has
+only so many. ``score`` explodes a text's trigrams, joins the model, and sums per text: the sums are partial before the
+shuffle. Whether the model is small enough to be sent to all tasks is left to adaptive execution.
 """
 
 from __future__ import annotations
