@@ -81,3 +81,14 @@ def test_tables(spark, tiny, none_left):
     assert suffixes.removed(none_left).count() == 0
     out = suffixes.deduplicated(tiny.withColumn("n_chars", F.lit(1)))
     assert out.columns == tiny.columns and out.filter("n_chars <> length(text)").count() == 0
+
+
+def test_cut_characters(spark):
+    """Runs that begin or end inside a character leave no broken text."""
+    shared = "".join(random.Random(2).choice("abcdefgh") for _ in range(300))
+    texts = ["x é" + shared + "à y", "x ũ" + shared + "ā y", "only \ufffd here"]  # the letters share their last and first bytes
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_chars", F.length("text"))
+    rows = {r.doc_id: r for r in suffixes.deduplicated(df).collect()}
+    assert rows[2].text == texts[2]
+    assert all(r.n_chars == len(r.text) and "\ufffd" not in r.text and "\x00" not in r.text for i, r in rows.items() if i < 2)
+    assert rows[0].text.startswith("x") and rows[0].text.endswith("y") and shared[:50] not in rows[0].text

@@ -23,17 +23,16 @@ by another row is removed if it is long enough; null ids and other columns pass
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden.llm.minhash import mix
-from turnwarden.sources.shared import settle
+from turnwarden.llm.text import released
 
 SPAN, GRAM, PIECE = 200, 48, 8
 REACH = SPAN - GRAM + 1
@@ -150,16 +149,6 @@ def level(docs: DataFrame, wanted: DataFrame | None, size: int) -> DataFrame:
     return docs.join(wanted, ["d1", "d2"]).select("d1", "d2", "text", "wanted").mapInArrow(gathered(all_pieces), SUB).distinct()
 
 
-def released(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder; shuffle files that only it needed can go at once instead of when the driver's
-    memory happens to be collected."""
-    out = settle(df, purpose)
-    del df
-    gc.collect()
-    out.sparkSession._jvm.System.gc()
-    return out
-
-
 def repeated(docs: DataFrame) -> DataFrame:
     """``d1, d2, runs``: for each text with repeats the sorted, disjoint ranges (struct of start and end) of bytes in them."""
     wanted, found = None, None
@@ -231,11 +220,10 @@ def removed(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def deduplicated(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` without the repeated bytes. A cut inside a character drops what is left of it; texts of which nothing is left go."""
-    def whole(value: Column) -> Column:
-        return F.regexp_replace(F.decode(value, "UTF-8"), "�", "")
-
+    rest = F.col("kept").cast("string")
+    whole = F.coalesce(F.try_validate_utf8(rest), F.regexp_replace(F.make_valid_utf8(rest), "\ufffd", ""))
     kinds = {f.name: f.dataType for f in docs.schema}
-    new = F.coalesce(F.when(F.col("kept").isNotNull(), F.try_validate_utf8(F.col("kept").cast("string"))), F.when(F.col("kept").isNotNull(), whole(F.col("kept"))), F.col(f"_doc.{text}"))
+    new = F.when(F.col("kept").isNotNull(), whole).otherwise(F.col(f"_doc.{text}"))
     out = removed(docs, text).filter("kept is null or length(kept) > 0").withColumn("_new", new)
     names = {text: F.col("_new"), **({n_chars: F.length("_new").cast(kinds[n_chars])} if n_chars in kinds else {})}
     return out.select(*[(names[c] if c in names else F.col(f"_doc.{c}")).alias(c) for c in docs.columns])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,3 +48,13 @@ def numbered(df: DataFrame, order: list[Column], name: str, purpose: str) -> Dat
     place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
     return ranged.withColumn("_place", place).join(F.broadcast(starts), "_range").withColumn(
         name, F.col("_start") + F.col("_place")).drop("_range", "_start", "_place")
+
+
+def released(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder; shuffle files that only it needed can go at once instead of when the driver's
+    memory happens to be collected."""
+    out = settle(df, purpose)
+    del df
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
+    return out
