@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden.llm.pieces import stretches
+from turnwarden.llm.text import released
 from turnwarden.sources.shared import settle
 
 SLOTS, ROWS = 127, 4
@@ -124,10 +125,10 @@ def sketch(docs: DataFrame, doc_id: str, text: str, size: int, with_sets: bool)
 
 def sets_of(docs: DataFrame, ends: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """``rep, digest, list``: the full sets of the classes in ``ends`` (rep, digest), from their representatives' texts."""
-    ends = settle(ends.distinct(), "minhash-ends")
+    ends = released(ends.distinct(), "minhash-ends")
     rows = docs.join(ends.select(F.col("rep").alias(doc_id)).distinct(), doc_id, "left_semi")
     sets = sketch(rows, doc_id, text, size, True).select(F.col("doc_id").alias("rep"), "digest", "list")
-    return settle(sets.join(ends, ["rep", "digest"], "left_semi"), "minhash-sets")
+    return released(sets.join(ends, ["rep", "digest"], "left_semi"), "minhash-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -140,17 +141,17 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 
     both = pairs.select("a", "b", end("a"), end("b")).join(side("a"), "_a").join(side("b"), "_b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    return settle(both.filter(shared * 100 >= (F.col("a.n") + F.col("b.n") - shared) * similar).select(
+    return released(both.filter(shared * 100 >= (F.col("a.n") + F.col("b.n") - shared) * similar).select(
         F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct(), "minhash-links")
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest id reachable, for all ids in ``links`` (u, v) that are not smallest themselves.
 
-    Each round joins every id to the smallest of its neighbours; the links shrink to stars around the smallest ids.
+    Each round joins every id to the smallest of its neighbours. The links are done when they are stars: every id has one link,
+    and none links to an id that has one itself.
     """
     links = links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    seen = None
     while True:
         ways = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = ways.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -159,10 +160,9 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(lower, "u")
         links = settle(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             lower.select("u", F.col("m").alias("v"))).distinct(), "components")
-        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v"))).first()
-        if now == seen:
+        ends = links.select(F.col("u").alias("id"), F.lit(1).alias("n")).unionByName(links.select(F.col("v").alias("id"), F.lit(0).alias("n")).distinct())
+        if ends.groupBy("id").agg(F.sum("n").alias("n"), F.min("n").alias("v")).filter("n > 1 or (n = 1 and v = 0)").isEmpty():
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = now
 
 
 def close_pairs(df: DataFrame, similar: int) -> DataFrame:
@@ -176,7 +176,7 @@ def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     label = F.coalesce("component", F.col("a.rep")).alias("label")
     labelled = members.join(labels, F.col("a.rep") == F.col("node"), "left").select("key", "a", label)
     mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-    return settle(labelled.join(mixed, "key"), "minhash-open")
+    return released(labelled.join(mixed, "key"), "minhash-open")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, similar: int = SIMILAR) -> DataFrame:
@@ -186,8 +186,8 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("list").alias("keys"))
     entries = classes.select(F.explode("keys").alias("key"), F.struct("rep", "digest", "n").alias("a"))
     pivots = entries.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("c")).filter("c > 1")
-    members = settle(entries.join(pivots, "key"), "minhash-buckets")
-    pairs = settle(close_pairs(members.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), similar), "minhash-pairs")
+    members = released(entries.join(pivots, "key"), "minhash-buckets")
+    pairs = released(close_pairs(members.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), similar), "minhash-pairs")
     ends = pairs.select("a.rep", "a.digest").union(pairs.select("b.rep", "b.digest"))
     links = verified(pairs, sets_of(docs, ends, doc_id, text, size), similar)
     labels = components(links)
@@ -228,12 +228,12 @@ def unconnected(left: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """
     of = left.select("a", "label").distinct().withColumns({"rep": F.col("a.rep"), "digest": F.col("a.digest")})
     texts = of.join(sets, ["rep", "digest"]).select("a", "label", F.explode("list").alias("token"))
-    counts = settle(texts.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1"), "minhash-tokens")
+    counts = released(texts.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1"), "minhash-tokens")
     listed = texts.join(counts, "token").groupBy("a", "label").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
     # Elements that no other set has are at the head of the list; they use up places of the prefix.
     alone = F.col("a.n") - F.size("t")
     room = F.col("a.n") - F.ceil(F.col("a.n") * similar / 100) + 1 - alone
-    prefix = settle(listed.filter(room > 0).select(
+    prefix = released(listed.filter(room > 0).select(
         "a", "label", alone.alias("alone"), F.transform(F.slice("t", F.lit(1), room.cast("int")), lambda x: x["token"]).alias("ts")), "minhash-prefixes")
     rows = prefix.select("a", "label", "ts", "alone", F.posexplode("ts").alias("at", "token"))
     # What a set lists from this element on.
