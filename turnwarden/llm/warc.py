@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
+from turnwarden.sources.shared import settle
+
 END = "\r\n"
 #: The base32 alphabet, and the profile of a revisit that has the payload of another record.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -58,6 +60,8 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payloa
     rows = rows.withColumns({"_sha": F.sha1(F.col("_body").cast("binary")), "_n": F.octet_length("_body").cast("long")})
     firsts = rows.select("_id", "_sha", "_n").filter(F.col("_n") >= least).groupBy("_sha", "_n").agg(
         F.min("_id").alias("_first"), F.count("*").alias("_copies")).filter("_copies > 1").drop("_copies")
+    # Written first, so that its size is known when the join is planned and the pages stay where they are if it is small.
+    firsts = settle(firsts, "warc-firsts")
     rows = rows.join(firsts, ["_sha", "_n"], "left")
     again = F.coalesce(F.col("_id") != F.col("_first"), F.lit(False))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.col("_n"), F.lit(END + END))
