@@ -7,8 +7,8 @@ states of the prefix the two share.
 
 The state depends on the model. For a unigram model it is the best summed score of a prefix and the piece that ends it
 (Viterbi). The public model is of the other kind, byte-pair merges, for which the best sum gives other pieces than the merges
-do; there the state is the last piece of the prefix's own encoding. A piece can follow the state's piece only if the two,
-merged from single letters, come apart into just these two again, and exactly one piece passes.
+do; there the state is the last piece of the prefix's own encoding. A piece can follow the state's piece only if merging the
+letters of both would leave the two apart, which their own last merges tell, and exactly one piece passes.
 
 Rows are independent and nothing is shuffled. Defined results: a null or empty text has no pieces and decodes to empty;
 letters without a piece become byte pieces; repeated rows and null ids are rows like others; other columns pass through, and
@@ -66,13 +66,16 @@ class Encoder:
         self.cut = re.compile(f"{MARK}+[^{MARK}{outside}]*|[^{MARK}{outside}]+" + (f"|[{outside}]+" if outside else ""))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.bytes_of = {p: np.array([i], "<i4").tobytes() for p, i in self.ids.items()}
+        self.spelled: tuple | None = None
         self.unknown_score = min(vocabulary.scores) - 10
+        if vocabulary.kind == "merges":
+            self.derive()
 
-    def byte_ids(self, letter: str) -> list[int]:
-        return [self.v.first_byte + b for b in letter.encode("utf-8", "surrogatepass")]
-
-    def merge(self, word: str) -> list[str]:
-        """Pieces by merging neighbours: always the pair whose union has the highest score, the leftmost of equals."""
+    def merge(self, word: str, trace: list[str] | None = None) -> list[str]:
+        """Pieces by merging neighbours: always the pair whose union has the highest score, the leftmost of equals. ``trace``
+        takes the left part of every merge."""
         parts: list[str | None] = list(word)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
@@ -90,6 +93,8 @@ class Encoder:
             j = after[i]
             if parts[i] is None or j >= len(parts) or parts[i] + parts[j] != union:
                 continue
+            if trace is not None:
+                trace.append(parts[i])
             parts[i], parts[j] = union, None
             after[i] = after[j]
             if after[j] < len(parts):
@@ -98,24 +103,71 @@ class Encoder:
             offer(i)
         return [p for p in parts if p is not None]
 
+    def derive(self) -> None:
+        """How each piece comes about: the two parts of its last merge, and the rank of that merge (letters: -1). Pieces that
+        merging does not give back from their letters are never the result of an encoding."""
+        order = sorted((i for i, p in enumerate(self.v.pieces) if p), key=lambda i: (-self.v.scores[i], i))
+        ranks = dict(zip(order, range(len(order))))
+        self.rank, self.parts, self.whole = {}, {}, set()
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.rank[piece], self.parts[piece] = -1, None
+                self.whole.add(piece)
+                continue
+            self.rank[piece] = ranks[i]
+            last: list[str] = []
+            if self.merge(piece, last) == [piece]:
+                self.parts[piece] = (last[-1], piece[len(last[-1]):])
+                self.whole.add(piece)
+        self.reach = {}  # of a letter: the longest piece that it ends
+        for piece in self.whole:
+            self.reach[piece[-1]] = max(self.reach.get(piece[-1], 0), len(piece))
+
     def stay_apart(self, left: str, right: str) -> bool:
-        """Whether the two pieces are what merging their letters gives. An empty ``left``: whether ``right`` is one piece."""
-        if (known := self.pairs.get((left, right))) is None:
-            if len(self.pairs) > 4 * REMEMBERED:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == ([left, right] if left else [right])
+        """Whether two neighbouring pieces stay as they are. Their merges are undone from the last one on: if the pieces that
+        then meet could be merged before what was undone, they would have been (equal ranks go from the left)."""
+        if (known := self.pairs.get((left, right))) is not None:
+            return known
+        a, b, limit, known = left, right, float("inf"), True
+        while True:
+            union = self.ids.get(a + b)
+            if union is not None and self.rank[a + b] < limit:
+                known = False
+                break
+            if self.rank[a] > self.rank[b]:
+                limit, a = self.rank[a], self.parts[a][1]
+            elif self.rank[b] >= 0:
+                limit, b = self.rank[b] + 1, self.parts[b][0]
+            else:
+                break
+        if len(self.pairs) > REMEMBERED:
+            self.pairs.clear()
+        self.pairs[left, right] = known
         return known
 
+    def fits(self, left: str, piece: str) -> bool:
+        """Whether ``piece`` can follow the state ``left``; anything follows the beginning and a letter without a piece."""
+        if left not in self.whole:
+            return True
+        known = self.pairs.get((left, piece))
+        return known if known is not None else self.stay_apart(left, piece)
+
     def step_merges(self, word: str, i: int, last: list[str]) -> str:
-        """The piece that ends the first ``i`` letters; a letter without a piece stands for itself."""
-        if word[i - 1] not in self.ids:
-            return word[i - 1]
-        for length in range(min(self.longest, i), 0, -1):
+        """The piece that ends the first ``i`` letters; a letter without a piece stands for itself. Exactly one piece fits, so the
+        likely ones come first: the last piece with the letter added, and the letter alone."""
+        letter, whole = word[i - 1], self.whole
+        if letter not in whole:
+            return letter
+        before = last[i - 1]
+        longer = before + letter
+        if longer in whole and before and self.fits(last[i - len(longer)], longer):
+            return longer
+        if self.fits(before, letter):
+            return letter
+        for length in range(min(self.reach[letter], i), 1, -1):
             piece = word[i - length:i]
-            if piece in self.ids:
-                left = last[i - length]
-                if self.stay_apart(left if left in self.ids else "", piece):
-                    return piece
+            if piece in whole and self.fits(last[i - length], piece):
+                return piece
         raise ValueError(f"no piece ends {word[:i]!r}")
 
     def step_unigram(self, word: str, i: int, best: list[float]) -> tuple[float, str]:
@@ -128,56 +180,85 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode words depth-first along their sorted order."""
-        heads = {}
-        for w in words:  # runs of marks are merged last of all, so a word is what follows, with one mark
-            run = len(w) - len(w.lstrip(MARK))
-            heads[w] = (run, w[max(run - 1, 0):]) if self.v.kind == "merges" and run > 1 else (0, w)
-        last, best, previous = [""], [0.0], ""
-        encoded: dict[str, list[str]] = {}
-        for word in sorted({core for _, core in heads.values()}):
+        merges = self.v.kind == "merges"
+        # Runs of marks are merged last of all, so a word is what follows them, with one mark.
+        runs = {w: len(w) - len(w.lstrip(MARK)) for w in words if merges and w.startswith(MARK * 2)}
+        cores = {w[n - 1:] for w, n in runs.items()}
+        last, best, done, previous = [""], [0.0], [b""], ""
+        known, bytes_of, step = self.known, self.bytes_of, self.step_merges
+        for word in sorted((words - runs.keys()) | (cores - known.keys())):
             same = 0
             for a, b in zip(word, previous):
                 if a != b:
                     break
                 same += 1
-            del last[same + 1:], best[same + 1:]
+            del last[same + 1:], done[same + 1:], best[same + 1:]
             for i in range(same + 1, len(word) + 1):
-                if self.v.kind == "merges":
-                    last.append(self.step_merges(word, i, last))
+                if merges:
+                    piece = step(word, i, last)
                 else:
                     score, piece = self.step_unigram(word, i, best)
                     best.append(score)
-                    last.append(piece)
-            previous, pieces, i = word, [], len(word)
-            while i:
-                pieces.append(last[i])
-                i -= len(last[i])
-            encoded[word] = pieces[::-1]
-        for w, (run, core) in heads.items():
-            pieces = encoded[core]
-            if run > 1:
-                pieces = [*self.merge(MARK * run), *pieces[1:]] if pieces[0] == MARK else [*self.merge(MARK * (run - 1)), *pieces]
-            ids = [i for p in pieces for i in ([self.ids[p]] if p in self.ids else self.byte_ids(p))]
-            self.known[w] = np.array(ids, "<i4").tobytes()
+                last.append(piece)
+                done.append(done[i - len(piece)] + (bytes_of.get(piece) or self.fallback(piece)))
+            previous = word
+            known[word] = done[-1]
+        mark = bytes_of.get(MARK)
+        for w, n in runs.items():
+            core = known[w[n - 1:]]
+            alone = core[:4] == mark  # the last mark is not part of a longer piece
+            known[w] = b"".join(bytes_of[p] for p in self.merge(MARK * (n if alone else n - 1))) + (core[4:] if alone else core)
+
+    def fallback(self, letter: str) -> bytes:
+        """The byte pieces of a letter without a piece."""
+        return np.array([self.v.first_byte + b for b in letter.encode("utf-8", "surrogatepass")], "<i4").tobytes()
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:
         offsets, values = [0], []
         for start, end in stretches(texts):
             words = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[start:end]]
-            distinct = {w for ws in words for w in ws}
+            distinct: set[str] = set()
+            for ws in words:
+                distinct.update(ws)
             if len(self.known) + len(distinct) > REMEMBERED:
-                self.known.clear()
-            self.learn(distinct - self.known.keys())
+                self.old, self.known = self.known, {}  # words that are met again move over, the others go
+            missing = distinct - self.known.keys()
+            met = missing & self.old.keys()
+            self.known.update((w, self.old[w]) for w in met)
+            self.learn(missing - met)
             for ws in words:
                 values.append(b"".join(map(self.known.__getitem__, ws)))
                 offsets.append(offsets[-1] + len(values[-1]) // 4)
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(values), "<i4"), pa.int32()))
 
-    def decode(self, rows: list) -> list[str]:
-        table = [p.replace(MARK, " ").encode() for p in self.v.pieces]
-        for b in range(256):
-            table[self.v.first_byte + b] = bytes([b])
-        return [b"".join(map(table.__getitem__, ids or ())).decode("utf-8", "replace").removeprefix(" ") for ids in rows]
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of rows of ids, which follow one another up to ``ends``: all bytes are gathered at once from the pieces' bytes."""
+        if self.spelled is None:
+            table = [p.replace(MARK, " ").encode() for p in self.v.pieces]
+            for b in range(256):
+                table[self.v.first_byte + b] = bytes([b])
+            sizes = np.array([len(t) for t in table])
+            self.spelled = np.frombuffer(b"".join(table), np.uint8), np.cumsum(sizes) - sizes, sizes
+        letters, starts, sizes = self.spelled
+        size = sizes[ids]
+        after = np.concatenate([[0], np.cumsum(size)])
+        data = letters[np.repeat(starts[ids] - after[:-1], size) + np.arange(after[-1])]
+        borders = after[np.concatenate([[0], ends])]
+        heads = borders[:-1][borders[:-1] < borders[1:]]
+        mark = heads[data[heads] == 32]  # the mark put in front
+        keep = np.ones(len(data), bool)
+        keep[mark] = False
+        borders = borders - np.concatenate([[0], np.cumsum(~keep)])[borders]
+        data = data[keep].tobytes()
+        firsts = np.frombuffer(data, np.uint8)[borders[:-1][borders[:-1] < borders[1:]]]
+        try:
+            data.decode()
+            whole = not ((firsts >= 0x80) & (firsts < 0xC0)).any()
+        except UnicodeDecodeError:
+            whole = False
+        if whole:
+            return pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(borders.astype(np.int64).tobytes()), pa.py_buffer(data)).cast(pa.string())
+        return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(borders.tolist(), borders[1:].tolist())], pa.string())
 
 
 def stretches(texts: list[str | None]):
@@ -216,10 +297,15 @@ def decoder(shared: Broadcast):
     """The function of an id column that gives the text."""
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
-        texts, part = [], 512
-        for start in range(0, len(ids), part):
-            texts += _encoder(shared).decode(ids[start:start + part].to_pylist())
-        return pa.array(texts, pa.string())
+        texts, start = [], 0
+        sizes = np.array(ids.value_lengths().fill_null(0))
+        values, ends = ids.flatten().to_numpy(), np.cumsum(sizes)
+        while start < len(sizes):  # as many rows as make up a stretch, at least one
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + STRETCH)))
+            texts.append(_encoder(shared).decode(values[before:ends[stop - 1]], ends[start:stop] - before))
+            start = stop
+        return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
     return decode
 
 
