@@ -16,14 +16,15 @@ other columns of the input are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwarden.llm.text import numbered, words
 from turnwarden.sources.shared import settle
 
-#: Samples, dealt with in blocks that keep the generated code small.
-SAMPLES, BLOCK = 64, 8
+SAMPLES = 64
 #: Quantiles of the ids that are taken, and rows that a bucket holds on average.
 QUANTILES, ROWS = 256, 2000
 
@@ -41,19 +42,39 @@ def term_weights(df: DataFrame, text: str, kept: list[str]) -> DataFrame:
         *kept, F.col("_t.h").alias("_term"), F.log(F.col("_t.w")).alias("_ln_weight"))
 
 
-def sample(number: Column) -> Column:
-    """ln a of the row's term for a sample."""
-    def bits(k: int) -> Column:
-        return F.xxhash64("_term", number * 3 + k)
+def gamma_quantile(p: float) -> float:
+    """The value that Gamma(2, 1) stays below with probability p."""
+    low, high = 0.0, 60.0
+    for _ in range(80):
+        x = (low + high) / 2
+        low, high = (x, high) if 1 - (1 + x) * math.exp(-x) < p else (low, x)
+    return (low + high) / 2
+
 
-    def gamma(x: Column) -> Column:  # of two uniform numbers, the halves of the hash
-        unit = 2.0 ** -32
-        return -F.log((x.bitwiseAND(0xFFFFFFFF) + 0.5) * unit * ((F.shiftrightunsigned(x, 32) + 0.5) * unit))
+#: Quantiles of Gamma(2, 1) at k / BINS. Between two of them values are interpolated, beyond the outermost they are computed.
+BINS = 512
+QUANTILES_R = [gamma_quantile(k / BINS) for k in range(BINS)]
+QUANTILES_C = [0.0] + [math.log(q) for q in QUANTILES_R[1:]] + [math.log(gamma_quantile(1 - 1e-6))]
 
-    r, c = gamma(bits(0)), gamma(bits(1))
-    beta = F.shiftrightunsigned(bits(2), 11) * 2.0 ** -53
+
+def sample(number: Column) -> Column:
+    """ln a of the row's term for a sample. One hash of 64 bits gives 21 bits for r, 22 for ln c and 21 for beta."""
+    x = F.xxhash64("_term", number)
+
+    def between(table: list[float], bits: Column, width: int) -> Column:
+        at, step = F.shiftright(bits, width - 9).cast("int"), 2.0 ** (9 - width)
+        values = F.array(*map(F.lit, table))
+        low = F.get(values, at)
+        return low + (F.get(values, at + 1) - low) * ((bits.bitwiseAND(2 ** (width - 9) - 1) + 0.5) * step)
+
+    first, second = F.shiftrightunsigned(x, 43), F.shiftrightunsigned(x, 21).bitwiseAND(2**22 - 1)
+    # The last bin of r is open above: 1 - p = (1 + r) e^-r, solved to the second order. The first of c is open below: p = c^2 / 2.
+    rest = -F.log((F.lit(2.0**21 - 0.5) - first) * 2.0**-21)
+    r = F.when(first >= 2**21 - 2**12, rest + F.log(1 + rest + F.log(1 + rest))).otherwise(between(QUANTILES_R, first, 21))
+    ln_c = F.when(second < 2**13, 0.5 * F.log((second + 0.5) * 2.0**-21)).otherwise(between(QUANTILES_C, second, 22))
+    beta = x.bitwiseAND(2**21 - 1) * 2.0**-21
     t = F.floor(F.col("_ln_weight") / r + beta)
-    return F.log(c) - r * (t - beta + 1)
+    return ln_c - r * (t - beta + 1)
 
 
 def signatures(df: DataFrame, text: str, key: list[str]) -> DataFrame:
@@ -62,13 +83,12 @@ def signatures(df: DataFrame, text: str, key: list[str]) -> DataFrame:
     Where ``df`` is dealt out by a part of ``key``, nothing is shuffled; elsewhere words are summed up before.
     """
     terms = term_weights(df, text, key)
-    terms = terms.withColumn("_block", F.explode(F.array(*map(F.lit, range(SAMPLES // BLOCK)))))
-    names = [f"_m{k}" for k in range(BLOCK)]
-    values = terms.select(*key, "_block", *[sample(F.col("_block") * BLOCK + k).alias(n) for k, n in enumerate(names)])
-    least = values.groupBy(*key, "_block").agg(*[F.min(n).alias(n) for n in names])
-    parts = F.sort_array(F.collect_list(F.struct("_block", F.array(*[F.hash(n) for n in names]).alias("s"), F.col("_m0").isNotNull().alias("any"))))
-    whole = least.groupBy(*key).agg(parts.alias("_parts"))
-    return whole.select(*key, F.flatten(F.transform(F.filter("_parts", lambda p: p["any"]), lambda p: p["s"])).alias("signature"))
+    # A row per word and sample, because generated code for many samples at once grows too large to be compiled.
+    values = terms.withColumn("_sample", F.explode(F.array(*map(F.lit, range(SAMPLES))))).select(
+        *key, "_sample", sample(F.col("_sample")).alias("_least"))
+    least = values.groupBy(*key, "_sample").agg(F.min("_least").alias("_least"))
+    parts = F.sort_array(F.collect_list(F.when(F.col("_least").isNotNull(), F.struct("_sample", F.hash("_least").alias("s")))))
+    return least.groupBy(*key).agg(F.transform(parts, lambda p: p["s"]).alias("signature"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -122,7 +142,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     half = F.floor(F.length("_text") / 2).cast("int")
     edited = F.concat(F.substr("_text", F.lit(1), F.length("_text") - half), F.substr("_next", F.lit(1), half))
     both = paired.select("_bucket", "_n", "_id", F.length("_text").cast("long").alias("_chars"), "_text", edited.alias("_edited"))
-    both = both.select("_bucket", "_n", "_id", "_chars", F.sha2("_edited", 256).alias("_sha"),
+    both = both.select("_bucket", "_n", "_id", "_chars", F.unhex(F.sha2("_edited", 256)).alias("_sha"),
                        F.posexplode(F.array("_text", "_edited")).alias("_kind", "_one"))
     signed = signatures(both, "_one", ["_bucket", "_n", "_id", "_chars", "_sha", "_kind"])
     pair = F.sort_array(F.collect_list(F.struct("_kind", "signature")))
@@ -132,6 +152,6 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     signed = settle(signed, "fingerprints")
     out = with_next(signed, [F.asc("_row")], "_own", "_next_own", following)
     return out.select(
-        F.col("_id").alias("doc_id"), F.col("_chars").alias("n_chars"), F.col("_sha").alias("edited_sha256"),
+        F.col("_id").alias("doc_id"), F.col("_chars").alias("n_chars"), F.lower(F.hex("_sha")).alias("edited_sha256"),
         as_text(F.col("_own")).alias("fingerprint"), as_text(F.col("_other")).alias("edited_fingerprint"),
         likeness(F.col("_own"), F.col("_other")).alias("near_edited"), likeness(F.col("_own"), F.col("_next_own")).alias("near_next"))
