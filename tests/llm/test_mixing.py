@@ -64,6 +64,25 @@ def test_mixed_documents_hold_what_was_taken(tiny):
     assert {k: v for k, v in got.items() if v} == {k: v for k, v in taken.items() if v}
 
 
+def test_mixed_rows_with_null_and_repeated_ids_hold_what_was_taken(spark):
+    def text(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+    rows = [(None, text("a", 300), "s0"), (None, text("b", 200), "s1"), (7, text("c", 50), "s1"), (7, text("d", 400), "s1"), (7, text("d", 400), "s1"),
+            (8, text("e", 120), "s2"), (None, None, "s2"), (9, text("f", 90), "s0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    taken, got = defaultdict(int), defaultdict(int)
+    for r in mixing.mix(docs).collect():
+        taken[r.doc_id, r.source, r.size] += r.taken
+    sizes = {t.split()[0][0]: (i, s, len(t.split())) for i, t, s in rows if t}
+    out = mixing.mixed(docs).collect()
+    for r in out:
+        words = (r.text or "").split()
+        if words:
+            got[sizes[words[0][0]]] += len(words)
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in taken.items() if v}
+    assert sum(r.text is None for r in out) == 1
+
+
 def test_empty(none_left):
     assert mixing.mix(none_left).count() == 0
     assert mixing.mixed(none_left.select("doc_id", "text", "source", F.lit(1).alias("n_chars"))).count() == 0

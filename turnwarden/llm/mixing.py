@@ -76,11 +76,14 @@ def targets(sized: DataFrame) -> DataFrame:
     return sources.withColumn("target", F.least(F.col("_weight") * F.lit(share), (F.col("source_size") * MOST).cast("double")))
 
 
-def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """The sized documents with their source's target, and the pieces of documents in blocks with the uses of the block."""
+def plan(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", seed: int = 7,
+         row: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The sized documents with their source's target, and the pieces of documents in blocks with the uses of the block. Both
+    name a document by ``row``, a number of its own."""
+    row = F.monotonically_increasing_id() if row is None else row
     sized = settle(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("_key"), F.monotonically_increasing_id().alias("_row")), "mix-sizes")
+        F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("_key"), row.alias("_row")), "mix-sizes")
     of = settle(targets(sized), "mix-targets")
     total = of.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, min(BLOCK, total // BLOCKS))
@@ -132,15 +135,13 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: s
     """The mix itself, with the columns of ``docs``: the words in used blocks, with the white space before them, once per use.
 
     Copy k of a document holds the blocks used at least k times; one that holds all of them is the text as it was. Documents
-    without words stay as they are. Rows of one id share a plan; a null id is left out of the mix.
+    without words stay as they are. The documents are written with a row number, by which each finds its own plan, whatever its id.
     """
-    _, pieces = plan(docs, text, source, doc_id, seed)
-    spans = pieces.filter("_uses > 0").groupBy("_row", "doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("_first", "_end", "_uses"))).alias("_spans"))
-    spans = spans.groupBy("doc_id").agg(F.min("_spans").alias("_spans")).select(F.col("doc_id").alias("_id"), "_spans")
+    packed = settle(docs.select(F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row")), "mix-documents")
+    _, pieces = plan(packed, f"_doc.{text}", f"_doc.{source}", f"_doc.{doc_id}", seed, F.col("_row"))
+    spans = pieces.filter("_uses > 0").groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_first", "_end", "_uses"))).alias("_spans"))
     full = F.col(f"_doc.{text}")
-    packed = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(doc_id).alias("_id"))
-    used = packed.join(spans, "_id", "left").withColumn("_size", F.size(words(full)))
+    used = packed.join(spans, "_row", "left").withColumn("_size", F.size(words(full)))
     used = used.filter("_size = 0 or _spans is not null")
     copies = F.when(F.col("_size") > 0, F.array_max(F.transform("_spans", lambda s: s["_uses"]))).otherwise(1)
     used = used.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))))
