@@ -82,3 +82,20 @@ def test_odd_rows(spark, tiny, none_left):
     assert minhash.groups(none_left).count() == 0
     out = minhash.deduplicated(tiny)
     assert out.columns == tiny.columns and out.count() == sum(r.kept for r in got)
+
+
+def test_rows_of_null_and_repeated_ids_are_documents_of_their_own(spark):
+    rng = random.Random(4)
+
+    def prose():
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(80))
+    a, b, c, d, e, f = (prose() for _ in range(6))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c + " end"), (2, d), (5, d), (5, e), (6, f), (6, f), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in minhash.deduplicated(docs).collect()), key=str)
+    c_kept = [r for r in got if r[1] in (c, c + " end")]
+    assert len(c_kept) == 1 and c_kept[0][0] is None
+    assert [r for r in got if r not in c_kept] == sorted([(1, a), (None, b), (2, d), (5, e), (6, f), (None, None), (None, None)], key=str)
+    marks = minhash.groups(docs).collect()
+    assert len(marks) == len(rows) and sum(r.kept for r in marks) == len(got)
+    assert sorted(str(r.component_id) for r in marks if r.doc_id is None) == ["1", "None", "None", "None", "None", "None"]

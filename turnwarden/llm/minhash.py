@@ -13,9 +13,11 @@
    end all of them with each other, so that no link between unconnected classes is left out.
 4. Links are contracted to stars (large star, small star) until nothing changes; rounds are written to the shared folder.
 
-Defined results: a text without words has an empty set and is linked with nothing; one word is a set of one; a null id takes
-the component of its copies that have one, else none; rows of one id count as documents of their own that share the id; other
-columns are not read; an empty table gives no rows.
+Classes are named by the least key of their rows: the id, nulls last, and hashes of the text. So rows of null ids and rows that
+share an id take part as documents of their own.
+
+Defined results: a text without words has an empty set and is linked with nothing; one word is a set of one; a component without
+any id is named null; of equal rows of one id at most one is kept; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ BANDS = SLOTS // ROWS
 SIMILAR = 80
 #: Rounds with a further pivot per bucket, before all pairs that are left and can be alike are compared.
 PIVOTS = 1
+#: The type of ``row_key``.
+KEY = "struct<none: boolean, id: bigint, h1: bigint, h2: bigint>"
 
 _FREE = np.uint64(2**64 - 1)
 
@@ -100,39 +104,44 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketch(docs: DataFrame, doc_id: str, text: str, size: int, with_sets: bool) -> DataFrame:
-    """Per row: doc_id, n, ``digest`` of the set, and the band keys, or else the set itself."""
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart, but for rows of equal id and text; ordered by id, nulls last. No field is null."""
+    number = doc_id.cast("long")
+    return F.struct(number.isNull().alias("none"), F.coalesce(number, F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("h1"),
+                    F.xxhash64(F.lit(1), text).alias("h2"))
+
+
+def sketch(docs: DataFrame, size: int, with_sets: bool) -> DataFrame:
+    """Per row of ``docs`` (row, text): row, n, ``digest`` of the set, and the band keys, or else the set itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            rows, texts = batch.column(0), batch.column(1).to_pylist()
             for start, end in stretches(texts):
                 values, counts = shingle_sets(texts[start:end], size)
                 ends = np.concatenate([[0], np.cumsum(counts)])
-                own = ids.slice(start, end - start)
-                digests = [hashlib.blake2b(values[a:b].tobytes() if b > a else f"empty {i}".encode(), digest_size=16).digest()
-                           for a, b, i in zip(ends, ends[1:], own.to_pylist())]
+                own = rows.slice(start, end - start)
+                digests = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(ends, ends[1:])]
                 if with_sets:
                     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
                 else:
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(end - start + 1) * BANDS, pa.int32()),
                                                      pa.array(bands(signatures(values, counts)).ravel()))
                 yield pa.RecordBatch.from_arrays([own, pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), lists],
-                                                 ["doc_id", "n", "digest", "list"])
+                                                 ["row", "n", "digest", "list"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(
-        run, "doc_id long, n long, digest binary, list array<long>")
+    return docs.select("row", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"row {KEY}, n long, digest binary, list array<long>")
 
 
-def sets_of(docs: DataFrame, ends: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``rep, digest, list``: the full sets of the classes in ``ends`` (rep, digest), from their representatives' texts."""
+def sets_of(docs: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+    """``rep, digest, list``: the full sets of the classes in ``ends`` (rep, digest), from their representatives' texts. Of equal
+    rows one is read."""
     ends = released(ends.distinct(), "minhash-ends")
-    rows = docs.join(ends.select(F.col("rep").alias(doc_id)).distinct(), doc_id, "left_semi")
-    sets = sketch(rows, doc_id, text, size, True).select(F.col("doc_id").alias("rep"), "digest", "list")
-    return released(sets.join(ends, ["rep", "digest"], "left_semi"), "minhash-sets")
+    rows = docs.join(ends.select(F.col("rep").alias("row")), "row", "left_semi").dropDuplicates(["row"])
+    return released(sketch(rows, size, True).select(F.col("row").alias("rep"), "digest", "list"), "minhash-sets")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Of ``pairs`` of (struct of rep, digest, n) a and b, those alike enough: the ids ``u`` and ``v``."""
+    """Of ``pairs`` of (struct of rep, digest, n) a and b, those alike enough: the reps ``u`` and ``v``."""
     def side(x: str) -> DataFrame:
         return sets.select(F.struct("rep", "digest").alias(f"_{x}"), F.col("list").alias(f"set_{x}"))
 
@@ -146,10 +155,10 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node`` and ``component``, the smallest id reachable, for all ids in ``links`` (u, v) that are not smallest themselves.
+    """``node`` and ``component``, the smallest key reachable, for all keys in ``links`` (u, v) that are not smallest themselves.
 
-    Each round joins every id to the smallest of its neighbours. The links are done when they are stars: every id has one link,
-    and none links to an id that has one itself.
+    Each round joins every key to the smallest of its neighbours. The links are done when they are stars: every key has one link,
+    and none links to a key that has one itself.
     """
     links = links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     while True:
@@ -179,17 +188,18 @@ def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return released(labelled.join(mixed, "key"), "minhash-open")
 
 
-def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, similar: int = SIMILAR) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    rows = settle(sketch(docs, doc_id, text, size, False), "minhash-sketch")
-    classes = rows.filter("n > 0 and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("list").alias("keys"))
+def grouped(docs: DataFrame, doc_id: str, text: str, size: int, similar: int) -> DataFrame:
+    """Per key of rows of ``docs``: ``row``, the key; n; ``component``, the least key of the group, or null for an empty set; and
+    how many rows have the key (c)."""
+    docs = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
+    rows = settle(sketch(docs, size, False), "minhash-sketch")
+    classes = rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("list").alias("keys"))
     entries = classes.select(F.explode("keys").alias("key"), F.struct("rep", "digest", "n").alias("a"))
     pivots = entries.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("c")).filter("c > 1")
     members = released(entries.join(pivots, "key"), "minhash-buckets")
     pairs = released(close_pairs(members.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), similar), "minhash-pairs")
     ends = pairs.select("a.rep", "a.digest").union(pairs.select("b.rep", "b.digest"))
-    links = verified(pairs, sets_of(docs, ends, doc_id, text, size), similar)
+    links = verified(pairs, sets_of(docs, ends, size), similar)
     labels = components(links)
     # A bucket of two has no pair that its pivot has not seen.
     left, sets = still_open(members.filter("c > 2"), labels), None
@@ -197,7 +207,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
         if left.isEmpty():
             break
         if sets is None:
-            sets = sets_of(docs, left.select("a.rep", "a.digest"), doc_id, text, size)
+            sets = sets_of(docs, left.select("a.rep", "a.digest"), size)
         if turn < PIVOTS:
             # Another pivot in every bucket, so a class meets as many of a group as it has buckets with it.
             order = F.struct(F.xxhash64(F.lit(turn), "key", F.col("a.digest")).alias("o"), "a", "label")
@@ -212,10 +222,19 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: in
             left = still_open(left.select("key", "a"), labels)
     of = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
-    own = F.col("doc_id")
-    return rows.join(of, "digest", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", own)).otherwise(own).alias("component_id")
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return rows.filter("n > 0").join(of, "digest").unionByName(rows.filter("n = 0"), allowMissingColumns=True).groupBy(
+        "row", "n", "component").agg(F.count("*").alias("c"))
+
+
+def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, similar: int = SIMILAR) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept. A group keeps one row."""
+    def number(key: str) -> Column:
+        return F.when(~F.col(f"{key}.none"), F.col(f"{key}.id"))
+
+    of = grouped(docs, doc_id, text, size, similar).withColumn("tie", F.explode(F.sequence(F.lit(1).cast("long"), F.col("c"))))
+    return of.select(
+        number("row").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, number("component")).otherwise(number("row")).alias("component_id"),
+        ((F.col("n") == 0) | ((F.col("row") == F.col("component")) & (F.col("tie") == 1))).alias("kept"))
 
 
 def unconnected(left: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -245,7 +264,11 @@ def unconnected(left: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("a") < F.col("b")) & (F.col("x.label") != F.col("y.label")) & can_be & first).select("a", "b")
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **named) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id. Only the ids of what goes are joined."""
-    gone = groups(docs, doc_id, text, **named).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, similar: int = SIMILAR) -> DataFrame:
+    """``docs`` with one document of each group, the one with the smallest id. Only the keys of rows that go are joined."""
+    of = grouped(docs, doc_id, text, size, similar).filter("n > 0 and (row <> component or c > 1)")
+    gone = released(of.select(F.col("row").alias("_row"), (F.col("row") == F.col("component")).alias("_one")), "minhash-gone")
+    packed = docs.select(F.struct(*docs.columns).alias("_doc"), row_key(F.col(doc_id), F.col(text)).alias("_row"))
+    # Of rows equal in id and text one stays, the least by its other columns.
+    one = packed.join(gone.filter("_one").select("_row"), "_row", "left_semi").groupBy("_row").agg(F.min("_doc").alias("_doc"))
+    return packed.join(gone, "_row", "left_anti").select("_doc.*").unionByName(one.select("_doc.*"))
