@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwarden.llm import fingerprints, licenses, minhash, mixing, packing, passages, pieces, quality, suffixes, warc
+from turnwarden.llm import fingerprints, licenses, minhash, mixing, mixpacking, packing, passages, pieces, quality, suffixes, warc
 from turnwarden.llm.text import read
 from turnwarden.sources.shared import new_folder
 
@@ -130,3 +130,11 @@ def op7_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.near_passages(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "mixpacked")
+    found = mixpacking.packed(read(spark, folder, "documents"), mixpacking.share(spark, tokenizer("byte_bpe_50k.json")))
+    found.write.parquet(path)
+    return mixpacking.pieces(spark.read.schema(found.schema).parquet(path))
