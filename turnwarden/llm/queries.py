@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnwarden.llm import fingerprints, licenses, minhash, mixing, mixpacking, packing, passages, pieces, quality, suffixes, warc
+from turnwarden.llm import alignment, fingerprints, licenses, minhash, mixing, mixpacking, packing, passages, pieces, quality, suffixes, warc, whitening
 from turnwarden.llm.text import read
 from turnwarden.sources.shared import new_folder
 
@@ -138,3 +138,14 @@ def op12_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     found = mixpacking.packed(read(spark, folder, "documents"), mixpacking.share(spark, tokenizer("byte_bpe_50k.json")))
     found.write.parquet(path)
     return mixpacking.pieces(spark.read.schema(found.schema).parquet(path))
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.Whitening(read(spark, folder, "embeddings")).long()
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    shared = alignment.share(spark, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    return alignment.aligned(read(spark, folder, "documents"), shared)

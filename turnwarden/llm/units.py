@@ -37,13 +37,13 @@ class Texts:
         self.borders = (borders - borders[0]).astype(np.int64)
 
 
-def stretches(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``STRETCH`` bytes, at least one text each."""
+def stretches(texts: pa.Array, size: int = STRETCH) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes, at least one text each."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(ends):
         before = int(ends[start - 1]) if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + STRETCH, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
         yield start, stop
         start = stop
 
