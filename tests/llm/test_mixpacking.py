@@ -36,7 +36,7 @@ def check_whole(docs, sequences, length):
         want[r.doc_id].append(ids)
     found = defaultdict(list)
     for s in sequences:
-        ids = np.frombuffer(s.ids, "<u4")
+        ids = np.frombuffer(s.ids, "<u2").astype("<u4")
         assert len(ids) == s.n_tokens == sum(s.lengths) and (s.n_tokens == length or s.n_tokens & (s.n_tokens - 1) == 0)
         assert s.offsets == [0, *np.cumsum(s.lengths)[:-1].tolist()]
         for d, start, n, at, crc, total in zip(s.doc_ids, s.starts, s.lengths, s.offsets, s.crcs, s.doc_tokens):

@@ -35,14 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnwarden.llm import units
-from turnwarden.sources.shared import settle
+from turnwarden.sources.shared import new_folder, settle
 
 LENGTH, GRAIN, PART = 1024, 128, 1 << 20
 #: The id behind every document.
 END = 0
-#: Bytes of an id in packed rows.
-WIDTH = 4
-
 _UNITS: dict[int, units.Units] = {}
 
 
@@ -51,6 +48,11 @@ def share(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(units.checked(path))
 
 
+def width(shared: Broadcast) -> int:
+    """Bytes of an id: 2 where all ids of the vocabulary fit, else 4."""
+    return 2 if max(units.spelled_bytes(shared.value).values()) < 1 << 16 else 4
+
+
 def _encoder(shared: Broadcast) -> units.Units:
     key = zlib.crc32(shared.value)
     if key not in _UNITS:
@@ -59,14 +61,21 @@ def _encoder(shared: Broadcast) -> units.Units:
     return _UNITS[key]
 
 
+def compressed(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder, packed closer than tables usually are: ids hold far less than their bits."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def queue(source: Column) -> Column:
     """A name without nulls for the queue of a source."""
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
-def tokenised(docs: DataFrame, shared: Broadcast) -> DataFrame:
+def tokenised(docs: DataFrame, shared: Broadcast, wide: int) -> DataFrame:
     """Per row of ``docs`` (queue, doc_id, text): queue, doc_id, the task that read it, the tokens of its queue in front of it
-    in that task, its number of tokens n and its ids of 4 bytes, the end id among them."""
+    in that task, its number of tokens n and its ids of ``wide`` bytes, the end id among them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, ahead, task = _encoder(shared), {}, TaskContext.get().partitionId()
         for batch in batches:
@@ -75,7 +84,7 @@ def tokenised(docs: DataFrame, shared: Broadcast) -> DataFrame:
                 ids, borders = encoder.encode(units.Texts(rows.column("text")))
                 n = np.diff(borders) + 1
                 after = np.cumsum(n)
-                out = np.full(int(after[-1]), END, "<u4")
+                out = np.full(int(after[-1]), END, f"<u{wide}")
                 keep = np.ones(len(out), bool)
                 keep[after - 1] = False
                 out[keep] = ids
@@ -86,7 +95,7 @@ def tokenised(docs: DataFrame, shared: Broadcast) -> DataFrame:
                     sums = np.cumsum(n[at])
                     before[at] = ahead.get(name, 0) + sums - n[at]
                     ahead[name] = ahead.get(name, 0) + int(sums[-1])
-                data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.append(0, after * WIDTH).astype(np.int32)), pa.py_buffer(out)])
+                data = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.append(0, after * wide).astype(np.int32)), pa.py_buffer(out)])
                 yield pa.RecordBatch.from_arrays([rows.column("queue"), rows.column("doc_id"), pa.array(np.full(len(n), task), pa.int32()),
                                                   pa.array(before), pa.array(n), data], ["queue", "doc_id", "task", "ahead", "n", "ids"])
 
@@ -126,7 +135,7 @@ def plan(counts: DataFrame, weights: Mapping[str | None, float] | None, part: in
     return counts.sparkSession.createDataFrame(rows, "queue string, low long, high long, total long, first long, parts long")
 
 
-def dealt(docs: DataFrame, weights: Mapping[str | None, float] | None, part: int) -> DataFrame:
+def dealt(docs: DataFrame, weights: Mapping[str | None, float] | None, part: int, wide: int) -> DataFrame:
     """The pieces of tokenised documents by parts: part, queue, share (of the windows), owed (by the parts before), place in the
     queue, doc_id, start, ids, doc_tokens."""
     counts = settle(docs.groupBy("task", "queue").agg(F.sum("n").alias("tokens")), "mixpack-counts")
@@ -152,7 +161,7 @@ def dealt(docs: DataFrame, weights: Mapping[str | None, float] | None, part: int
     return rows.withColumns({"start": start, "size": F.col("end") - F.col("begin")}).select(
         (F.col("first") + F.col("p")).alias("part"), "queue", (F.col("long") / F.col("total")).alias("share"), owed.alias("owed"),
         (F.col("place") + F.col("start")).alias("place"), "doc_id", "start",
-        F.expr(f"substring(ids, cast({WIDTH} * start + 1 as int), cast({WIDTH} * size as int))").alias("ids"), F.col("n").alias("doc_tokens"))
+        F.expr(f"substring(ids, cast({wide} * start + 1 as int), cast({wide} * size as int))").alias("ids"), F.col("n").alias("doc_tokens"))
 
 
 def rounds(sizes: list[list[int]], shares: list[float], owed: list[float], length: int, grain: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
@@ -191,11 +200,11 @@ def rounds(sizes: list[list[int]], shares: list[float], owed: list[float], lengt
     return out
 
 
-def fill(table: pa.Table, length: int, grain: int, schema: pa.Schema) -> pa.Table:
+def fill(table: pa.Table, length: int, grain: int, wide: int, schema: pa.Schema) -> pa.Table:
     """The sequences of one part."""
     table = table.sort_by([("queue", "ascending"), ("place", "ascending")]).combine_chunks()
-    ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), "<u4")
-    size = pc.binary_length(table.column("ids")).to_numpy() // WIDTH
+    ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), f"<u{wide}")
+    size = pc.binary_length(table.column("ids")).to_numpy() // wide
     at = np.cumsum(size) - size
     names = table.column("queue").combine_chunks().dictionary_encode()
     queues = names.indices.to_numpy()
@@ -210,8 +219,8 @@ def fill(table: pa.Table, length: int, grain: int, schema: pa.Schema) -> pa.Tabl
     inside = np.empty(len(row), np.int64)
     inside[order] = sums - np.repeat(sums[np.searchsorted(row[order], np.arange(len(size)))], np.bincount(row, minlength=len(size)))
     begin = at[row] + inside
-    letters = memoryview(ids).cast("B")
-    crcs = [zlib.crc32(letters[WIDTH * a:WIDTH * (a + n)]) for a, n in zip(begin.tolist(), taken.tolist())]
+    letters = memoryview(ids.astype("<u4")).cast("B")
+    crcs = [zlib.crc32(letters[4 * a:4 * (a + n)]) for a, n in zip(begin.tolist(), taken.tolist())]
     total = int(taken.sum())
     gathered = ids[np.repeat(begin - (np.cumsum(taken) - taken), taken) + np.arange(total)]
     lengths, counts = np.array([n for n, _ in sequences]), np.array([len(pieces) for _, pieces in sequences])
@@ -225,7 +234,7 @@ def fill(table: pa.Table, length: int, grain: int, schema: pa.Schema) -> pa.Tabl
     part = int(table.column("part")[0].as_py())
     return pa.Table.from_arrays([
         pa.array(np.arange(len(lengths)) + (part << 32)), pa.array(lengths, pa.int32()),
-        pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer((token_ends * WIDTH).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(gathered))]),
+        pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer((token_ends * wide).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(gathered))]),
         lists(table.column("doc_id").take(pa.array(row))), lists(pa.array(start[row] + inside)), lists(pa.array(taken)), lists(pa.array(offset)),
         lists(pa.array(crcs, pa.int64())), lists(table.column("doc_tokens").take(pa.array(row))), lists(table.column("queue").take(pa.array(row))),
     ], schema=schema)
@@ -233,14 +242,16 @@ def fill(table: pa.Table, length: int, grain: int, schema: pa.Schema) -> pa.Tabl
 
 def packed(docs: DataFrame, shared: Broadcast, doc_id: str = "doc_id", source: str = "source", text: str = "text", length: int = LENGTH,
            grain: int = GRAIN, part: int = PART, weights: Mapping[str | None, float] | None = None) -> DataFrame:
-    """A row per sequence: sequence_id, n_tokens, ids (4 bytes each, little-endian), and per piece, in order, the arrays doc_ids,
-    starts, lengths, offsets, crcs, doc_tokens and queues. ``n_tokens`` is ``length`` or a power of two below it."""
+    """A row per sequence: sequence_id, n_tokens, ids (little-endian, as many bytes each as ``width`` tells), and per piece, in order,
+    the arrays doc_ids, starts, lengths, offsets, crcs (of ids of 4 bytes), doc_tokens and queues. ``n_tokens`` is ``length`` or a
+    power of two below it."""
     if length < 1 or length & (length - 1):
         raise ValueError("the length must be a power of two")
-    rows = settle(tokenised(docs.select(
-        (queue(F.col(source)) if weights is None else F.when(F.coalesce(F.col(source).cast("string").isin([s for s in weights if s is not None]), F.lit(None in weights)),
-                                                            queue(F.col(source))).otherwise(F.lit("other"))).alias("queue"),
-        F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shared), "mixpack-ids")
+    wide = width(shared)
+    name = F.col(source).cast("string")
+    named = F.lit(True) if weights is None else F.coalesce(name.isin([s for s in weights if s is not None]), F.lit(None in weights))
+    rows = compressed(tokenised(docs.select(F.when(named, queue(name)).otherwise(F.lit("other")).alias("queue"), F.col(doc_id).alias("doc_id"),
+                                            F.col(text).alias("text")), shared, wide), "mixpack-ids")
     kind = rows.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("n_tokens", T.IntegerType()), T.StructField("ids", T.BinaryType()),
                            *(T.StructField(name, T.ArrayType(t)) for name, t in (
@@ -248,7 +259,7 @@ def packed(docs: DataFrame, shared: Broadcast, doc_id: str = "doc_id", source: s
                                ("crcs", T.LongType()), ("doc_tokens", T.LongType()), ("queues", T.StringType())))])
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(schema)
-    return dealt(rows, weights, part).groupBy("part").applyInArrow(lambda table: fill(table, length, grain, arrow), schema)
+    return dealt(rows, weights, part, wide).groupBy("part").applyInArrow(lambda table: fill(table, length, grain, wide, arrow), schema)
 
 
 def pieces(sequences: DataFrame) -> DataFrame:

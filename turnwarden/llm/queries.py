@@ -134,10 +134,8 @@ def op10_passages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op12_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "mixpacked")
     found = mixpacking.packed(read(spark, folder, "documents"), mixpacking.share(spark, tokenizer("byte_bpe_50k.json")))
-    found.write.parquet(path)
-    return mixpacking.pieces(spark.read.schema(found.schema).parquet(path))
+    return mixpacking.pieces(mixpacking.compressed(found, "mixpacked"))
 
 
 @query
