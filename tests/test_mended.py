@@ -1,13 +1,18 @@
 """Cases that once came out wrong."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from turnwarden import fixed_values as fixed
 from turnwarden.operators import input_rules as inp
 from turnwarden.operators import lookups as look
+from turnwarden.operators import output_rules as out
 from turnwarden.operators import tool_rules as tool
 from turnwarden.operators import verdict_rules as ver
-from turnwarden.operators.rate_limit import rate_limit
+from turnwarden.operators.rate_limit import rate_limit, rate_limit_screen
 from turnwarden.plans import screening as scr
 from turnwarden.sources import dimensions as dim
 from turnwarden.sources.sinks import append_audit, read_audit_log, read_only_query
@@ -72,19 +77,77 @@ def test_trust_belongs_to_the_link(spark):
     assert [r.trusted for r in look.with_trust(df, domains).orderBy("page_id", F.desc("url")).collect()] == [True, False, False]
 
 
-def test_both_forms_of_the_knowledge_base_agree(spark):
-    kb = spark.createDataFrame([(0, "cold", "C"), (1, "fever", "F"), (2, "", "E")], "ord int, topic string, text string")
-    asked = spark.createDataFrame([(1, "a COLD day"), (1, "fever"), (2, "nothing"), (3, None)], "turn_id long, text string")
-    inline, joined = (sorted(map(str, look.kb_match(asked, kb, inline_rows=n).collect())) for n in (100, 1))
-    assert inline == joined and "[cold] C" in inline[0]
+def test_knowledge_base_of_any_size(spark):
+    kb = [(0, "cold", "C"), (1, "fever", "F"), (2, "", "E"), (3, "cold", None), (4, None, "N"), (5, "a.*b", "R"), (6, "überlange überschrift", "U"), (6, "cold", "D")]
+    many = kb + [(100 + i, f"topic{i:04}", f"T{i}") for i in range(300)]
+    texts = [(1, "a COLD day"), (1, "fever"), (2, "nothing"), (3, None), (4, ""), (5, "axxb a.*b TOPIC0007 topic02990"), (5, "die Überlange Überschrift 🙂 fever"), (1, "fever")]
+    asked = spark.createDataFrame(texts, "turn_id long, text string")
+    for entries in (kb, many, [(1, None, "x")]):
+        got = sorted((r.turn_id, str(r.text), r.kb_result) for r in look.kb_match(asked, spark.createDataFrame(entries, "ord int, topic string, text string")).collect())
+        want = []
+        for n, t in texts:
+            hits = sorted((o, k, x) for o, k, x in set(entries) if t is not None and k is not None and x is not None and k in t.lower())
+            want.append((n, str(t), "\n".join(f"[{k}] {x}" for _, k, x in hits) or fixed.KB_MISS))
+        assert got == sorted(want)
+
+
+def test_terms_of_a_table(spark):
+    rng = random.Random(4)
+    words = ["ban", "bank", "banker", "über", "a-b", "c++", "x", "ban bank", "no one", "straße", "naïve", "don't"] + [f"w{i}" for i in range(60)]
+    texts = [(i, " ".join(rng.choice(words + ["banks", "xx", "W7", "BAN", "-", "\n", "urban", "a-bc", "c++,"]) for _ in range(rng.randrange(12)))) for i in range(150)] + [(200, None), (201, "")]
+    df = spark.createDataFrame(texts, "turn_id long, text string")
+    for listed in (words[:9], words):
+        terms = spark.createDataFrame(list(enumerate(listed)) + [(999, None)], "ord int, term string")
+        for boundary in (True, False):
+            one, table = (sorted((r.turn_id, r.blocked_by, [e.detail for e in r.decisions]) for r in x.collect())
+                          for x in (inp.keyword_screen(df, listed, boundary), inp.keyword_screen_table(df, terms, boundary)))
+            assert one == table
+        found = {r.turn_id: (r.text, [e.detail for e in r.decisions]) for r in out.brand_scrub_table(df, terms, "<$1>").collect()}
+        held = [t for t in listed]
+        longest = re.compile(r"\b(?:" + "|".join(re.escape(t) for t in sorted(held, key=len, reverse=True)) + r")\b", re.I)
+        for n, t in texts:
+            names = [w for w in held if t and re.search(r"\b" + re.escape(w) + r"\b", t, re.I)]
+            assert found[n] == (longest.sub("<$1>", t) if t else t, [f"scrubbed: {', '.join(names)}"[:300]] if names else []), t
+
+
+def test_repeated_verdicts_are_settled_by_severity(spark):
+    df = spark.createDataFrame([(1, "x" * 10)], "turn_id long, text string")
+
+    def verdicts(*rows):
+        return spark.createDataFrame([(1, *r) for r in rows], ver.VERDICT_SCHEMA)
+    topic = verdicts((3, 0, "ON_TOPIC", None, None, None), (3, 0, "OFF_TOPIC", None, None, None), (3, 1, "ON_TOPIC", None, None, None))
+    assert ver.topical_screen(df, topic).first().blocked_by == 3
+    relevant = verdicts((30, 0, "RELEVANT", None, None, None), (30, 0, "IRRELEVANT", None, None, None))
+    assert ver.relevance_check(df.withColumn("question", F.lit("q")), relevant).first().decisions[0].action == "modified"
+    flags = verdicts((7, 0, None, None, None, {"violence": True, "harassment": False}), (7, 0, None, None, None, {"violence": False, "harassment": True}),
+                     (7, 1, None, None, None, {"hate": False}))
+    row = ver.moderation_screen(df, flags, ["harassment"]).first()
+    assert row.blocked_by == 7 and row.decisions[0].detail == "flagged: harassment, violence"
+    assert ver.moderation_screen(df, verdicts((7, 0, None, None, None, {"hate": False}))).first().blocked_by is None
+
+
+def test_shared_ids_neither_multiply_nor_vanish(spark):
+    rows = [(1, "u", 0, "a"), (2, "u", 1, "b"), (7, "u", 2, "c"), (7, "u", 3, "d"), (None, "u", 4, "e"), (None, "u", 4, "f"), (9, None, 4, "g"), (7, "u", 3, "d")]
+    df = spark.createDataFrame(rows, "turn_id long, user_id string, s int, text string").withColumn("ts", F.expr("timestamp_ntz'2026-01-01' + make_dt_interval(0, 0, 0, s)"))
+    df = df.withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    done = rate_limit_screen(df, "turn_id", "user_id", "ts", 2, 60).collect()
+    assert sorted((r.text, r.blocked_by) for r in done) == [("a", None), ("b", None), ("c", 26), ("d", 26), ("d", 26), ("e", 26), ("f", 26), ("g", None)]
 
 
 def test_statements_see_the_given_views_only(spark):
     mine = spark.createDataFrame([(1,)], "n int")
     spark.createDataFrame([(9,)], "n int").createOrReplaceTempView("t")
     assert read_only_query(spark, "SELECT n FROM t;", {"t": mine}).collect()[0].n == 1 and spark.table("t").first().n == 9
+    many = "SELECT upper(concat('a', n)) AS u, count(*) c FROM t WHERE n IN (SELECT n FROM t) AND n BETWEEN 0 AND 5 GROUP BY 1 HAVING count(*) > 0 ORDER BY c LIMIT 3"
+    assert read_only_query(spark, many, {"t": mine}).collect() == [("A1", 1)]
+    joined = "select a.n, case when b.n is null then 0 else -b.n end x from t a left join t b on a.n = b.n union all select 2, 3"
+    assert sorted(map(tuple, read_only_query(spark, joined, {"t": mine}).collect())) == [(1, -1), (2, 3)]
     for bad in ("select java_method('java.lang.Math', 'abs', 1)", f"select * from parquet.`{SMALL}/labels.parquet`", "select * from other", "select * from range(3)",
-                "select (select max(n) from other) from t"):
+                "select (select max(n) from other) from t", "select `java_method`('java.lang.System','getProperty','user.home') x from t",
+                "select java_method/**/('java.lang.System','getProperty','user.home') x from t", "select n from t where n in (select n from other)",
+                "select n from t where exists (select 1 from `other`)", "select reflect('java.lang.Math', 'abs', 1)", "select * from t order by (select max(n) from other)",
+                "select n from t where array_contains(array(1), reflect('java.lang.Math', 'abs', 1))", "select current_user() from t", "select n from (table other)",
+                "select input_file_name() from t", "select n from default.t", "select not a statement at all from"):
         with pytest.raises(PermissionError):
             read_only_query(spark, bad, {"t": mine})
 

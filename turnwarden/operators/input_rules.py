@@ -13,7 +13,8 @@ from turnwarden.functions.gates import all_labels, any_may_match, first_label, h
 from turnwarden.functions.links import untrusted_links
 from turnwarden.functions.patterns import count_matches, java_pattern, literal
 from turnwarden.functions.text import let, percent, rewrite_matches, stars
-from turnwarden.operators.decisions import Step, alive, record_all, rewrite
+from turnwarden.operators.decisions import Step, alive, record_all, rewrite, start
+from turnwarden.operators.dictionary import DIGEST, Dictionary, join_back
 
 # ---------------------------------------------------------------------------------------------- 1 keywords
 
@@ -45,6 +46,17 @@ def keyword_screen(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYW
     return record_all(df, keyword_steps(terms, boundary), lower_helper(F.col(text)))
 
 
+def keyword_screen_table(df: DataFrame, terms: DataFrame, boundary: bool = True, text: str = "text") -> DataFrame:
+    """``keyword_screen`` with the terms of a table (ord, term) of any size; of those found the one with the least ``ord`` is
+    reported."""
+    entries = terms.select("ord", F.lower("term").alias("term"), F.col("term").alias("_shown"))
+    low = F.lower(F.col(text))
+    first = Dictionary(entries, at_words=boundary).found(df, low).groupBy(*DIGEST).agg(F.min(F.struct("ord", "_shown")).alias("_first"))
+    df = join_back(start(df), low, first)
+    detail = F.concat(F.lit("banned keyword: '"), F.col("_first._shown"), F.lit("'"))
+    return record_all(df, [Step(1, "Keyword filter", "blocked", detail)]).drop("_first")
+
+
 def keyword_hits(df: DataFrame, terms: Sequence[str] = tuple(fixed.BANNED_KEYWORDS), boundary: bool = True,
                  text: str = "text") -> DataFrame:
     """Texts and occurrences per term; aggregated before the shuffle, one row per term leaves each task."""

@@ -1,55 +1,30 @@
 """Lookup tables joined to requests: knowledge base, medications, records, articles.
 
-The tables are dimensions. One of at most ``INLINE_ROWS`` rows is written into the plan as a literal and read inside
-the row; a larger one is joined on a key. "Topic is a substring of the query" has no key of its own, so the larger
-case joins on the first three characters of the topic, which any text holding it also holds, and then compares.
+The tables are dimensions of any size. Keys are joined; "topic is a substring of the query" goes through a dictionary.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
 from turnwarden.functions.links import host, host_suffixes
 from turnwarden.functions.text import trim_space
+from turnwarden.operators.dictionary import DIGEST, Dictionary, join_back
 
-INLINE_ROWS = 256
-PROBE = 3
 
+def kb_match(queries: DataFrame, kb: DataFrame, query: str = "text") -> DataFrame:
+    """Add ``kb_result``: every topic that is a substring of the lower-cased query, in knowledge-base order.
 
-def _inline(dimension: DataFrame, rows: int):
-    """The rows of a small dimension in ``ord`` order, or None if it has more than ``rows``."""
-    found = dimension.limit(rows + 1).collect()
-    return sorted(found, key=lambda r: r["ord"]) if len(found) <= rows else None
-
-
-def _contained(df: DataFrame, text: Column, dimension: DataFrame, term: str) -> DataFrame:
-    """(_q, ord, term, text) for every text ``_q`` and dimension row whose term is a substring of it. Equal texts are
-    looked up once, so the result does not depend on keys; an empty term is in every text."""
-    sizes = [r[0] for r in dimension.select(F.least(F.length(term), F.lit(PROBE)).alias("n")).distinct().collect()]
-    probes = F.array_distinct(F.concat(
-        F.array(F.lit("")), *[F.regexp_extract_all(F.col("_q"), F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in sizes if n]))
-    dim = dimension.select("ord", F.col(term).alias("_term"), F.col("text").alias("_text"),
-                           F.substring(F.col(term), 1, PROBE).alias("_probe"))
-    asked = df.select(text.alias("_q")).distinct().withColumn("_probe", F.explode(probes))
-    return (asked.join(dim, "_probe").filter(F.col("_q").contains(F.col("_term")))
-            .select("_q", "ord", "_term", "_text"))
-
-
-def kb_match(queries: DataFrame, kb: DataFrame, query: str = "text", inline_rows: int = INLINE_ROWS) -> DataFrame:
-    """Add ``kb_result``: every topic that is a substring of the lower-cased query, in knowledge-base order."""
+    An entry without a topic or a text is none, an empty topic is in every query, and a null query holds nothing.
+    """
+    entries = kb.filter("text is not null").select("ord", F.col("topic").alias("term"), F.col("text").alias("_text"))
     lowered = F.lower(F.col(query))
-    rows = _inline(kb, inline_rows)
-    if rows is not None:
-        hits = F.array(*[F.when(lowered.contains(r["topic"]), F.lit(f"[{r['topic']}] {r['text']}")) for r in rows])
-        return queries.withColumn("_hits", F.array_join(hits, "\n")).withColumn(
-            "kb_result", F.when(F.col("_hits") != "", F.col("_hits")).otherwise(F.lit(fixed.KB_MISS))).drop("_hits")
-    entry = F.struct("ord", F.concat(F.lit("["), F.col("_term"), F.lit("] "), F.col("_text")).alias("t"))
-    found = _contained(queries, lowered, kb, "topic").groupBy("_q").agg(
+    entry = F.struct("ord", F.concat(F.lit("["), F.col("term"), F.lit("] "), F.col("_text")).alias("t"))
+    found = Dictionary(entries).found(queries, lowered).groupBy(*DIGEST).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"]), "\n").alias("_hits"))
-    return queries.join(found, lowered == F.col("_q"), "left").withColumn(
-        "kb_result", F.coalesce("_hits", F.lit(fixed.KB_MISS))).drop("_hits", "_q")
+    return join_back(queries, lowered, found).withColumn("kb_result", F.coalesce("_hits", F.lit(fixed.KB_MISS))).drop("_hits")
 
 
 def medication_lookup(requests: DataFrame, kb: DataFrame, medication: str = "medication") -> DataFrame:
@@ -79,18 +54,11 @@ def with_trust(df: DataFrame, domains: DataFrame, url: str = "url") -> DataFrame
     return df.join(suffixes, asked == F.col("_host"), "left").withColumn("trusted", F.col("_host").isNotNull()).drop("_host")
 
 
-def article_lookup(requests: DataFrame, domains: DataFrame, articles: DataFrame, url: str = "url",
-                   inline_rows: int = INLINE_ROWS) -> DataFrame:
+def article_lookup(requests: DataFrame, domains: DataFrame, articles: DataFrame, url: str = "url") -> DataFrame:
     """Add ``article``: refused for untrusted links, else the first article whose domain is a substring of the link."""
     df = with_trust(requests, domains, url)
-    rows = _inline(articles, inline_rows)
-    if rows is not None:
-        df = df.withColumn("_text", F.coalesce(F.lit(None).cast("string"), *[
-            F.when(F.col(url).contains(r["domain"]), F.lit(r["text"])) for r in rows]))
-    else:
-        first = (_contained(df.filter("trusted"), F.col(url), articles, "domain")
-                 .groupBy("_q").agg(F.min_by("_text", "ord").alias("_text")))
-        df = df.join(first, F.col(url) == F.col("_q"), "left").drop("_q")
+    entries = articles.filter("text is not null").select("ord", F.col("domain").alias("term"), F.col("text").alias("_text"))
+    first = Dictionary(entries).found(df.filter("trusted"), F.col(url)).groupBy(*DIGEST).agg(F.min(F.struct("ord", "_text")).alias("_first"))
     refused = F.concat(F.lit("Refused: "), F.col(url), F.lit(" is not on the trusted-domain list."))
-    return df.withColumn("article", F.when(~F.col("trusted"), refused)
-                         .otherwise(F.coalesce("_text", F.lit(fixed.ARTICLE_MISS)))).drop("_text")
+    return join_back(df, F.col(url), first).withColumn("article", F.when(~F.col("trusted"), refused).otherwise(
+        F.coalesce("_first._text", F.lit(fixed.ARTICLE_MISS)))).drop("_first")

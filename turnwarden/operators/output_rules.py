@@ -14,6 +14,7 @@ from turnwarden.functions.links import redact_untrusted, untrusted_links
 from turnwarden.functions.patterns import any_of, count_matches, java_pattern, literal
 from turnwarden.functions.text import keep_first_char, let, lines, rewrite_matches
 from turnwarden.operators.decisions import record, rewrite, start
+from turnwarden.operators.dictionary import DIGEST, Dictionary, join_back
 
 
 def _replace_in_turn(df: DataFrame, text: str, steps: Sequence[tuple[str, str, str]],
@@ -135,6 +136,23 @@ def brand_scrub(df: DataFrame, terms: Sequence[str] = tuple(fixed.COMPETITORS),
     return _finish(df, text, 15, "Brand safety", _listed(parts, "scrubbed: "))
 
 
+def brand_scrub_table(df: DataFrame, terms: DataFrame, replacement: str = fixed.BRAND_MASK, text: str = "text") -> DataFrame:
+    """``brand_scrub`` with the names of a table (ord, term) of any size. All names are looked for in the text as it came; where
+    names overlap, the one that begins first and of those the longest is replaced. The report lists names found, by ``ord``."""
+    entries = terms.filter("term <> ''").select("ord", F.lower("term").alias("term"), F.col("term").alias("_shown"))
+    low = F.lower(F.col(text))
+    quoted = F.regexp_replace("term", r"([\\^$.|?*+()\[\]{}\-&~#])", r"\\$1")
+    by_length = F.array_sort(F.collect_list(F.struct((-F.length("term")).alias("n"), quoted.alias("q"))))
+    shown = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord", "_shown"))), lambda e: e["_shown"]))
+    found = Dictionary(entries, whole_words=True).found(df, low).groupBy(*DIGEST).agg(
+        F.concat(F.lit(r"(?iU)\b(?:"), F.array_join(F.transform(by_length, lambda e: e["q"]), "|"), F.lit(r")\b")).alias("_names"),
+        F.array_join(shown, ", ").alias("_listed"))
+    df = join_back(start(df), low, found)
+    df = record(df, 15, "Brand safety", "modified", F.concat(F.lit("scrubbed: "), F.col("_listed")))
+    scrubbed = F.regexp_replace(F.col(text), F.col("_names"), F.lit(replacement.replace("\\", r"\\").replace("$", r"\$")))
+    return rewrite(df, text, F.col("_names").isNotNull(), scrubbed).drop("_names", "_listed")
+
+
 def append_disclaimer(df: DataFrame, needle: str = fixed.DISCLAIMER_NEEDLE, suffix: str = fixed.DISCLAIMER,
                       text: str = "text") -> DataFrame:
     """End every non-empty answer that lacks it with the disclaimer."""

@@ -32,7 +32,7 @@ ANONYMOUS = "anonymous"
 
 def fold_schema(rows: DataFrame) -> str:
     """The columns of a fold; ids keep the kind that they have in ``rows``."""
-    return f"user string, stretch int, at long, id {rows.schema['id'].dataType.simpleString()}, carried boolean, admitted boolean"
+    return f"user string, stretch int, at long, id {rows.schema['id'].dataType.simpleString()}, tag long, carried boolean, admitted boolean"
 
 
 def micros(ts: Column) -> Column:
@@ -40,15 +40,20 @@ def micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
 
 
-def requests(df: DataFrame, id_column: str, user: str, ts: str) -> DataFrame:
-    """The three narrow columns admission needs; requests without a user share one history."""
-    key = F.col(user).cast("string")
-    return df.select(F.when(key.isNull() | (key == ""), F.lit(ANONYMOUS)).otherwise(key).alias("user"),
-                     micros(F.col(ts)).alias("at"), F.col(id_column).alias("id"))
+def user_key(user: Column) -> Column:
+    """Whose history a request belongs to; requests without a user share one."""
+    key = user.cast("string")
+    return F.when(key.isNull() | (key == ""), F.lit(ANONYMOUS)).otherwise(key)
+
+
+def requests(df: DataFrame, id_column: str, user: str, ts: str, tag: Column | None = None) -> DataFrame:
+    """The narrow columns admission needs. ``tag`` tells rows of one id and time apart."""
+    return df.select(user_key(F.col(user)).alias("user"), micros(F.col(ts)).alias("at"), F.col(id_column).alias("id"),
+                     (F.lit(0).cast("long") if tag is None else tag).alias("tag"), F.lit(False).alias("carried"))
 
 
 def folder(max_requests: int, window: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Admission over rows sorted by (user, stretch, at, id). Carried rows are already admitted."""
+    """Admission over rows sorted by (user, stretch, at, id, tag). Carried rows are already admitted."""
 
     def fold(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, admitted = None, deque()
@@ -71,9 +76,9 @@ def folder(max_requests: int, window: int) -> Callable[[Iterable[pd.DataFrame]],
 
 
 def _fold(rows: DataFrame, max_requests: int, window: int) -> DataFrame:
-    ordered = (rows.select("user", "stretch", "at", "id", "carried")
+    ordered = (rows.select("user", "stretch", "at", "id", "tag", "carried")
                .repartition("user", "stretch")
-               .sortWithinPartitions("user", "stretch", "at", F.col("carried").desc(), "id"))
+               .sortWithinPartitions("user", "stretch", "at", F.col("carried").desc(), "id", "tag"))
     return ordered.mapInPandas(folder(max_requests, window), fold_schema(rows))
 
 
@@ -98,9 +103,8 @@ def _settle_hot(hot: DataFrame, max_requests: int, window: int) -> DataFrame:
     stored = new_folder(spark, "hot-requests")
     id_type = hot.schema["id"].dataType
     schema = fold_schema(hot)
-    hot.withColumn("carried", F.lit(False)).select("user", "stretch", "at", "id", "carried") \
-        .write.partitionBy("stretch").parquet(stored)
-    rows = spark.read.schema(f"user string, at long, id {id_type.simpleString()}, carried boolean, stretch int").parquet(stored)
+    hot.select("user", "stretch", "at", "id", "tag", "carried").write.partitionBy("stretch").parquet(stored)
+    rows = spark.read.schema(f"user string, at long, id {id_type.simpleString()}, tag long, carried boolean, stretch int").parquet(stored)
     starts = settle(rows.groupBy("user", "stretch").agg(F.min("at").alias("first_at")), "stretch-starts")
 
     rounds = new_folder(spark, "admission")
@@ -120,7 +124,7 @@ def _settle_hot(hot: DataFrame, max_requests: int, window: int) -> DataFrame:
         if not numbers:
             break
         carried = (changed.select("user", "stretch", F.explode("times").alias("at"))
-                   .withColumns({"id": F.lit(None).cast(id_type), "carried": F.lit(True)}))
+                   .withColumns({"id": F.lit(None).cast(id_type), "tag": F.lit(0).cast("long"), "carried": F.lit(True)}))
         again = rows.filter(F.col("stretch").isin(numbers)).join(changed, ["user", "stretch"], "left_semi")
         folded = fold_round(n, again.unionByName(carried))
         exits = settle(exits.join(changed, ["user", "stretch"], "left_anti")
@@ -130,29 +134,45 @@ def _settle_hot(hot: DataFrame, max_requests: int, window: int) -> DataFrame:
         received = due
     folded = spark.read.schema(schema + ", round int").parquet(rounds)
     return (folded.filter("not carried").join(latest, ["user", "stretch", "round"], "left_semi")
-            .select("id", "user", "admitted"))
+            .select(*DECIDED))
+
+
+DECIDED = ["id", "user", "at", "tag", "admitted"]
+
+
+def decide(narrow: DataFrame, max_requests: int, window: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Admission of narrow rows (``requests``): id, user, at, tag, admitted. Carried rows were admitted before; they count and are
+    not returned."""
+    cold, hot = cut_hot_keys(narrow, "user", "at", group_rows)
+    decided = _fold(cold.withColumn("stretch", F.lit(0)), max_requests, window).filter("not carried").select(*DECIDED)
+    return decided if hot is None else decided.unionByName(_settle_hot(hot, max_requests, window))
 
 
 def rate_limit(df: DataFrame, id_column: str, user: str, ts: str, max_requests: int = fixed.RATE_MAX_REQUESTS,
                window_seconds: float = fixed.RATE_WINDOW_SECONDS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(id, user, admitted) for every row of ``df``; ties in time are taken in ``id`` order."""
-    window = int(round(window_seconds * 1_000_000))
-    narrow = requests(df, id_column, user, ts)
-    cold, hot = cut_hot_keys(narrow, "user", "at", group_rows)
-    decided = _fold(cold.withColumns({"stretch": F.lit(0), "carried": F.lit(False)}), max_requests, window)
-    decided = decided.select("id", "user", "admitted")
-    if hot is not None:
-        decided = decided.unionByName(_settle_hot(hot, max_requests, window))
-    return decided
+    return decide(requests(df, id_column, user, ts), max_requests, int(round(window_seconds * 1_000_000)), group_rows).select("id", "user", "admitted")
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed: no maps and no variants."""
+    return [f"`{f.name}`" for f in df.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
 
 
 def rate_limit_screen(df: DataFrame, id_column: str, user: str, ts: str,
                       max_requests: int = fixed.RATE_MAX_REQUESTS, window_seconds: float = fixed.RATE_WINDOW_SECONDS,
                       group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Block the refused rows of a turn table. Only (id, user, time) is sorted; the wide rows join the outcome by id."""
-    decided = rate_limit(df, id_column, user, ts, max_requests, window_seconds, group_rows)
+    """Block the refused rows of a turn table. Only (id, user, time, hash of the row) is sorted; the wide rows join the outcome.
+
+    Every row is a request of its own, whether or not it shares its id with others; rows that are equal in all columns are one
+    request that was delivered more than once, and share its outcome. Rows are neither lost nor multiplied.
+    """
+    tag = F.xxhash64(*_hashable(df))
+    decided = decide(requests(df, id_column, user, ts, tag).distinct(), max_requests, int(round(window_seconds * 1_000_000)), group_rows)
     refused = decided.filter(~F.col("admitted")).select(
-        F.col("id").alias(id_column),
+        F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("tag").alias("_tag"), F.col("user").alias("_user"),
         F.concat("user", F.lit(f": {max_requests} req / {window_seconds:.0f}s")).alias("_refused"))
-    joined = df.join(refused, id_column, "left")
+    same = (F.col(f"`{id_column}`").eqNullSafe(F.col("_id")) & micros(F.col(ts)).eqNullSafe(F.col("_at")) & (tag == F.col("_tag"))
+            & (user_key(F.col(user)) == F.col("_user")))
+    joined = df.join(refused, same, "left").drop("_id", "_at", "_tag", "_user")
     return record(joined, 26, "Rate limit", "blocked", F.col("_refused")).drop("_refused")

@@ -41,15 +41,16 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     return scored.drop("_words", "_tf", "_raw", "_probability", "_prediction")
 
 
-def score_with(df: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]], text: str = "text") -> DataFrame:
-    """Add ``score`` from a user's own model. ``load`` runs once per task; the model then gets batches of texts."""
+def score_with(df: DataFrame, load: Callable[[], Callable[[pd.Series], pd.Series]], text: str = "text", score: str = "score") -> DataFrame:
+    """Add ``score`` from a user's own model. ``load`` runs once per task; the model then gets batches of texts, with None for a
+    null text."""
     @F.pandas_udf("double")
     def scorer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for batch in batches:
             yield model(batch)
 
-    return df.withColumn("score", scorer(F.col(text)))
+    return df.withColumn(score, scorer(F.col(text)))
 
 
 def moderation_verdicts(scored: DataFrame, key: str, category: str, threshold: float = 0.5) -> DataFrame:

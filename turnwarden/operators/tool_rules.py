@@ -187,10 +187,10 @@ def approval_summary(settled: DataFrame) -> DataFrame:
     The log keeps 2000 characters and every entry adds more than one, so at most 2000 entries per run can show; the
     bounded rank cuts the rest before the shuffle.
     """
-    rank = W.partitionBy("run_id").orderBy("seq")
+    rank = W.partitionBy("run_id").orderBy("seq", "call_id")
     outcome = F.when(F.col("status") == "auto-rejected", F.lit("auto-rejected (role)")).otherwise(F.col("status"))
     entries = (settled.filter("status <> 'paused'")
-               .select("run_id", "seq", F.concat("tool_name", F.lit(": "), outcome).alias("_entry"))
+               .select("run_id", "seq", "call_id", F.concat("tool_name", F.lit(": "), outcome).alias("_entry"))
                .withColumn("_n", F.row_number().over(rank)).filter(F.col("_n") <= fixed.STORED_INPUT_CHARS))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_entry"))), lambda e: e["_entry"]),
                           "; ")

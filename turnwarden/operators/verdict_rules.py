@@ -21,52 +21,131 @@ NO_ANSWER = "no verdict"
 ONE_LABEL_RULES = {3: "topic", 7: "moderation", 12: "policy", 16: "crisis", 2: "injection", 30: "relevance"}
 
 
-def verdicts_per_turn(verdicts: DataFrame, key: str = "turn_id") -> DataFrame:
-    """One row per turn: ``_label_<rule>``, ``_flagged`` (moderation categories) and ``_scores`` (chunk -> score).
+#: What a label must hold for its rule to act.
+BLOCKING = {2: "YES", 3: "OFF_TOPIC", 12: "UNSAFE", 16: "YES", 30: "IRRELEVANT"}
+
+
+def _acts(rule: Column, label: Column) -> Column:
+    """Whether the label makes its rule act; rule 16 asks for it at the beginning."""
+    return F.coalesce(*[F.when(rule == r, label.startswith(x) if r == 16 else label.contains(x)) for r, x in BLOCKING.items()], F.lit(False))
+
+
+def _united(lists: Column) -> Column:
+    """The distinct names of gathered lists; one list alone keeps its order."""
+    return F.array_distinct(F.flatten(F.array_sort(F.collect_set(lists))))
+
+
+def verdicts_per_turn(verdicts: DataFrame, key: str = "turn_id", *more: str, merged: bool = False) -> DataFrame:
+    """One row per turn (``key`` and ``more``): ``_label_<rule>``, ``_flagged`` (moderation categories) and ``_scores`` (chunk -> score).
+
+    A judge may answer again. Then the severe answer counts: a label on which its rule acts before one on which it does not,
+    all categories that any answer flagged, and of a chunk's scores the attack with the highest confidence.
 
     A turn has one row per rule and, for scores, one per chunk of its own text, so the gathered map is bounded by the
-    length of one text.
+    length of one text; repeated answers become one before anything is gathered (``merged`` says that they have).
     """
-    # A judge may answer again, so repeated answers become one before anything is gathered. Of scores the attack with the
-    # highest confidence counts.
-    score = F.struct(F.coalesce("attack", F.lit(False)).alias("attack"), F.coalesce("confidence", F.lit(1.0)).alias("c"), "confidence", "label")
-    names = F.array_join(F.map_keys(F.map_filter("categories", lambda _, v: v)), ", ")
-    answers = verdicts.groupBy(key, "rule", "chunk_no").agg(
-        F.max("label").alias("label"), F.max(names).alias("names"), F.max(score).alias("score"))
-    one = {f"_label_{r}": F.max(F.when(F.col("rule") == r, F.col("label"))) for r in ONE_LABEL_RULES}
-    flagged = F.max(F.when(F.col("rule") == 7, F.col("names")))
-    value = F.struct(F.col("score.attack").alias("attack"), F.col("score.confidence").alias("confidence"), F.col("score.label").alias("label"))
-    entry = F.when((F.col("rule") == 18) & F.col("chunk_no").isNotNull(), F.struct(F.col("chunk_no").alias("key"), value.alias("value")))
+    rows = verdicts if merged else merge_answers(verdicts, key, *more)
+    one = {f"_label_{r}": F.max(F.when((F.col("rule") == r) & F.col("label").isNotNull(), F.struct("severe", "label")))["label"] for r in ONE_LABEL_RULES}
+    flagged = F.array_join(_united(F.when(F.col("rule") == 7, F.col("names"))), ", ")
+    entry = F.when((F.col("rule") == 18) & F.col("chunk_no").isNotNull() & F.col("score").isNotNull(), F.struct("chunk_no", "score"))
+    each = F.array_sort(F.collect_set(entry))  # of a chunk the last one counts
+    moderated = F.max(F.when((F.col("rule") == 7) & F.col("names").isNotNull(), F.lit(True)))
+    df = rows.groupBy(key, *more).agg(*[c.alias(n) for n, c in one.items()], flagged.alias("_flagged"), each.alias("_each"), moderated.alias("_moderated"))
+    last = F.filter("_each", lambda e, i: ~F.coalesce(F.get("_each", i + 1)["chunk_no"] == e["chunk_no"], F.lit(False)))
+    value = lambda e: F.struct(e["score"]["attack"].alias("attack"), e["score"]["confidence"].alias("confidence"), e["score"]["label"].alias("label"))
+    scores = F.map_from_entries(F.transform(last, lambda e: F.struct(e["chunk_no"].alias("key"), value(e).alias("value"))))
     # Moderation without categories is no answer.
-    return answers.groupBy(key).agg(
-        *[c.alias(n) for n, c in one.items()], flagged.alias("_flagged"),
-        F.map_from_entries(F.array_compact(F.collect_list(entry))).alias("_scores"),
-        F.max(F.when((F.col("rule") == 7) & F.col("names").isNotNull(), F.lit(True))).alias("_moderated"))
+    return df.select(key, *more, *one, F.when(F.col("_moderated"), F.col("_flagged")).alias("_flagged"), scores.alias("_scores"), "_moderated")
+
+
+def answer_rows(verdicts: DataFrame) -> DataFrame:
+    """Verdicts with what is compared between answers: ``severe``, ``names`` (flagged categories) and ``score``."""
+    score = F.struct(F.coalesce("attack", F.lit(False)).alias("attack"), F.coalesce("confidence", F.lit(1.0)).alias("c"), "confidence", "label")
+    return verdicts.withColumns({"severe": _acts(F.col("rule"), F.col("label")), "names": F.map_keys(F.map_filter("categories", lambda _, v: v)),
+                                 "score": F.when(F.col("rule") == 18, score)})
+
+
+def merge_answers(verdicts: DataFrame, key: str, *more: str) -> DataFrame:
+    """One row per turn, rule and chunk of all answers to it."""
+    worst = F.max(F.when(F.col("label").isNotNull(), F.struct("severe", "label")))
+    answers = answer_rows(verdicts).groupBy(key, *more, "rule", "chunk_no").agg(
+        worst.alias("_worst"), F.count("names").alias("_lists"), _united(F.col("names")).alias("names"), F.max("score").alias("score"))
+    return answers.select(key, *more, "rule", "chunk_no", F.col("_worst.severe").alias("severe"), F.col("_worst.label").alias("label"),
+                          F.when(F.col("_lists") > 0, F.col("names")).alias("names"), "score")
+
 
+OBJECT = r"(?s)\{.*\}"
 
-def parse_judgements(replies: DataFrame, key: str = "turn_id") -> DataFrame:
-    """Verdict rows from what a judge replied (``turn_id, rule, chunk_no, reply``). An empty reply gives no row: the check was
-    unavailable.
+
+def _object(reply: Column) -> Column:
+    """The JSON object from the first brace to the last, NULL if there is none."""
+    return F.try_parse_json(F.nullif(F.regexp_extract(reply, OBJECT, 0), F.lit("")))
+
+
+def _kind(value: Column) -> Column:
+    """The kind of a value, NULL where there is none; a JSON null is VOID."""
+    return F.schema_of_variant(value)
+
+
+def flagged_categories(reply: Column, found: Column) -> Column:
+    """The categories of a moderation reply and whether each is flagged. ``found`` is its JSON object.
+
+    ``{"categories": {name: true, ...}}`` is a map as it stands; ``{"violation": 0 or 1, "category": name}`` is a map of one, named
+    ``unspecified`` without a name. A reply without a readable object is flagged only if it says so in words.
+    """
+    listed = F.try_variant_get(found, "$.categories", "map<string,boolean>")
+    named = F.coalesce(F.try_variant_get(found, "$.category", "string"), F.lit("unspecified"))
+    single = F.create_map(named, F.coalesce(F.try_variant_get(found, "$.violation", "int"), F.lit(0)) == 1)
+    said = F.create_map(F.lit("unspecified"), reply.rlike(r'(?i)"violation"\s*:\s*(1|true)'))
+    return F.coalesce(listed, F.when(found.isNotNull(), single), said)
+
+
+def parse_judgements(replies: DataFrame, key: str = "turn_id", *more: str) -> DataFrame:
+    """Verdict rows from what a judge replied (``turn_id, rule, chunk_no, reply``; ``more`` columns are kept). An empty reply gives no
+    row: the check was unavailable.
 
     Rules with one label take the upper-cased reply. Scores of rule 18 are the JSON object from the first brace to the last,
-    whatever the letter case; a reply without one, or with an empty one, counts as an attack only if it says so in words.
+    whatever the letter case; a reply without one, or with an empty one, counts as an attack only if it says so in words. Of
+    rule 7 the categories are read, see ``flagged_categories``.
     """
     said = F.upper(trim_space(F.col("reply")))
-    rows = replies.filter(said != "").select(key, "rule", "chunk_no", said.alias("_said"))
-    rows = rows.withColumn("_json", F.try_parse_json(F.lower(F.nullif(F.regexp_extract("_said", r"(?s)\{.*\}", 0), F.lit("")))))
-    score = F.col("rule") == 18
+    rows = replies.filter(said != "").select(key, *more, "rule", "chunk_no", said.alias("_said"), _object(F.col("reply")).alias("_object"), "reply")
+    rows = rows.withColumn("_json", _object(F.lower("_said")))
+    score, moderation = F.col("rule") == 18, F.col("rule") == 7
     found = score & F.coalesce(F.schema_of_variant("_json") != "OBJECT<>", F.lit(False))
 
     def value(name: str, kind: str) -> Column:
         return F.try_variant_get("_json", f"$.{name}", kind)
 
     return rows.select(
-        key, "rule", "chunk_no",
-        F.when(found, value("type", "string")).when(score, F.lit("unknown")).otherwise(F.col("_said")).alias("label"),
+        key, *more, "rule", "chunk_no",
+        F.when(found, value("type", "string")).when(score, F.lit("unknown")).when(~moderation, F.col("_said")).alias("label"),
         F.when(found, value("confidence", "double")).when(score, F.lit(1.0)).alias("confidence"),
         F.when(found, F.coalesce(value("attack", "boolean"), F.lit(False))).when(
             score, F.contains(F.col("_said"), F.lit('"ATTACK": TRUE'))).alias("attack"),
-        F.lit(None).cast("map<string,boolean>").alias("categories"))
+        F.when(moderation, flagged_categories(F.col("reply"), F.col("_object"))).alias("categories"))
+
+
+def parse_grounding(replies: DataFrame, key: str = "turn_id") -> DataFrame:
+    """What a judge found of an answer's claims (``turn_id, reply``) as rows for the grounding check: key, claim_no, claim, supported.
+
+    The claims are the list ``claims`` of the lower-cased object; a claim without ``supported`` counts as supported, one with
+    false, 0, an empty text or null as not. An object without claims is a finding too: one row without a claim. A reply without a
+    readable object, or with claims that are no list of objects, gives no row: the check was unavailable.
+    """
+    found = replies.select(key, _object(F.lower("reply")).alias("_json")).filter("_json is not null")
+    none = F.array().cast("array<variant>")
+    listed = F.try_variant_get("_json", "$.claims", "variant")
+    rows = found.withColumn("_kind", _kind(listed)).withColumn("_claims", F.when(F.col("_kind").isNull(), none).when(
+        F.col("_kind").startswith("ARRAY"), F.try_variant_get("_json", "$.claims", "array<variant>")))
+    rows = rows.filter(F.col("_claims").isNotNull() & F.forall("_claims", lambda c: F.coalesce(_kind(c).startswith("OBJECT"), F.lit(False))))
+    each = rows.select(key, F.posexplode_outer("_claims").alias("claim_no", "_c")).withColumn("_s", F.try_variant_get("_c", "$.supported", "variant"))
+    kind = _kind(F.col("_s"))
+    held = (F.when(kind.isNull(), True).when(kind == "VOID", False).when(kind == "BOOLEAN", F.try_variant_get("_s", "$", "boolean"))
+            .when(kind == "STRING", F.try_variant_get("_s", "$", "string") != "")
+            .otherwise(F.coalesce(F.try_variant_get("_s", "$", "double") != 0, F.lit(True))))
+    return each.select(key, F.coalesce("claim_no", F.lit(0)).alias("claim_no"), F.when(F.col("_c").isNotNull(), F.coalesce(
+        F.try_variant_get("_c", "$.claim", "string"), F.lit(""))).alias("claim"), held.alias("supported"))
 
 
 VERDICT_COLUMNS = [f"_label_{r}" for r in ONE_LABEL_RULES] + ["_flagged", "_scores", "_moderated"]

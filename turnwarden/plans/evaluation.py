@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnwarden.operators.decisions import start
@@ -71,3 +72,37 @@ def _rates(counts: DataFrame) -> DataFrame:
     def share(a: str, b: str):
         return F.round(F.col(a) / F.nullif(F.col(a) + F.col(b), F.lit(0)), 6)
     return counts.withColumns({"precision": share("tp", "fp"), "recall": share("tp", "fn")})
+
+
+def fold_of(key: Column, folds: int) -> Column:
+    """The fold of a row, from a hash of its key: rows that share a key share a fold."""
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long") % folds
+
+
+def held_out(df: DataFrame, key: str, folds: int, fit: Callable[[DataFrame], object], score: Callable[[DataFrame, object], DataFrame]) -> DataFrame:
+    """Every row scored by a model that was fitted to the rows of the other folds."""
+    parts = []
+    for k in range(folds):
+        mine = fold_of(F.col(key), folds) == k
+        parts.append(score(df.filter(mine), fit(df.filter(~F.coalesce(mine, F.lit(False))))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def precision_recall(df: DataFrame, labels: DataFrame, score: str, label: str, bins: int = 1000, key: str = "doc_id") -> DataFrame:
+    """The whole curve: a row per threshold that some labelled row reaches, with counts and rates of ``score >= threshold``.
+
+    Scores are cut down to multiples of 1 / ``bins``. Rows are counted per bin first; the running sums go over bins, of which
+    there are as many as scores differ, at most ``bins`` + 1 for probabilities.
+    """
+    joined = df.select(key, (F.floor(F.col(score) * bins) / bins).alias("threshold")).filter("threshold is not null").join(
+        labels.select(key, F.col(label).cast("boolean").alias("y")).filter("y is not null"), key)
+    counts = joined.groupBy("threshold").agg(F.count_if("y").alias("p"), F.count_if(~F.col("y")).alias("n"))
+    above, every = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(F.lit(1))
+    tp, fp = F.sum("p").over(above), F.sum("n").over(above)
+    curve = counts.select("threshold", tp.alias("tp"), fp.alias("fp"), (F.sum("p").over(every) - tp).alias("fn"), (F.sum("n").over(every) - fp).alias("tn"))
+    return _rates(curve).withColumn("f1", F.round(2 * F.col("tp") / (2 * F.col("tp") + F.col("fp") + F.col("fn")), 6))
+
+
+def best_threshold(curve: DataFrame) -> DataFrame:
+    """The row of the curve with the highest f1; of equals the one with the highest threshold."""
+    return curve.groupBy().agg(F.max(F.struct("f1", "threshold", *[c for c in curve.columns if c not in ("f1", "threshold")])).alias("b")).select("b.*")

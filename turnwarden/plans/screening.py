@@ -20,14 +20,16 @@ from turnwarden.operators import output_rules as out
 from turnwarden.operators import verdict_rules as ver
 from turnwarden.operators.decisions import Step, alive, record_all, rewrite, start
 from turnwarden.operators.grounding import grounding_check
-from turnwarden.operators.language import LanguageModel, join_scores, language_steps, score
+from turnwarden.operators.language import LanguageModel, language_steps, with_language
 from turnwarden.operators.ordered import GROUP_ROWS
 from turnwarden.operators.rate_limit import rate_limit_screen
+from turnwarden.plans.registry import MASKED, RAW, VISIBLE, Rule, placed, prepared
 
 
 @dataclass(frozen=True)
 class InputSettings:
-    """Parameters of the input stack; the defaults are the documented ones."""
+    """Parameters of the input stack; the defaults are the documented ones. ``skip`` leaves rules out, ``own`` adds rules, and without
+    ``crisis_judge`` rule 16 goes by its signals alone."""
     max_requests: int = fixed.RATE_MAX_REQUESTS
     window_seconds: float = fixed.RATE_WINDOW_SECONDS
     max_chars: int = fixed.MAX_INPUT_CHARS
@@ -39,7 +41,9 @@ class InputSettings:
     domains: Sequence[str] = tuple(fixed.TRUSTED_DOMAINS)
     attack_threshold: float = fixed.ATTACK_THRESHOLD
     group_rows: int = GROUP_ROWS
+    crisis_judge: bool = True
     skip: Sequence[int] = ()
+    own: Sequence[Rule] = ()
 
 
 def screen_input(turns: DataFrame, verdicts: DataFrame | None = None, language: LanguageModel | None = None,
@@ -61,44 +65,56 @@ def screen_input(turns: DataFrame, verdicts: DataFrame | None = None, language:
     judged = [n for n in (16, 18, 3, 7) if on(n)]
     if judged:
         df = ver.join_verdicts(df, verdicts, key)
-    languages = None
-    if on(21) and language is not None:
-        long_enough = turns.select(key, inp.visible(F.col(text)).alias("_visible")) \
-            .filter(F.length("_visible") >= s.language_min_chars)
-        languages = score(long_enough, language, key, F.col("_visible"))
-        df = join_scores(df, languages, key)
-    t = F.col(text)
-    confident = [] if languages is None else language_steps(t, s.languages, s.language_min_chars, s.language_min_confidence)
-    judge = ver.crisis_judge_steps() if on(16) else []
+    return ver.drop_verdicts(judged_input(df, s, language, text)).drop("_language", "_p")
+
+
+def judged_input(df: DataFrame, settings: InputSettings = InputSettings(), language: LanguageModel | None = None, text: str = "text") -> DataFrame:
+    """The stack behind admission, over turns that carry their verdict columns. Needs only the row, so it runs on a stream too."""
+    s, t = settings, F.col(text)
+
+    def on(number: int) -> bool:
+        return number not in s.skip
+
+    scored = language if on(21) else None
+    confident = [] if scored is None else language_steps(t, s.languages, s.language_min_chars, s.language_min_confidence)
+    judge = ver.crisis_judge_steps() if on(16) and s.crisis_judge else []
     last = (ver.prompt_attack_steps() if on(18) else []) + (ver.topical_steps() if on(3) else []) \
         + (ver.moderation_steps() if on(7) else [])
     helpers = ver.prompt_attack_helpers(t, s.attack_threshold) if on(18) else {}
-    df = _text_rules(df, s, text, confident, judge, last, helpers)
-    return ver.drop_verdicts(df).drop("_language", "_p")
+    return _text_rules(start(df), s, text, confident, judge, last, helpers, scored)
 
 
-def _text_rules(df: DataFrame, s: InputSettings, text: str, after_gibberish: list[Step], after_signals: list[Step],
-                after_links: list[Step], last_helpers: dict[str, Column]) -> DataFrame:
-    """The row-local stack: three rounds of steps, because the text changes twice (stripped, then masked)."""
+def _text_rules(df: DataFrame, s: InputSettings, text: str, after_gibberish: list[Step], after_signals: list[Step], after_links: list[Step],
+                last_helpers: dict[str, Column], language: LanguageModel | None = None) -> DataFrame:
+    """The row-local stack: three rounds of steps, because the text changes twice (stripped, then masked). Languages are told for
+    rows that are alive and long enough."""
     t = F.col(text)
 
     def chosen(*groups: list[Step]) -> list[Step]:
         return [step for group in groups for step in group if step.number not in s.skip]
 
-    raw = chosen(inp.length_steps(t, s.max_chars), inp.invisible_text_steps(t))
+    kept = [*df.columns, "_language", "_p"]
+    df, own = prepared(df, s.own, RAW, text)
+    raw = placed(chosen(inp.length_steps(t, s.max_chars), inp.invisible_text_steps(t)), own)
     if raw:
         df = record_all(df, raw)
     if 19 not in s.skip:
         df = rewrite(df, text, alive() & inp.may_hide(t), inp.visible(t))
-    seen = chosen(inp.gibberish_steps(t), after_gibberish, inp.crisis_signal_steps(), after_signals, inp.injection_steps(t),
-                  inp.secrets_steps(t), inp.pii_steps(t, custom=s.custom_pii))
+    if language is not None:
+        df = with_language(df, language, F.when(alive() & (F.length(t) >= s.language_min_chars), t))
+    df, own = prepared(df, s.own, VISIBLE, text)
+    seen = placed(chosen(inp.gibberish_steps(t), after_gibberish, inp.crisis_signal_steps(), after_signals, inp.injection_steps(t),
+                         inp.secrets_steps(t), inp.pii_steps(t, custom=s.custom_pii)), own)
     if seen:
         helpers = inp.lower_helper(t) | inp.pii_helper(t, custom=s.custom_pii)
         df = record_all(df, seen, helpers if 22 in s.skip else helpers | inp.gibberish_helpers(t))
     if 5 not in s.skip or 6 not in s.skip:
         df = rewrite(df, text, alive() & inp.pii_recorded(), inp.pii_masked(t, custom=s.custom_pii))
-    masked = chosen(inp.keyword_steps(s.keywords), inp.url_steps(t, s.domains), after_links)
-    return record_all(df, masked, inp.lower_helper(t) | last_helpers) if masked else df
+    df, own = prepared(df, s.own, MASKED, text)
+    masked = placed(chosen(inp.keyword_steps(s.keywords), inp.url_steps(t, s.domains), after_links), own)
+    if masked:
+        df = record_all(df, masked, inp.lower_helper(t) | last_helpers)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in kept])
 
 
 def deterministic_input(df: DataFrame, settings: InputSettings = InputSettings(), text: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ from turnwarden import fixed_values as fixed
 from turnwarden.operators import tool_rules as tool
 from turnwarden.operators.decisions import DECISIONS_TYPE, event
 from turnwarden.operators.language import LanguageModel
-from turnwarden.plans.screening import InputSettings, block_reply, screen_input, screen_output
+from turnwarden.plans.screening import InputSettings, block_reply, latency_ms, screen_input, screen_output
 from turnwarden.sources.shared import settle
 
 CALL_COLUMNS = ["call_id", "run_id", "seq", "user_id", "tool_name", "args", "result"]
@@ -59,9 +59,14 @@ def screen_calls(calls: DataFrame, decisions: DataFrame, users: DataFrame, permi
 
 def screen_turns(turns: DataFrame, verdicts: DataFrame | None, calls: DataFrame, decisions: DataFrame, users: DataFrame, permissions: DataFrame,
                  answers: DataFrame, answer_verdicts: DataFrame | None, claims: DataFrame | None = None, language: LanguageModel | None = None,
-                 settings: InputSettings = InputSettings()) -> DataFrame:
+                 settings: InputSettings = InputSettings(), outcomes: DataFrame | None = None) -> DataFrame:
     """One row per logged part of a turn: the columns of ``turns``, ``resumed``, ``verdict``, ``text`` (what is stored as input),
-    ``output``, ``tools`` and ``decisions``. ``calls`` and ``answers`` belong to turns by ``run_id`` and ``turn_id``."""
+    ``output``, ``tools``, ``decisions`` and ``latency_ms``. ``calls`` and ``answers`` belong to turns by ``run_id`` and ``turn_id``.
+
+    ``outcomes`` (``run_id, resumed, failed, started, finished``) is what the runtime measured: a part that failed after it came
+    through the input rules is an ERROR without an answer, and a run that failed is not resumed. Without a row a part did not
+    fail and its latency is not known.
+    """
     screened = settle(block_reply(screen_input(turns, verdicts, language, settings)), "turn-input")
     live = screened.filter("blocked_by is null").select("run_id", "turn_id")
     runs, call_events = screen_calls(calls.join(live.select("run_id"), "run_id", "left_semi"), decisions, users, permissions)
@@ -75,14 +80,22 @@ def screen_turns(turns: DataFrame, verdicts: DataFrame | None, calls: DataFrame,
     gathered = call_events.groupBy("run_id", "resumed").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("stage", "seq", "call_id", "pos", "e"))), lambda x: x["e"]).alias("_calls"))
     none = F.array().cast(DECISIONS_TYPE)
+    empty = "run_id string, resumed boolean, failed boolean, started timestamp, finished timestamp"
+    if outcomes is None:
+        outcomes = turns.sparkSession.createDataFrame([], empty)
+    outcomes = settle(outcomes.groupBy("run_id", "resumed").agg(
+        F.max(F.coalesce("failed", F.lit(False))).alias("_failed"), latency_ms(F.min("started"), F.max("finished")).alias("latency_ms")), "turn-outcomes")
+    broken = outcomes.filter("not resumed and _failed").select("run_id", F.lit(True).alias("_broken"))
     parts = screened.join(runs.select("run_id", "tools", "paused", F.col("resumed").alias("_resumed"), "summary"), "run_id", "left")
     waits = F.col("paused").isNotNull()
-    parts = parts.withColumn("resumed", F.explode(F.when(F.coalesce("_resumed", F.lit(False)), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
-    final = F.col("blocked_by").isNull() & (~waits | F.col("resumed"))
-    rows = parts.join(gathered, ["run_id", "resumed"], "left").join(out, "turn_id", "left")
+    parts = parts.join(broken, "run_id", "left")
+    parts = parts.withColumn("resumed", F.explode(F.when(F.coalesce("_resumed", F.lit(False)) & F.col("_broken").isNull(), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    failed = F.col("blocked_by").isNull() & F.coalesce("_failed", F.lit(False))
+    final = F.col("blocked_by").isNull() & (~waits | F.col("resumed")) & ~failed
+    rows = parts.join(gathered, ["run_id", "resumed"], "left").join(out, "turn_id", "left").join(outcomes, ["run_id", "resumed"], "left")
     return rows.select(
         *[c for c in turns.columns if c != "text"], "resumed",
-        F.when(F.col("blocked_by").isNotNull(), "BLOCKED").when(final, "ALLOWED").otherwise("PAUSED").alias("verdict"),
+        F.when(F.col("blocked_by").isNotNull(), "BLOCKED").when(failed, "ERROR").when(final, "ALLOWED").otherwise("PAUSED").alias("verdict"), "latency_ms",
         F.when(F.col("resumed"), F.col("summary")).otherwise(F.col("text")).alias("text"),
         F.when(F.col("blocked_by").isNotNull(), F.col("reply")).when(final, F.col("_output")).alias("output"),
         F.coalesce("tools", F.array().cast("array<string>")).alias("tools"),

@@ -9,7 +9,7 @@ from turnwarden.operators import tool_rules as tool
 from turnwarden.plans import audit as au
 from turnwarden.plans.screening import screened_verdict
 from turnwarden.queries.common import ANSWERS_SQL, TURNS_SQL, answers, query, sql_values, turns
-from turnwarden.queries.composed import screened, screened_ctes
+from turnwarden.queries.composed import OUTPUT_CTES, screened, screened_answers, screened_ctes
 from turnwarden.queries.tool_stage import BOOKING_REASON, SETTLED_SQL, settled
 from turnwarden.sources import dimensions as dim
 from turnwarden.sources.shared import settle
@@ -25,26 +25,31 @@ TOOLS_SQL = ("CASE WHEN k % 5 = 0 THEN '[\"search_medical_kb\",\"book_appointmen
              "WHEN k % 2 = 0 THEN '[\"search_medical_kb\"]' ELSE '[]' END")
 
 
-def logged(spark, folder):
-    """(turns, events) of the audit log: verdicts, a latency, the answer that followed, the tools used.
+_LOGS: dict = {}
 
-    The stack runs once; both tables are read from what it wrote.
-    """
-    df = screened(spark, folder)
-    replies = answers(spark, folder).select((F.col("turn_id") - 1).alias("turn_id"), F.col("text").alias("_answer"))
-    df = df.withColumns({
-        "verdict": screened_verdict(paused=F.col("k") == 30, failed=F.col("k") == 31),
-        "latency_ms": (F.col("turn_id") * 37 % 5000).cast("long"), "tools": tools_of(F.col("k"))})
-    df = df.join(replies, "turn_id", "left").withColumn("output", F.when(F.col("verdict") == "ALLOWED", F.col("_answer")))
-    df = settle(df.drop("_answer", "admitted"), "screened")
-    return au.turns_table(df), au.events_table(df)
 
+def logged(spark, folder):
+    """(turns, events) of the audit log: verdicts, a latency, the answer that followed as the output rules left it, the tools used.
 
-LOGGED = screened_ctes(False) + f""",
+    The stacks run and the log is written once per application; every question reads it.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LOGS:
+        df = screened(spark, folder)
+        replies = screened_answers(spark, folder).select((F.col("turn_id") - 1).alias("turn_id"), F.col("text").alias("_answer"))
+        df = df.withColumns({
+            "verdict": screened_verdict(paused=F.col("k") == 30, failed=F.col("k") == 31),
+            "latency_ms": (F.col("turn_id") * 37 % 5000).cast("long"), "tools": tools_of(F.col("k"))})
+        df = df.join(replies, "turn_id", "left").withColumn("output", F.when(F.col("verdict") == "ALLOWED", F.col("_answer")))
+        _LOGS[key] = settle(df.drop("_answer", "admitted"), "screened")
+    return au.turns_table(_LOGS[key]), au.events_table(_LOGS[key])
+
+
+LOGGED = screened_ctes() + f""", {OUTPUT_CTES},
     logged AS (SELECT s.turn_id, s.ts, s.session_id, s.user_id, s.run_id, s.k,
         CASE WHEN s.blocked_by IS NOT NULL THEN 'BLOCKED' WHEN s.k = 31 THEN 'ERROR' WHEN s.k = 30 THEN 'PAUSED' ELSE 'ALLOWED' END AS verdict,
         s.turn_id * 37 % 5000 AS latency_ms, left(s.text, 2000) AS input, left(a.text, 4000) AS answer
-      FROM screened s LEFT JOIN answers a ON a.turn_id = s.turn_id + 1),
+      FROM screened s LEFT JOIN said a ON a.turn_id = s.turn_id + 1),
     log_turns AS (SELECT turn_id, date_trunc('second', ts) AS ts, session_id, user_id, run_id, verdict, latency_ms, input,
         CASE WHEN verdict = 'ALLOWED' THEN answer END AS output, {TOOLS_SQL.replace('k %', 'k %')} AS tools FROM logged),
     log_events AS (SELECT turn_id, generate_subscripts(evs, 1) - 1 AS seq, unnest(evs) AS e FROM screened),

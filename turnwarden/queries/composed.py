@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from turnwarden import fixed_values as fixed
 from turnwarden.operators import input_rules as inp
-from turnwarden.operators import language as lang
 from turnwarden.plans import evaluation as ev
 from turnwarden.plans import screening as scr
 from turnwarden.queries import models as m
@@ -32,7 +31,7 @@ BEFORE_STRIP = [
     (19, "Invisible text", "modified", f"CASE WHEN regexp_matches(text, {lit(HIDDEN_SQL)}) THEN {STRIPPED_SQL} END"),
 ]
 LANGUAGE_STEP = (21, "Language restriction", "blocked",
-                 "CASE WHEN length(text) >= 40 AND language <> 'en' AND p >= 0.9 THEN 'detected ''' || language || '''' END")
+                 "CASE WHEN length(text) >= 40 AND language <> 'en' AND p >= 0.9 THEN 'detected ''' || language || ''' (' || format('{:.2f}', p) || ')' END")
 BEFORE_MASK = [
     (22, "Gibberish detection", "blocked", gibberish_detail_sql()),
     LANGUAGE_STEP,
@@ -63,12 +62,11 @@ def _events_sql(steps) -> str:
         for n, name, action, d in steps) + "]"
 
 
-def screened_ctes(language: bool) -> str:
+def screened_ctes(language: bool = True, admission: bool = True, after_mask=None) -> str:
     """CTE texts up to ``screened(turn_id, ..., evs, blocked_by, text)``; ``evs`` is the decision list."""
     before_mask = [s for s in BEFORE_MASK if language or s[0] != 21]
-    ctes = [f"turns AS ({TURNS_SQL})", f"answers AS ({ANSWERS_SQL})",
-            rate_limit_sql("turns", "turn_id", "user_id", "ts", 10, 60),
-            f"raw AS (SELECT t.*, f.admitted FROM turns t JOIN fold f ON f.id = t.turn_id)",
+    admitted = [rate_limit_sql("turns", "turn_id", "user_id", "ts", 10, 60), "raw AS (SELECT t.*, f.admitted FROM turns t JOIN fold f ON f.id = t.turn_id)"]
+    ctes = [f"turns AS ({TURNS_SQL})", f"answers AS ({ANSWERS_SQL})", *(admitted if admission else ["raw AS (SELECT t.*, true AS admitted FROM turns t)"]),
             f"visible AS (SELECT turn_id, regexp_replace(text, {lit(HIDDEN_SQL)}, '', 'g') AS text FROM turns)"]
     scored = ""
     if language:
@@ -81,7 +79,7 @@ def screened_ctes(language: bool) -> str:
         f"e2 AS (SELECT turn_id, {_events_sql(before_mask)} AS evs FROM in2)",
         f"masked AS ({mask_steps_sql('visible', 'turn_id', ALL_PII)})",
         "in3 AS (SELECT raw.* EXCLUDE (text), masked.text AS text FROM raw JOIN masked USING (turn_id))",
-        f"e3 AS (SELECT turn_id, {_events_sql(AFTER_MASK)} AS evs FROM in3)",
+        f"e3 AS (SELECT turn_id, {_events_sql(after_mask or AFTER_MASK)} AS evs FROM in3)",
         """alldone AS (SELECT raw.* EXCLUDE (text), raw.text AS t0, visible.text AS t1, masked.text AS t2,
               list_filter(e1.evs || e2.evs || e3.evs, lambda e: e.detail IS NOT NULL) AS evs
             FROM raw JOIN visible USING (turn_id) JOIN masked USING (turn_id) JOIN e1 USING (turn_id)
@@ -99,28 +97,26 @@ def screened_ctes(language: bool) -> str:
 FIRED_SQL = "array_to_string(list_transform(evs, lambda e: '#' || e.number || ' ' || e.action), ', ')"
 
 
-def screened(spark, folder, language: bool = False):
-    """Turns after the input stack; ``language=False`` leaves rule 21 out."""
+def screened(spark, folder):
+    """Turns after the whole input stack."""
     t = turns(spark, folder)
-    model = lang.fit(read_table(spark, folder, "documents")) if language else None
-    settings = scr.InputSettings(skip=() if language else (21,))
-    return scr.screen_input(t, m.verdicts(t), model, settings)
+    return scr.screen_input(t, m.verdicts(t), m.language_model(spark, folder))
 
 
 def block_detail():
     return F.try_element_at(F.filter("decisions", lambda e: e["action"] == "blocked"), F.lit(1))["detail"]
 
 
-@query("screen_input", screened_ctes(True) + f"""
+@query("screen_input", screened_ctes() + f"""
     SELECT turn_id, blocked_by, CASE WHEN blocked_by IS NULL THEN 'ALLOWED' ELSE 'BLOCKED' END AS verdict,
            CASE WHEN blocked_by <> 21 THEN detail END AS detail, {FIRED_SQL} AS fired, text FROM screened""")
 def _(spark, folder):
-    df = screened(spark, folder, language=True)
+    df = screened(spark, folder)
     return df.select("turn_id", "blocked_by", scr.screened_verdict().alias("verdict"),
                      F.when(F.col("blocked_by") != 21, block_detail()).alias("detail"), fired_list().alias("fired"), "text")
 
 
-@query("screen_input_verdicts", screened_ctes(False) + """
+@query("screen_input_verdicts", screened_ctes() + """
     SELECT coalesce(blocked_by, 0) AS blocked_by, count(*) AS turns FROM screened GROUP BY 1""")
 def _(spark, folder):
     return screened(spark, folder).groupBy(F.coalesce("blocked_by", F.lit(0)).alias("blocked_by")) \
@@ -131,7 +127,7 @@ def case_of(table: dict[int, str]) -> str:
     return "CASE blocked_by " + " ".join(f"WHEN {n} THEN {lit(t)}" for n, t in table.items()) + " END"
 
 
-@query("block_replies", screened_ctes(False) + f"""
+@query("block_replies", screened_ctes() + f"""
     SELECT turn_id, {case_of(fixed.BLOCK_MESSAGES)} AS reply, {case_of(fixed.BLOCK_TRIGGERS)} AS trigger FROM screened""")
 def _(spark, folder):
     return scr.block_reply(screened(spark, folder)).select("turn_id", "reply", "trigger")
@@ -155,15 +151,15 @@ def _output_steps() -> str:
     return ", ".join(parts)
 
 
-OUTPUT_SQL = f"""WITH answers AS ({ANSWERS_SQL}), turns AS ({TURNS_SQL}), {_output_steps()},
+OUTPUT_CTES = f"""{_output_steps()},
     judged AS (SELECT o7.turn_id, a.k, t.text AS question, o7.text AS text0,
         CASE WHEN a.k = 37 THEN 'modified' WHEN a.k IN (17, 10) THEN 'modified' END AS a7,
         CASE a.k WHEN 34 THEN 'skipped' WHEN 11 THEN 'modified' END AS a12,
         CASE WHEN t.text IS NULL THEN NULL WHEN a.k = 33 THEN 'skipped' WHEN a.k = 12 THEN 'modified' END AS a30
       FROM o7 JOIN answers a USING (turn_id) LEFT JOIN turns t ON t.turn_id = o7.turn_id - 1),
     replaced AS (SELECT *, CASE WHEN a30 = 'modified' THEN {lit(fixed.IRRELEVANT_REPLACEMENT)}
-        WHEN a12 = 'modified' OR a7 IS NOT NULL THEN {lit(fixed.SAFE_REPLACEMENT)} ELSE text0 END AS text1 FROM judged)
-    SELECT turn_id, array_to_string(list_filter([
+        WHEN a12 = 'modified' OR a7 IS NOT NULL THEN {lit(fixed.SAFE_REPLACEMENT)} ELSE text0 END AS text1 FROM judged),
+    said AS (SELECT turn_id, array_to_string(list_filter([
              CASE WHEN o1.detail IS NOT NULL THEN '#27 modified' END, CASE WHEN o2.detail IS NOT NULL THEN '#20 modified' END,
              CASE WHEN o3.detail IS NOT NULL THEN '#23 modified' END, CASE WHEN o4.detail IS NOT NULL THEN '#28 modified' END,
              CASE WHEN o5.detail IS NOT NULL THEN '#29 modified' END, CASE WHEN o6.detail IS NOT NULL THEN '#9 modified' END,
@@ -172,7 +168,8 @@ OUTPUT_SQL = f"""WITH answers AS ({ANSWERS_SQL}), turns AS ({TURNS_SQL}), {_outp
            CASE WHEN text1 <> '' AND NOT contains(lower(text1), 'not medical advice') THEN text1 || {lit(fixed.DISCLAIMER)}
                 ELSE text1 END AS text
     FROM replaced JOIN o1 USING (turn_id) JOIN o2 USING (turn_id) JOIN o3 USING (turn_id) JOIN o4 USING (turn_id)
-    JOIN o5 USING (turn_id) JOIN o6 USING (turn_id) JOIN o7 USING (turn_id)"""
+    JOIN o5 USING (turn_id) JOIN o6 USING (turn_id) JOIN o7 USING (turn_id))"""
+OUTPUT_SQL = f"WITH answers AS ({ANSWERS_SQL}), turns AS ({TURNS_SQL}), {OUTPUT_CTES} SELECT * FROM said"
 
 
 def screened_answers(spark, folder):

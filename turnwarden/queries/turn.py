@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from turnwarden import fixed_values as fixed
 from turnwarden.operators import grounding as gr
 from turnwarden.plans import audit as au
-from turnwarden.plans import screening as scr
 from turnwarden.plans.turn import screen_turns
 from turnwarden.queries import models as m
 from turnwarden.queries.audit import CLOCK, clock
@@ -52,7 +51,19 @@ def full_turns(spark, folder):
     calls = turn_calls(t)
     claims = gr.claims(a.filter("k in (13, 14)"), "turn_id").withColumn("supported", ~F.col("claim").contains("cures"))
     return settle(screen_turns(t, m.verdicts(t), calls, reviewed(calls), dim.users(spark), dim.role_permissions(spark), a, m.verdicts(a), claims,
-                               settings=scr.InputSettings(skip=(21,))), "turns")
+                               m.language_model(spark, folder), outcomes=measured(t)), "turns")
+
+
+#: Runs whose model failed, and how long the parts of a run took, in milliseconds.
+FAILED, TOOK = "k IN (21, 24, 29)", "(turn_id * 37 + {0} * 11) % 5000"
+
+
+def measured(t):
+    """What the runtime measured of every part of a run; a run that did not pause has a row for its second part too, which nothing reads."""
+    parts = t.withColumn("resumed", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("started", F.col("ts").cast("timestamp"))
+    took = F.expr(TOOK.format("cast(resumed as int)"))
+    return parts.select("run_id", "resumed", (F.expr(FAILED) & ~F.col("resumed")).alias("failed"), "started",
+                        F.timestamp_micros(F.unix_micros("started") + took * 1000).alias("finished"))
 
 
 def _out(number: int, name: str, action: str, detail: str) -> str:
@@ -70,7 +81,7 @@ OUT_EVENTS = ", ".join([
 MADE_SQL = " UNION ALL ".join(f"SELECT turn_id, run_id, user_id, k, CAST({n} AS BIGINT) AS seq, {lit(name)} AS tool_name FROM live WHERE {when}"
                               for n, name, when in CALLS)
 EVENT = "{{'number': {0}, 'name': {1}, 'action': {2}, 'detail': left({3}, 300)}}"
-TURN_SQL = screened_ctes(False) + f""",
+TURN_SQL = screened_ctes() + f""",
     live AS (SELECT * FROM screened WHERE blocked_by IS NULL),
     made AS ({MADE_SQL}),
     counted AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY seq) AS n, count(*) OVER (PARTITION BY run_id) AS total FROM made),
@@ -125,30 +136,31 @@ TURN_SQL = screened_ctes(False) + f""",
       FROM replaced JOIN o1 ON o1.turn_id = answer_id JOIN o2 ON o2.turn_id = answer_id JOIN o3 ON o3.turn_id = answer_id JOIN o4 ON o4.turn_id = answer_id
       JOIN o5 ON o5.turn_id = answer_id JOIN o6 ON o6.turn_id = answer_id JOIN o7 ON o7.turn_id = answer_id),
     parts AS (SELECT s.*, w.paused, false AS resumed FROM screened s LEFT JOIN waiting w ON w.run_id = s.run_id AND s.blocked_by IS NULL
-              UNION ALL SELECT s.*, w.paused, true FROM screened s JOIN waiting w ON w.run_id = s.run_id AND NOT w.paused AND s.blocked_by IS NULL),
+              UNION ALL SELECT s.*, w.paused, true FROM screened s JOIN waiting w ON w.run_id = s.run_id AND NOT w.paused AND s.blocked_by IS NULL WHERE NOT ({FAILED})),
     whole AS (SELECT p.turn_id, p.resumed, p.ts, p.session_id, p.user_id, p.run_id,
-        CASE WHEN blocked_by IS NOT NULL THEN 'BLOCKED' WHEN p.paused IS NULL OR p.resumed THEN 'ALLOWED' ELSE 'PAUSED' END AS verdict,
+        CASE WHEN blocked_by IS NOT NULL THEN 'BLOCKED' WHEN {FAILED} THEN 'ERROR' WHEN p.paused IS NULL OR p.resumed THEN 'ALLOWED' ELSE 'PAUSED' END AS verdict,
+        {TOOK.format('CAST(p.resumed AS INTEGER)').replace('turn_id', 'p.turn_id')} AS latency_ms,
         CASE WHEN p.resumed THEN summary ELSE p.text END AS input,
-        CASE WHEN blocked_by IS NOT NULL THEN {case_of(fixed.BLOCK_MESSAGES)} WHEN p.paused IS NULL OR p.resumed THEN out.text END AS output,
+        CASE WHEN blocked_by IS NOT NULL THEN {case_of(fixed.BLOCK_MESSAGES)} WHEN {FAILED} THEN NULL WHEN p.paused IS NULL OR p.resumed THEN out.text END AS output,
         CASE WHEN blocked_by IS NULL THEN coalesce(tools, []) ELSE [] END AS tools,
         (CASE WHEN p.resumed THEN [] ELSE p.evs END) || coalesce(g.evs, []) ||
-          (CASE WHEN blocked_by IS NULL AND (p.paused IS NULL OR p.resumed) THEN coalesce(out.evs, []) ELSE [] END) AS evs
+          (CASE WHEN blocked_by IS NULL AND NOT ({FAILED}) AND (p.paused IS NULL OR p.resumed) THEN coalesce(out.evs, []) ELSE [] END) AS evs
       FROM parts p LEFT JOIN gathered g ON g.run_id = p.run_id AND g.resumed = p.resumed AND p.blocked_by IS NULL
       LEFT JOIN summaries ON summaries.run_id = p.run_id LEFT JOIN named ON named.run_id = p.run_id LEFT JOIN out ON out.turn_id = p.turn_id)
 """
 
 
-@query("full_turn", TURN_SQL + f"SELECT turn_id, resumed, verdict, {FIRED_SQL} AS fired, input, output, array_to_string(tools, ',') AS tools FROM whole")
+@query("full_turn", TURN_SQL + f"SELECT turn_id, resumed, verdict, latency_ms, {FIRED_SQL} AS fired, input, output, array_to_string(tools, ',') AS tools FROM whole")
 def _(spark, folder):
     df = full_turns(spark, folder)
-    return df.select("turn_id", "resumed", "verdict", fired_list().alias("fired"), F.col("text").alias("input"), "output", F.array_join("tools", ",").alias("tools"))
+    return df.select("turn_id", "resumed", "verdict", "latency_ms", fired_list().alias("fired"), F.col("text").alias("input"), "output", F.array_join("tools", ",").alias("tools"))
 
 
 def logged_turns(spark, folder):
     """The log of all turns, written once by day and read back; writing it again replaces it."""
     df = full_turns(spark, folder).withColumn("turn_id", F.col("turn_id") * 2 + F.col("resumed").cast("long"))
     path = new_folder(spark, "audit")
-    t, e = au.turns_table(df.withColumn("latency_ms", F.col("turn_id") * 37 % 5000)), au.events_table(df)
+    t, e = au.turns_table(df), au.events_table(df)
     for _ in range(2):
         append_audit(t, e, path)
     return read_audit_log(spark, path)
@@ -158,7 +170,7 @@ LOG_IDS = "turn_id * 2 + CAST(resumed AS INTEGER)"
 
 
 @query("audit_log_turns", TURN_SQL + f"""SELECT {LOG_IDS} AS turn_id, {CLOCK} AS ts, session_id, user_id, run_id, verdict,
-    ({LOG_IDS}) * 37 % 5000 AS latency_ms, left(input, 2000) AS input, left(output, 4000) AS output, CAST(to_json(tools) AS VARCHAR) AS tools FROM whole""")
+    latency_ms, left(input, 2000) AS input, left(output, 4000) AS output, CAST(to_json(tools) AS VARCHAR) AS tools FROM whole""")
 def _(spark, folder):
     return logged_turns(spark, folder)[0].drop("dt").withColumn("ts", clock())
 
