@@ -98,8 +98,7 @@ def _several_files(spark, name, files):
 
 def test_admission_over_many_batches_equals_batch(spark):
     folder = _several_files(spark, "events", 4)
-    streamed = drain(rate_limit_stream(stream_table(spark, folder, "events", EVENT_SCHEMA), "event_id", "user_id", "ts", 2, 86400),
-                     "admission")
+    streamed = rate_limit_stream(stream_table(spark, folder, "events", EVENT_SCHEMA), "event_id", "user_id", "ts", 2, 86400)
     batch = rate_limit(read_table(spark, SMALL, "events"), "event_id", "user_id", "ts", 2, 86400)
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 

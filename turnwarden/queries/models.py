@@ -204,7 +204,7 @@ def _(spark, folder):
 
 
 @query("grounding_judged", with_turns(f"""
-    SELECT a.turn_id, CASE WHEN t.text IS NULL THEN NULL WHEN a.k = 13 AND contains(lower(a.text), 'cures') THEN 'unsupported: ibuprofen permanently cures migraines in one dose.'
+    SELECT a.turn_id, CASE WHEN t.text IS NULL THEN NULL WHEN a.k = 13 AND contains(lower(a.text), 'cures') THEN 'unsupported: one tablet cures every migraine for good.'
            WHEN a.k NOT IN (13, 14) THEN 'judge unavailable (no verdict), failing open' END AS detail,
            CASE WHEN t.text IS NOT NULL AND a.k = 13 AND contains(lower(a.text), 'cures') THEN {lit(fixed.UNGROUNDED_REPLACEMENT)} ELSE a.text END AS text
     FROM answers a LEFT JOIN turns t ON t.turn_id = a.turn_id - 1 AND t.text <> ''"""))

@@ -18,7 +18,7 @@ from turnwarden.sources import dimensions as dim
 from turnwarden.sources.sinks import append_audit, read_audit_log
 from turnwarden.sources.shared import new_folder, settle
 
-KB_RESULT = "Ibuprofen is an NSAID for pain, fever and inflammation."
+KB_RESULT = "Ibuprofen belongs to the NSAID group and works against pain and swelling."
 #: (place in the run, tool, which turns call it); the last ones go over the limit.
 CALLS = [(1, "search_medical_kb", "k % 2 = 0"), (2, "fetch_health_article", "k % 4 = 0"), (3, "query_appointments_db", "k % 3 = 0"),
          (4, "book_appointment", "k % 5 = 0")] + [(n, "get_medication_info", "k = 16 OR k = 24") for n in range(5, 9)]
@@ -125,7 +125,7 @@ TURN_SQL = screened_ctes() + f""",
     judged AS (SELECT *, CASE WHEN text0 = '' THEN NULL WHEN k = 37 THEN 'moderation unavailable (no verdict), withheld'
             WHEN k IN (10, 17) THEN 'flagged: ' || CASE WHEN k = 17 AND conv_odd THEN 'violence, harassment' ELSE 'violence' END END AS d7,
         CASE k WHEN 34 THEN 'judge unavailable (no verdict), failing open' WHEN 11 THEN 'judge: UNSAFE, response replaced' END AS d12,
-        CASE WHEN grounded AND unsupported THEN 'unsupported: ibuprofen permanently cures migraines in one dose.'
+        CASE WHEN grounded AND unsupported THEN 'unsupported: one tablet cures every migraine for good.'
              WHEN grounded AND k NOT IN (13, 14) THEN 'judge unavailable (no verdict), failing open' END AS d14,
         CASE k WHEN 33 THEN 'judge unavailable (no verdict), failing open' WHEN 12 THEN 'judge: IRRELEVANT, answer replaced' END AS d30
       FROM (SELECT said.*, conv_id % 2 = 1 AS conv_odd FROM said JOIN answers ON answers.turn_id = answer_id)),
