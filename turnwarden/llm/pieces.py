@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding, with work shared between words of a common prefix.
 
-Text is marked (a space becomes the mark, one mark goes in front) and cut where no piece can cross: before a run of marks and
-around line ends that no piece holds. The distinct words of a batch that are not known yet are sorted, which lays out their
-trie, and traversed depth-first: a stack holds one forward state per letter of the current word, and the next word keeps the
+Text is marked (a space becomes the mark, one mark goes in front) and cut where no piece can cross: between letters that no piece
+holds side by side, which is before every run of marks, around line ends and between most words and their punctuation (``units``).
+The distinct words of a batch that are not known yet are sorted, which lays out
+their trie, and traversed depth-first: a stack holds one forward state per letter of the current word, and the next word keeps the
 states of the prefix the two share.
 
 The state depends on the model. For a unigram model it is the best summed score of a prefix and the piece that ends it
@@ -18,17 +19,19 @@ those that carry a name the operator returns are replaced.
 from __future__ import annotations
 
 import heapq
-import re
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnwarden.llm import units
+
 MARK = "▁"
-#: Characters of text taken at a time, and words remembered by a worker, which bound its memory.
+#: Ids decoded (and characters cut, for other operators) at a time, and pairs of pieces remembered by a worker.
 STRETCH, REMEMBERED = 2_000_000, 400_000
 #: A vocabulary file is read whole by the driver; it must be one.
 MOST_BYTES = 64 << 20
@@ -62,11 +65,10 @@ class Encoder:
         self.v = vocabulary
         self.ids = {p: i for i, p in enumerate(vocabulary.pieces) if p}
         self.longest = max(map(len, self.ids))
-        outside = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
-        self.cut = re.compile(f"{MARK}+[^{MARK}{outside}]*|[^{MARK}{outside}]+" + (f"|[{outside}]+" if outside else ""))
+        self.together = self.joinable()
         self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.units = units.Units(self.encode_words, self.cuts)
         self.bytes_of = {p: np.array([i], "<i4").tobytes() for p, i in self.ids.items()}
         self.spelled: tuple | None = None
         self.unknown_score = min(vocabulary.scores) - 10
@@ -184,25 +186,34 @@ class Encoder:
         # Runs of marks are merged last of all, so a word is what follows them, with one mark.
         runs = {w: len(w) - len(w.lstrip(MARK)) for w in words if merges and w.startswith(MARK * 2)}
         cores = {w[n - 1:] for w, n in runs.items()}
-        last, best, done, previous = [""], [0.0], [b""], ""
-        known, bytes_of, step = self.known, self.bytes_of, self.step_merges
+        last, best, previous = [""], [0.0], ""
+        known, bytes_of, whole, pairs, step = self.known, self.bytes_of, self.whole if merges else (), self.pairs, self.step_merges
         for word in sorted((words - runs.keys()) | (cores - known.keys())):
             same = 0
             for a, b in zip(word, previous):
                 if a != b:
                     break
                 same += 1
-            del last[same + 1:], done[same + 1:], best[same + 1:]
+            del last[same + 1:], best[same + 1:]
+            before = last[same]
             for i in range(same + 1, len(word) + 1):
                 if merges:
-                    piece = step(word, i, last)
+                    # The likeliest piece, the last one with the letter added, is tried here; ``step`` tries all.
+                    piece = before + word[i - 1]
+                    if not before or piece not in whole or not pairs.get((last[i - len(piece)], piece)):
+                        piece = step(word, i, last)
                 else:
                     score, piece = self.step_unigram(word, i, best)
                     best.append(score)
                 last.append(piece)
-                done.append(done[i - len(piece)] + (bytes_of.get(piece) or self.fallback(piece)))
-            previous = word
-            known[word] = done[-1]
+                before = piece
+            previous, i, found = word, len(word), []
+            while i:
+                piece = last[i]
+                found.append(bytes_of.get(piece) or self.fallback(piece))
+                i -= len(piece)
+            found.reverse()
+            known[word] = b"".join(found)
         mark = bytes_of.get(MARK)
         for w, n in runs.items():
             core = known[w[n - 1:]]
@@ -213,23 +224,39 @@ class Encoder:
         """The byte pieces of a letter without a piece."""
         return np.array([self.v.first_byte + b for b in letter.encode("utf-8", "surrogatepass")], "<i4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> pa.ListArray:
-        offsets, values = [0], []
-        for start, end in stretches(texts):
-            words = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts[start:end]]
-            distinct: set[str] = set()
-            for ws in words:
-                distinct.update(ws)
-            if len(self.known) + len(distinct) > REMEMBERED:
-                self.old, self.known = self.known, {}  # words that are met again move over, the others go
-            missing = distinct - self.known.keys()
-            met = missing & self.old.keys()
-            self.known.update((w, self.old[w]) for w in met)
-            self.learn(missing - met)
-            for ws in words:
-                values.append(b"".join(map(self.known.__getitem__, ws)))
-                offsets.append(offsets[-1] + len(values[-1]) // 4)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(values), "<i4"), pa.int32()))
+    def joinable(self) -> np.ndarray:
+        """Which two bytes may stand next to each other in a piece; letters of several bytes are never torn apart."""
+        out = np.zeros((256, 256), bool)
+        out[:, 0x80:0xC0] = True
+        for piece in self.ids:
+            letters = np.frombuffer(piece.replace(MARK, " ").encode("utf-8", "surrogatepass"), np.uint8)
+            out[letters[:-1], letters[1:]] = True
+        return out
+
+    def cuts(self, t: units.Texts) -> np.ndarray:
+        """Between letters that no piece holds side by side: neither merges nor the best sum can join what stands there."""
+        cut = np.zeros(len(t.data), bool)
+        cut[1:] = ~self.together[t.data[:-1], t.data[1:]]
+        return cut
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words that were not met before, 4 bytes each."""
+        marked = [w.decode().replace(" ", MARK) for w in words]
+        self.known = {}
+        self.learn(set(marked))
+        out = [self.known[w] for w in marked]
+        self.known = {}
+        return out
+
+    def encode(self, texts: pa.Array | list[str | None]) -> pa.ListArray:
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(pa.scalar(" "), pc.replace_substring(texts, MARK, " "), pa.scalar("")))
+        offsets, values = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
+        for start, end in units.stretches(texts):
+            ids, borders = self.units.encode(units.Texts(texts.slice(start, end - start)))
+            values.append(ids.astype(np.int32))
+            offsets.append(offsets[-1][-1] + borders[1:])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets).astype(np.int32)), pa.array(np.concatenate(values)))
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         """Texts of rows of ids, which follow one another up to ``ends``: all bytes are gathered at once from the pieces' bytes."""
@@ -289,7 +316,7 @@ def encoder(shared: Broadcast):
     """The function of a text column that gives the ids of its pieces."""
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        return _encoder(shared).encode(texts.to_pylist())
+        return _encoder(shared).encode(texts)
     return encode
 
 

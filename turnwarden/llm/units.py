@@ -10,6 +10,7 @@ Both bound its memory whatever the texts are; a unit may be as long as a text.
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Callable, Iterator
 
@@ -75,9 +76,10 @@ def marked_cuts(t: Texts) -> np.ndarray:
 
 
 class Units:
-    """Units met so far with their ids, and texts encoded by way of them."""
+    """Units met so far with their ids, and texts encoded by way of them. ``encode`` gives the ids of units as lists of numbers, or as
+    bytes, 4 to an id."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], cuts: Callable[[Texts], np.ndarray], remembered: int = REMEMBERED):
+    def __init__(self, encode: Callable[[list[bytes]], list], cuts: Callable[[Texts], np.ndarray], remembered: int = REMEMBERED):
         self.encode_units, self.cuts, self.remembered = encode, cuts, remembered
         self.forget()
 
@@ -90,12 +92,15 @@ class Units:
     def learn(self, units: list[bytes]) -> None:
         found = self.encode_units(units)
         n, sizes = len(self.places), np.fromiter(map(len, found), np.int64, len(found))
+        packed = isinstance(found[0], bytes)
+        sizes = sizes // 4 if packed else sizes
         total = int(sizes.sum())
         while n + len(units) > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
         while self.used + total > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.ids[self.used:self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
+        self.ids[self.used:self.used + total] = np.frombuffer(b"".join(found), "<u4") if packed else np.fromiter(
+            itertools.chain.from_iterable(found), np.uint32, total)
         self.starts[n:n + len(units)] = self.used + np.cumsum(sizes) - sizes
         self.sizes[n:n + len(units)] = sizes
         self.places.update(zip(units, range(n, n + len(units))))
