@@ -8,13 +8,15 @@
    places get any two ranks with the probability of a uniform permutation.
 2. Texts of equal sets form a class, of which the smallest id takes part. Every ``ROWS`` places are a band; equal bands make a
    bucket. A pair of similarity 0.8 shares no band with probability (1 - 0.8^4)^31 < 1e-7.
-3. In a bucket, every class is first compared with one pivot, so a bucket of any size makes a linear number of pairs. Pairs are
-   confirmed on their full sets. Then only classes that are not yet connected need comparing: with further pivots, and in the
-   end all of them with each other, so that no link between unconnected classes is left out.
+3. In a bucket, every class meets one pivot, the one of the smallest id, so a bucket of any size makes a linear number of pairs.
+   Of its pivots a class is first compared with the smallest alone, which connects most groups; the other pairs follow only where
+   their classes are not connected by then. Pairs are confirmed on their full sets. What stays open is compared with further pivots,
+   and in the end all of it with each other, so that no link between unconnected classes is left out.
 4. Links are contracted to stars (large star, small star) until nothing changes; rounds are written to the shared folder.
 
-Classes are named by the least key of their rows: the id, nulls last, and hashes of the text. So rows of null ids and rows that
-share an id take part as documents of their own.
+Classes are named by the least id of their rows, nulls last, and 128 bits of their set: four numbers, so that what is shuffled per
+band stays narrow. Sets are computed where the texts are read, of those documents alone that a filter lets through, and never
+shuffled with the texts. Rows of null ids and rows that share an id take part as documents of their own.
 
 Defined results: a text without words has an empty set and is linked with nothing; one word is a set of one; a component without
 any id is named null; of equal rows of one id at most one is kept; other columns are not read; an empty table gives no rows.
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,47 +114,66 @@ def row_key(doc_id: Column, text: Column) -> Column:
                     F.xxhash64(F.lit(1), text).alias("h2"))
 
 
-def sketch(docs: DataFrame, size: int, with_sets: bool) -> DataFrame:
-    """Per row of ``docs`` (row, text): row, n, ``digest`` of the set, and the band keys, or else the set itself."""
+#: What names a class: the least id of its rows (the largest number if all are null), its set's 128 bits and size.
+NODE = ["o", "d1", "d2", "n"]
+#: Bits of the filter that chooses the documents whose sets are computed; beyond a quarter of as many, they are joined instead.
+BITS = 1 << 24
+
+
+def sketch(docs: DataFrame, size: int, chosen: Broadcast | None = None, with_sets: bool = False) -> DataFrame:
+    """Per row of ``docs`` (row, text): row, d1 and d2 (128 bits of the set), n, and the band keys, or else the set itself. With
+    ``chosen``, a bit map over hashes of ``row``, only of rows that it has (or seems to have)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if chosen is None else np.frombuffer(chosen.value, np.uint64)
         for batch in batches:
+            if bits is not None:
+                place = batch.column(2).to_numpy()
+                batch = batch.filter(pa.array((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1))
             rows, texts = batch.column(0), batch.column(1).to_pylist()
             for start, end in stretches(texts):
                 values, counts = shingle_sets(texts[start:end], size)
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 own = rows.slice(start, end - start)
-                digests = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(ends, ends[1:])]
+                digests = b"".join(hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(ends, ends[1:]))
+                halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
                 if with_sets:
                     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
                 else:
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(end - start + 1) * BANDS, pa.int32()),
                                                      pa.array(bands(signatures(values, counts)).ravel()))
-                yield pa.RecordBatch.from_arrays([own, pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), lists],
-                                                 ["row", "n", "digest", "list"])
+                yield pa.RecordBatch.from_arrays([own, pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(counts, pa.int64()), lists],
+                                                 ["row", "d1", "d2", "n", "list"])
 
-    return docs.select("row", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"row {KEY}, n long, digest binary, list array<long>")
+    place = F.xxhash64("row").bitwiseAND(F.lit(BITS - 1)).alias("place")
+    return docs.select("row", F.col("text").cast("binary").alias("text"), place).mapInArrow(run, f"row {KEY}, d1 long, d2 long, n long, list array<long>")
 
 
-def sets_of(docs: DataFrame, ends: DataFrame, size: int) -> DataFrame:
-    """``rep, digest, list``: the full sets of the classes in ``ends`` (rep, digest), from their representatives' texts. Of equal
-    rows one is read."""
-    ends = released(ends.distinct(), "minhash-ends")
-    rows = docs.join(ends.select(F.col("rep").alias("row")), "row", "left_semi").dropDuplicates(["row"])
-    return released(sketch(rows, size, True).select(F.col("row").alias("rep"), "digest", "list"), "minhash-sets")
+def sets_of(docs: DataFrame, classes: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+    """``d1, d2, list``: the full sets of the classes ``ends`` (d1, d2), from the texts of their representatives. Of equal rows one
+    is kept."""
+    asked = released(classes.join(ends.distinct(), ["d1", "d2"]).select("d1", "d2", "rep"), "minhash-ends")
+    if asked.count() <= BITS // 4:
+        place = F.xxhash64("rep").bitwiseAND(F.lit(BITS - 1))
+        words = asked.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(xxhash64(rep) & {BITS - 1} & 63 as int))").alias("b")) \
+            .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most BITS / 64 rows
+        bits = np.zeros(BITS // 64, np.int64)
+        bits[words.column("w").to_numpy()] = words.column("b").to_numpy()
+        found = sketch(docs, size, docs.sparkSession.sparkContext.broadcast(bits.tobytes()), True)
+    else:
+        found = sketch(docs.join(asked.select(F.col("rep").alias("row")), "row", "left_semi"), size, None, True)
+    return found.join(asked, ["d1", "d2"]).filter("row = rep").groupBy("d1", "d2").agg(F.first("list").alias("list"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Of ``pairs`` of (struct of rep, digest, n) a and b, those alike enough: the reps ``u`` and ``v``."""
+    """Of ``pairs`` of classes a and b, those alike enough, as ``u`` and ``v``."""
     def side(x: str) -> DataFrame:
-        return sets.select(F.struct("rep", "digest").alias(f"_{x}"), F.col("list").alias(f"set_{x}"))
-
-    def end(x: str) -> Column:
-        return F.struct(F.col(f"{x}.rep").alias("rep"), F.col(f"{x}.digest").alias("digest")).alias(f"_{x}")
+        return sets.select(F.col("d1").alias(f"{x}1"), F.col("d2").alias(f"{x}2"), F.col("list").alias(f"set_{x}"))
 
-    both = pairs.select("a", "b", end("a"), end("b")).join(side("a"), "_a").join(side("b"), "_b")
+    ends = [F.col(f"{x}.d{k}").alias(f"{x}{k}") for x in "ab" for k in (1, 2)]
+    both = pairs.select("a", "b", *ends).join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return released(both.filter(shared * 100 >= (F.col("a.n") + F.col("b.n") - shared) * similar).select(
-        F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct(), "minhash-links")
+        F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "minhash-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -180,37 +202,50 @@ def close_pairs(df: DataFrame, similar: int) -> DataFrame:
     return df.filter(low * 100 >= high * similar)
 
 
+def labelled(df: DataFrame, labels: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` with the component of the class in ``column``; a class without links is its own."""
+    of = labels.select(F.col("node").alias(column), F.col("component").alias(name))
+    return df.join(of, column, "left").withColumn(name, F.coalesce(name, column))
+
+
 def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one component, with the component as ``label``."""
-    label = F.coalesce("component", F.col("a.rep")).alias("label")
-    labelled = members.join(labels, F.col("a.rep") == F.col("node"), "left").select("key", "a", label)
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-    return released(labelled.join(mixed, "key"), "minhash-open")
+    marked = labelled(members, labels, "a", "label").select("key", "a", "label")
+    mixed = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
+    return released(marked.join(mixed, "key"), "minhash-open")
 
 
 def grouped(docs: DataFrame, doc_id: str, text: str, size: int, similar: int) -> DataFrame:
-    """Per key of rows of ``docs``: ``row``, the key; n; ``component``, the least key of the group, or null for an empty set; and
-    how many rows have the key (c)."""
+    """Per key of rows of ``docs``: ``row``, the key; n; ``component``, the key of the group's representative, or null for an empty
+    set; and how many rows have the key (c)."""
     docs = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(text).alias("text"))
-    rows = settle(sketch(docs, size, False), "minhash-sketch")
-    classes = rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("list").alias("keys"))
-    entries = classes.select(F.explode("keys").alias("key"), F.struct("rep", "digest", "n").alias("a"))
-    pivots = entries.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("c")).filter("c > 1")
-    members = released(entries.join(pivots, "key"), "minhash-buckets")
-    pairs = released(close_pairs(members.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), similar), "minhash-pairs")
-    ends = pairs.select("a.rep", "a.digest").union(pairs.select("b.rep", "b.digest"))
-    links = verified(pairs, sets_of(docs, ends, size), similar)
-    labels = components(links)
+    rows = settle(sketch(docs, size), "minhash-sketch")
+    classes = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("rep"), F.first("n").alias("n"), F.first("list").alias("keys"))
+    order = F.when(F.col("rep.none"), F.lit(2**63 - 1)).otherwise(F.col("rep.id"))
+    classes = released(classes.withColumn("o", order), "minhash-classes")
+    entries = classes.select(F.explode("keys").alias("key"), "o", "d1", "d2", "n")
+    # Most keys stand alone: they are counted first, and only entries of the others are kept.
+    busy = released(entries.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "minhash-keys")
+    members = released(entries.join(busy, "key").select("key", F.struct(*NODE).alias("a"), "c"), "minhash-buckets")
+    pivots = members.groupBy("key").agg(F.min("a").alias("b"))
+    pairs = released(close_pairs(members.join(pivots, "key").filter("a <> b").select("a", "b").distinct(), similar), "minhash-pairs")
+    sets = sets_of(docs, classes, pairs.select("a.d1", "a.d2").union(pairs.select("b.d1", "b.d2")), size)
+    first = pairs.groupBy("a").agg(F.min("b").alias("b"))
+    labels = components(verified(first, sets, similar))
+    others = labelled(labelled(pairs.join(first, ["a", "b"], "left_anti"), labels, "a", "x"), labels, "b", "y").filter("x <> y").select("a", "b")
+    more = verified(others, sets, similar)
+    if not more.isEmpty():
+        labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
     # A bucket of two has no pair that its pivot has not seen.
     left, sets = still_open(members.filter("c > 2"), labels), None
     for turn in range(PIVOTS + 1):
         if left.isEmpty():
             break
         if sets is None:
-            sets = sets_of(docs, left.select("a.rep", "a.digest"), size)
+            sets = sets_of(docs, classes, left.select("a.d1", "a.d2"), size)
         if turn < PIVOTS:
             # Another pivot in every bucket, so a class meets as many of a group as it has buckets with it.
-            order = F.struct(F.xxhash64(F.lit(turn), "key", F.col("a.digest")).alias("o"), "a", "label")
+            order = F.struct(F.xxhash64(F.lit(turn), "key", "a.d1").alias("h"), "a", "label")
             turned = left.groupBy("key").agg(F.min(order).alias("p")).select("key", F.col("p.a").alias("b"), F.col("p.label").alias("other"))
             more = left.join(turned, "key").filter("label <> other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         else:
@@ -220,9 +255,11 @@ def grouped(docs: DataFrame, doc_id: str, text: str, size: int, similar: int) ->
             labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(new))
         if turn < PIVOTS:
             left = still_open(left.select("key", "a"), labels)
-    of = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
-    return rows.filter("n > 0").join(of, "digest").unionByName(rows.filter("n = 0"), allowMissingColumns=True).groupBy(
+    named = classes.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.col("rep").alias("component"))
+    of = labels.select("node.d1", "node.d2", F.col("component.d1").alias("c1"), F.col("component.d2").alias("c2")).join(named, ["c1", "c2"])
+    of = classes.select("d1", "d2", "rep").join(of, ["d1", "d2"], "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
+    full, empty = rows.filter("n > 0").select("row", "n", "d1", "d2"), rows.filter("n = 0").select("row", "n")
+    return full.join(of, ["d1", "d2"]).select("row", "n", "component").unionByName(empty, allowMissingColumns=True).groupBy(
         "row", "n", "component").agg(F.count("*").alias("c"))
 
 
@@ -245,8 +282,8 @@ def unconnected(left: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     have a common passage but else go their own ways do not meet. A pair comes once, under the first element that both list, and
     only if what both list from there on can be enough.
     """
-    of = left.select("a", "label").distinct().withColumns({"rep": F.col("a.rep"), "digest": F.col("a.digest")})
-    texts = of.join(sets, ["rep", "digest"]).select("a", "label", F.explode("list").alias("token"))
+    of = left.select("a", "label").distinct().withColumns({"d1": F.col("a.d1"), "d2": F.col("a.d2")})
+    texts = of.join(sets, ["d1", "d2"]).select("a", "label", F.explode("list").alias("token"))
     counts = released(texts.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1"), "minhash-tokens")
     listed = texts.join(counts, "token").groupBy("a", "label").agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("t"))
     # Elements that no other set has are at the head of the list; they use up places of the prefix.
