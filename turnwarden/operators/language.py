@@ -149,19 +149,20 @@ def loaded(languages: Sequence[str], grams: DataFrame, count: int | None = None)
     return LanguageModel(tuple(languages), grams, shared)
 
 
-_WEIGHTS: dict[int, Weights] = {}
+_WEIGHTS: list = []
 
 
 def _weights(shared: Broadcast) -> Weights:
-    key = shared._jbroadcast.id() if shared._jbroadcast is not None else id(shared.value)
-    if key not in _WEIGHTS:
-        _WEIGHTS.clear()
-        _WEIGHTS[key] = Weights(*shared.value)
-    return _WEIGHTS[key]
+    """The worker's index of a model; it is kept with the value that it was made from."""
+    value = shared.value
+    if not _WEIGHTS or _WEIGHTS[0] is not value:
+        _WEIGHTS[:] = [value, Weights(*value)]
+    return _WEIGHTS[1]
 
 
-def weight_sums(model: LanguageModel, text: Column) -> Column:
-    """The summed weights of a text per language, in the row; NULL for a text without a known trigram."""
+def weight_sums(model: LanguageModel, text: Column, once: bool = False) -> Column:
+    """The summed weights of a text per language, in the row; NULL for a text without a known trigram. ``once`` keeps the optimizer
+    from computing them again below a filter on them, at the price that no filter moves below them."""
     shared, n = model.shared, len(model.languages)
 
     @F.arrow_udf("array<bigint>")
@@ -179,7 +180,7 @@ def weight_sums(model: LanguageModel, text: Column) -> Column:
         offsets = pa.array(np.arange(len(has) + 1) * n, pa.int32())
         return pa.ListArray.from_arrays(offsets, pa.array(every.ravel()), mask=pa.array(~has))
 
-    return sums(letters(text))
+    return (sums.asNondeterministic() if once else sums)(letters(text))
 
 
 def most_likely(model: LanguageModel, sums: Column) -> tuple[Column, Column]:
@@ -195,7 +196,7 @@ def score(df: DataFrame, model: LanguageModel, key: str, text: Column) -> DataFr
     if not model.languages:
         return df.select(key, F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("probability")).limit(0)
     if model.shared is not None:
-        summed = df.select(key, weight_sums(model, text).alias("_sums"))
+        summed = df.select(key, weight_sums(model, text, once=True).alias("_sums"))
     else:
         names = [f"w{i}" for i in range(len(model.languages))]
         summed = (df.select(key, F.explode(trigram_numbers(text)).alias("code")).join(model.grams, "code")

@@ -10,8 +10,16 @@ EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string
 TURN_SCHEMA = "turn_id long, ts timestamp, session_id string, user_id string, run_id string, text string"
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+#: The session setting behind ``parallelism``; unset, tables are read as they are stored.
+PARALLELISM = "turnwarden.read.parallelism"
+
+
+def read_table(spark: SparkSession, folder: str, name: str, parallelism: int | None = None) -> DataFrame:
+    """A table, as many tasks as it has row groups. ``parallelism`` deals the rows of a table with fewer row groups than that out to
+    so many tasks, of the columns that are used; tables of many row groups need none of it."""
+    table = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    tasks = parallelism or int(spark.conf.get(PARALLELISM, "0"))
+    return table.repartition(tasks) if tasks else table
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
