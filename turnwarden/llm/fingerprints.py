@@ -25,6 +25,8 @@ from turnwarden.llm.text import numbered, words
 from turnwarden.sources.shared import settle
 
 SAMPLES = 64
+#: Samples that one row computes; divides ``SAMPLES``.
+ABREAST = 4
 #: Quantiles of the ids that are taken, and rows that a bucket holds on average.
 QUANTILES, ROWS = 256, 2000
 
@@ -83,12 +85,16 @@ def signatures(df: DataFrame, text: str, key: list[str]) -> DataFrame:
     Where ``df`` is dealt out by a part of ``key``, nothing is shuffled; elsewhere words are summed up before.
     """
     terms = term_weights(df, text, key)
-    # A row per word and sample, because generated code for many samples at once grows too large to be compiled.
-    values = terms.withColumn("_sample", F.explode(F.array(*map(F.lit, range(SAMPLES))))).select(
-        *key, "_sample", sample(F.col("_sample")).alias("_least"))
-    least = values.groupBy(*key, "_sample").agg(F.min("_least").alias("_least"))
-    parts = F.sort_array(F.collect_list(F.when(F.col("_least").isNotNull(), F.struct("_sample", F.hash("_least").alias("s")))))
-    return least.groupBy(*key).agg(F.transform(parts, lambda p: p["s"]).alias("signature"))
+    # A row per word and ABREAST samples: generated code for more at once grows too large to be compiled, and a row per sample
+    # looks its group up that many times more often.
+    firsts = F.array(*map(F.lit, range(0, SAMPLES, ABREAST)))
+    names = [f"_least{k}" for k in range(ABREAST)]
+    values = terms.withColumn("_sample", F.explode(firsts)).select(
+        *key, "_sample", *[sample(F.col("_sample") + k).alias(name) for k, name in enumerate(names)])
+    least = values.groupBy(*key, "_sample").agg(*[F.min(name).alias(name) for name in names])
+    part = F.struct("_sample", F.array(*[F.hash(name) for name in names]).alias("s"))
+    parts = F.sort_array(F.collect_list(F.when(F.col(names[0]).isNotNull(), part)))
+    return least.groupBy(*key).agg(F.flatten(F.transform(parts, lambda p: p["s"])).alias("signature"))
 
 
 def likeness(a: Column, b: Column) -> Column:
