@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnwarden.sources.shared import settle
+from turnwarden.sources.shared import remove, settle
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
@@ -58,3 +58,10 @@ def released(df: DataFrame, purpose: str) -> DataFrame:
     gc.collect()
     out.sparkSession._jvm.System.gc()
     return out
+
+
+def forgotten(*tables: DataFrame) -> None:
+    """Remove the folders of settled ``tables`` that nothing will read again: what was made of them is written itself."""
+    for table in tables:
+        for folder in {path.rsplit("/", 1)[0] for path in table.inputFiles()}:
+            remove(table.sparkSession, folder)
