@@ -67,3 +67,22 @@ def test_windows_over_stretches(spark, group_rows):
 
     same(conversation_pairs)
     same(history_context, session="conv_id", order="turn")
+
+def test_rows_without_a_text_do_not_meet_in_one_task(spark):
+    """Rows that were stopped before a table of terms is asked have no text to look up."""
+    from turnwarden.operators.dictionary import DIGEST, Dictionary, join_back
+    spark_conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in spark_conf}
+    for k, v in spark_conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(400).select("id", F.when(F.col("id") % 10 == 0, F.lit("a word")).alias("text"))
+        terms = spark.createDataFrame([(1, "word")], "ord int, term string")
+        found = Dictionary(terms).found(df, F.col("text")).groupBy(*DIGEST).agg(F.min("ord").alias("ord"))
+        rows = join_back(df, F.col("text"), found).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.id, r.text, r.ord) for r in rows if r.ord) == [(i, "a word", 1) for i in range(0, 400, 10)]
+    assert len(rows) == 400 and all(r.ord is None for r in rows if r.id % 10)
+    assert len({r.p for r in rows if r.text is None}) > 1

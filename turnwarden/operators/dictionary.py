@@ -109,6 +109,9 @@ class Dictionary:
 
 
 def join_back(df: DataFrame, text: Column, found: DataFrame) -> DataFrame:
-    """``df`` with the columns of ``found``, which has a row per ``DIGEST``; a text without a row gets nulls."""
+    """``df`` with the columns of ``found``, which has a row per ``DIGEST``; a text without a row gets nulls. Rows without a text
+    match nothing and are dealt out by their place, or all of them would meet in one task."""
     first, second = digest(text)
-    return df.withColumns({DIGEST[0]: first, DIGEST[1]: second}).join(found, DIGEST, "left").drop(*DIGEST)
+    none = text.isNull()
+    return df.withColumns({DIGEST[0]: F.when(none, F.monotonically_increasing_id()).otherwise(first),
+                           DIGEST[1]: F.when(~none, second)}).join(found, DIGEST, "left").drop(*DIGEST)
