@@ -86,3 +86,22 @@ def test_rows_without_a_text_do_not_meet_in_one_task(spark):
     assert sorted((r.id, r.text, r.ord) for r in rows if r.ord) == [(i, "a word", 1) for i in range(0, 400, 10)]
     assert len(rows) == 400 and all(r.ord is None for r in rows if r.id % 10)
     assert len({r.p for r in rows if r.text is None}) > 1
+
+
+def test_small_tables_of_terms_are_looked_up_without_a_shuffle_of_grams(spark, monkeypatch):
+    from turnwarden.operators import dictionary, lookups
+    from turnwarden.operators import output_rules as out
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["Acme and acme corp, ACME.", "Acme and acme corp, ACME.", "a.b corp", "", None])], "id int, text string")
+    kb = spark.createDataFrame([(1, "acme", "one"), (1, "acme", "one"), (2, "", "all"), (0, "corp", "two")], "ord int, topic string, text string")
+    names = spark.createDataFrame([(1, "Acme"), (2, "acme corp"), (3, "a.b"), (4, "corp")], "ord int, term string")
+    answers = []
+    for small in (dictionary.SMALL, -1):
+        monkeypatch.setattr(dictionary, "SMALL", small)
+        found = dictionary.Dictionary(names.withColumn("term", F.lower("term"))).found(docs, F.lower("text"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+        answers.append((sorted((r.id, r.kb_result) for r in lookups.kb_match(docs, kb).collect()),
+                        sorted((r.id, r.text) for r in out.brand_scrub_table(docs, names, "X").filter("text is not null").collect())))
+    assert answers[0] == answers[1]
+    assert answers[0][0][0] == (0, "[corp] two\n[acme] one\n[] all") and answers[0][0][3] == (3, "[] all")
+    assert answers[0][1] == [(0, "X and X, X."), (1, "X and X, X."), (2, "X X"), (3, "")]

@@ -6,9 +6,11 @@ are written into the pattern that cuts the grams; of many keys the pattern holds
 ``BITS`` bits per key, at most ``MOST_BITS``) decides the rest. Its false hits, more of them the larger the table, cost a row each
 and change nothing, because the join compares keys and then the whole term.
 
-What is joined is (digest of the text, gram), distinct before the shuffle, so copies of a text are looked up once and no text
-is shuffled or part of a key. Results are grouped by digest and join back as one narrow row per text. A gram that stands in
-very many texts is a hot key of an inner join whose other side is unique per term: adaptive execution splits it.
+What is joined is (digest of the text, gram) on the hash of the key, and the whole term is compared; no text is shuffled for it or
+part of a key. A table of at most ``SMALL`` characters is sent to the tasks, so its grams are looked up where they were cut. For
+a larger one the grams are shuffled, once; a gram that stands in very many texts is a hot key of an inner join whose other side is
+unique per term: adaptive execution splits it. What was found is gathered by digest, in each task first, and joins back as one
+narrow row per text.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ PROBE = 8
 #: Up to so many keys stand in the pattern itself; up to so many first characters narrow it.
 IN_PATTERN, FIRST_CHARACTERS = 32, 512
 BITS, MOST_BITS = 16, 1 << 23
+#: Characters of the terms of a table that is sent to the tasks.
+SMALL = 1 << 22
 
 DIGEST = ["_h1", "_h2"]
 
@@ -46,6 +50,8 @@ class Dictionary:
         self.at_words, self.whole = at_words or whole_words, whole_words
         self.terms = settle(terms.filter("term is not null"), "terms").withColumn("_key", F.left("term", F.lit(PROBE)))
         keys = self.terms.groupBy("_key").agg(F.max(F.length("term")).alias("n"))
+        size = self.terms.agg(F.sum(F.length("term") + 8).alias("n")).first()["n"] or 0
+        self.small = size <= SMALL
         few = keys.limit(IN_PATTERN + 1).collect()
         self.filter = None
         if len(few) <= IN_PATTERN:
@@ -81,16 +87,18 @@ class Dictionary:
         self.filter = F.from_json(F.lit(json.dumps(table)), "array<bigint>")
 
     def _may(self, key: Column) -> Column:
-        place = F.pmod(F.xxhash64(key), F.lit(self.bits))
+        """Whether a key with this hash may be there."""
+        place = F.pmod(key, F.lit(self.bits))
         bit = F.call_function("shiftright", F.get(self.filter, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int"))
         return bit.bitwiseAND(F.lit(1)) == 1
 
     @staticmethod
     def _gram(k: int):
-        return lambda w: F.struct(F.left(w, F.lit(k)).alias("_key"), w.alias("_w"))
+        return lambda w: F.struct(F.xxhash64(F.left(w, F.lit(k))).alias("_key"), w.alias("_w"))
 
     def found(self, df: DataFrame, text: Column) -> DataFrame:
-        """Distinct (``DIGEST``, columns of the terms) of the terms in the texts of ``df``."""
+        """(``DIGEST``, columns of the terms) of the terms in the texts of ``df``. Copies of a text and places where its grams differ
+        repeat rows: they are to be gathered by ``DIGEST`` with an aggregate that repeats do not change."""
         if not self.sizes:
             return self.terms.drop("_key").withColumns({n: F.lit(0).cast("long") for n in DIGEST}).limit(0)
         grams = []
@@ -98,14 +106,15 @@ class Dictionary:
             cut = F.regexp_extract_all("_t", F.lit(pattern), F.lit(1)) if k else F.when(F.col("_t").isNotNull(), F.array(F.lit("")))
             grams.append(F.transform(F.array_distinct(cut), self._gram(k)))
         rows = df.select(text.alias("_t")).select(*digest(F.col("_t")), F.explode(F.concat(*[F.coalesce(g, F.array().cast(
-            "array<struct<_key:string,_w:string>>")) for g in grams])).alias("_g")).select(*DIGEST, "_g.*")
+            "array<struct<_key:bigint,_w:string>>")) for g in grams])).alias("_g")).select(*DIGEST, "_g.*")
         if self.filter is not None:
             rows = rows.filter(self._may(F.col("_key")))
-        matched = rows.distinct().join(self.terms, "_key").filter(F.startswith("_w", "term"))
+        terms = self.terms.withColumn("_key", F.xxhash64("_key"))
+        matched = rows.join(F.broadcast(terms) if self.small else terms, "_key").filter(F.startswith("_w", "term"))
         if self.whole:
             after = F.substring("_w", F.length("term") + 1, F.lit(1))
             matched = matched.filter((_word(after) != _word(F.right("term", F.lit(1)))) | (F.col("term") == ""))
-        return matched.select(*DIGEST, *[c for c in self.terms.columns if c != "_key"]).distinct()
+        return matched.select(*DIGEST, *[c for c in self.terms.columns if c != "_key"])
 
 
 def join_back(df: DataFrame, text: Column, found: DataFrame) -> DataFrame:

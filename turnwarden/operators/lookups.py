@@ -21,9 +21,9 @@ def kb_match(queries: DataFrame, kb: DataFrame, query: str = "text") -> DataFram
     """
     entries = kb.filter("text is not null").select("ord", F.col("topic").alias("term"), F.col("text").alias("_text"))
     lowered = F.lower(F.col(query))
-    entry = F.struct("ord", F.concat(F.lit("["), F.col("term"), F.lit("] "), F.col("_text")).alias("t"))
+    entry = F.struct("ord", F.concat(F.lit("["), F.col("term"), F.lit("] "), F.col("_text")).alias("t"), "term")
     found = Dictionary(entries).found(queries, lowered).groupBy(*DIGEST).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["t"]), "\n").alias("_hits"))
+        F.array_join(F.transform(F.array_sort(F.collect_set(entry)), lambda e: e["t"]), "\n").alias("_hits"))
     return join_back(queries, lowered, found).withColumn("kb_result", F.coalesce("_hits", F.lit(fixed.KB_MISS))).drop("_hits")
 
 

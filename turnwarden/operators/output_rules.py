@@ -142,8 +142,8 @@ def brand_scrub_table(df: DataFrame, terms: DataFrame, replacement: str = fixed.
     entries = terms.filter("term <> ''").select("ord", F.lower("term").alias("term"), F.col("term").alias("_shown"))
     low = F.lower(F.col(text))
     quoted = F.regexp_replace("term", r"([\\^$.|?*+()\[\]{}\-&~#])", r"\\$1")
-    by_length = F.array_sort(F.collect_list(F.struct((-F.length("term")).alias("n"), quoted.alias("q"))))
-    shown = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("ord", "_shown"))), lambda e: e["_shown"]))
+    by_length = F.array_sort(F.collect_set(F.struct((-F.length("term")).alias("n"), quoted.alias("q"))))
+    shown = F.array_distinct(F.transform(F.array_sort(F.collect_set(F.struct("ord", "_shown"))), lambda e: e["_shown"]))
     found = Dictionary(entries, whole_words=True).found(df, low).groupBy(*DIGEST).agg(
         F.concat(F.lit(r"(?iU)\b(?:"), F.array_join(F.transform(by_length, lambda e: e["q"]), "|"), F.lit(r")\b")).alias("_names"),
         F.array_join(shown, ", ").alias("_listed"))
