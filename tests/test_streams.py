@@ -134,3 +134,25 @@ def test_approvals_share_states(spark, tmp_path):
     assert got == sorted(want)
     # What is kept and handed to Python is a state per bucket, not one per call.
     assert 0 < max(s.numRowsTotal for p in done.recentProgress for s in p.stateOperators) <= 4
+
+
+@pytest.mark.parametrize("held", [lang.HELD, 50])
+def test_trigrams_are_counted_in_small_stretches(spark, monkeypatch, held):
+    monkeypatch.setattr(lang, "HELD", held)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("lang", "text")
+    docs = docs.unionByName(spark.createDataFrame([(None, "unlabelled"), ("xx", None), ("xx", ""), ("xx", "日本語 🙂 abc"), ("xx", "日本語 🙂 abc")], docs.schema))
+    want = docs.filter("lang is not null and text is not null").select("lang", F.explode(lang.trigram_numbers(F.col("text"))).alias("code")).groupBy("lang", "code").count()
+    assert sorted(map(tuple, lang.count_trigrams(docs, "text", "lang").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_arrays_of_a_stretch_are_small():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["a few plain words to count, é " * 100] * 2500)  # 8 MB
+    tracemalloc.start()
+    seen = sum(len(lang.trigrams_of(characters, borders)[0]) for _, _, characters, borders in lang.batches_of(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 2500 * (3000 - 2) and peak < 16 << 20

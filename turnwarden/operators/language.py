@@ -26,8 +26,10 @@ from turnwarden.sources.shared import settle
 SCALE = 10_000  # log-probabilities are kept as whole ten-thousandths, so sums do not depend on their order
 #: Trigrams of a model that is sent to every task (8 bytes and 4 per language each), and slots of a dense index to them.
 MOST_GRAMS, SLOTS = 1 << 21, 1 << 24
-#: Bytes of text that are worked on at a time.
-STRETCH = 1 << 20
+#: Bytes of text that are worked on at a time; arrays of over 100 bytes for each of them are needed then.
+STRETCH = 1 << 17
+#: Counts of trigrams that a task holds before it adds them up.
+HELD = 1 << 18
 
 
 class Weights:
@@ -105,9 +107,21 @@ def trigrams_of(characters: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray
     return characters[at], characters[at + 1], characters[at + 2], row[at]
 
 
+def added_up(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Several tables of trigrams and their counts as one."""
+    found, at = np.unique(np.concatenate([c for c, _ in counts]), return_inverse=True)
+    n = np.zeros(len(found), np.int64)
+    np.add.at(n, at, np.concatenate([m for _, m in counts]))
+    return found, n
+
+
 def count_trigrams(labelled: DataFrame, text: str, language: str) -> DataFrame:
-    """(lang, code, n), summed per task and then over all."""
+    """(lang, code, n), summed per task and then over all. A task hands on what it has counted early if that becomes too much to hold."""
+    def rows_of(lang: str, found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(found), np.int32))), pa.array(found), pa.array(n)], ["lang", "code", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held = {}, 0
         for batch in batches:
             langs = batch.column(0).dictionary_encode()
             names, of = langs.dictionary, langs.indices.fill_null(-1).to_numpy(zero_copy_only=False)
@@ -115,8 +129,16 @@ def count_trigrams(labelled: DataFrame, text: str, language: str) -> DataFrame:
                 a, b, c, row = trigrams_of(characters, borders)
                 code, lang = number_of(a, b, c), of[start:stop][row]
                 for k in np.unique(lang[lang >= 0]):
-                    found, n = np.unique(code[lang == k], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([names[int(k)].as_py()] * len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "code", "n"])
+                    found = np.unique(code[lang == k], return_counts=True)
+                    counts.setdefault(names[int(k)].as_py(), []).append(found)
+                    held += len(found[0])
+                if held > HELD:
+                    counts = {name: [added_up(some)] for name, some in counts.items()}
+                    held = sum(len(some[0][0]) for some in counts.values())
+                    if held > HELD // 2:
+                        yield from (rows_of(name, *some[0]) for name, some in counts.items())
+                        counts, held = {}, 0
+        yield from (rows_of(name, *added_up(some)) for name, some in counts.items())
 
     rows = labelled.select(F.col(language).alias("lang"), letters(F.col(text)).alias("text")).mapInArrow(run, "lang string, code long, n long")
     return rows.groupBy("lang", "code").agg(F.sum("n").alias("n"))
