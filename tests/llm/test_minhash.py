@@ -99,3 +99,40 @@ def test_rows_of_null_and_repeated_ids_are_documents_of_their_own(spark):
     marks = minhash.groups(docs).collect()
     assert len(marks) == len(rows) and sum(r.kept for r in marks) == len(got)
     assert sorted(str(r.component_id) for r in marks if r.doc_id is None) == ["1", "None", "None", "None", "None", "None"]
+
+
+def joined_on(df, column):
+    """Names and types of the columns on both sides of the joins on a column."""
+    todo, out = [df._jdf.queryExecution().analyzed()], []
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName() == "Join" and f"{column}#" in node.condition().toString():
+            outputs = [c.output() for c in children]
+            out += [[(o.apply(k).name(), o.apply(k).dataType().typeName()) for k in range(o.size())] for o in outputs]
+        todo += children
+    return out
+
+
+def test_elements_meet_without_the_lists_they_stand_in(spark):
+    """A row per element that holds the whole list shuffles the square of its length."""
+    rng = random.Random(6)
+    base = rng.sample(range(10**6), 120)
+    found = [sorted(set(base) - set(rng.sample(base, k)) | set(rng.sample(range(10**6), k))) for k in (0, 3, 5, 9, 14, 30, 60)]
+    found += [sorted(rng.sample(range(10**6), 100)) for _ in range(3)]
+    left = spark.createDataFrame([((i, i, -i, len(s)), (i, i, -i, len(s))) for i, s in enumerate(found)], "a {0}, label {0}".format(
+        "struct<o: bigint, d1: bigint, d2: bigint, n: bigint>"))
+    sets = spark.createDataFrame([(i, -i, s) for i, s in enumerate(found)], "d1 long, d2 long, list array<long>")
+    pairs = minhash.unconnected(left, sets, 80)
+    got = [tuple(sorted((r.a.d1, r.b.d1))) for r in pairs.collect()]
+    alike = {(i, j) for j in range(len(found)) for i in range(j) if len({*found[i]} & {*found[j]}) >= 0.8 * len({*found[i]} | {*found[j]})}
+    assert len(alike) == 5 and alike <= set(got) and len(got) == len(set(got))
+    assert [{kind for _, kind in side} & {"array"} for side in joined_on(pairs, "token")] == [set(), set()]
+
+
+def test_keys_meet_without_their_classes(spark, tiny, monkeypatch):
+    """Entries of keys that stand alone are shuffled as key and number only."""
+    made = {}
+    monkeypatch.setattr(minhash, "released", lambda df, purpose, f=minhash.released: made.setdefault(purpose, df) and f(df, purpose))
+    minhash.groups(tiny).count()
+    assert {name for name, _ in joined_on(made["minhash-buckets"], "key")[0]} == {"key", "no"}
