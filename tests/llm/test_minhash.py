@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -5,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnwarden.llm import minhash
+from turnwarden.llm import minhash, text
+from turnwarden.sources import shared
 
 
 def brute_sets(texts):
@@ -136,3 +138,32 @@ def test_keys_meet_without_their_classes(spark, tiny, monkeypatch):
     monkeypatch.setattr(minhash, "released", lambda df, purpose, f=minhash.released: made.setdefault(purpose, df) and f(df, purpose))
     minhash.groups(tiny).count()
     assert {name for name, _ in joined_on(made["minhash-buckets"], "key")[0]} == {"key", "no"}
+
+
+@pytest.fixture
+def folders(monkeypatch):
+    """The folders that are made below the shared one, by purpose, and whether they are still there."""
+    made = []
+    monkeypatch.setattr(shared, "new_folder", lambda spark, purpose, f=shared.new_folder: made.append(f(spark, purpose)) or made[-1])
+    return lambda: {(os.path.basename(p).rsplit("-", 1)[0], os.path.exists(p.removeprefix("file:"))) for p in made}
+
+
+def test_rows_that_stay_are_not_joined_and_tables_go(spark, tiny, monkeypatch, folders):
+    seen = []
+    monkeypatch.setattr(minhash, "parted", lambda *a, f=minhash.parted: seen.append(f(*a)) or seen[-1])
+    docs = tiny.select("doc_id", "text").unionByName(tiny.select((tiny.doc_id + 20000).alias("doc_id"), "text").limit(20))
+    out = minhash.deduplicated(docs)
+    some, others = seen[0]
+    assert 0 < some.count() < others.count() and some.count() + others.count() == docs.count()
+    left = {name for name, there in folders() if there}
+    assert "minhash-gone" in left and not left & {"minhash-sketch", "minhash-classes", "minhash-keys", "minhash-buckets", "minhash-pairs"}
+    assert out.count() == sum(r.kept for r in minhash.groups(docs).collect())
+
+
+@pytest.mark.parametrize("bits", [1 << 24, 64])
+def test_parted_rows_are_all_there(spark, monkeypatch, bits):
+    monkeypatch.setattr(text, "BITS", bits)
+    rows = spark.range(1000).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("k"), "id")
+    some, others = ({r.id for r in df.collect()} for df in text.parted(rows, rows.filter("k % 7 = 0 or k is null").select("k"), "k"))
+    assert not some & others and some | others == set(range(1000)) and {i for i in range(1000) if i % 7 == 0 or i % 10 == 0} <= some
+    assert len(others) > 700 if bits > 64 else not others

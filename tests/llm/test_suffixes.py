@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -6,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from turnwarden.llm import suffixes
+from turnwarden.sources import shared
 
 
 def brute(texts):
@@ -92,3 +94,14 @@ def test_cut_characters(spark):
     assert rows[2].text == texts[2]
     assert all(r.n_chars == len(r.text) and "\ufffd" not in r.text and "\x00" not in r.text for i, r in rows.items() if i < 2)
     assert rows[0].text.startswith("x") and rows[0].text.endswith("y") and shared[:50] not in rows[0].text
+
+
+def test_texts_without_repeats_are_not_joined_and_tables_go(spark, monkeypatch):
+    rng, made, seen = random.Random(8), [], []
+    monkeypatch.setattr(shared, "new_folder", lambda spark, purpose, f=shared.new_folder: made.append(f(spark, purpose)) or made[-1])
+    monkeypatch.setattr(suffixes, "parted", lambda *a, f=suffixes.parted: (out := f(*a), seen.append([x.count() for x in out]))[0])
+    texts = ["".join(rng.choice("abcdef ") for _ in range(700)) for _ in range(30)]
+    check(spark, [*texts, texts[3], texts[5][:300] + "x" * 20, None, None])
+    assert len(seen) == 3 and all(sum(n) == 34 and n[0] < 8 for n in seen), seen
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in made if os.path.exists(p.removeprefix("file:"))}
+    assert left == {"suffix-runs"}, left

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden.llm.pieces import stretches
-from turnwarden.llm.text import forgotten, released
+from turnwarden.llm.text import BITS, bit_place, bit_words, forgotten, parted, released
 from turnwarden.sources.shared import settle
 
 SLOTS, ROWS = 127, 4
@@ -116,8 +116,6 @@ def row_key(doc_id: Column, text: Column) -> Column:
 
 #: What names a class: the least id of its rows (the largest number if all are null), its set's 128 bits and size.
 NODE = ["o", "d1", "d2", "n"]
-#: Bits of the filter that chooses the documents whose sets are computed; beyond a quarter of as many, they are joined instead.
-BITS = 1 << 24
 
 
 def sketch(docs: DataFrame, size: int, chosen: Broadcast | None = None, with_sets: bool = False) -> DataFrame:
@@ -144,23 +142,21 @@ def sketch(docs: DataFrame, size: int, chosen: Broadcast | None = None, with_set
                 yield pa.RecordBatch.from_arrays([own, pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(counts, pa.int64()), lists],
                                                  ["row", "d1", "d2", "n", "list"])
 
-    place = F.xxhash64("row").bitwiseAND(F.lit(BITS - 1)).alias("place")
-    return docs.select("row", F.col("text").cast("binary").alias("text"), place).mapInArrow(run, f"row {KEY}, d1 long, d2 long, n long, list array<long>")
+    return docs.select("row", F.col("text").cast("binary").alias("text"), bit_place("row").alias("place")).mapInArrow(run, f"row {KEY}, d1 long, d2 long, n long, list array<long>")
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, ends: DataFrame, size: int) -> DataFrame:
     """``d1, d2, list``: the full sets of the classes ``ends`` (d1, d2), from the texts of their representatives. Of equal rows one
     is kept."""
     asked = released(classes.join(ends.distinct(), ["d1", "d2"]).select("d1", "d2", "rep"), "minhash-ends")
-    if asked.count() <= BITS // 4:
-        place = F.xxhash64("rep").bitwiseAND(F.lit(BITS - 1))
-        words = asked.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(xxhash64(rep) & {BITS - 1} & 63 as int))").alias("b")) \
-            .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most BITS / 64 rows
+    words = bit_words(asked, "rep")
+    if words is None:
+        found = sketch(docs.join(asked.select(F.col("rep").alias("row")), "row", "left_semi"), size, None, True)
+    else:
+        words = words.toArrow()
         bits = np.zeros(BITS // 64, np.int64)
-        bits[words.column("w").to_numpy()] = words.column("b").to_numpy()
+        bits[words.column("_w").to_numpy()] = words.column("_b").to_numpy()
         found = sketch(docs, size, docs.sparkSession.sparkContext.broadcast(bits.tobytes()), True)
-    else:
-        found = sketch(docs.join(asked.select(F.col("rep").alias("row")), "row", "left_semi"), size, None, True)
     return found.join(asked, ["d1", "d2"]).filter("row = rep").groupBy("d1", "d2").agg(F.first("list").alias("list"))
 
 
@@ -316,12 +312,14 @@ def unconnected(left: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 2, similar: int = SIMILAR) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id. Only the keys of rows that go are joined."""
+    """``docs`` with one document of each group, the one with the smallest id. Only the keys of rows that go are joined, and only to
+    rows that may be these; all others are handed on where they are read."""
     of, made = grouped(docs, doc_id, text, size, similar)
     of = of.filter("n > 0 and (row <> component or c > 1)")
     gone = released(of.select(F.col("row").alias("_row"), (F.col("row") == F.col("component")).alias("_one")), "minhash-gone")
     forgotten(*made)
     packed = docs.select(F.struct(*docs.columns).alias("_doc"), row_key(F.col(doc_id), F.col(text)).alias("_row"))
+    packed, others = parted(packed, gone, "_row")
     # Of rows equal in id and text one stays, the least by its other columns.
     one = packed.join(gone.filter("_one").select("_row"), "_row", "left_semi").groupBy("_row").agg(F.min("_doc").alias("_doc"))
-    return packed.join(gone, "_row", "left_anti").select("_doc.*").unionByName(one.select("_doc.*"))
+    return others.select("_doc.*").unionByName(packed.join(gone, "_row", "left_anti").select("_doc.*")).unionByName(one.select("_doc.*"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnwarden.llm.minhash import mix
-from turnwarden.llm.text import released
+from turnwarden.llm.text import forgotten, parted, released
 
 SPAN, GRAM, PIECE = 200, 48, 8
 REACH = SPAN - GRAM + 1
@@ -146,32 +146,38 @@ def level(docs: DataFrame, wanted: DataFrame | None, size: int) -> DataFrame:
     if wanted is None:
         return docs.select("d1", "d2", "text").mapInArrow(gathered(all_blocks), SUB)
     # Equal texts give equal pieces, which count once.
-    return docs.join(wanted, ["d1", "d2"]).select("d1", "d2", "text", "wanted").mapInArrow(gathered(all_pieces), SUB).distinct()
+    return parted(docs, wanted, "d1", "d2")[0].join(wanted, ["d1", "d2"]).select("d1", "d2", "text", "wanted").mapInArrow(gathered(all_pieces), SUB).distinct()
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """``d1, d2, runs``: for each text with repeats the sorted, disjoint ranges (struct of start and end) of bytes in them."""
-    wanted, found = None, None
+    wanted, places = None, []
     for size in (0, PIECE, 1):
         cores = level(docs, wanted, size)
         if wanted is not None:
             cores = released(cores, "suffix-pieces")
+            forgotten(wanted)
         shared = released(cores.groupBy("core").count().filter("count > 1").select("core"), "suffix-cores")
         open_ = released(cores.join(shared, "core"), "suffix-open")
+        forgotten(shared, *([] if wanted is None else [cores]))
         hulls = released(open_.groupBy("core", "hull").agg(F.count("*").alias("n"), F.min(F.struct("settled", "d1", "d2", "pos")).alias("one")), "suffix-hulls")
         twice = open_.join(hulls.filter("n > 1").select("core", "hull"), ["core", "hull"], "left_semi").filter("not settled")
-        twice = released(twice.select("d1", "d2", "pos").distinct(), "suffix-found")
-        found = twice if found is None else found.unionByName(twice)
+        places.append(released(twice.select("d1", "d2", "pos").distinct(), "suffix-found"))
         if size == 1:
+            forgotten(open_, hulls)
             break
         # A hull is open if it occurs once and is not known to repeat; its core's other hulls are what it may match.
         known = (F.col("n") > 1) | F.col("one.settled")
         active = hulls.filter(~known).select("core").distinct()
         rest = hulls.join(active, "core").select("one.d1", "one.d2", F.struct(F.col("one.pos").alias("pos"), "core", known.alias("settled")).alias("w"))
         wanted = released(rest.groupBy("d1", "d2").agg(F.collect_list("w").alias("wanted")), "suffix-wanted")
+        forgotten(open_, hulls)
+    found = places[0].unionByName(places[1]).unionByName(places[2])
     start, count = F.shiftright("pos", 16), F.shiftright("pos", 8).bitwiseAND(255)
     ranges = found.select("d1", "d2", F.struct(start.alias("start"), (start + count - 1 + SPAN).alias("end")).alias("r")).distinct()
-    return released(ranges.groupBy("d1", "d2").agg(F.sort_array(F.collect_list("r")).alias("runs")), "suffix-runs")
+    runs = released(ranges.groupBy("d1", "d2").agg(F.sort_array(F.collect_list("r")).alias("runs")), "suffix-runs")
+    forgotten(*places)
+    return runs
 
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
@@ -213,9 +219,14 @@ def removed(docs: DataFrame, text: str = "text") -> DataFrame:
                     pa.array([k if s else None for k, s in zip(kept, spans)], pa.binary())],
                     ["_doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    joined = rows.join(runs, ["d1", "d2"], "left").select("_doc", "text", "runs")
+    # Texts without repeats are whole, and stay where they are read.
+    some, others = parted(rows, runs, "d1", "d2")
+    joined = some.join(runs, ["d1", "d2"], "left").select("_doc", "text", "runs")
     kind = joined.schema["_doc"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"_doc {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    none = F.lit(0).cast("long")
+    whole = others.select("_doc", F.length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+                          F.sha2("text", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
+    return joined.mapInArrow(cut, f"_doc {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").unionByName(whole)
 
 
 def deduplicated(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:

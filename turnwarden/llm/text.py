@@ -11,6 +11,8 @@ from turnwarden.sources.shared import remove, settle
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
+#: Bits of the map that chooses rows by their keys; beyond a quarter of as many keys, rows are joined without it.
+BITS = 1 << 24
 
 
 def words(text: Column) -> Column:
@@ -50,6 +52,31 @@ def numbered(df: DataFrame, order: list[Column], name: str, purpose: str) -> Dat
         name, F.col("_start") + F.col("_place")).drop("_range", "_start", "_place")
 
 
+def bit_place(*key: str) -> Column:
+    """The place of a key in a bit map."""
+    return F.xxhash64(*key).bitwiseAND(F.lit(BITS - 1))
+
+
+def bit_words(keys: DataFrame, *key: str) -> DataFrame | None:
+    """The words of a bit map of the places of ``keys``: ``_w``, number, and ``_b``, bits; at most ``BITS`` / 64 rows. None if the keys are
+    too many for it."""
+    if keys.count() > BITS // 4:
+        return None
+    return keys.select(bit_place(*key).alias("p")).select(F.shiftright("p", 6).alias("_w"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("_b")) \
+        .groupBy("_w").agg(F.bit_or("_b").alias("_b"))
+
+
+def parted(df: DataFrame, keys: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two: the rows whose key is (or, seldom, seems to be) one of ``keys``, and the rows whose key is none, which need not be
+    shuffled to find that out. If the keys are too many for a bit map, the second part is empty."""
+    words = bit_words(keys, *key)
+    if words is None:
+        return df, df.limit(0)
+    marked = df.withColumn("_p", bit_place(*key)).join(F.broadcast(words), F.shiftright("_p", 6) == F.col("_w"), "left")
+    seen = F.expr("coalesce(shiftright(_b, cast(_p & 63 as int)) & 1, 0) = 1")
+    return marked.filter(seen).select(*df.columns), marked.filter(~seen).select(*df.columns)
+
+
 def released(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder; shuffle files that only it needed can go at once instead of when the driver's
     memory happens to be collected."""
