@@ -13,6 +13,7 @@ from turnwarden.functions.gates import any_match, any_may_match, holds_any, may_
 from turnwarden.functions.links import redact_untrusted, untrusted_links
 from turnwarden.functions.patterns import any_of, count_matches, java_pattern, literal
 from turnwarden.functions.text import keep_first_char, let, lines, rewrite_matches
+from turnwarden.operators import matching
 from turnwarden.operators.decisions import record, rewrite, start
 from turnwarden.operators.dictionary import DIGEST, Dictionary, join_back
 
@@ -139,11 +140,17 @@ def brand_scrub(df: DataFrame, terms: Sequence[str] = tuple(fixed.COMPETITORS),
 def brand_scrub_table(df: DataFrame, terms: DataFrame, replacement: str = fixed.BRAND_MASK, text: str = "text") -> DataFrame:
     """``brand_scrub`` with the names of a table (ord, term) of any size. All names are looked for in the text as it came; where
     names overlap, the one that begins first and of those the longest is replaced. The report lists names found, by ``ord``."""
-    entries = terms.filter("term <> ''").select("ord", F.lower("term").alias("term"), F.col("term").alias("_shown"))
+    entries = terms.filter("term <> ''").select("ord", F.lower("term").alias("term"), F.col("term").alias("shown"))
     low = F.lower(F.col(text))
+    entries, table = matching.held(entries)
+    if table is not None:
+        df = start(df)
+        df = df.withColumn("_scrubbed", matching.scrubbed_in(df, table, F.col(text), low, replacement))
+        df = record(df, 15, "Brand safety", "modified", F.concat(F.lit("scrubbed: "), F.col("_scrubbed.listed")))
+        return rewrite(df, text, F.col("_scrubbed.listed").isNotNull(), F.col("_scrubbed.text")).drop("_scrubbed")
     quoted = F.regexp_replace("term", r"([\\^$.|?*+()\[\]{}\-&~#])", r"\\$1")
     by_length = F.array_sort(F.collect_set(F.struct((-F.length("term")).alias("n"), quoted.alias("q"))))
-    shown = F.array_distinct(F.transform(F.array_sort(F.collect_set(F.struct("ord", "_shown"))), lambda e: e["_shown"]))
+    shown = F.array_distinct(F.transform(F.array_sort(F.collect_set(F.struct("ord", "shown"))), lambda e: e["shown"]))
     found = Dictionary(entries, whole_words=True).found(df, low).groupBy(*DIGEST).agg(
         F.concat(F.lit(r"(?iU)\b(?:"), F.array_join(F.transform(by_length, lambda e: e["q"]), "|"), F.lit(r")\b")).alias("_names"),
         F.array_join(shown, ", ").alias("_listed"))
