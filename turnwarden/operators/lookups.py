@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from turnwarden import fixed_values as fixed
 from turnwarden.functions.links import host, host_suffixes
 from turnwarden.functions.text import trim_space
+from turnwarden.operators import matching
 from turnwarden.operators.dictionary import DIGEST, Dictionary, join_back
 
 
@@ -19,9 +20,13 @@ def kb_match(queries: DataFrame, kb: DataFrame, query: str = "text") -> DataFram
 
     An entry without a topic or a text is none, an empty topic is in every query, and a null query holds nothing.
     """
-    entries = kb.filter("text is not null").select("ord", F.col("topic").alias("term"), F.col("text").alias("_text"))
+    entries = kb.filter("text is not null and topic is not null").select(
+        "ord", F.col("topic").alias("term"), F.concat(F.lit("["), F.col("topic"), F.lit("] "), F.col("text")).alias("shown"))
     lowered = F.lower(F.col(query))
-    entry = F.struct("ord", F.concat(F.lit("["), F.col("term"), F.lit("] "), F.col("_text")).alias("t"), "term")
+    entries, table = matching.held(entries)
+    if table is not None:
+        return queries.withColumn("kb_result", F.coalesce(matching.shown_in(queries, table, lowered, "\n"), F.lit(fixed.KB_MISS)))
+    entry = F.struct("ord", F.col("shown").alias("t"), "term")
     found = Dictionary(entries).found(queries, lowered).groupBy(*DIGEST).agg(
         F.array_join(F.transform(F.array_sort(F.collect_set(entry)), lambda e: e["t"]), "\n").alias("_hits"))
     return join_back(queries, lowered, found).withColumn("kb_result", F.coalesce("_hits", F.lit(fixed.KB_MISS))).drop("_hits")
