@@ -99,3 +99,21 @@ def test_links_in_full():
     found = alignment.links(["p", "q", "r"], ["naïve words", "", "naïve words"], both)
     assert [f[0] for f in found] == ["p"] * (len(found) // 2) + ["r"] * (len(found) // 2) and found[0][1] == 0
     assert [(f[3], f[4]) for f in found if f[0] == "p"] == brute(["naïve words"])[0] and found[-1][2] == len(" naïve words".encode())
+
+
+def test_a_worker_holds_little_whatever_it_reads(spark, tiny, monkeypatch):
+    """What a worker remembers is bounded below what it may otherwise; blocks are small; the space in front is added to a stretch at a time."""
+    found = alignment.Tokenizers(*(units.checked(p) for p in PATHS))
+    assert all(u.remembered == alignment.REMEMBERED < units.REMEMBERED for u in found.units)
+    seen = []
+    spaced = alignment.spaced
+    monkeypatch.setattr(alignment, "STRETCH", 1000)
+    texts = pa.array(["a b c", None, "", "x" * 3000, " y"])
+    for start, end in units.stretches(texts, alignment.STRETCH):
+        seen.append(spaced(texts.slice(start, end - start)).to_pylist())
+    assert seen == [[" a b c", "", ""], [" " + "x" * 3000], ["  y"]]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows = alignment.written_blocks(tiny.select("doc_id", "text"), alignment.share(spark, *PATHS))
+    assert spark.conf.get(name) == before
+    assert rows.selectExpr("max(size(places))").first()[0] <= alignment.ROW + 100000

@@ -34,12 +34,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from turnwarden.llm import units
 from turnwarden.sources.shared import settle
 
-#: Bytes of text whose links share a list of pairs, and bytes that are aligned at a time.
-BLOCK, STRETCH = 16 << 20, 2 << 20
+#: Bytes of text whose links share a list of pairs, and bytes that are aligned at a time. A block has few distinct pairs (28,000 in 16 MB),
+#: so small blocks cost little.
+BLOCK, STRETCH = 4 << 20, 1 << 20
+#: Bytes of units that a worker remembers for each vocabulary, and documents that it is given at a time.
+REMEMBERED, GIVEN = 32 << 20, 1000
 #: A group of more pairs is reduced to distinct ids before its overlaps expand.
 LARGE = 4096
-#: Links per row of a written block.
-ROW = 1 << 20
+#: Links per row of a written block, and bytes of rows that are written, and so read, at a time.
+ROW, WRITTEN = 1 << 18, 16 << 20
 
 
 class Side(NamedTuple):
@@ -70,7 +73,7 @@ class Tokenizers:
     """Both vocabularies of a worker."""
 
     def __init__(self, first: bytes, second: bytes):
-        self.units = units.byte_level(first), units.marked_pieces(second)
+        self.units = units.byte_level(first, REMEMBERED), units.marked_pieces(second, REMEMBERED)
         self.spelled = (Spelled({i: b for b, i in units.spelled_bytes(first).items()}), Spelled(dict(enumerate(units.spelled_pieces(second)))))
 
     def encode(self, texts: units.Texts) -> tuple[Side, Side, np.ndarray]:
@@ -241,6 +244,12 @@ def share(spark: SparkSession, first: str, second: str) -> tuple[Broadcast, Broa
     return tuple(spark.sparkContext.broadcast(units.checked(path)) for path in (first, second))
 
 
+def spaced(texts: pa.Array) -> pa.Array:
+    """The texts with the space in front that the second model adds; null and empty ones are empty."""
+    texts = pc.fill_null(texts, "")
+    return pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar("")))
+
+
 def blocks(docs: DataFrame, shared: tuple[Broadcast, Broadcast]) -> DataFrame:
     """Per row of ``docs`` (doc_id, text) its links, by blocks; see the head of this module."""
     kinds = {"a": T.IntegerType(), "b": T.IntegerType(), "docs": T.IntegerType(), "doc_ids": docs.schema["doc_id"].dataType, "n_a": T.LongType(),
@@ -254,10 +263,9 @@ def blocks(docs: DataFrame, shared: tuple[Broadcast, Broadcast]) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         block = Block(number)
         for batch in batches:
-            texts = pc.fill_null(batch.column("text"), "")
-            texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar("")))
+            ids, texts = batch.column("doc_id"), batch.column("text")
             for start, end in units.stretches(texts, STRETCH):
-                block.add(both, digits, batch.column("doc_id").slice(start, end - start), units.Texts(texts.slice(start, end - start)))
+                block.add(both, digits, ids.slice(start, end - start), units.Texts(spaced(texts.slice(start, end - start))))
                 if block.bytes >= BLOCK:
                     yield from block.rows(both.spelled[1].count, arrow)
                     number += 1
@@ -268,6 +276,17 @@ def blocks(docs: DataFrame, shared: tuple[Broadcast, Broadcast]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def written_blocks(docs: DataFrame, shared: tuple[Broadcast, Broadcast]) -> DataFrame:
+    """``blocks``, written: workers are given ``GIVEN`` documents at a time, and tasks write and read ``WRITTEN`` bytes of rows at a time."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(GIVEN))
+    try:
+        return settle(blocks(docs, shared), "align-blocks", **{"parquet.block.size": WRITTEN})
+    finally:
+        conf.set(name, before)
+
+
 def pair_counts(found: DataFrame) -> DataFrame:
     """Per id pair that a document links: a, b, ``count``, the documents that hold it, and whether no pair of its A id has more."""
     listed = found.filter("a is not null").select(F.explode(F.arrays_zip("a", "b", "docs")).alias("x")).select("x.*")
@@ -295,7 +314,7 @@ def weighed(doc_rows: pa.Table, answers: pa.Table, schema: pa.Schema) -> pa.Tabl
 
 def aligned(docs: DataFrame, shared: tuple[Broadcast, Broadcast], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    found = settle(blocks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shared), "align-blocks")
+    found = written_blocks(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shared)
     asked = found.filter("a is not null").select("block", F.posexplode(F.arrays_zip("a", "b")).alias("place", "x")).select("block", "place", "x.a", "x.b")
     answers = asked.join(pair_counts(found), ["a", "b"]).select(F.col("block").alias("asked_by"), "place", "count", "best")
     rows = found.filter("doc_ids is not null").select("block", "doc_ids", "n_a", "n_b", "n_groups", "n_links", "digests", "sizes", "places", "times")

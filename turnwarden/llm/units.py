@@ -155,7 +155,7 @@ def spelled_bytes(vocabulary: bytes) -> dict[bytes, int]:
     return {bytes(map(of.__getitem__, entry)): i for entry, i in model["vocab"].items()}
 
 
-def byte_level(vocabulary: bytes) -> Units:
+def byte_level(vocabulary: bytes, remembered: int = REMEMBERED) -> Units:
     """A byte-level vocabulary in the JSON form of the ``tokenizers`` library, special strings being ordinary text.
 
     Where merges are numbered in the order in which they apply, a merge table is a table of ranks, and ids are found by a
@@ -167,14 +167,14 @@ def byte_level(vocabulary: bytes) -> Units:
     if all(model["vocab"].get(a + b) == first + k for k, (a, b) in enumerate(pairs)):
         import tiktoken
         ranked = tiktoken.Encoding("units", pat_str=PATTERN, mergeable_ranks=spelled_bytes(vocabulary), special_tokens={})
-        return Units(lambda units: [ranked.encode_ordinary(u.decode()) for u in units], byte_level_cuts)
+        return Units(lambda units: [ranked.encode_ordinary(u.decode()) for u in units], byte_level_cuts, remembered)
     from tokenizers import Tokenizer
     slow = Tokenizer.from_buffer(vocabulary)
     slow.encode_special_tokens = True
-    return Units(lambda units: [e.ids for e in slow.encode_batch([u.decode() for u in units], add_special_tokens=False)], byte_level_cuts)
+    return Units(lambda units: [e.ids for e in slow.encode_batch([u.decode() for u in units], add_special_tokens=False)], byte_level_cuts, remembered)
 
 
-def marked_pieces(vocabulary: bytes) -> Units:
+def marked_pieces(vocabulary: bytes, remembered: int = REMEMBERED) -> Units:
     """A model of ``sentencepiece`` that changes no letters. Texts are given with the space in front that the model would add."""
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
@@ -187,7 +187,7 @@ def marked_pieces(vocabulary: bytes) -> Units:
         raise ValueError("a piece holds the mark behind other letters")
     spec.add_dummy_prefix = False
     own = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
-    return Units(lambda units: own.encode([u.decode() for u in units], num_threads=1), marked_cuts)
+    return Units(lambda units: own.encode([u.decode() for u in units], num_threads=1), marked_cuts, remembered)
 
 
 def spelled_pieces(vocabulary: bytes) -> list[bytes]:

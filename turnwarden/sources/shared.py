@@ -29,10 +29,10 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def settle(df, purpose: str):
-    """``df`` written to the shared folder and read back: lineage is cut and survives lost executors."""
+def settle(df, purpose: str, **options):
+    """``df`` written to the shared folder and read back: lineage is cut and survives lost executors. ``options`` are the writer's."""
     path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
